@@ -206,12 +206,12 @@ def _resized(source: str, keys: str, side: int, sizes: tuple[int, ...], channels
     sums = ", ".join(f"sum({c}) as {c}" for c in channels)
     means = ", ".join(f"(({c} + (cells - n) * {0 if c == 'a' else 255}) // cells)::int as {c}" for c in channels)
     return f"""
-        select {keys}, size::int as size, bx::int as x, by::int as y, {means}
-        from (select {keys}, size, x * size // {side} as bx, y * size // {side} as by, count(*) as n, {sums}
+        select {keys}, size::int as size, cx::int as x, cy::int as y, {means}
+        from (select {keys}, size, x * size // {side} as cx, y * size // {side} as cy, count(*) as n, {sums}
               from {source}, (values {size_rows}) z(size) group by all)
-        join (select size, x * size // {side} as bx, y * size // {side} as by, count(*) as cells
+        join (select size, x * size // {side} as cx, y * size // {side} as cy, count(*) as cells
               from (values {size_rows}) z(size), range({side}) gx(x), range({side}) gy(y) group by all)
-        using (size, bx, by)"""
+        using (size, cx, cy)"""
 
 
 def _query(ctes: dict[str, str], body: str) -> str:
@@ -226,11 +226,12 @@ HAS_EXT = r"regexp_matches({n}, '^\.*[^.].*\.[^.]*$')"
 
 
 def _image_path() -> str:
-    ext = HAS_EXT.format(n="n")
-    return f"""
+    return rf"""
         select page_id, f as file, substr(f, 1, 2) || '/' || f as path,
-               regexp_extract(f, '^(.*)\\.[^.]*$', 1) || '_65' || regexp_extract(f, '\\.[^.]*$') as sized
-        from (select page_id, case when {ext} then n else n || '.jpg' end as f
+               case when {HAS_EXT.format(n="f")}
+                    then regexp_extract(f, '^(.*)\.[^.]*$', 1) || '_65' || regexp_extract(f, '\.[^.]*$')
+                    else f || '_65' end as sized
+        from (select page_id, case when {HAS_EXT.format(n="n")} then n else n || '.jpg' end as f
               from (select page_id, {BASE_NAME} as n from pages))"""
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from packshot.operators.raster import bounding_box, placement
 from packshot.operators.silhouette import foreground
-from packshot.operators.skew import skew_join
+from packshot.operators.skew import find_hot, salted_join
 from packshot.runtime import materialise
 from packshot.sources.layouts import ImageSettings
 
@@ -17,13 +17,20 @@ def one_image_per_layer(sku_images: DataFrame) -> DataFrame:
     return sku_images.groupBy("oms_id", "product_type").agg(F.min("image_id").alias("image_id"))
 
 
-def layer_placements(placed_skus: DataFrame, boxes: DataFrame, settings: ImageSettings) -> DataFrame:
-    """Placement of every (SKU, type): ``placed_skus`` with ``image_id, ulx, uly, w`` and the image boxes."""
-    joined = skew_join(placed_skus, boxes, ["image_id"], salt=F.xxhash64("oms_id", "product_type"))
+def layer_placements(
+    placed_skus: DataFrame, boxes: DataFrame, settings: ImageSettings, hot: DataFrame | None = None
+) -> DataFrame:
+    """Placement of every (SKU, type): ``placed_skus`` with ``image_id, ulx, uly, w`` and the image boxes.
+
+    ``hot`` names images that very many SKUs share (a stand-in picture, say); see ``find_hot``.
+    """
+    joined = salted_join(placed_skus, boxes, ["image_id"], hot, F.xxhash64("oms_id", "product_type"))
     return placement(joined, settings)
 
 
-def layer_raster(placements: DataFrame, cutouts: DataFrame, settings: ImageSettings) -> DataFrame:
+def layer_raster(
+    placements: DataFrame, cutouts: DataFrame, settings: ImageSettings, hot: DataFrame | None = None
+) -> DataFrame:
     """Pixels of each layer on the canvas: ``(oms_id, product_type, x, y, r, g, b, a)``, opaque ones only.
 
     The box (both edges included) is scaled to the rounded size and every target pixel takes the
@@ -39,9 +46,8 @@ def layer_raster(placements: DataFrame, cutouts: DataFrame, settings: ImageSetti
         F.rint((F.col("max_y") - F.col("min_y") + 1) * F.col("scale")).cast("bigint").alias("out_h"),
     ).where((F.col("src_w") > 0) & (F.col("src_h") > 0) & (F.col("out_w") > 0) & (F.col("out_h") > 0))
     inside = F.col("x").between(F.col("min_x"), F.col("max_x")) & F.col("y").between(F.col("min_y"), F.col("max_y"))
-    pixels = skew_join(
-        sized, cutouts.select("image_id", "x", "y", "r", "g", "b"), ["image_id"], salt=F.xxhash64("oms_id", "product_type")
-    ).where(inside)
+    source = cutouts.select("image_id", "x", "y", "r", "g", "b")
+    pixels = salted_join(sized, source, ["image_id"], hot, F.xxhash64("oms_id", "product_type")).where(inside)
     return (
         pixels.withColumn("tx", F.explode(_targets("x - min_x", "src_w", "out_w", "left", canvas)))
         .withColumn("ty", F.explode(_targets("y - min_y", "src_h", "out_h", "top", canvas)))
@@ -68,8 +74,10 @@ def _targets(source: str, src: str, out: str, offset: str, canvas: int) -> Colum
 def build_layers(raster: DataFrame, placed_skus: DataFrame, settings: ImageSettings, max_side: int | None = None) -> DataFrame:
     """From source images and placed SKUs to layers: silhouette, box, placement, scaling.
 
-    The foreground is stored: the boxes and the layers both start from it.
+    The foreground and the placed SKUs are stored: several steps start from them.
     """
     cutouts = materialise(foreground(raster, settings, max_side))
-    placements = layer_placements(placed_skus, bounding_box(cutouts, settings), settings)
-    return layer_raster(placements, cutouts, settings)
+    placed_skus = materialise(placed_skus)
+    hot = find_hot(placed_skus, ["image_id"])
+    placements = layer_placements(placed_skus, bounding_box(cutouts, settings), settings, hot)
+    return layer_raster(placements, cutouts, settings, hot)

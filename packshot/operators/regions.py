@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packshot.operators.skew import hot_keys, salted_join
+from packshot.operators.skew import find_hot, salted_join
 from packshot.runtime import materialise
 
 TILE = 128
@@ -241,9 +241,9 @@ def merge_regions(tiles: Tiles, regions: DataFrame) -> DataFrame:
     labels = regions.select(*KEYS, "region", "size").join(_merged_labels(links), [*KEYS, "region"], "left")
     labels = materialise(labels.withColumn("label", F.coalesce("label", "region")))
     on = [*KEYS, "label"]
-    totals = labels.groupBy(*on).agg(F.sum("size").alias("total"), F.count(F.lit(1)).alias("n"))
+    totals = labels.groupBy(*on).agg(F.sum("size").alias("total"))
     # very many tile regions may share a label: the background of a large image, say
-    merged = salted_join(labels, totals.drop("n"), on, hot_keys(totals, on), F.xxhash64("region"))
+    merged = salted_join(labels, totals, on, find_hot(labels, on), F.xxhash64("region"))
     return merged.select(*KEYS, "region", "size", "label", "total")
 
 
@@ -270,13 +270,9 @@ def _merged_labels(links: DataFrame) -> DataFrame:
     Each round takes the smallest label among the neighbours and then the label of that label, so
     long chains close quickly. The rounds stop when no label changes.
     """
-    start = links.groupBy(*KEYS, "region").agg(
-        F.min(F.least("region", "other")).alias("label"), F.count(F.lit(1)).alias("n")
-    )
-    start = materialise(start)
+    labels = materialise(links.groupBy(*KEYS, "region").agg(F.min(F.least("region", "other")).alias("label")))
     # links to a region that touches very many others are spread over several tasks
-    hub = hot_keys(start.select(*KEYS, F.col("region").alias("other"), "n"), [*KEYS, "other"])
-    labels = start.drop("n")
+    hub = find_hot(links, [*KEYS, "other"])
     while True:
         seen = labels.select(*KEYS, F.col("region").alias("other"), F.col("label").alias("near"))
         near = (
@@ -292,10 +288,9 @@ def _merged_labels(links: DataFrame) -> DataFrame:
         if lower.where(F.col("label") != F.col("old")).isEmpty():
             return labels
         on = [*KEYS, "label"]
-        shared = lower.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
         jump = lower.select(*KEYS, F.col("region").alias("label"), F.col("label").alias("next"))
         labels = materialise(
-            salted_join(lower, jump, on, hot_keys(shared, on), F.xxhash64("region")).select(
+            salted_join(lower, jump, on, find_hot(lower, on), F.xxhash64("region")).select(
                 *KEYS, "region", F.least("label", "next").alias("label")
             )
         )

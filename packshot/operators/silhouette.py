@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from packshot.operators.raster import LUMA_STEP, LUMA_WHITE, luma
 from packshot.operators.regions import TILE, Tiles, merge_regions, paint, tile_pixels, tile_regions
-from packshot.operators.skew import hot_keys, salted_join
+from packshot.operators.skew import find_hot, salted_join
 from packshot.runtime import materialise
 from packshot.sources.layouts import ImageSettings
 
@@ -39,33 +39,32 @@ def image_regions(tiles: Tiles) -> DataFrame:
     return materialise(merge_regions(tiles, tile_regions(tiles)))
 
 
-def _kept(regions: DataFrame, settings: ImageSettings) -> DataFrame:
-    """Regions larger than the size cutoff, with the number of pixels of their image."""
-    top = cutoff_levels(settings)
-    # the last gray level takes in every pixel of an image
-    totals = regions.groupBy("image_id").agg(
-        F.sum(F.when(F.col("mask") == top, F.col("size"))).alias("n_pixels"), F.count(F.lit(1)).alias("n")
-    )
-    hot = hot_keys(totals, ["image_id"])
-    sized = salted_join(regions, totals.drop("n"), ["image_id"], hot, F.xxhash64("mask", "region"))
-    return sized.where(F.col("total") > F.col("n_pixels") * F.lit(settings.silo_filter_size_cutoff))
-
-
 def foreground_cutoff(regions: DataFrame, settings: ImageSettings) -> DataFrame:
     """Smallest gray cutoff whose non-white mask covers enough of the image once small regions are gone.
 
     ``regions`` comes from ``image_regions``. Result ``(image_id, n_pixels, level, cutoff,
     covered)``, ``cutoff`` on the luma scale.
     """
-    top = cutoff_levels(settings)
-    start = round(settings.silo_gray_max_cutoff * LUMA_WHITE)
+    return _cutoffs(_kept(regions, find_hot(regions, ["image_id"]), settings), settings)
+
+
+def _kept(regions: DataFrame, hot: DataFrame | None, settings: ImageSettings) -> DataFrame:
+    """Regions larger than the size cutoff, with the number of pixels of their image."""
+    # the last gray level takes in every pixel of an image
+    whole = regions.where(F.col("mask") == cutoff_levels(settings))
+    totals = whole.groupBy("image_id").agg(F.sum("size").alias("n_pixels"))
+    sized = salted_join(regions, totals, ["image_id"], hot, F.xxhash64("mask", "region"))
+    return sized.where(F.col("total") > F.col("n_pixels") * F.lit(settings.silo_filter_size_cutoff))
+
+
+def _cutoffs(kept: DataFrame, settings: ImageSettings) -> DataFrame:
     covered = (
-        _kept(regions, settings)
-        .where(F.col("mask") <= top)
+        kept.where(F.col("mask") <= cutoff_levels(settings))
         .groupBy("image_id", "n_pixels", "mask")
         .agg(F.sum("size").alias("covered"))
         .where(F.col("covered") > F.col("n_pixels") * F.lit(settings.silo_min_img_not_background))
     )
+    start = round(settings.silo_gray_max_cutoff * LUMA_WHITE)
     return (
         covered.groupBy("image_id", "n_pixels")
         .agg(F.min("mask").alias("level"), F.min_by("covered", "mask").alias("covered"))
@@ -76,11 +75,12 @@ def foreground_cutoff(regions: DataFrame, settings: ImageSettings) -> DataFrame:
 def seeds(tiles: Tiles, regions: DataFrame, settings: ImageSettings) -> DataFrame:
     """``(image_id, x, y, rgb, seed)``: 1 white, 2 foreground, 3 both. Other pixels give no row."""
     white = cutoff_levels(settings) + 1
-    levels = foreground_cutoff(regions, settings).select("image_id", "level")
-    counts = regions.groupBy("image_id").agg(F.count(F.lit(1)).alias("n"))
-    wanted = salted_join(
-        _kept(regions, settings), levels, ["image_id"], hot_keys(counts, ["image_id"]), F.xxhash64("mask", "region")
-    ).where((F.col("mask") == F.col("level")) | (F.col("mask") == white))
+    hot = find_hot(regions, ["image_id"])
+    kept = _kept(regions, hot, settings)
+    levels = _cutoffs(kept, settings).select("image_id", "level")
+    wanted = salted_join(kept, levels, ["image_id"], hot, F.xxhash64("mask", "region")).where(
+        (F.col("mask") == F.col("level")) | (F.col("mask") == white)
+    )
     value = F.when(F.col("mask") == white, 1).otherwise(2).cast("bigint")
     return paint(tiles, wanted.select("image_id", "mask", "region", value.alias("value"))).select(
         "image_id", "x", "y", "rgb", F.col("value").cast("int").alias("seed")

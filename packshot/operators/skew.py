@@ -1,7 +1,7 @@
 """Equi-joins that stay balanced when one key holds a large part of the left side.
 
 Left rows of a hot key are spread over several salts and the matching right rows are copied to
-each salt. Only hot keys pay: every other key keeps salt 0 and one copy.
+each salt. Hot keys are looked for first; where there are none, the join is an ordinary one.
 """
 
 from __future__ import annotations
@@ -18,33 +18,33 @@ HOT_SHARE = 1000
 HOT_ROWS = 1_000_000
 
 
-def hot_keys(counts: DataFrame, on: list[str], share: int = HOT_SHARE, rows: int = HOT_ROWS) -> DataFrame:
-    """``(on..., fan)`` of the hot keys, from per-key row counts in column ``n``.
+def find_hot(df: DataFrame, on: list[str], share: int = HOT_SHARE, rows: int = HOT_ROWS) -> DataFrame | None:
+    """``(on..., fan)`` of the hot keys of ``df``, or None without any.
 
-    At most ``share`` keys can each hold more than ``1/share`` of all rows, so the result has fewer
-    than ``share`` rows whatever the data, and ``fan`` is at most ``share``.
+    One partial + final aggregate over ``on`` alone. No more than ``share`` keys can each hold more
+    than ``1/share`` of all rows, so whatever the data at most ``share`` rows reach the driver.
     """
-    counts = counts.select(*on, "n")
-    total = counts.agg(F.sum("n").alias("_total"))
-    slice_rows = F.greatest(F.lit(rows).cast("double"), F.col("_total") / F.lit(share))
-    return (
-        counts.where(F.col("n") > rows)
-        .crossJoin(F.broadcast(total))
-        .where(F.col("n") > slice_rows)
-        .select(*on, F.ceil(F.col("n") / slice_rows).cast("int").alias("fan"))
-    )
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_total"))
+    large = counts.where(F.col("_n") > rows).crossJoin(F.broadcast(total))
+    slice_rows = F.greatest(F.lit(float(rows)), F.col("_total") / F.lit(share))
+    hot = large.where(F.col("_n") > slice_rows).select(*on, F.ceil(F.col("_n") / slice_rows).cast("int").alias("fan"))
+    found = hot.collect()
+    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame, salt: Column, how: str = "inner"
+    left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame | None, salt: Column, how: str = "inner"
 ) -> DataFrame:
-    """Join ``left`` and ``right`` on ``on``, splitting the keys of ``hot`` (see ``hot_keys``).
+    """Join ``left`` and ``right`` on ``on``, splitting the keys of ``hot`` (see ``find_hot``).
 
     ``salt`` is a BIGINT expression over ``left`` that spreads the rows of one key. Kinds: inner,
     left, left_semi, left_anti (those that never emit an unmatched right row).
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join cannot do a {how} join")
+    if hot is None:
+        return left.join(right, on, how)
     hot = F.broadcast(hot)
     # rows with a NULL key match nothing, so they may go anywhere
     no_key = reduce(or_, [F.col(k).isNull() for k in on])
@@ -72,12 +72,11 @@ def skew_join(
     share: int = HOT_SHARE,
     rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``salted_join`` with the hot keys counted on ``left`` (one partial + final aggregate).
+    """``salted_join`` with the hot keys looked for on ``left``.
 
     Without ``salt`` rows are spread by their place in the scan, which separates exact copies too;
     that needs a ``left`` whose row order is stable (a scan with narrow steps). After a shuffle,
     pass a hash of columns that differ from row to row.
     """
-    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
     salt = F.monotonically_increasing_id() if salt is None else salt
-    return salted_join(left, right, on, hot_keys(counts, on, share, rows), salt, how)
+    return salted_join(left, right, on, find_hot(left, on, share, rows), salt, how)
