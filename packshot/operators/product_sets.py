@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from packshot.functions.products import parse_products
 from packshot.operators.products import grouped_by_type
 
 #: sets of one bundle that a single task writes; a bundle with more is cut into blocks
@@ -28,19 +29,18 @@ def product_sets(
     """
     if strict:
         lines = lines.withColumn("product_list_json", _all_placed(layout_types))
-    groups = lines.select("line_key", "product_list_json", grouped_by_type(layout_types).alias("groups"))
-    groups = groups.where(F.col("groups").isNotNull())
-    sized = groups.select("line_key", "product_list_json", _with_strides().alias("groups"), _set_count().alias("n_sets"))
-
-    few = sized.where(F.col("n_sets") <= block).select(
-        "line_key", "groups", F.explode(F.expr("sequence(0L, n_sets - 1)")).alias("i")
+    few = _sized(lines, layout_types, 0).select(
+        "line_key",
+        "groups",
+        F.explode(F.when(F.col("n_sets") <= block, F.expr("sequence(0L, n_sets - 1)"))).alias("i"),
     )
-    # A product of sizes that sum to n is at most 3^(n/3), so a long list needs this many products,
-    # each at least {"productType":""}: short lines drop out before they are parsed.
+    # A product of sizes that sum to n is at most 3^(n/3), so more than ``block`` sets need this many
+    # products, each at least {"productType":""}: shorter lists are not even parsed here.
     shortest = math.floor(3 * math.log(block, 3)) * len('{"productType":""}')
+    starts = F.when(F.col("n_sets") > block, F.expr(f"sequence(0L, n_sets - 1, {block}L)"))
     many = (
-        sized.where((F.length("product_list_json") >= shortest) & (F.col("n_sets") > block))
-        .select("line_key", "groups", "n_sets", F.explode(F.expr(f"sequence(0L, n_sets - 1, {block}L)")).alias("start"))
+        _sized(lines, layout_types, shortest)
+        .select("line_key", "groups", "n_sets", F.explode(starts).alias("start"))
         .repartition("line_key", "start")
         .select(
             "line_key",
@@ -59,11 +59,23 @@ def product_sets(
     return few.unionAll(many).select(*columns)
 
 
+def _sized(lines: DataFrame, layout_types: list[str], shortest: int) -> DataFrame:
+    """``(line_key, groups, n_sets)`` of the lists of at least ``shortest`` characters, NULL for others.
+
+    Rows are left out by the explode that follows, not by a filter: a filter would be pushed below
+    these steps and so parse every list again.
+    """
+    json = F.col("product_list_json")
+    parsed = lines.select("line_key", F.when(F.length(json) >= shortest, parse_products(json)).alias("products"))
+    grouped = parsed.select("line_key", grouped_by_type("products", layout_types).alias("groups"))
+    return grouped.select("line_key", _with_strides().alias("groups"), _set_count().alias("n_sets"))
+
+
 def _set_count() -> Column:
     """Number of sets; more than a BIGINT holds raises instead of wrapping round."""
     n = F.expr("aggregate(groups, 1L, (n, g) -> try_multiply(n, cast(size(g.ids) as bigint)))")
     message = F.concat(F.lit("too many product sets: "), F.coalesce("line_key", F.lit("NULL")))
-    return F.when(n.isNull(), F.raise_error(message).cast("bigint")).otherwise(n)
+    return F.when(F.col("groups").isNotNull(), F.coalesce(n, F.raise_error(message).cast("bigint")))
 
 
 def _with_strides() -> Column:
@@ -75,8 +87,6 @@ def _with_strides() -> Column:
 
 
 def _all_placed(layout_types: list[str]) -> Column:
-    from packshot.functions.products import parse_products
-
     json, products = F.col("product_list_json"), parse_products("product_list_json")
     key = F.coalesce("line_key", F.lit("NULL"))
     stray = F.exists(products, lambda p: ~F.coalesce(p["productType"].isin(layout_types), F.lit(False)))

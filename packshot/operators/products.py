@@ -7,7 +7,7 @@ shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packshot.functions.products import (
@@ -84,8 +84,9 @@ def type_groups(lines: DataFrame, layout_types: list[str]) -> DataFrame:
 
     Types without a product give no row; ``layer`` is the place of the type in the layout.
     """
-    parsed = lines.select("line_key", grouped_by_type(layout_types).alias("groups"))
-    return parsed.select("line_key", F.explode("groups").alias("g")).select(
+    parsed = lines.select("line_key", parse_products("product_list_json").alias("products"))
+    groups = grouped_by_type("products", layout_types)
+    return parsed.select("line_key", F.explode(groups).alias("g")).select(
         "line_key",
         F.col("g.layer").alias("layer"),
         F.col("g.product_type").alias("product_type"),
@@ -93,10 +94,12 @@ def type_groups(lines: DataFrame, layout_types: list[str]) -> DataFrame:
     )
 
 
-def grouped_by_type(layout_types: list[str]):
-    """Expression over bundle lines: array of (layer, product_type, ids) in layout order."""
+def grouped_by_type(products: str, layout_types: list[str]) -> Column:
+    """Array of (layer, product_type, ids) in layout order, from a column of parsed products.
+
+    The column has to be parsed in a step of its own, as it is read once per type.
+    """
     types = F.array(*[F.struct(F.lit(i).alias("layer"), F.lit(t).alias("product_type")) for i, t in enumerate(layout_types)])
-    products = parse_products("product_list_json")
     groups = F.transform(
         types,
         lambda t: F.struct(
@@ -107,7 +110,7 @@ def grouped_by_type(layout_types: list[str]):
             ).alias("ids"),
         ),
     )
-    return F.when(products.isNotNull(), F.filter(groups, lambda g: F.size(g["ids"]) > 0))
+    return F.when(F.col(products).isNotNull(), F.filter(groups, lambda g: F.size(g["ids"]) > 0))
 
 
 def unplaced_products(rows: DataFrame, layout: DataFrame) -> DataFrame:
