@@ -19,6 +19,7 @@ from packshot.operators import attributes as attribute_steps
 from packshot.operators import compose, layers, layout, manifest, products, raster, regions, silhouette
 from packshot.operators.product_sets import product_sets
 from packshot.plans import jobs
+from packshot.runtime import materialise
 from packshot.sources import attributes as attribute_source
 from packshot.sources import bundles, images, layouts, snapshots
 
@@ -279,13 +280,13 @@ def _typed_sets(spark, sf_dir):
 def composite(spark, sf_dir):
     # half-transparent layers, so that the order of stacking shows in every channel
     alpha = F.expr("cast((r * 7 + x * 31 + y * 17) % 256 as int)")
-    seen_through = layer_raster(spark, sf_dir).withColumn("a", alpha)
-    members = compose.set_members(compose.one_set_per_picture(_typed_sets(spark, sf_dir)))
-    return compose.stack(compose.gather_layers(members, seen_through))
+    seen_through = materialise(layer_raster(spark, sf_dir)).withColumn("a", alpha)
+    members = compose.set_members(materialise(compose.one_set_per_picture(_typed_sets(spark, sf_dir))))
+    return compose.stack(compose.gather_layers(members, seen_through), len(LAYOUT_TYPES))
 
 
 def bundle_pixels(spark, sf_dir):
-    return jobs.bundle_job(_typed_sets(spark, sf_dir), layer_raster(spark, sf_dir))
+    return jobs.bundle_job(_typed_sets(spark, sf_dir), materialise(layer_raster(spark, sf_dir)))
 
 
 def bundle_images(spark, sf_dir):

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packshot.operators.skew import skew_join
+from packshot.operators.skew import find_hot, salted_join
+
+#: place of each channel in a packed pixel
+SHIFTS = (("r", 16), ("g", 8), ("b", 0))
 
 
 def one_set_per_picture(sets: DataFrame) -> DataFrame:
@@ -26,32 +29,44 @@ def blank_pictures(sets: DataFrame) -> DataFrame:
     return sets.select("img_id", F.lit(-1).alias("z"), F.lit(0).alias("x"), F.lit(0).alias("y"), *white)
 
 
-def gather_layers(members: DataFrame, layers: DataFrame) -> DataFrame:
+def gather_layers(members: DataFrame, layers: DataFrame, rows_per_task: int = 1_000_000) -> DataFrame:
     """Pixels of the layers of every picture: ``(img_id, z, x, y, r, g, b, a)``.
 
-    A product that is part of very many sets is spread over several tasks.
+    Every member of a set brings all pixels of its layer, so the result is far larger than either
+    input. The join is therefore cut by the rows it gives: the number of tasks follows from the
+    total, and a product that is part of very many sets is spread over several. Both inputs should
+    be stored tables, since their counts are taken first.
     """
     on = ["oms_id", "product_type"]
-    return skew_join(members, layers, on, salt=F.xxhash64("img_id", "z")).drop(*on)
+    uses = members.groupBy(*on).agg(F.count(F.lit(1)).alias("uses"))
+    pixels = layers.groupBy(*on).agg(F.count(F.lit(1)).alias("pixels"))
+    work = uses.join(pixels, on).select(*on, (F.col("uses") * F.col("pixels")).alias("work"))
+    total = work.agg(F.sum("work")).first()[0] or 0
+    hot = find_hot(work, on, rows=4 * rows_per_task, weight="work")
+    tasks = min(max(total // rows_per_task, 1), 200_000)
+    joined = salted_join(members, layers, on, hot, F.xxhash64("img_id", "z"), tasks=tasks)
+    return joined.drop(*on)
 
 
-def stack(pixels: DataFrame) -> DataFrame:
+def stack(pixels: DataFrame, n_layers: int) -> DataFrame:
     """Lay the pixels of each picture over opaque white, lowest ``z`` first: ``(img_id, x, y, r, g, b)``.
 
-    Cells without a pixel stay white and give no row. A group holds one cell of one picture, so it
-    is no longer than the picture has layers.
+    ``z`` runs below ``n_layers``, the number of layers of the layout. Cells without a pixel stay
+    white and give no row. A group holds one cell of one picture, so it has at most ``n_layers``
+    pixels; one aggregate per layer keeps them in generated code.
     """
-    cell = F.array_sort(F.collect_list(F.struct("z", "r", "g", "b", "a")))
-    over = "cast((p.{c} * p.a + d.{c} * (255 - p.a) + 127) div 255 as int)"
-    fold = F.expr(
-        "aggregate(cell, named_struct('r', 255, 'g', 255, 'b', 255), (d, p) -> named_struct("
-        + ", ".join(f"'{c}', {over.format(c=c)}" for c in "rgb")
-        + "))"
-    )
-    return (
-        pixels.groupBy("img_id", "x", "y").agg(cell.alias("cell")).select("img_id", "x", "y", fold.alias("o"))
-        .select("img_id", "x", "y", "o.r", "o.g", "o.b")
-    )
+    packed = F.expr("cast(a as bigint) * 16777216 + r * 65536 + g * 256 + b")
+    at = [F.max(F.when(F.col("z") == i, packed)).alias(f"_{i}") for i in range(n_layers)]
+    # a layer without a pixel here has alpha 0, which leaves the cell as it is
+    cells = pixels.groupBy("img_id", "x", "y").agg(*at).na.fill(0, [f"_{i}" for i in range(n_layers)])
+    below = {c: "255" for c, _ in SHIFTS}
+    for i in range(n_layers):
+        alpha = f"shiftright(_{i}, 24)"
+        below = {
+            c: f"(((shiftright(_{i}, {s}) & 255) * {alpha} + {below[c]} * (255 - {alpha}) + 127) div 255)"
+            for c, s in SHIFTS
+        }
+    return cells.select("img_id", "x", "y", *[F.expr(f"cast({e} as int)").alias(c) for c, e in below.items()])
 
 
 def stack_opaque(pixels: DataFrame) -> DataFrame:
@@ -63,7 +78,7 @@ def stack_opaque(pixels: DataFrame) -> DataFrame:
     top = pixels.groupBy("img_id", "x", "y").agg(F.max(packed).alias("top"))
     channel = "cast(shiftright(top, {s}) & 255 as int)"
     return top.select(
-        "img_id", "x", "y", *[F.expr(channel.format(s=s)).alias(c) for c, s in (("r", 16), ("g", 8), ("b", 0))]
+        "img_id", "x", "y", *[F.expr(channel.format(s=s)).alias(c) for c, s in SHIFTS]
     )
 
 

@@ -18,13 +18,16 @@ HOT_SHARE = 1000
 HOT_ROWS = 1_000_000
 
 
-def find_hot(df: DataFrame, on: list[str], share: int = HOT_SHARE, rows: int = HOT_ROWS) -> DataFrame | None:
+def find_hot(
+    df: DataFrame, on: list[str], share: int = HOT_SHARE, rows: int = HOT_ROWS, weight: str | None = None
+) -> DataFrame | None:
     """``(on..., fan)`` of the hot keys of ``df``, or None without any.
 
-    One partial + final aggregate over ``on`` alone. No more than ``share`` keys can each hold more
-    than ``1/share`` of all rows, so whatever the data at most ``share`` rows reach the driver.
+    One partial + final aggregate over ``on`` alone; a row counts ``weight`` if given. No more than
+    ``share`` keys can each hold more than ``1/share`` of all rows, so whatever the data at most
+    ``share`` rows reach the driver.
     """
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(*on).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total"))
     large = counts.where(F.col("_n") > rows).crossJoin(F.broadcast(total))
     slice_rows = F.greatest(F.lit(float(rows)), F.col("_total") / F.lit(share))
@@ -34,33 +37,43 @@ def find_hot(df: DataFrame, on: list[str], share: int = HOT_SHARE, rows: int = H
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame | None, salt: Column, how: str = "inner"
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    hot: DataFrame | None,
+    salt: Column,
+    how: str = "inner",
+    tasks: int | None = None,
 ) -> DataFrame:
     """Join ``left`` and ``right`` on ``on``, splitting the keys of ``hot`` (see ``find_hot``).
 
     ``salt`` is a BIGINT expression over ``left`` that spreads the rows of one key. Kinds: inner,
-    left, left_semi, left_anti (those that never emit an unmatched right row).
+    left, left_semi, left_anti (those that never emit an unmatched right row). ``tasks`` fixes the
+    number of partitions, for joins that give far more than they read.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join cannot do a {how} join")
-    if hot is None:
-        return left.join(right, on, how)
-    hot = F.broadcast(hot)
-    # rows with a NULL key match nothing, so they may go anywhere
-    no_key = reduce(or_, [F.col(k).isNull() for k in on])
-    fan = F.coalesce("fan", F.when(no_key, HOT_SHARE).otherwise(1))
-    salted = (
-        left.withColumn("_salt_of", salt)
-        .join(hot, on, "left")
-        .withColumn("_salt", F.pmod("_salt_of", fan).cast("int"))
-        .drop("_salt_of", "fan")
-    )
-    copies = (
-        right.join(hot, on, "left")
-        .withColumn("_salt", F.explode(F.expr("sequence(0, coalesce(fan, 1) - 1)")))
-        .drop("fan")
-    )
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    keys = on
+    if hot is not None:
+        hot = F.broadcast(hot)
+        # rows with a NULL key match nothing, so they may go anywhere
+        no_key = reduce(or_, [F.col(k).isNull() for k in on])
+        fan = F.coalesce("fan", F.when(no_key, HOT_SHARE).otherwise(1))
+        left = (
+            left.withColumn("_salt_of", salt)
+            .join(hot, on, "left")
+            .withColumn("_salt", F.pmod("_salt_of", fan).cast("int"))
+            .drop("_salt_of", "fan")
+        )
+        right = (
+            right.join(hot, on, "left")
+            .withColumn("_salt", F.explode(F.expr("sequence(0, coalesce(fan, 1) - 1)")))
+            .drop("fan")
+        )
+        keys = [*on, "_salt"]
+    if tasks is not None:
+        left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
+    return left.join(right, keys, how).drop("_salt")
 
 
 def skew_join(

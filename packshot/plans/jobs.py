@@ -40,8 +40,11 @@ def layer_job(
 
 
 def bundle_job(sets: DataFrame, layer_pixels: DataFrame) -> DataFrame:
-    """Drawn pixels of every bundle picture, from product sets with types and layer pixels."""
-    pictures = one_set_per_picture(sets)
+    """Drawn pixels of every bundle picture, from product sets with types and stored layer pixels.
+
+    The sets are stored once: planning the join, the join itself and the blank pictures read them.
+    """
+    pictures = materialise(one_set_per_picture(sets))
     pixels = gather_layers(set_members(pictures), layer_pixels)
     return stack_opaque(pixels.unionByName(blank_pictures(pictures)))
 
