@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packshot.operators.skew import find_hot, salted_join
+from packshot.operators.skew import plan_by_output, salted_join
 
 #: place of each channel in a packed pixel
 SHIFTS = (("r", 16), ("g", 8), ("b", 0))
@@ -38,14 +38,8 @@ def gather_layers(members: DataFrame, layers: DataFrame, rows_per_task: int = 1_
     be stored tables, since their counts are taken first.
     """
     on = ["oms_id", "product_type"]
-    uses = members.groupBy(*on).agg(F.count(F.lit(1)).alias("uses"))
-    pixels = layers.groupBy(*on).agg(F.count(F.lit(1)).alias("pixels"))
-    work = uses.join(pixels, on).select(*on, (F.col("uses") * F.col("pixels")).alias("work"))
-    total = work.agg(F.sum("work")).first()[0] or 0
-    hot = find_hot(work, on, rows=4 * rows_per_task, weight="work")
-    tasks = min(max(total // rows_per_task, 1), 200_000)
-    joined = salted_join(members, layers, on, hot, F.xxhash64("img_id", "z"), tasks=tasks)
-    return joined.drop(*on)
+    hot, tasks = plan_by_output(members, layers, on, rows_per_task)
+    return salted_join(members, layers, on, hot, F.xxhash64("img_id", "z"), tasks=tasks).drop(*on)
 
 
 def stack(pixels: DataFrame, n_layers: int) -> DataFrame:

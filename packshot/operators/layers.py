@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from packshot.operators.raster import bounding_box, placement
 from packshot.operators.silhouette import foreground
-from packshot.operators.skew import find_hot, salted_join
+from packshot.operators.skew import find_hot, plan_by_output, salted_join
 from packshot.runtime import materialise
 from packshot.sources.layouts import ImageSettings
 
@@ -29,13 +29,14 @@ def layer_placements(
 
 
 def layer_raster(
-    placements: DataFrame, cutouts: DataFrame, settings: ImageSettings, hot: DataFrame | None = None
+    placements: DataFrame, cutouts: DataFrame, settings: ImageSettings, rows_per_task: int = 1_000_000
 ) -> DataFrame:
     """Pixels of each layer on the canvas: ``(oms_id, product_type, x, y, r, g, b, a)``, opaque ones only.
 
     The box (both edges included) is scaled to the rounded size and every target pixel takes the
     nearest source pixel. Each source pixel is spread to the target cells it serves, so there is no
-    join on a target grid. What falls off the canvas is cut.
+    join on a target grid. What falls off the canvas is cut. Many SKUs may share an image, and each
+    brings all its pixels: the join is cut by the rows it gives, so both inputs should be stored.
     """
     canvas = settings.canvas
     sized = placements.where(F.col("scale").isNotNull()).select(
@@ -47,7 +48,9 @@ def layer_raster(
     ).where((F.col("src_w") > 0) & (F.col("src_h") > 0) & (F.col("out_w") > 0) & (F.col("out_h") > 0))
     inside = F.col("x").between(F.col("min_x"), F.col("max_x")) & F.col("y").between(F.col("min_y"), F.col("max_y"))
     source = cutouts.select("image_id", "x", "y", "r", "g", "b")
-    pixels = salted_join(sized, source, ["image_id"], hot, F.xxhash64("oms_id", "product_type")).where(inside)
+    hot, tasks = plan_by_output(placements, source, ["image_id"], rows_per_task)
+    salt = F.xxhash64("oms_id", "product_type")
+    pixels = salted_join(sized, source, ["image_id"], hot, salt, tasks=tasks).where(inside)
     return (
         pixels.withColumn("tx", F.explode(_targets("x - min_x", "src_w", "out_w", "left", canvas)))
         .withColumn("ty", F.explode(_targets("y - min_y", "src_h", "out_h", "top", canvas)))
@@ -74,10 +77,10 @@ def _targets(source: str, src: str, out: str, offset: str, canvas: int) -> Colum
 def build_layers(raster: DataFrame, placed_skus: DataFrame, settings: ImageSettings, max_side: int | None = None) -> DataFrame:
     """From source images and placed SKUs to layers: silhouette, box, placement, scaling.
 
-    The foreground and the placed SKUs are stored: several steps start from them.
+    Foreground and placements are stored: several steps start from them.
     """
     cutouts = materialise(foreground(raster, settings, max_side))
     placed_skus = materialise(placed_skus)
     hot = find_hot(placed_skus, ["image_id"])
-    placements = layer_placements(placed_skus, bounding_box(cutouts, settings), settings, hot)
-    return layer_raster(placements, cutouts, settings, hot)
+    placements = materialise(layer_placements(placed_skus, bounding_box(cutouts, settings), settings, hot))
+    return layer_raster(placements, cutouts, settings)

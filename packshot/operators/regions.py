@@ -36,12 +36,14 @@ class Tiles:
     one_tile: bool
 
 
-def tile_pixels(mask: DataFrame, n_masks: int = 1, max_side: int | None = None, tile: int = TILE) -> Tiles:
+def tile_pixels(
+    mask: DataFrame, n_masks: int = 1, max_side: int | None = None, tile: int = TILE, store: bool = False
+) -> Tiles:
     """Group mask pixels into tiles.
 
     ``max_side`` is a promise that no image is larger, checked on every pixel; with at most
-    ``tile`` no merge is needed and all that follows stays one lazy plan. Without it the tiles are
-    stored once.
+    ``tile`` no merge is needed and all that follows stays one lazy plan. Without it, or with
+    ``store``, the tiles are stored once for the steps that read them.
     """
     if tile * tile << n_masks >= 1 << 39:
         raise ValueError(f"{n_masks} masks do not fit a tile of {tile} x {tile}")
@@ -59,7 +61,7 @@ def tile_pixels(mask: DataFrame, n_masks: int = 1, max_side: int | None = None,
         # a set: copies of a pixel count once, and no list is longer than its tile
         .agg(F.collect_set(code).alias("cells"))
     )
-    return Tiles(table if one_tile else materialise(table), n_masks, tile, one_tile)
+    return Tiles(materialise(table) if store or not one_tile else table, n_masks, tile, one_tile)
 
 
 def _kernel(tile: int, n_masks: int):

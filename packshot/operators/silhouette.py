@@ -20,7 +20,7 @@ def cutoff_levels(settings: ImageSettings) -> int:
 
 
 def mask_tiles(raster: DataFrame, settings: ImageSettings, max_side: int | None = None, tile: int = TILE) -> Tiles:
-    """Tiles with all masks of an image: mask ``k`` for gray cutoff level ``k``, the last for white."""
+    """Stored tiles with all masks of an image: mask ``k`` for gray cutoff level ``k``, the last for white."""
     top = cutoff_levels(settings)
     start = round(settings.silo_gray_max_cutoff * LUMA_WHITE)
     white = round(settings.silo_white_min_cutoff * LUMA_WHITE)
@@ -31,7 +31,7 @@ def mask_tiles(raster: DataFrame, settings: ImageSettings, max_side: int | None
     gray_bits = F.lit(1 << (top + 1)) - F.expr(f"shiftleft(1, least(level, {top + 1}))")
     white_bit = F.when(F.col("luma") >= white, 1 << (top + 1)).otherwise(0)
     pixels = pixels.select("image_id", "x", "y", "rgb", (gray_bits + white_bit).alias("bits"))
-    return tile_pixels(pixels, top + 2, max_side, tile)
+    return tile_pixels(pixels, top + 2, max_side, tile, store=True)
 
 
 def image_regions(tiles: Tiles) -> DataFrame:

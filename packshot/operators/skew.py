@@ -6,6 +6,7 @@ each salt. Hot keys are looked for first; where there are none, the join is an o
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import or_
 
@@ -24,16 +25,34 @@ def find_hot(
     """``(on..., fan)`` of the hot keys of ``df``, or None without any.
 
     One partial + final aggregate over ``on`` alone; a row counts ``weight`` if given. No more than
-    ``share`` keys can each hold more than ``1/share`` of all rows, so whatever the data at most
-    ``share`` rows reach the driver.
+    ``share`` keys can each hold more than ``1/share`` of all rows, so the ``share`` largest keys
+    include every hot one and no more reach the driver.
     """
     counts = df.groupBy(*on).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    large = counts.where(F.col("_n") > rows).crossJoin(F.broadcast(total))
-    slice_rows = F.greatest(F.lit(float(rows)), F.col("_total") / F.lit(share))
-    hot = large.where(F.col("_n") > slice_rows).select(*on, F.ceil(F.col("_n") / slice_rows).cast("int").alias("fan"))
-    found = hot.collect()
-    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
+    largest = counts.where(F.col("_n") > rows).orderBy(F.desc("_n")).limit(share).collect()
+    if not largest:
+        return None
+    slice_rows = max(rows, counts.agg(F.sum("_n")).first()[0] / share)
+    hot = [(*(r[k] for k in on), math.ceil(r["_n"] / slice_rows)) for r in largest if r["_n"] > slice_rows]
+    key_types = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in on)
+    return df.sparkSession.createDataFrame(hot, f"{key_types}, fan int") if hot else None
+
+
+def plan_by_output(
+    left: DataFrame, right: DataFrame, on: list[str], rows_per_task: int = HOT_ROWS
+) -> tuple[DataFrame | None, int]:
+    """``(hot, tasks)`` for a ``salted_join`` in which both sides have many rows per key.
+
+    Counted by the rows the join gives. Both sides should be stored tables.
+    """
+    lefts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_l"))
+    rights = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_r"))
+    work = lefts.join(rights, on).select(*on, (F.col("_l") * F.col("_r")).alias("_work"))
+    total = work.agg(F.sum("_work")).first()[0] or 0
+    tasks = min(max(total // rows_per_task, 1), 200_000)
+    if total <= rows_per_task:
+        return None, tasks
+    return find_hot(work, on, rows=4 * rows_per_task, weight="_work"), tasks
 
 
 def salted_join(

@@ -29,9 +29,11 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the plan starts from a stored table.
 
     A stored Parquet table survives the loss of executors, and its readers still prune columns.
+    The tables of an application lie in one folder, named by its id, to be removed with it.
     """
     spark = df.sparkSession
-    path = f"{scratch_folder(spark).rstrip('/')}/packshot/{uuid.uuid4().hex}"
+    folder = f"{scratch_folder(spark).rstrip('/')}/packshot-{spark.sparkContext.applicationId}"
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -54,30 +54,35 @@ def to_raster(images: DataFrame) -> DataFrame:
 def to_image_structs(raster: DataFrame, keys: list[str], size: str, alpha: bool) -> DataFrame:
     """Pictures of side ``size`` from the drawn pixels of a raster table, one row per ``keys``.
 
-    Pixels without a row are white (transparent white with ``alpha``). A group holds at most the
-    pixels of one canvas.
+    Pixels without a row are white (transparent white with ``alpha``). Packed line by line and then
+    into pictures, so that no group holds more than the pixels of one line or the lines of one
+    canvas.
     """
     channels = ["b", "g", "r", "a"] if alpha else ["b", "g", "r"]
     blank = "FFFFFF00" if alpha else "FFFFFF"
-    cell = F.struct(
-        (F.col("y").cast("bigint") * F.col(size) + F.col("x")).alias("p"),
-        F.concat(*[F.lpad(F.hex(c), 2, "0") for c in channels]).alias("h"),
-    )
-    cells = raster.groupBy(*keys, size).agg(F.array_sort(F.collect_set(cell)).alias("cells"))
-    gap = "cast(c.p - coalesce(get(cells, i - 1).p, -1L) - 1 as int)"
-    pieces = f"transform(cells, (c, i) -> concat(repeat('{blank}', {gap}), c.h))"
-    tail = f"repeat('{blank}', cast(cast({size} as bigint) * {size} - 1 - element_at(cells, -1).p as int))"
-    return cells.select(
+    pixel = F.concat(*[F.lpad(F.hex(c), 2, "0") for c in channels])
+    lines = raster.groupBy(*keys, size, "y").agg(F.array_sort(F.collect_set(F.struct("x", pixel.alias("h")))).alias("c"))
+    lines = lines.select(*keys, size, "y", F.expr(_filled("c", "x", f"'{blank}'", size)).alias("h"))
+    pictures = lines.groupBy(*keys, size).agg(F.array_sort(F.collect_set(F.struct("y", "h"))).alias("c"))
+    return pictures.select(
         *keys,
         size,
         F.col(size).alias("height"),
         F.col(size).alias("width"),
         F.lit(len(channels)).alias("nChannels"),
         F.lit(MODE_BGRA if alpha else MODE_BGR).alias("mode"),
-        F.unhex(F.expr(f"concat(array_join({pieces}, ''), {tail})")).alias("data"),
+        F.unhex(F.expr(_filled("c", "y", f"repeat('{blank}', {size})", size))).alias("data"),
     )
 
 
+def _filled(cells: str, place: str, blank: str, length: str) -> str:
+    """SQL text: the ``h`` of sorted cells joined, places without a cell filled with ``blank``."""
+    gap = f"e.{place} - coalesce(get({cells}, i - 1).{place}, -1) - 1"
+    pieces = f"transform({cells}, (e, i) -> concat(repeat({blank}, {gap}), e.h))"
+    tail = f"repeat({blank}, {length} - 1 - element_at({cells}, -1).{place})"
+    return f"concat(array_join({pieces}, ''), {tail})"
+
+
 def write_images(images: DataFrame, folder: str, day: str, kind: str) -> None:
     """Store image structs below ``folder`` by day, kind and size."""
     dated = images.withColumn("day", F.lit(day)).withColumn("kind", F.lit(kind))
