@@ -219,20 +219,32 @@ def region_pixels(spark, sf_dir):
     return regions.region_pixels(_non_white(spark, sf_dir), SIDE)
 
 
+def _tiles(spark, sf_dir):
+    return silhouette.mask_tiles(views.raster(spark, sf_dir), SETTINGS, SIDE)
+
+
 def foreground_cutoff(spark, sf_dir):
-    tiles = silhouette.mask_tiles(views.raster(spark, sf_dir), SETTINGS, SIDE)
+    tiles = _tiles(spark, sf_dir)
     found = silhouette.foreground_cutoff(silhouette.image_regions(tiles), SETTINGS)
     return found.select("image_id", "n_pixels", F.col("level").cast("bigint").alias("level"), F.col("cutoff").cast("bigint").alias("cutoff"), "covered")
 
 
 def seeds(spark, sf_dir):
-    tiles = silhouette.mask_tiles(views.raster(spark, sf_dir), SETTINGS, SIDE)
+    tiles = _tiles(spark, sf_dir)
     found = silhouette.seeds(tiles, silhouette.image_regions(tiles), SETTINGS)
     return found.select("image_id", "x", "y", "seed")
 
 
 def _foreground(spark, sf_dir):
-    return silhouette.foreground(views.raster(spark, sf_dir), SETTINGS, SIDE)
+    return silhouette.foreground(_tiles(spark, sf_dir), SETTINGS)
+
+
+def foreground_of_files(spark, sf_dir):
+    # from packed pictures, without pixel rows
+    packed = images.to_image_structs(
+        views.raster(spark, sf_dir).withColumn("size", F.lit(SIDE)), ["image_id"], "size", alpha=False
+    )
+    return silhouette.foreground(silhouette.image_tiles(packed, SETTINGS), SETTINGS)
 
 
 def bbox(spark, sf_dir):
@@ -254,11 +266,10 @@ def layer_raster(spark, sf_dir):
     return jobs.layer_job(
         layer_skus(spark, sf_dir),
         _attributes(spark, sf_dir),
-        views.raster(spark, sf_dir),
+        _tiles(spark, sf_dir),
         views.bundle_layout(spark),
         SETTINGS,
         _image_id(),
-        SIDE,
     )
 
 
@@ -340,6 +351,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "region_pixels": region_pixels,
     "foreground_cutoff": foreground_cutoff,
     "seeds": seeds,
+    "foreground_of_files": foreground_of_files,
     "bbox": bbox,
     "placement": placement,
     "layer_raster": layer_raster,

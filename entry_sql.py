@@ -310,6 +310,7 @@ def oracle_sql() -> dict[str, str]:
         "region_pixels": _query({**RASTER, **_regions(NON_WHITE)}, "select image_id, x, y, region from labelled"),
         "foreground_cutoff": _query(SILHOUETTE, "select * from cutoffs"),
         "seeds": _query(SILHOUETTE, "select * from seeds"),
+        "foreground_of_files": _query(SILHOUETTE, "select * from cutouts"),
         "bbox": _query(SILHOUETTE, "select * from bbox"),
         "placement": _query(LAYERS, """
             select oms_id, product_type, "left", top, width, round(scale, 9) as scale from placement"""),

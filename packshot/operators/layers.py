@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packshot.operators.raster import bounding_box, placement
+from packshot.operators.regions import Tiles
 from packshot.operators.silhouette import foreground
 from packshot.operators.skew import find_hot, plan_by_output, salted_join
 from packshot.runtime import materialise
@@ -74,12 +75,12 @@ def _targets(source: str, src: str, out: str, offset: str, canvas: int) -> Colum
     return F.expr(f"if({low} <= {high}, sequence({low}, {high}), array())")
 
 
-def build_layers(raster: DataFrame, placed_skus: DataFrame, settings: ImageSettings, max_side: int | None = None) -> DataFrame:
-    """From source images and placed SKUs to layers: silhouette, box, placement, scaling.
+def build_layers(tiles: Tiles, placed_skus: DataFrame, settings: ImageSettings) -> DataFrame:
+    """From the tiles of source images and placed SKUs to layers: silhouette, box, placement, scaling.
 
     Foreground and placements are stored: several steps start from them.
     """
-    cutouts = materialise(foreground(raster, settings, max_side))
+    cutouts = materialise(foreground(tiles, settings))
     placed_skus = materialise(placed_skus)
     hot = find_hot(placed_skus, ["image_id"])
     placements = materialise(layer_placements(placed_skus, bounding_box(cutouts, settings), settings, hot))

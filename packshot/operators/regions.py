@@ -36,6 +36,12 @@ class Tiles:
     one_tile: bool
 
 
+def check_tile(tile: int, n_masks: int) -> None:
+    """Place, masks and colour of a pixel have to fit a BIGINT."""
+    if tile * tile << n_masks >= 1 << 39:
+        raise ValueError(f"{n_masks} masks do not fit a tile of {tile} x {tile}")
+
+
 def tile_pixels(
     mask: DataFrame, n_masks: int = 1, max_side: int | None = None, tile: int = TILE, store: bool = False
 ) -> Tiles:
@@ -45,8 +51,7 @@ def tile_pixels(
     ``tile`` no merge is needed and all that follows stays one lazy plan. Without it, or with
     ``store``, the tiles are stored once for the steps that read them.
     """
-    if tile * tile << n_masks >= 1 << 39:
-        raise ValueError(f"{n_masks} masks do not fit a tile of {tile} x {tile}")
+    check_tile(tile, n_masks)
     one_tile = max_side is not None and max_side <= tile
     if max_side is not None:
         fits = (F.col("x") < max_side) & (F.col("y") < max_side)

@@ -7,8 +7,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packshot.operators.raster import LUMA_STEP, LUMA_WHITE, luma
-from packshot.operators.regions import TILE, Tiles, merge_regions, paint, tile_pixels, tile_regions
+from packshot.operators.raster import LUMA_BLUE, LUMA_GREEN, LUMA_RED, LUMA_STEP, LUMA_WHITE, luma
+from packshot.operators.regions import TILE, Tiles, check_tile, merge_regions, paint, tile_pixels, tile_regions
 from packshot.operators.skew import find_hot, salted_join
 from packshot.runtime import materialise
 from packshot.sources.layouts import ImageSettings
@@ -34,6 +34,61 @@ def mask_tiles(raster: DataFrame, settings: ImageSettings, max_side: int | None
     return tile_pixels(pixels, top + 2, max_side, tile, store=True)
 
 
+def image_tiles(images: DataFrame, settings: ImageSettings, tile: int = TILE) -> Tiles:
+    """``mask_tiles`` of stored images ``(image_id, height, width, nChannels, data)``.
+
+    The tiles are cut where the images are read: no pixel rows and no shuffle. A task holds one band
+    of tiles of one image at a time.
+    """
+    top = cutoff_levels(settings)
+    n_masks = top + 2
+    check_tile(tile, n_masks)
+    start = round(settings.silo_gray_max_cutoff * LUMA_WHITE)
+    white = round(settings.silo_white_min_cutoff * LUMA_WHITE)
+    weights, step = (LUMA_BLUE, LUMA_GREEN, LUMA_RED), LUMA_STEP
+
+    def cut(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def band(pixels, n):
+            """Masks and colour of a band of pixels, packed."""
+            bgr = [pixels[..., min(c, n - 1)].astype(np.int64) for c in range(3)]
+            gray = sum(w * c for w, c in zip(weights, bgr))
+            level = np.clip(-((start - gray) // step), 0, top + 1)
+            bits = (1 << (top + 1)) - (1 << level) + ((gray >= white).astype(np.int64) << (top + 1))
+            return (bits << 24) + (bgr[2] << 16) + (bgr[1] << 8) + bgr[0]
+
+        for batch in batches:
+            ids = batch.column(0)
+            h, w, n, data = (batch.column(i) for i in range(1, 5))
+            for i in range(batch.num_rows):
+                height, width, channels = h[i].as_py(), w[i].as_py(), n[i].as_py()
+                pixels = np.frombuffer(data[i].as_buffer(), np.uint8)[: height * width * channels]
+                pixels = pixels.reshape(height, width, channels)
+                for top_row in range(0, height, tile):
+                    packed = band(pixels[top_row : top_row + tile], channels)
+                    place = np.arange(packed.shape[0])[:, None] * tile + np.arange(width)[None, :] % tile
+                    packed += place << (24 + n_masks)
+                    cells = [packed[:, x : x + tile].ravel() for x in range(0, width, tile)]
+                    cells = [c[(c >> 24) & ((1 << n_masks) - 1) > 0] for c in cells]
+                    offsets = np.cumsum([0, *map(len, cells)]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            ids.take(pa.array(np.full(len(cells), i))),
+                            pa.array(np.arange(len(cells), dtype=np.int32)),
+                            pa.array(np.full(len(cells), top_row // tile, np.int32)),
+                            pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(cells))),
+                        ],
+                        names=["image_id", "tx", "ty", "cells"],
+                    )
+
+    id_type = images.schema["image_id"].dataType.simpleString()
+    source = images.select("image_id", "height", "width", "nChannels", "data")
+    table = source.mapInArrow(cut, f"image_id {id_type}, tx int, ty int, cells array<bigint>")
+    return Tiles(materialise(table), n_masks, tile, one_tile=False)
+
+
 def image_regions(tiles: Tiles) -> DataFrame:
     """The regions of all masks, stored: a small table that several steps read."""
     return materialise(merge_regions(tiles, tile_regions(tiles)))
@@ -87,9 +142,8 @@ def seeds(tiles: Tiles, regions: DataFrame, settings: ImageSettings) -> DataFram
     )
 
 
-def foreground(raster: DataFrame, settings: ImageSettings, max_side: int | None = None) -> DataFrame:
+def foreground(tiles: Tiles, settings: ImageSettings) -> DataFrame:
     """``(image_id, x, y, r, g, b)`` of the foreground pixels: seeds of kind 2."""
-    tiles = mask_tiles(raster, settings, max_side)
     found = seeds(tiles, image_regions(tiles), settings).where(F.col("seed") == 2)
     channel = "cast(shiftright(rgb, {s}) & 255 as int)"
     return found.select(

@@ -15,6 +15,7 @@ from packshot.operators.layout import layout_types, sku_layers
 from packshot.operators.manifest import image_manifest
 from packshot.operators.product_sets import product_sets
 from packshot.operators.products import first_per_type_lines, layer_skus
+from packshot.operators.regions import Tiles
 from packshot.runtime import materialise
 from packshot.sources.bundles import write_image_id_mapping
 from packshot.sources.images import to_image_structs, write_images
@@ -24,19 +25,19 @@ from packshot.sources.layouts import ImageSettings
 def layer_job(
     skus: DataFrame,
     attributes: DataFrame,
-    raster: DataFrame,
+    tiles: Tiles,
     layers: DataFrame,
     settings: ImageSettings,
     image_id: Column,
-    max_side: int | None = None,
 ) -> DataFrame:
     """Layer pixels of every SKU of a bundle that has an image and a place in the layout.
 
-    ``image_id`` turns ``img_guid`` of the attributes into the id of the raster table.
+    ``tiles`` come from stored images (``image_tiles``) or from a raster table (``mask_tiles``);
+    ``image_id`` turns ``img_guid`` of the attributes into their id.
     """
     images = sku_images(attributes, skus).select("oms_id", "product_type", image_id.alias("image_id"))
     placed = sku_layers(one_image_per_layer(images), layers)
-    return build_layers(raster, placed, settings, max_side)
+    return build_layers(tiles, placed, settings)
 
 
 def bundle_job(sets: DataFrame, layer_pixels: DataFrame) -> DataFrame:
@@ -62,11 +63,10 @@ class Pictures:
 def picture_job(
     lines: DataFrame,
     attributes: DataFrame,
-    raster: DataFrame,
+    tiles: Tiles,
     layers: DataFrame,
     settings: ImageSettings,
     image_id: Column,
-    max_side: int | None = None,
     all_sets: bool = False,
 ) -> Pictures:
     """Bundles to pictures. SKUs are listed before the lists are cut to one product per type.
@@ -78,7 +78,7 @@ def picture_job(
     if not all_sets:
         lines = first_per_type_lines(lines)
     sets = product_sets(lines, layout_types(layers), with_types=True)
-    layer_pixels = materialise(layer_job(skus, attributes, raster, layers, settings, image_id, max_side))
+    layer_pixels = materialise(layer_job(skus, attributes, tiles, layers, settings, image_id))
     return Pictures(sets, skus, layer_pixels, bundle_job(sets, layer_pixels))
 
 

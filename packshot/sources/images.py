@@ -54,33 +54,32 @@ def to_raster(images: DataFrame) -> DataFrame:
 def to_image_structs(raster: DataFrame, keys: list[str], size: str, alpha: bool) -> DataFrame:
     """Pictures of side ``size`` from the drawn pixels of a raster table, one row per ``keys``.
 
-    Pixels without a row are white (transparent white with ``alpha``). Packed line by line and then
-    into pictures, so that no group holds more than the pixels of one line or the lines of one
-    canvas.
+    Pixels without a row are white (transparent white with ``alpha``). The table has one row per
+    pixel, so a group holds at most one canvas; Spark sorts the groups and Python packs one at a time.
     """
     channels = ["b", "g", "r", "a"] if alpha else ["b", "g", "r"]
-    blank = "FFFFFF00" if alpha else "FFFFFF"
-    pixel = F.concat(*[F.lpad(F.hex(c), 2, "0") for c in channels])
-    lines = raster.groupBy(*keys, size, "y").agg(F.array_sort(F.collect_set(F.struct("x", pixel.alias("h")))).alias("c"))
-    lines = lines.select(*keys, size, "y", F.expr(_filled("c", "x", f"'{blank}'", size)).alias("h"))
-    pictures = lines.groupBy(*keys, size).agg(F.array_sort(F.collect_set(F.struct("y", "h"))).alias("c"))
-    return pictures.select(
-        *keys,
-        size,
-        F.col(size).alias("height"),
-        F.col(size).alias("width"),
-        F.lit(len(channels)).alias("nChannels"),
-        F.lit(MODE_BGRA if alpha else MODE_BGR).alias("mode"),
-        F.unhex(F.expr(_filled("c", "y", f"repeat('{blank}', {size})", size))).alias("data"),
-    )
-
-
-def _filled(cells: str, place: str, blank: str, length: str) -> str:
-    """SQL text: the ``h`` of sorted cells joined, places without a cell filled with ``blank``."""
-    gap = f"e.{place} - coalesce(get({cells}, i - 1).{place}, -1) - 1"
-    pieces = f"transform({cells}, (e, i) -> concat(repeat({blank}, {gap}), e.h))"
-    tail = f"repeat({blank}, {length} - 1 - element_at({cells}, -1).{place})"
-    return f"concat(array_join({pieces}, ''), {tail})"
+    mode = MODE_BGRA if alpha else MODE_BGR
+
+    def pack(pixels):
+        import numpy as np
+        import pyarrow as pa
+
+        side = pixels.column(size)[0].as_py()
+        canvas = np.full((side * side, len(channels)), 255, np.uint8)
+        if alpha:
+            canvas[:, 3] = 0
+        place = pixels.column("y").to_numpy().astype(np.int64) * side + pixels.column("x").to_numpy()
+        for i, channel in enumerate(channels):
+            canvas[place, i] = pixels.column(channel).to_numpy()
+        row = {name: pixels.column(name).slice(0, 1) for name in [*keys, size]}
+        numbers = {"height": side, "width": side, "nChannels": len(channels), "mode": mode}
+        row |= {name: pa.array([value], pa.int32()) for name, value in numbers.items()}
+        return pa.table({**row, "data": pa.array([canvas.tobytes()], pa.binary())})
+
+    source = raster.select(*keys, F.col(size).cast("int"), F.col("x").cast("int"), F.col("y").cast("int"), *channels)
+    key_types = ", ".join(f"`{k}` {source.schema[k].dataType.simpleString()}" for k in [*keys, size])
+    schema = f"{key_types}, height int, width int, nChannels int, mode int, data binary"
+    return source.groupBy(*keys, size).applyInArrow(pack, schema)
 
 
 def write_images(images: DataFrame, folder: str, day: str, kind: str) -> None:

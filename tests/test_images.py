@@ -7,6 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from packshot.functions.paths import image_file
+from packshot.operators.silhouette import image_tiles, mask_tiles
 from packshot.plans import jobs
 from packshot.sources import images
 from packshot.sources.layouts import ImageSettings
@@ -33,6 +34,20 @@ def test_image_files_to_raster(spark, rows, tmp_path):
     assert sorted(found) == sorted(want)
 
 
+def test_tiles_of_files_and_of_pixels_agree(spark, tmp_path):
+    draw = np.random.default_rng(1)
+    shades = np.array([0, 200, 243, 246, 249, 253, 255])
+    png(tmp_path / "a.png", draw.choice(shades, (23, 37, 3)))
+    png(tmp_path / "b.png", draw.choice(shades, (8, 16, 4)))
+    png(tmp_path / "c.png", np.repeat(draw.choice(shades, (9, 9, 1)), 3, 2))
+    files = images.read_images(spark, str(tmp_path))
+    for settings in (ImageSettings((9,)), ImageSettings((9,), silo_gray_max_cutoff=0.9, silo_white_min_cutoff=0.98)):
+        ours, theirs = image_tiles(files, settings, 8), mask_tiles(images.to_raster(files), settings, tile=8)
+        assert (ours.n_masks, ours.tile, ours.one_tile) == (theirs.n_masks, theirs.tile, theirs.one_tile)
+        cells = lambda t: sorted((r.image_id, r.tx, r.ty, sorted(r.cells)) for r in t.table.collect())
+        assert cells(ours) == cells(theirs)
+
+
 def test_structs_fill_the_gaps(spark, rows):
     data = [("a", 0, 0, 1, 2, 3, 4), ("a", 2, 1, 5, 6, 7, 8), ("b", 3, 3, 9, 10, 11, 12)]
     df = spark.createDataFrame(data, images.RASTER_SCHEMA).withColumn("size", F.lit(4))
@@ -80,10 +95,10 @@ def test_from_files_to_pictures(spark, rows, tmp_path):
         "bundle_type string, pos int, product_type string, ulx double, uly double, w double",
     )
     settings = ImageSettings((5, 10, 20), "jpg", erode_size=1, bottom_border=2)
-    raster = images.to_raster(images.read_images(spark, str(tmp_path / "img")))
+    tiles = image_tiles(images.read_images(spark, str(tmp_path / "img")), settings)
 
     def run(all_sets):
-        return jobs.picture_job(lines, attributes, raster, layers, settings, image_file("img_guid"), all_sets=all_sets)
+        return jobs.picture_job(lines, attributes, tiles, layers, settings, image_file("img_guid"), all_sets=all_sets)
 
     pictures = run(all_sets=False)
     assert rows(pictures.sets, "img_id") == [("one_0",), ("three_0",), ("two_0",)]

@@ -163,7 +163,7 @@ def test_a_white_image_has_no_foreground(spark):
     tiles = silhouette.mask_tiles(df, ImageSettings((16,)), 8)
     found = silhouette.seeds(tiles, silhouette.image_regions(tiles), ImageSettings((16,)))
     assert {r.seed for r in found.collect()} == {3}
-    assert silhouette.foreground(df, ImageSettings((16,)), 8).count() == 0
+    assert silhouette.foreground(tiles, ImageSettings((16,))).count() == 0
 
 
 def box(spark, *values):
