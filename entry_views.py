@@ -24,7 +24,7 @@ LAYOUT = [
 LAYOUT_TYPES = [row[0] for row in LAYOUT]
 # Small pictures to suit the 8 x 8 images of the embeddings table.
 SETTINGS = ImageSettings(
-    (8, 12, 32), "jpg", 1, 2, silo_filter_size_cutoff=0.05, silo_min_img_not_background=0.72
+    (5, 8, 20), "jpg", 1, 2, silo_filter_size_cutoff=0.05, silo_min_img_not_background=0.72
 )
 SIDE = 8
 

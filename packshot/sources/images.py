@@ -35,9 +35,9 @@ def to_raster(images: DataFrame) -> DataFrame:
         rows_per_batch = 1 << 18
         for batch in batches:
             for image_id, h, w, n, data in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                pixels = np.frombuffer(data, np.uint8).reshape(h * w, n).astype(np.int32)
+                pixels = np.frombuffer(data, np.uint8).reshape(h * w, n)
                 for start in range(0, h * w, rows_per_batch):
-                    part = pixels[start : start + rows_per_batch]
+                    part = pixels[start : start + rows_per_batch].astype(np.int32)
                     place = np.arange(start, start + len(part))
                     blue, green, red = (part[:, 0],) * 3 if n == 1 else (part[:, 0], part[:, 1], part[:, 2])
                     alpha = part[:, 3] if n == 4 else np.full(len(part), 255, np.int32)
@@ -54,35 +54,44 @@ def to_raster(images: DataFrame) -> DataFrame:
 def to_image_structs(raster: DataFrame, keys: list[str], size: str, alpha: bool) -> DataFrame:
     """Pictures of side ``size`` from the drawn pixels of a raster table, one row per ``keys``.
 
-    Pixels without a row are white (transparent white with ``alpha``). The table has one row per
-    pixel, so a group holds at most one canvas; Spark sorts the groups and Python packs one at a time.
+    Pixels without a row are white (transparent white with ``alpha``). Packed line by line and then
+    into pictures, so that no group holds more than the pixels of one line or the lines of one
+    canvas; copies of a pixel count once.
     """
-    channels = ["b", "g", "r", "a"] if alpha else ["b", "g", "r"]
-    mode = MODE_BGRA if alpha else MODE_BGR
-
-    def pack(pixels):
-        import numpy as np
-        import pyarrow as pa
-
-        side = pixels.column(size)[0].as_py()
-        canvas = np.full((side * side, len(channels)), 255, np.uint8)
-        if alpha:
-            canvas[:, 3] = 0
-        place = pixels.column("y").to_numpy().astype(np.int64) * side + pixels.column("x").to_numpy()
-        for i, channel in enumerate(channels):
-            canvas[place, i] = pixels.column(channel).to_numpy()
-        row = {name: pixels.column(name).slice(0, 1) for name in [*keys, size]}
-        numbers = {"height": side, "width": side, "nChannels": len(channels), "mode": mode}
-        row |= {name: pa.array([value], pa.int32()) for name, value in numbers.items()}
-        return pa.table({**row, "data": pa.array([canvas.tobytes()], pa.binary())})
-
-    source = raster.select(*keys, F.col(size).cast("int"), F.col("x").cast("int"), F.col("y").cast("int"), *channels)
-    key_types = ", ".join(f"`{k}` {source.schema[k].dataType.simpleString()}" for k in [*keys, size])
-    schema = f"{key_types}, height int, width int, nChannels int, mode int, data binary"
-    return source.groupBy(*keys, size).applyInArrow(pack, schema)
+    digits, blank, colour = 6, "FFFFFF", "cast(b as bigint) * 65536 + g * 256 + r"
+    if alpha:
+        digits, blank, colour = 8, "FFFFFF00", f"({colour}) * 256 + a"
+    # pixels of a line: x in the upper half of a BIGINT, the bytes of the pixel in the lower
+    pixel = F.expr(f"cast(x as bigint) * 4294967296 + {colour}")
+    lines = raster.groupBy(*keys, size, "y").agg(F.sort_array(F.collect_set(pixel)).alias("c"))
+    line = _filled("shiftright({e}, 32)", f"lpad(hex(e & 4294967295), {digits}, '0')", f"'{blank}'", size)
+    lines = lines.select(*keys, size, "y", F.expr(line).alias("h"))
+    pictures = lines.groupBy(*keys, size).agg(F.array_sort(F.collect_set(F.struct("y", "h"))).alias("c"))
+    picture = _filled("{e}.y", "e.h", f"repeat('{blank}', {size})", size)
+    return pictures.select(
+        *keys,
+        size,
+        F.col(size).alias("height"),
+        F.col(size).alias("width"),
+        F.lit(digits // 2).alias("nChannels"),
+        F.lit(MODE_BGRA if alpha else MODE_BGR).alias("mode"),
+        F.unhex(F.expr(picture)).alias("data"),
+    )
+
+
+def _filled(place: str, text: str, blank: str, length: str) -> str:
+    """SQL text that joins the sorted cells ``c`` as hexadecimal text, ``blank`` for places without a cell.
+
+    ``place`` gives the place of cell ``{e}``, ``text`` its digits as an expression of ``e``.
+    """
+    here, before, last = (place.format(e=e) for e in ("e", "get(c, i - 1)", "element_at(c, -1)"))
+    gap = f"cast({here} - coalesce({before}, -1) - 1 as int)"
+    pieces = f"transform(c, (e, i) -> concat(repeat({blank}, {gap}), {text}))"
+    return f"concat(array_join({pieces}, ''), repeat({blank}, cast({length} - 1 - {last} as int)))"
 
 
 def write_images(images: DataFrame, folder: str, day: str, kind: str) -> None:
-    """Store image structs below ``folder`` by day, kind and size."""
+    """Store image structs below ``folder`` by day, kind and size; a repeated run replaces its own."""
     dated = images.withColumn("day", F.lit(day)).withColumn("kind", F.lit(kind))
-    dated.write.mode("append").partitionBy("day", "kind", "size").parquet(folder)
+    writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("day", "kind", "size").parquet(folder)
