@@ -142,7 +142,7 @@ def date_roundtrip(spark, sf_dir):
         "o_orderkey",
         dates.format_day("day", "-").alias("dashed"),
         dates.format_day("day", "/").alias("slashed"),
-        F.datediff("day", F.lit("1995-01-01").cast("date")).cast("bigint").alias("days"),
+        F.datediff("day", F.lit("1995-01-01").cast("date")).cast("string").alias("days"),
     )
 
 
@@ -219,6 +219,11 @@ def region_pixels(spark, sf_dir):
     return regions.region_pixels(_non_white(spark, sf_dir), SIDE)
 
 
+def filter_mask(spark, sf_dir):
+    totals = views.raster(spark, sf_dir).groupBy("image_id").agg(F.count(F.lit(1)).alias("n_pixels"))
+    return regions.filter_mask(_non_white(spark, sf_dir), totals, SETTINGS.silo_filter_size_cutoff, SIDE)
+
+
 def _tiles(spark, sf_dir):
     return silhouette.mask_tiles(views.raster(spark, sf_dir), SETTINGS, SIDE)
 
@@ -349,6 +354,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "regions": region_sizes,
     "regions_tiled": regions_tiled,
     "region_pixels": region_pixels,
+    "filter_mask": filter_mask,
     "foreground_cutoff": foreground_cutoff,
     "seeds": seeds,
     "foreground_of_files": foreground_of_files,

@@ -276,7 +276,7 @@ def oracle_sql() -> dict[str, str]:
         "date_roundtrip": """
             select o_orderkey, case when o_orderkey % 7 <> 0 then strftime(o_orderdate, '%Y-%m-%d') end as dashed,
                    case when o_orderkey % 7 <> 0 then strftime(o_orderdate, '%Y/%m/%d') end as slashed,
-                   case when o_orderkey % 7 <> 0 then o_orderdate::date - date '1995-01-01' end::bigint as days
+                   case when o_orderkey % 7 <> 0 then o_orderdate::date - date '1995-01-01' end::varchar as days
             from orders""",
         "uri_parts": """
             select doc_id, case when doc_id % 5 <> 0 then source end as bucket,
@@ -308,6 +308,10 @@ def oracle_sql() -> dict[str, str]:
         "regions_tiled": _query({**RASTER, **_regions(NON_WHITE)}, """
             select image_id, region, count(*) as size from labelled group by all"""),
         "region_pixels": _query({**RASTER, **_regions(NON_WHITE)}, "select image_id, x, y, region from labelled"),
+        "filter_mask": _query({**RASTER, **_regions(NON_WHITE)}, f"""
+            select image_id, x, y, region from sized
+            join (select image_id, count(*) as n_pixels from raster group by 1) using (image_id)
+            where size > n_pixels * {SETTINGS.silo_filter_size_cutoff}::double"""),
         "foreground_cutoff": _query(SILHOUETTE, "select * from cutoffs"),
         "seeds": _query(SILHOUETTE, "select * from seeds"),
         "foreground_of_files": _query(SILHOUETTE, "select * from cutouts"),

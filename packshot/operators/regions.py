@@ -318,3 +318,20 @@ def region_pixels(mask: DataFrame, max_side: int | None = None, tile: int = TILE
     merged = merge_regions(tiles, tile_regions(tiles))
     labels = merged.select(*KEYS, "region", F.col("label").alias("value"))
     return paint(tiles, labels).select("image_id", "x", "y", F.col("value").alias("region"))
+
+
+def filter_mask(
+    mask: DataFrame, totals: DataFrame, size_cutoff: float, max_side: int | None = None, tile: int = TILE
+) -> DataFrame:
+    """``(image_id, x, y, region)``: the mask without its small regions.
+
+    A region stays if it has more than ``size_cutoff`` of all pixels of its image; ``totals`` is
+    ``(image_id, n_pixels)``.
+    """
+    tiles = tile_pixels(mask.withColumn("bits", F.lit(1)), 1, max_side, tile, store=True)
+    merged = materialise(merge_regions(tiles, tile_regions(tiles)))
+    hot = find_hot(merged, ["image_id"])
+    sized = salted_join(merged, totals.select("image_id", "n_pixels"), ["image_id"], hot, F.xxhash64("region"))
+    kept = sized.where(F.col("total") > F.col("n_pixels") * F.lit(size_cutoff))
+    labels = kept.select(*KEYS, "region", F.col("label").alias("value"))
+    return paint(tiles, labels).select("image_id", "x", "y", F.col("value").alias("region"))

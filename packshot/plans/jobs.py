@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packshot.functions.paths import BUNDLE_FOLDER, LAYER_FOLDER
-from packshot.operators.attributes import sku_images
+from packshot.operators.attributes import sku_images, skus_missing
 from packshot.operators.compose import blank_pictures, gather_layers, one_set_per_picture, resized, set_members, stack_opaque
 from packshot.operators.layers import build_layers, one_image_per_layer
 from packshot.operators.layout import layout_types, sku_layers
 from packshot.operators.manifest import image_manifest
 from packshot.operators.product_sets import product_sets
-from packshot.operators.products import first_per_type_lines, layer_skus
+from packshot.operators.products import first_per_type_lines, layer_skus, sku_counts
 from packshot.operators.regions import Tiles
 from packshot.runtime import materialise
 from packshot.sources.bundles import write_image_id_mapping
@@ -96,3 +96,8 @@ def write_pictures(pictures: Pictures, settings: ImageSettings, folder: str, day
 def picture_manifest(pictures: Pictures, settings: ImageSettings, folder: str, day: str) -> DataFrame:
     """Names of the pictures of a run."""
     return image_manifest(pictures.layers, pictures.sets, settings, folder, day)
+
+
+def audit(skus: DataFrame, attributes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """SKUs of a list without attributes, and how often each SKU is listed."""
+    return skus_missing(skus, attributes), sku_counts(skus)

@@ -1,5 +1,6 @@
 from packshot.operators import attributes as steps
 from packshot.operators.attributes import PRIMARY_IMAGE
+from packshot.plans.jobs import audit
 from packshot.sources import attributes as source
 
 FEED = [
@@ -48,3 +49,6 @@ def test_missing_skus_keep_repeats(spark, rows, tmp_path):
     skus = source.read_sku_list(spark, str(tmp_path / "skus.csv"))
     known = source.read_attributes_with_header(spark, str(tmp_path / "attributes.csv"))
     assert rows(steps.skus_missing(skus, known)) == [("7",), ("7",), ("8",)]
+    missing, counts = audit(skus, known)
+    assert rows(missing) == [("7",), ("7",), ("8",)]
+    assert rows(counts) == [("1.0", 1), ("7.0", 2), ("8", 1)]

@@ -65,6 +65,16 @@ def test_regions_do_not_depend_on_tiles(spark, masks, how):
     assert table == sorted({(k, (y << 32) + x, n) for k, m in masks.items() for (x, y), n in flood(m).values()})
 
 
+@pytest.mark.parametrize("how", [{"max_side": 14}, {"tile": 4}])
+def test_small_regions_are_dropped(spark, masks, how):
+    df = spark.createDataFrame(mask_rows(masks), "image_id string, x int, y int")
+    totals = spark.createDataFrame([(k, m.size) for k, m in masks.items()], "image_id string, n_pixels long")
+    found = {tuple(r) for r in regions.filter_mask(df, totals, 0.04, **how).collect()}
+    assert found == {
+        (k, *p, (y << 32) + x) for k, m in masks.items() for p, ((x, y), n) in flood(m).items() if n > m.size * 0.04
+    }
+
+
 def test_copies_of_a_pixel_count_once(spark, masks):
     once = spark.createDataFrame(mask_rows({"half": masks["half"]}), "image_id string, x int, y int")
     assert sorted(regions.regions(once.union(once), 14).collect()) == sorted(regions.regions(once, 14).collect())
