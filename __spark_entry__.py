@@ -371,6 +371,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+LLM_SQL: dict[str, str] = {}
+try:  # the only place that may do without the subpackage
+    from packshot.llm import queries as llm_queries
+except ImportError:
+    pass
+else:
+    QUERIES.update(llm_queries.QUERIES)
+    LLM_SQL.update(llm_queries.SQL)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Which pictures have to be made: every product set of every bundle."""
     return all_sets(spark, "/root/testdata/sf0.001")
@@ -381,4 +391,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return entry_sql.oracle_sql()
+    return {**entry_sql.oracle_sql(), **LLM_SQL}
