@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packshot.llm import best_fit_packing, token_output
-from packshot.runtime import scratch_folder
+from packshot.llm import best_fit_packing, chat_format, quality_rules, secret_scan, token_output
+from packshot.runtime import materialise, scratch_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,23 @@ def op4_best_fit_packing(spark, sf_dir):
     return best_fit_packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op3_quality_rules(spark, sf_dir):
+    return quality_rules.judged(table(spark, sf_dir, "documents"))
+
+
+def op8_chat_format(spark, sf_dir):
+    text = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", text), (-1, 1, "assistant", text)], "conv_id long, turn long, role string, text string"
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat_format.read_back(materialise(chat_format.format_turns(rows)))
+
+
+def op10_secret_scan(spark, sf_dir):
+    return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
+
+
 def op9_token_output(spark, sf_dir):
     path = f"{scratch_folder(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
     files = token_output.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_file())
@@ -33,7 +50,10 @@ def op9_token_output(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality_rules": op3_quality_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op9_token_output": op9_token_output,
+    "op8_chat_format": op8_chat_format,
+    "op10_secret_scan": op10_secret_scan,
 }
 SQL: dict[str, str] = {}
