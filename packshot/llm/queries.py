@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packshot.llm import best_fit_packing, chat_format, quality_classifier, quality_rules, secret_scan, token_output
+from packshot.llm import best_fit_packing, chat_format, jaccard_join, quality_classifier, quality_rules, secret_scan, token_output
 from packshot.runtime import materialise, scratch_folder
 
 
@@ -30,6 +30,10 @@ def op3_quality_rules(spark, sf_dir):
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark, sf_dir):
     return quality_classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op9_token_output": op9_token_output,
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_chat_format": op8_chat_format,
     "op10_secret_scan": op10_secret_scan,
