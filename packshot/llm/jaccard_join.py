@@ -163,7 +163,7 @@ def set_keys(docs: DataFrame, k: int, percent: int, small: int, levels: np.ndarr
                     single = arrow_text.mix(members + np.uint64(0x2545F4914F6CDD1D))
                     total = np.add.reduce(single, keepdims=True)
                     for low, high, drop in plans[size]:
-                        out = np.array(list(combinations(range(size), drop)), np.int64).reshape(-1, drop)
+                        out = np.array(list(combinations(range(size), drop)), np.int64)
                         lost = single[out].sum(axis=1, dtype=np.uint64)
                         tag = np.array([(low * 4096 + high) * 2], np.uint64)
                         found = arrow_text.mix(total - lost + tag)
@@ -358,3 +358,21 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT)
         F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce("class_id", "doc_id").alias("class_id"),
     )
+
+
+def one_per_group(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``docs`` with one document of each group: the least ``doc_id``, or one row of it if it is repeated.
+
+    Documents without a set stay.
+    """
+    found = materialise(jaccard_components(docs, k, percent))
+    key = docs["doc_id"].cast("long")
+    losers = found.where("component_id != doc_id").select(F.col("doc_id").alias("_other"))
+    kept = docs.join(losers, key == losers["_other"], "left_anti")
+    again = materialise(found.where("n_shingles > 0 and component_id = doc_id").groupBy("doc_id").count().where("count > 1"))
+    if again.isEmpty():
+        return kept
+    again = again.select(F.col("doc_id").alias("_again"))
+    once = kept.join(again, key == again["_again"], "left_anti")
+    repeated = kept.join(again, key == again["_again"], "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(repeated)

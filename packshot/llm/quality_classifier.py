@@ -206,3 +206,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     model = fit(table, labels.where(~held_out()))
     predicted = (F.col("score") >= threshold).cast("int")
     return score(table, model).select("doc_id", held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without those that score below ``threshold``; texts are scored where they are read, without a shuffle."""
+    model = fit(materialise(document_statistics(docs)), labels.where(~held_out()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in arrow_text.chunks(batches):
+            keep = model.score(statistics(*arrow_text.buffer(part.column("text")))) >= threshold
+            yield part.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -8,7 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packshot.llm import best_fit_packing, chat_format, jaccard_join, quality_classifier, quality_rules, secret_scan, token_output
+from packshot.llm import (
+    best_fit_packing,
+    chat_format,
+    decontamination,
+    jaccard_join,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    token_output,
+)
+from packshot.llm.sql import SQL
 from packshot.runtime import materialise, scratch_folder
 
 
@@ -34,6 +44,10 @@ def op5_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark, sf_dir):
+    return decontamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_classifier(spark, sf_dir):
     return quality_classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -62,8 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op9_token_output": op9_token_output,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_decontamination": op6_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_chat_format": op8_chat_format,
     "op10_secret_scan": op10_secret_scan,
 }
-SQL: dict[str, str] = {}
