@@ -373,11 +373,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 LLM_SQL: dict[str, str] = {}
 try:  # the only place that may do without the subpackage
+    import corpus_pipeline
     from packshot.llm import queries as llm_queries
 except ImportError:
     pass
 else:
     QUERIES.update(llm_queries.QUERIES)
+    QUERIES["pipeline"] = corpus_pipeline.run
     LLM_SQL.update(llm_queries.SQL)
 
 
