@@ -88,6 +88,11 @@ def _power(kind: str, n: int) -> np.ndarray:
     return _powers[kind]
 
 
+def powers(n: int, inverse: bool = False) -> np.ndarray:
+    """``base ** i`` modulo 2**64 for i below ``n``, or the inverses."""
+    return _power("down" if inverse else "up", n)[:n]
+
+
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span's bytes, equal for equal bytes wherever they stand."""
     sums = np.zeros(len(raw) + 1, np.uint64)

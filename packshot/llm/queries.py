@@ -16,6 +16,7 @@ from packshot.llm import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    substring_dedup,
     token_output,
 )
 from packshot.llm.sql import SQL
@@ -36,6 +37,10 @@ def op4_best_fit_packing(spark, sf_dir):
     return best_fit_packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op2_substring_dedup(spark, sf_dir):
+    return substring_dedup.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark, sf_dir):
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
@@ -72,6 +77,7 @@ def op9_token_output(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op9_token_output": op9_token_output,
