@@ -130,6 +130,8 @@ def _searched(window: int):
         stops = np.cumsum(sizes[streamed])
         begins = stops - sizes[streamed]
         place, low = index.windows(pattern, begins, stops)
+        if not len(place):
+            return pa.table([pa.array([], pa.int64())] * 5, names)
         found = interval_least[np.searchsorted(starts, low, side="right") - 1]
         order = np.argsort(place)
         place, found = place[order], found[order]
