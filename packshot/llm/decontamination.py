@@ -5,8 +5,9 @@ An item is in a document when the document has at least ``percent`` per cent of
 item, so a document is searched as segments of at most :data:`SEGMENT` shingles. A segment falls into a size
 partition; each partition has one permutation and its own number of bins, at least twice the shingles of a segment, so that
 most shingles are the minimum of their bin. An item has a sketch for every partition. A document and an item that share a
-bin minimum in a partition are a candidate: with 4 in 5 shingles of an item of ten or more in the document, the
-chance to share none is below 10^-4, and below 10^-15 for thirty. Candidates are verified by counting shared shingles exactly.
+bin minimum in a partition are a candidate: with 4 in 5 of an item's shingles in the document, each a minimum
+with a chance of 3 in 4, the chance to share none is below 10^-9 from :data:`SHORT` shingles on. Shorter items are
+candidates by any shared shingle. Candidates are verified by counting shared shingles exactly.
 
 The items are first put into a hash filter of at most 32 MB, whatever their number; shingles that pass are
 joined with the items, so both sides may be of any size. Rows of one ``doc_id`` are one document and rows of one ``item_id`` one
@@ -29,6 +30,7 @@ from packshot.runtime import materialise
 WORDS, PERCENT = 5, 80
 SEGMENT = 256
 PARTITIONS = ((64, 128), (128, 256), (256, 512))  # shingles of a segment at most, bins
+SHORT = 20
 LEAST_FILTER_BITS = 1 << 26
 
 
@@ -102,7 +104,8 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = WORDS, percent:
         F.max("n").alias("n_shingles"),
         F.max(F.col("flags").bitwiseAND(F.col("item_flags"))).alias("_candidate"),
     )
-    found = pairs.where((F.col("_candidate") > 0) & (100 * F.col("n_shared") >= percent * F.col("n_shingles")))
+    candidate = (F.col("_candidate") > 0) | (F.col("n_shingles") < SHORT)
+    found = pairs.where(candidate & (100 * F.col("n_shared") >= percent * F.col("n_shingles")))
     return found.select("doc_id", "item_id", "n_shared", "n_shingles")
 
 
