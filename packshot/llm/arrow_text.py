@@ -80,7 +80,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power(kind: str, n: int) -> np.ndarray:
-    if len(_powers.get(kind, ())) < n:
+    if kind not in _powers or len(_powers[kind]) < n:
         base = _BASE if kind == "up" else np.uint64(pow(int(_BASE), -1, 1 << 64))
         out = np.full(max(n, CHUNK_BYTES + 1), base, np.uint64)
         out[0] = 1

@@ -196,8 +196,11 @@ def judged(
     """Every document with its base counts, both distances, ``base_failed`` and ``kept``."""
     far = _far(guard_words, char_limit, word_limit)
     counts = materialise(document_counts(docs))
-    first = _distances(counts, materialise(language_references(counts, guard_words)))
-    near = first.where(~far).select(*counts.columns)
-    distances = _distances(counts, materialise(language_references(near, guard_words)))
+    all_sums = materialise(language_references(counts, guard_words))
+    near = _distances(counts, all_sums).where(~far).select(*counts.columns)
+    near_sums = language_references(near, guard_words)
+    # a language without any document near its own sums keeps these
+    alone = all_sums.join(near_sums.select(F.col("_lang").alias("_near")), F.col("_lang").eqNullSafe(F.col("_near")), "left_anti")
+    distances = _distances(counts, materialise(near_sums.unionByName(alone)))
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     return distances.select(*names, (~F.col("base_failed") & ~far).alias("kept"), "char_distance", "word_distance")

@@ -13,6 +13,7 @@ from packshot.llm import (
     chat_format,
     decontamination,
     jaccard_join,
+    lm_scoring,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -37,6 +38,10 @@ def op4_best_fit_packing(spark, sf_dir):
     return best_fit_packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op1_lm_scoring(spark, sf_dir):
+    return lm_scoring.scored(table(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark, sf_dir):
     return substring_dedup.repeat_digests(table(spark, sf_dir, "documents"))
 
@@ -77,6 +82,7 @@ def op9_token_output(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
