@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import entry_sql
 import entry_views as views
-from entry_views import LAYOUT_TYPES, SETTINGS, SIDE, table
+from entry_views import LAYOUT_TYPES, REPEATED_TYPES, SETTINGS, SIDE, table
 from packshot.functions import dates, paths
 from packshot.operators import attributes as attribute_steps
 from packshot.operators import compose, layers, layout, manifest, products, raster, regions, silhouette
@@ -67,6 +67,12 @@ def all_sets(spark, sf_dir):
     return product_sets(_lines(spark, sf_dir), LAYOUT_TYPES).withColumn("sku_list", _joined("sku_list"))
 
 
+def repeated_type_sets(spark, sf_dir):
+    # types that stand in the layout more than once
+    found = product_sets(_lines(spark, sf_dir), REPEATED_TYPES)
+    return found.withColumn("sku_list", _joined("sku_list"))
+
+
 def filtered_sets(spark, sf_dir):
     lines = products.first_per_type_lines(_lines(spark, sf_dir))
     return product_sets(lines, LAYOUT_TYPES).withColumn("sku_list", _joined("sku_list"))
@@ -112,7 +118,8 @@ def sku_images(spark, sf_dir):
 
 def skus_missing(spark, sf_dir):
     sold = table(spark, sf_dir, "lineitem").select(F.concat("l_partkey", F.lit(".0")).alias("sku"))
-    return attribute_steps.skus_missing(sold, _attributes(spark, sf_dir))
+    feed = views.attribute_feed(spark, sf_dir, "p_size <= 40")  # so that some are missing
+    return attribute_steps.skus_missing(sold, attribute_source.attribute_scan(feed))
 
 
 def layout_layers(spark, sf_dir):
@@ -330,6 +337,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_per_type_rows": first_per_type_rows,
     "first_per_type_lists": first_per_type_lists,
     "product_sets": all_sets,
+    "product_sets_repeated_types": repeated_type_sets,
     "product_sets_filtered": filtered_sets,
     "type_groups": type_groups,
     "layer_skus": layer_skus,

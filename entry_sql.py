@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from entry_views import LAYOUT, SETTINGS
+from entry_views import LAYOUT, REPEATED_TYPES, SETTINGS
 from packshot.operators.attributes import PRIMARY_IMAGE
 
 LAYOUT_ROWS = ", ".join(f"({i}, '{t}', {ulx}::double, {uly}::double, {w}::double)" for i, (t, ulx, uly, w) in enumerate(LAYOUT))
@@ -10,20 +10,19 @@ LAYOUT_ROWS = ", ".join(f"({i}, '{t}', {ulx}::double, {uly}::double, {w}::double
 # name -> body; each may use the ones before it
 CTES = {
     "layout(pos, product_type, ulx, uly, w)": f"values {LAYOUT_ROWS}",
-    "sold": """
-        select l_orderkey, p_type, p_brand, min(l_linenumber::bigint * 1099511627776 + l_partkey) as first
-        from lineitem join part on l_partkey = p_partkey group by all""",
+    "repeated(pos, product_type)": "values " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(REPEATED_TYPES)),
     "b": """
-        select l_orderkey::varchar as line_key,
-               row_number() over (partition by l_orderkey order by first) - 1 as pos,
-               (first % 1099511627776)::varchar as oms_id, p_type as product_type, p_brand
-        from sold""",
+        select l_orderkey || '-' || (l_linenumber // 32) as line_key,
+               row_number() over (partition by l_orderkey, l_linenumber // 32
+                   order by l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, p_type, p_brand) - 1 as pos,
+               l_partkey::varchar as oms_id, p_type as product_type, p_brand
+        from lineitem join part on l_partkey = p_partkey""",
     "kept": """
         select * from (select *, row_number() over (partition by line_key, product_type order by pos) as rn from b)
         where rn = 1""",
     "attributes": f"""
         select p_partkey::varchar as oms_id, u.attribute_id, u.attribute_value
-        from (select * from part where p_size <= 40),
+        from part,
              unnest([{{'attribute_id': 'p_name', 'attribute_value': p_name}},
                      {{'attribute_id': 'p_brand', 'attribute_value': p_brand}},
                      {{'attribute_id': 'p_type', 'attribute_value': p_type}},
@@ -35,13 +34,13 @@ CTES = {
 }
 
 
-def _sets(source: str) -> dict[str, str]:
+def _sets(source: str, layout: str = "layout") -> dict[str, str]:
     """Product sets of a product table, by counting which set takes which product."""
     return {
         "placed": f"""
             select line_key, l.pos as layer, product_type, oms_id,
                    row_number() over (partition by line_key, l.pos order by s.pos) - 1 as r
-            from {source} s join layout l using (product_type)""",
+            from {source} s join {layout} l using (product_type)""",
         "groups": "select line_key, layer, count(*) as n from placed group by all",
         "strides": """
             select line_key, layer, n,
@@ -219,7 +218,7 @@ def _query(ctes: dict[str, str], body: str) -> str:
     return f"{kind} " + ",\n".join(f"{name} as ({sql})" for name, sql in ctes.items()) + "\n" + body
 
 
-ITEM = """'{"id": "' || oms_id || '", "score": "' || (10000 - pos) || '", "productType": "' || product_type
+ITEM = """'{"id": "' || oms_id || '", "score": ' || (10000 - pos) || ', "productType": "' || product_type
           || '", "label": "' || p_brand || '"}'"""
 BASE_NAME = "regexp_extract(url, '[^/]*$')"
 HAS_EXT = r"regexp_matches({n}, '^\.*[^.].*\.[^.]*$')"
@@ -245,10 +244,11 @@ def oracle_sql() -> dict[str, str]:
         "first_per_type": _query(CTES, f"select {rows} from kept"),
         "first_per_type_rows": _query(CTES, f"select {rows} from kept"),
         "first_per_type_lists": _query(CTES, f"""
-            select line_key, '[' || string_agg(replace(replace({ITEM}, ': "', ':"'), ', "', ',"'), ',' order by pos) || ']'
+            select line_key, '[' || string_agg(replace(replace({ITEM}, '": ', '":'), ', "', ',"'), ',' order by pos) || ']'
                    as product_list_json
             from kept group by 1"""),
         "product_sets": _query(sets, "select * from sets"),
+        "product_sets_repeated_types": _query({**CTES, **_sets("b", "repeated")}, "select * from sets"),
         "product_sets_filtered": _query({**CTES, **_sets("kept")}, "select * from sets"),
         "type_groups": _query(sets, """
             select line_key, layer::bigint as layer, product_type, string_agg(oms_id, ',' order by r) as sku_list

@@ -1,7 +1,6 @@
 """The driver tables seen as bundle data: bundle lines, attributes, layouts and images.
 
-Views of ``FIXTURES.md``, with one refinement that keeps bundles bounded: the products of an order
-are its parts by type and brand (25 brands, 6 types), the first order line of each.
+Views of ``FIXTURES.md``. Every order line is a product; an order with more than 32 line numbers is several bundles.
 """
 
 from __future__ import annotations
@@ -13,15 +12,10 @@ from packshot.operators.attributes import PRIMARY_IMAGE
 from packshot.operators.skew import skew_join
 from packshot.sources.layouts import ImageSettings
 
-# (product type, ulx, uly, w) in stacking order; type STANDARD has no place.
-LAYOUT = [
-    ("ECONOMY", 0.1, 0.4, 0.35),
-    ("LARGE", 0.6, 0.1, 0.35),
-    ("MEDIUM", 0.6, 0.7, 0.35),
-    ("PROMO", 0.257, 0.362, 0.322),
-    ("SMALL", 0.07, 0.633, 0.422),
-]
-LAYOUT_TYPES = [row[0] for row in LAYOUT]
+# (product type, ulx, uly, w) in stacking order, by the place in the order; type STANDARD has no place.
+LAYOUT_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL"]
+LAYOUT = [(t, (4 + 13 * i) / 100, (61 - 14 * i) / 100, (45 - 3 * i) / 100) for i, t in enumerate(LAYOUT_TYPES)]
+REPEATED_TYPES = ["PROMO", "SMALL", "PROMO"]
 # Small pictures to suit the 8 x 8 images of the embeddings table.
 SETTINGS = ImageSettings(
     (5, 8, 20), "jpg", 1, 2, silo_filter_size_cutoff=0.05, silo_min_img_not_background=0.72
@@ -35,28 +29,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def bundle_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One bundle line per order in column ``value``; ids and lists as in a definition file."""
-    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"))
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", *order).withColumn("p_partkey", F.col("l_partkey"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
     sold = skew_join(lineitem, part, ["p_partkey"])
-    # line number and part in one BIGINT: the smallest is the first order line
-    first = F.min(F.expr("cast(l_linenumber as bigint) * 1099511627776 + p_partkey")).alias("first")
-    products = sold.groupBy("l_orderkey", "p_type", "p_brand").agg(first)
-    # at most 25 brands x 6 types per order
-    listed = products.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct("first", "p_type", "p_brand"))).alias("items")
-    )
+    key = F.concat("l_orderkey", F.lit("-"), F.expr("l_linenumber div 32")).alias("line_key")
+    items = F.array_sort(F.collect_list(F.struct(*order, "p_type", "p_brand"))).alias("items")
     item = (
-        """concat('{"id": "', p.first % 1099511627776, '", "score": "', 10000 - i, """
-        """'", "productType": "', p.p_type, '", "label": "', p.p_brand, '"}')"""
+        """concat('{"id": "', p.l_partkey, '", "score": ', 10000 - i, """
+        """', "productType": "', p.p_type, '", "label": "', p.p_brand, '"}')"""
     )
-    return listed.select(
-        F.expr(f"concat(l_orderkey, '~!~[', array_join(transform(items, (p, i) -> {item}), ', '), ']')").alias("value")
+    return sold.groupBy(key).agg(items).select(
+        F.expr(f"concat(line_key, '~!~[', array_join(transform(items, (p, i) -> {item}), ', '), ']')").alias("value")
     )
 
 
-def attribute_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attribute rows of the parts up to size 40, in the seven-column schema of the feed."""
-    part = table(spark, sf_dir, "part").where("p_size <= 40")
+def attribute_feed(spark: SparkSession, sf_dir: str, which: str = "true") -> DataFrame:
+    """Attribute rows of the parts, in the seven-column schema of the feed; ``which`` leaves parts without attributes."""
+    part = table(spark, sf_dir, "part").where(which)
     return part.select(
         F.col("p_partkey").cast("string").alias("oms_id"),
         F.expr(

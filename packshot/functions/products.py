@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PRODUCT_SCHEMA = "array<struct<id:string,productType:string>>"
-WIDE_PRODUCT_SCHEMA = "array<map<string,string>>"
+RAW_ITEM_SCHEMA = "array<string>"
 
 
 def parse_products(json: Column | str) -> Column:
@@ -14,9 +14,9 @@ def parse_products(json: Column | str) -> Column:
     return F.from_json(json, PRODUCT_SCHEMA)
 
 
-def parse_wide_products(json: Column | str) -> Column:
-    """Product list as an array of maps, so that every key survives; bad JSON is NULL."""
-    return F.from_json(json, WIDE_PRODUCT_SCHEMA)
+def raw_products(json: Column | str) -> Column:
+    """Product list as an array of JSON texts, one per item, with all keys and value types; bad JSON is NULL."""
+    return F.from_json(json, RAW_ITEM_SCHEMA)
 
 
 def first_positions(types: Column) -> Column:

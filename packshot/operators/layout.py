@@ -11,11 +11,12 @@ from packshot.runtime import broadcast_if_small
 def layout_layers(layouts: DataFrame, bundle_type: str | None = None) -> DataFrame:
     """Layers of the first layout of each bundle type, or of one bundle type (no rows if unknown).
 
-    ``layouts`` is ``(layout_idx, bundle_type, bundle_layers)`` as read by ``sources.layouts``.
+    ``layouts`` is ``(file, layout_idx, bundle_type, bundle_layers)`` as read by ``sources.layouts``;
+    the first is the one that comes first in the first file by name.
     """
     if bundle_type is not None:
         layouts = layouts.where(F.col("bundle_type") == bundle_type)
-    first = layouts.groupBy("bundle_type").agg(F.min_by("bundle_layers", "layout_idx").alias("layers"))
+    first = layouts.groupBy("bundle_type").agg(F.min_by("bundle_layers", F.struct("file", "layout_idx")).alias("layers"))
     return first.select("bundle_type", F.posexplode("layers").alias("pos", "layer")).select(
         "bundle_type",
         "pos",
@@ -32,14 +33,15 @@ def first_layer(layers: DataFrame) -> DataFrame:
     return layers.groupBy("bundle_type", "product_type").agg(first).select("bundle_type", "product_type", "layer.*")
 
 
-def layout_types(layers: DataFrame, max_layers: int = 10_000) -> list[str]:
+def layout_types(layers: DataFrame) -> list[str]:
     """Product types of one layout in stacking order, for ``product_sets``.
 
-    A layout is configuration; more than ``max_layers`` layers is taken for a mistake and raises.
+    A layout is configuration, as long as its file. None or several of them raise.
     """
-    rows = layers.select("pos", "product_type").limit(max_layers + 1).collect()
-    if len(rows) > max_layers:
-        raise ValueError(f"a layout with more than {max_layers} layers")
+    rows = layers.select("bundle_type", "pos", "product_type").collect()
+    kinds = sorted({str(r.bundle_type) for r in rows})
+    if len(kinds) != 1:
+        raise ValueError(f"several bundle types: {', '.join(kinds)}" if kinds else "no layer: is the bundle type in the layouts?")
     return [r.product_type for r in sorted(rows, key=lambda r: r.pos)]
 
 

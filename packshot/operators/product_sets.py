@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packshot.functions.products import parse_products
 from packshot.operators.products import grouped_by_type
+from packshot.runtime import materialise
 
 #: sets of one bundle that a single task writes; a bundle with more is cut into blocks
 BLOCK = 1 << 16
@@ -24,23 +23,21 @@ def product_sets(
     numbers run from 0 without gaps. A bundle without placed products has one empty set. Types
     outside the layout are ignored (``unplaced_products`` lists them) or raise when ``strict``.
 
-    No shuffle for ordinary bundles. A bundle with more than ``block`` sets is cut into blocks that
-    are spread over the cluster first. ``with_types`` adds ``type_list``, parallel to ``sku_list``.
+    Each list is parsed once and stored with its groups. Whether a bundle is cut depends on its number
+    of sets alone: one with more than ``block`` sets is cut into blocks that are spread over the
+    cluster, all others are expanded where they are stored. ``with_types`` adds ``type_list``, parallel to ``sku_list``.
     """
+    if not layout_types:
+        raise ValueError("a layout without product types")
     if strict:
         lines = lines.withColumn("product_list_json", _all_placed(layout_types))
-    few = _sized(lines, layout_types, 0).select(
-        "line_key",
-        "groups",
-        F.explode(F.when(F.col("n_sets") <= block, F.expr("sequence(0L, n_sets - 1)"))).alias("i"),
+    sized = materialise(_sized(lines, layout_types))
+    few = sized.where(F.col("n_sets") <= block).select(
+        "line_key", "groups", F.explode(F.expr("sequence(0L, n_sets - 1)")).alias("i")
     )
-    # A product of sizes that sum to n is at most 3^(n/3), so more than ``block`` sets need this many
-    # products, each at least {"productType":""}: shorter lists are not even parsed here.
-    shortest = math.floor(3 * math.log(block, 3)) * len('{"productType":""}')
-    starts = F.when(F.col("n_sets") > block, F.expr(f"sequence(0L, n_sets - 1, {block}L)"))
     many = (
-        _sized(lines, layout_types, shortest)
-        .select("line_key", "groups", "n_sets", F.explode(starts).alias("start"))
+        sized.where(F.col("n_sets") > block)
+        .select("line_key", "groups", "n_sets", F.explode(F.expr(f"sequence(0L, n_sets - 1, {block}L)")).alias("start"))
         .repartition("line_key", "start")
         .select(
             "line_key",
@@ -59,14 +56,9 @@ def product_sets(
     return few.unionAll(many).select(*columns)
 
 
-def _sized(lines: DataFrame, layout_types: list[str], shortest: int) -> DataFrame:
-    """``(line_key, groups, n_sets)`` of the lists of at least ``shortest`` characters, NULL for others.
-
-    Rows are left out by the explode that follows, not by a filter: a filter would be pushed below
-    these steps and so parse every list again.
-    """
-    json = F.col("product_list_json")
-    parsed = lines.select("line_key", F.when(F.length(json) >= shortest, parse_products(json)).alias("products"))
+def _sized(lines: DataFrame, layout_types: list[str]) -> DataFrame:
+    """``(line_key, groups, n_sets)`` of every list, NULL for unreadable ones."""
+    parsed = lines.select("line_key", parse_products("product_list_json").alias("products"))
     grouped = parsed.select("line_key", grouped_by_type("products", layout_types).alias("groups"))
     return grouped.select("line_key", _with_strides().alias("groups"), _set_count().alias("n_sets"))
 

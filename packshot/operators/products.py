@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from packshot.functions.products import (
     first_positions,
     parse_products,
-    parse_wide_products,
     pick,
+    raw_products,
 )
 from packshot.runtime import broadcast_if_small
 
@@ -27,16 +27,14 @@ def product_rows(lines: DataFrame) -> DataFrame:
 
 
 def first_per_type_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
-    """Keep the first product of each type in every list, with all its keys, in list order.
+    """Keep the first product of each type in every list, with all its keys and value types, in list order.
 
     One line per bundle stays, even with an empty list. ``strict`` raises on unreadable lists and
     on products without a type; otherwise the list becomes NULL and the product is left out.
     """
-    parsed = lines.select("line_key", "product_list_json", parse_wide_products("product_list_json").alias("items"))
-    typed = parsed.select(
-        "*", F.transform("items", lambda m: F.try_element_at(m, F.lit("productType"))).alias("types")
-    )
-    kept = F.to_json(pick(F.col("items"), first_positions(F.col("types"))))
+    json = F.col("product_list_json")
+    typed = lines.select("line_key", raw_products(json).alias("items"), parse_products(json)["productType"].alias("types"))
+    kept = F.concat(F.lit("["), F.array_join(pick(F.col("items"), first_positions(F.col("types"))), ","), F.lit("]"))
     if strict:
         key = F.coalesce(F.col("line_key"), F.lit("NULL"))
         kept = (

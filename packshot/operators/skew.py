@@ -43,16 +43,19 @@ def plan_by_output(
 ) -> tuple[DataFrame | None, int]:
     """``(hot, tasks)`` for a ``salted_join`` in which both sides have many rows per key.
 
-    Counted by the rows the join gives. Both sides should be stored tables.
+    Counted by the rows the join reads and gives: a few matches in large tables still take
+    as many tasks as the tables. Both sides should be stored tables.
     """
     lefts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_l"))
     rights = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_r"))
-    work = lefts.join(rights, on).select(*on, (F.col("_l") * F.col("_r")).alias("_work"))
-    total = work.agg(F.sum("_work")).first()[0] or 0
-    tasks = min(max(total // rows_per_task, 1), 200_000)
+    both = lefts.join(rights, on, "full").select(*on, F.coalesce("_l", F.lit(0)).alias("_l"), F.coalesce("_r", F.lit(0)).alias("_r"))
+    work = both.select(*on, "_l", "_r", (F.col("_l") * F.col("_r")).alias("_work"))
+    read, total = work.agg(F.sum(F.col("_l") + F.col("_r")), F.sum("_work")).first()
+    read, total = read or 0, total or 0
+    tasks = max(math.ceil(max(read, total) / rows_per_task), 1)
     if total <= rows_per_task:
         return None, tasks
-    return find_hot(work, on, rows=4 * rows_per_task, weight="_work"), tasks
+    return find_hot(work.where("_work > 0"), on, rows=4 * rows_per_task, weight="_work"), tasks
 
 
 def salted_join(

@@ -52,7 +52,7 @@ def bundle_job(sets: DataFrame, layer_pixels: DataFrame) -> DataFrame:
 
 @dataclass
 class Pictures:
-    """Results of ``picture_job``, all lazy but for the stored layers."""
+    """Results of ``picture_job``; sets and layers are stored, the rest is lazy."""
 
     sets: DataFrame
     layers: DataFrame
@@ -77,7 +77,7 @@ def picture_job(
     skus = layer_skus(lines)
     if not all_sets:
         lines = first_per_type_lines(lines)
-    sets = product_sets(lines, layout_types(layers), with_types=True)
+    sets = materialise(product_sets(lines, layout_types(layers), with_types=True))
     layer_pixels = materialise(layer_job(skus, attributes, tiles, layers, settings, image_id))
     return Pictures(sets, skus, layer_pixels, bundle_job(sets, layer_pixels))
 

@@ -18,15 +18,23 @@ SETTINGS_SCHEMA = (
     "silo_gray_max_cutoff double, silo_min_img_not_background double"
 )
 
+SETTINGS_REQUIRED = ("image_sizes", "bundle_image_filetype", "erode_size", "bottom_border")
+
 
 def read_layouts(spark: SparkSession, path: str) -> DataFrame:
-    """``(layout_idx, bundle_type, bundle_layers)`` of a layout file, numbered in file order."""
-    return parse_layouts(spark.read.text(path, wholetext=True))
+    """``(file, layout_idx, bundle_type, bundle_layers)`` of layout files, numbered in file order."""
+    text = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    return parse_layouts(text)
 
 
 def parse_layouts(text: DataFrame) -> DataFrame:
-    """Layouts of the JSON lists in column ``value``; ``layout_idx`` is the place in its list."""
-    return text.select(F.posexplode(F.from_json("value", LAYOUT_SCHEMA)).alias("layout_idx", "layout")).select(
+    """Layouts of the JSON lists in column ``value``; ``layout_idx`` is the place in its list.
+
+    ``file`` names the list, if there are several; without the column it is empty.
+    """
+    file = F.col("file") if "file" in text.columns else F.lit("")
+    return text.select(file.alias("file"), F.posexplode(F.from_json("value", LAYOUT_SCHEMA)).alias("layout_idx", "layout")).select(
+        "file",
         "layout_idx",
         F.col("layout.bundle_type").alias("bundle_type"),
         F.col("layout.bundle_layers").alias("bundle_layers"),
@@ -38,9 +46,9 @@ class ImageSettings:
     """How pictures are cut out and drawn. The defaults of the last four are the usual ones."""
 
     image_sizes: tuple[int, ...]
-    bundle_image_filetype: str = "jpg"
-    erode_size: int = 3
-    bottom_border: int = 50
+    bundle_image_filetype: str
+    erode_size: int
+    bottom_border: int
     silo_filter_size_cutoff: float = 0.002
     silo_white_min_cutoff: float = 1.0
     silo_gray_max_cutoff: float = 0.95
@@ -60,6 +68,9 @@ def image_settings(settings: DataFrame) -> DataFrame:
 def read_image_settings(spark: SparkSession, path: str) -> ImageSettings:
     """Settings of one JSON object; missing ``silo_*`` keys take their defaults."""
     row = spark.read.schema(SETTINGS_SCHEMA).option("multiLine", True).json(path).first()
+    missing = [k for k in SETTINGS_REQUIRED if row[k] is None]
+    if missing:
+        raise ValueError(f"image settings without {', '.join(missing)}")
     given = {k: v for k, v in row.asDict().items() if v is not None}
     given["image_sizes"] = tuple(given["image_sizes"])
     return ImageSettings(**given)

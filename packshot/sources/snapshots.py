@@ -5,24 +5,29 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
-from py4j.protocol import Py4JError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packshot.functions.paths import DATE_MARK
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """``path`` of every file below ``root``; contents are not read."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+def child_folders(spark: SparkSession, pattern: str) -> DataFrame:
+    """``path`` of everything that matches a glob pattern, such as the children of a root by ``root/*``.
+
+    One listing per pattern; what lies below the matches is not looked at.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(conf).globStatus(path) or []
+    return spark.createDataFrame([(s.getPath().toString(),) for s in found], "path string")
 
 
 def dated_children(listing: DataFrame, root: str) -> DataFrame:
     """``day`` (text) of each path whose first component below ``root`` is a date."""
-    pattern = r"(?:^|/)\Q" + root.strip("/") + r"\E/(\d{4}-\d{2}-\d{2})(?:/.*)?$"
-    day = F.regexp_extract("path", pattern, 1)
-    return listing.select(day.alias("day")).where(F.col("day") != "")
+    below = F.split_part(F.concat(F.lit("/"), "path"), F.lit("/" + root.strip("/") + "/"), F.lit(2))
+    child = F.split_part(below, F.lit("/"), F.lit(1))
+    is_day = F.try_to_date(child, "yyyy-MM-dd").isNotNull() & (F.length(child) == 10)
+    return listing.select(F.when(is_day, child).alias("day")).where("day is not null")
 
 
 def latest_day(listing: DataFrame, root: str, max_day: str | None = None) -> DataFrame:
@@ -49,19 +54,21 @@ def load_most_recent(
     template: str,
     start: datetime.date,
     format_date: Callable[[datetime.date], str] = str,
-    max_retries: int = 30,
+    look_back: int = 30,
 ) -> tuple[DataFrame | None, datetime.date]:
-    """Load the path of the latest day that can be read, trying ``start`` and then earlier days.
+    """Load the path of the latest day that exists, from ``start`` back over ``look_back`` days.
 
-    The date marker of ``template`` is filled in for each try. ``(None, start)`` when
-    ``max_retries + 1`` days have failed. Looks at one row per try, to find missing files early.
+    What matches ``template`` with any date is listed once; ``(None, start)`` if no day of the window is
+    there. An error of ``load`` is not taken for a missing day.
     """
-    for back in range(max_retries + 1):
-        day = start - datetime.timedelta(days=back)
-        try:
-            df = load(template.replace(DATE_MARK, format_date(day)))
-            df.take(1)
-            return df, day
-        except (Py4JError, PySparkException):
-            continue
+    spark = SparkSession.active()
+    window = [start - datetime.timedelta(days=n) for n in range(look_back + 1)]
+    # the folder that the date names, whatever follows it in the template
+    head, _, tail = template.partition(DATE_MARK)
+    level = head + "*" + tail.partition("/")[0]
+    names = {r.path.rstrip("/").rpartition("/")[2] for r in child_folders(spark, level).toLocalIterator()}
+    prefix, suffix = head.rpartition("/")[2], tail.partition("/")[0]
+    for day in window:
+        if prefix + format_date(day) + suffix in names:
+            return load(template.replace(DATE_MARK, format_date(day))), day
     return None, start

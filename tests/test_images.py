@@ -41,7 +41,7 @@ def test_tiles_of_files_and_of_pixels_agree(spark, tmp_path):
     png(tmp_path / "b.png", draw.choice(shades, (8, 16, 4)))
     png(tmp_path / "c.png", np.repeat(draw.choice(shades, (9, 9, 1)), 3, 2))
     files = images.read_images(spark, str(tmp_path))
-    for settings in (ImageSettings((9,)), ImageSettings((9,), silo_gray_max_cutoff=0.9, silo_white_min_cutoff=0.98)):
+    for settings in (ImageSettings((9,), "png", 1, 1), ImageSettings((9,), "png", 1, 1, silo_gray_max_cutoff=0.9, silo_white_min_cutoff=0.98)):
         ours, theirs = image_tiles(files, settings, 8), mask_tiles(images.to_raster(files), settings, tile=8)
         assert (ours.n_masks, ours.tile, ours.one_tile) == (theirs.n_masks, theirs.tile, theirs.one_tile)
         cells = lambda t: sorted((r.image_id, r.tx, r.ty, sorted(r.cells)) for r in t.table.collect())

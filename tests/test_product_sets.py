@@ -86,12 +86,22 @@ def test_blocks_give_the_same_sets(spark):
     assert found(product_sets(frame(spark, bundles), TYPES, block=100)) == want
 
 
-def test_short_lists_cannot_hide_many_sets(spark):
-    # the most sets for the fewest characters: three products per type, ids left out
-    types = [f"{i}" for i in range(6)]
-    text = json.dumps([{"productType": t} for t in types for _ in range(3)], separators=(",", ":"))
+@pytest.mark.parametrize("name", ["3", "a-much-longer-identifier-that-makes-the-list-long"])
+def test_a_repeated_type_multiplies_the_sets(spark, name):
+    text = json.dumps([{"id": name, "productType": "A"}] * 17, separators=(",", ":"))
     lines = spark.createDataFrame([("k", text)], "line_key string, product_list_json string")
-    assert product_sets(lines, types, block=64).count() == 729
+    assert product_sets(lines, ["A"] * 4).count() == 17**4
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.lists(st.tuples(st.text("abc", min_size=1, max_size=2), st.sampled_from(TYPES)), max_size=5), max_size=5),
+    st.lists(st.sampled_from(TYPES), min_size=1, max_size=4),
+    st.integers(1, 9),
+)
+def test_any_layout_and_block(spark, lists, types, block):
+    bundles = {f"b{i}": products for i, products in enumerate(lists)}
+    assert found(product_sets(frame(spark, bundles), types, block=block)) == {k: expected(v, types) for k, v in bundles.items()}
 
 
 def test_too_many_sets_raise(spark):
@@ -101,6 +111,11 @@ def test_too_many_sets_raise(spark):
         product_sets(frame(spark, {"huge": bundle}), types).limit(1).collect()
 
 
+def test_no_layout(spark):
+    with pytest.raises(ValueError, match="without product types"):
+        product_sets(frame(spark, {"k": []}), [])
+
+
 def test_strict(spark):
     good = {"k": [("r", "Range")]}
     assert found(product_sets(frame(spark, good), TYPES, strict=True)) == {"k": [["r"]]}

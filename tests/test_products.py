@@ -52,6 +52,13 @@ def test_first_per_type_keeps_every_bundle_and_key(lines):
     assert json.loads(kept["set_6"]) == [{"id": "12", "productType": "Fridge"}]
 
 
+def test_first_per_type_keeps_value_types(spark):
+    text = '[{"id": "1", "productType": "A", "score": 5, "ok": true, "none": null, "in": {"a": [1, 2.5]}}, {"productType": "A"}]'
+    lines = spark.createDataFrame([("k", text)], "line_key string, product_list_json string")
+    kept = products.first_per_type_lines(lines).first().product_list_json
+    assert json.loads(kept) == json.loads(text)[:1]
+
+
 def test_first_per_type_three_ways(lines, rows):
     nested = products.product_rows(products.first_per_type_lines(lines)).select("line_key", "oms_id", "product_type")
     direct = products.first_per_type(lines)

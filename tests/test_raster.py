@@ -98,7 +98,7 @@ def test_gray_values(spark, rows):
     df = spark.createDataFrame(
         [("i", 0, 0, 255, 255, 255, 255), ("i", 1, 0, 0, 0, 0, 255), ("i", 2, 0, 254, 255, 255, 255), ("i", 3, 0, 242, 242, 242, 255)], PIXEL
     )
-    assert rows(raster.gray(df, ImageSettings((8,)))) == [
+    assert rows(raster.gray(df, ImageSettings((8,), "png", 1, 1))) == [
         ("i", 0, 0, 2550000, True, False),
         ("i", 1, 0, 0, False, True),
         ("i", 2, 0, 2547875, False, False),
@@ -145,9 +145,9 @@ def silhouette_by_definition(p, s):
 @pytest.mark.parametrize(
     "settings",
     [
-        ImageSettings((16,)),
-        ImageSettings((16,), silo_filter_size_cutoff=0.04, silo_min_img_not_background=0.6),
-        ImageSettings((16,), silo_gray_max_cutoff=0.9, silo_white_min_cutoff=0.99, silo_filter_size_cutoff=0.03),
+        ImageSettings((16,), "png", 1, 1),
+        ImageSettings((16,), "png", 1, 1, silo_filter_size_cutoff=0.04, silo_min_img_not_background=0.6),
+        ImageSettings((16,), "png", 1, 1, silo_gray_max_cutoff=0.9, silo_white_min_cutoff=0.99, silo_filter_size_cutoff=0.03),
     ],
 )
 @pytest.mark.parametrize("tiling", [{"max_side": 11}, {"tile": 4}])
@@ -170,10 +170,10 @@ def test_cutoffs_and_seeds(spark, settings, tiling):
 
 def test_a_white_image_has_no_foreground(spark):
     df = pixel_frame(spark, {"white": images()["white"]})
-    tiles = silhouette.mask_tiles(df, ImageSettings((16,)), 8)
-    found = silhouette.seeds(tiles, silhouette.image_regions(tiles), ImageSettings((16,)))
+    tiles = silhouette.mask_tiles(df, ImageSettings((16,), "png", 1, 1), 8)
+    found = silhouette.seeds(tiles, silhouette.image_regions(tiles), ImageSettings((16,), "png", 1, 1))
     assert {r.seed for r in found.collect()} == {3}
-    assert silhouette.foreground(tiles, ImageSettings((16,))).count() == 0
+    assert silhouette.foreground(tiles, ImageSettings((16,), "png", 1, 1)).count() == 0
 
 
 def box(spark, *values):
@@ -185,25 +185,25 @@ def box(spark, *values):
     "values, scale",
     [
         ((0.1, 0.4, 0.35, 0, 200, 0, 100), 1.75),
-        ((0.1, 0.4, 0.35, 0, 100, 0, 300), 550 / 300),
+        ((0.1, 0.4, 0.35, 0, 100, 0, 300), 520 / 300),
         ((0.1, 0.4, 0.35, 5, 5, 5, 5), None),
         ((0.1, 0.4, 0.35, 7, 3, 7, 3), -87.5),
     ],
 )
 def test_placement(spark, values, scale):
-    found = raster.placement(box(spark, *values), ImageSettings((65, 1000))).first()
+    found = raster.placement(box(spark, *values), ImageSettings((40, 1000), "png", 1, 80)).first()
     assert (found.left, found.top, found.width) == (100, 400, 350)
     assert found.scale == (None if scale is None else pytest.approx(scale))
 
 
 def test_bounding_box_is_eroded(spark):
     df = spark.createDataFrame([("i", 10, 5), ("i", 30, 6), ("i", 20, 40)], "image_id string, x int, y int")
-    assert tuple(raster.bounding_box(df, ImageSettings((8,), erode_size=3)).first()) == ("i", 13, 27, 8, 37)
+    assert tuple(raster.bounding_box(df, ImageSettings((8,), "png", 3, 0)).first()) == ("i", 13, 27, 8, 37)
 
 
 @pytest.mark.parametrize("rows_per_task", [1_000_000, 3])
 def test_layers_take_the_nearest_pixel(spark, rows_per_task):
-    s = ImageSettings((8, 20), erode_size=0, bottom_border=1)
+    s = ImageSettings((8, 20), "png", 0, 1)
     source = [("i", x, y, 10 * x, 20 * y, 7) for x in range(7) for y in range(5) if (x + y) % 4]
     cut = spark.createDataFrame(source, "image_id string, x int, y int, r int, g int, b int")
     placed = spark.createDataFrame(

@@ -48,6 +48,8 @@ def test_planned_by_output(sides, rows):
     left, right = sides
     hot, tasks = plan_by_output(left, right, ["k"], rows_per_task=50)
     # 205 * 2 + 40 * 2 + 2 + 2 rows
-    assert tasks == 494 // 50
+    assert tasks == 10
     assert rows(hot) == [(1, 3)]
     assert plan_by_output(left, right.where("k = 99"), ["k"]) == (None, 1)
+    # no match, but as many tasks as the rows that are read need
+    assert plan_by_output(left, right.where("k = 99"), ["k"], rows_per_task=50) == (None, 6)

@@ -1,5 +1,6 @@
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from packshot.sources import snapshots
@@ -14,9 +15,9 @@ def make(tmp_path, days):
 
 
 def test_latest_day_of_a_folder(spark, tmp_path):
-    root = make(tmp_path, ["2020-01-31", "2020-02-03", "2020-02-03x", "tmp", "20200401", "old/2021-01-01"])
-    listing = snapshots.list_files(spark, root)
-    assert listing.count() == 6
+    root = make(tmp_path, ["2020-01-31", "2020-02-03", "2020-02-03x", "2020-13-01", "tmp", "20200401", "old/2021-01-01"])
+    listing = snapshots.child_folders(spark, root + "/*")
+    assert listing.count() == 7  # children only
     latest = lambda **k: snapshots.latest_day(listing, root, **k).first().day
     assert latest() == datetime.date(2020, 2, 3)
     assert latest(max_day="2020-02-02") == datetime.date(2020, 1, 31)
@@ -29,10 +30,19 @@ def test_load_most_recent(spark, tmp_path):
     template = root + "/<DATE>/*"
     df, day = snapshots.load_most_recent(load, template, datetime.date(2020, 2, 4))
     assert day == datetime.date(2020, 1, 31) and df.first().value == "2020-01-31"
-    df, day = snapshots.load_most_recent(load, template, datetime.date(2020, 2, 4), max_retries=3)
+    df, day = snapshots.load_most_recent(load, template, datetime.date(2020, 2, 4), look_back=3)
     assert df is None and day == datetime.date(2020, 2, 4)
     df, day = snapshots.load_most_recent(load, template, datetime.date(2020, 1, 30), lambda d: d.strftime("%Y-%m-%d"), 2)
     assert day == datetime.date(2020, 1, 28)
+    (tmp_path / "feed" / "day=2020-01-30.csv").write_text("x")
+    df, day = snapshots.load_most_recent(load, root + "/day=<DATE>.csv", datetime.date(2020, 2, 1))
+    assert day == datetime.date(2020, 1, 30) and df.first().value == "x"
+
+
+def test_load_errors_are_not_missing_days(spark, tmp_path):
+    root = make(tmp_path, ["2020-01-28", "2020-01-31"])
+    with pytest.raises(Exception, match="nosuch"):
+        snapshots.load_most_recent(lambda p: spark.read.text(p).select("nosuch"), root + "/<DATE>", datetime.date(2020, 2, 4))
 
 
 def test_latest_snapshot(spark, rows):
