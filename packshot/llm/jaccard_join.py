@@ -8,7 +8,8 @@ sets are tied to one of them, and nothing has to be verified.
 
 *Large sets* scan inverted lists. With all shingles in one order, rare first, sets that link share one of
 their first ``s - ceil(threshold * s) + 1``; only these are listed. Every entry of a list is compared with
-its smallest and its largest set, and the links found are joined to components. Only lists that still hold
+its smallest and its largest set, first by size and sketch (see below), then on the whole sets, and the links found are
+joined to components. Only lists that still hold
 sets of different components go on: each is read by a task (in pairs of blocks of :data:`BLOCK_ROWS`, if it is
 long), which compares sets of different components by size and by sketches of parity bits. The bits in which
 two sketches differ are at most the shingles in which the sets differ, so a pair this rules out does not
@@ -27,7 +28,7 @@ columns are ignored; an empty table gives no row.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 from math import comb
 
@@ -230,6 +231,30 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent
     return found.distinct()
 
 
+def plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs that sizes and sketches do not rule out; only these need their whole sets."""
+    side = lambda n: sketches.select(F.col("node").alias(n), F.col("size").alias(f"size_{n}"), F.col("sketch").alias(f"sketch_{n}"))
+    sizes = 100 * F.least("size_u", "size_v") >= percent * F.greatest("size_u", "size_v")
+    joined = pairs.join(side("u"), "u").join(side("v"), "v").where(sizes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            both = sum(batch.column(f"size_{n}").to_numpy() for n in "uv")
+            room = _room(both, percent)
+            sketched = zip(batch.column("sketch_u").to_pylist(), batch.column("sketch_v").to_pylist(), strict=True)
+            differ = np.array([int(np.bitwise_count(a ^ b).sum()) for a, b in map(_folded, sketched)])
+            yield batch.filter(pa.array(differ <= room)).select(["u", "v"])
+
+    return joined.mapInArrow(run, "u long, v long")
+
+
+def _room(both: np.ndarray, percent: int) -> np.ndarray:
+    """Shingles in which linked sets may differ, of sizes that add up to ``both``."""
+    return both - 2 * (-(-percent * both // (100 + percent)))
+
+
 def open_pairs(lists: DataFrame, labels: DataFrame, sketches: DataFrame, failed: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that stand in one list and may link: ``u, v``."""
     marked = lists.join(labels, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("component"))
@@ -272,7 +297,7 @@ def open_pairs(lists: DataFrame, labels: DataFrame, sketches: DataFrame, failed:
     return sorted_rows.mapInArrow(run, "u long, v long").distinct()
 
 
-def _folded(sketches: list[bytes]) -> np.ndarray:
+def _folded(sketches: Sequence[bytes]) -> np.ndarray:
     """Sketches as rows of 64-bit words, all folded down to the shortest."""
     width = min(map(len, sketches)) // 8
     out = np.zeros((len(sketches), width), np.uint64)
@@ -295,8 +320,7 @@ def _named(rows: pa.Table, percent: int) -> pa.RecordBatch:
             at = at[block[at] != block[i]]
         if not len(at):
             continue
-        both = size[at] + size[i]
-        room = both - 2 * (-(-percent * both // (100 + percent)))  # shingles in which linked sets may differ
+        room = _room(size[at] + size[i], percent)
         apart = np.abs(size[at] - size[i])
         at, room = at[apart <= room], room[apart <= room]
         if not len(at):
@@ -328,7 +352,8 @@ def jaccard_links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tu
     lists = shared.where("kind = 1")
     ends = lists.select("node", F.explode(F.array("low", "high")).alias("other")).where("node != other").select(*ordered).distinct()
     reps = nodes.select("node", "doc_id")
-    checked = materialise(verified(materialise(ends), docs, reps, k, percent))
+    likely = materialise(plausible(ends, nodes, percent))
+    checked = materialise(verified(likely, docs, reps, k, percent))
     links = materialise(sure.union(checked.where("ok").select("u", "v")).distinct())
     failed = checked.where("not ok").select("u", "v")
     while True:
