@@ -274,6 +274,15 @@ def placement(spark, sf_dir):
     return found.select("oms_id", "product_type", "left", "top", "width", F.round("scale", 9).alias("scale"))
 
 
+def layers_missing(spark, sf_dir):
+    # attributes of a part of the SKUs only
+    feed = attribute_source.attribute_scan(views.attribute_feed(spark, sf_dir, "p_size <= 40"))
+    skus = layer_skus(spark, sf_dir)
+    images_of = attribute_steps.sku_images(feed, skus).select("oms_id", "product_type", _image_id().alias("image_id"))
+    ids = views.raster(spark, sf_dir).select("image_id")
+    return layers.layers_missing(skus, images_of, ids, bbox(spark, sf_dir), views.bundle_layout(spark), SETTINGS)
+
+
 def layer_raster(spark, sf_dir):
     return jobs.layer_job(
         layer_skus(spark, sf_dir),
@@ -368,6 +377,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "foreground_of_files": foreground_of_files,
     "bbox": bbox,
     "placement": placement,
+    "layers_missing": layers_missing,
     "layer_raster": layer_raster,
     "resized": resized,
     "layer_images": layer_images,

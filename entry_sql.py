@@ -218,6 +218,28 @@ def _query(ctes: dict[str, str], body: str) -> str:
     return f"{kind} " + ",\n".join(f"{name} as ({sql})" for name, sql in ctes.items()) + "\n" + body
 
 
+MISSING = {
+    "asked": f"""
+        select oms_id, product_type, p_partkey as image_id, l.ulx, l.uly, l.w
+        from (select distinct oms_id, product_type from b)
+        left join (select * from part where p_size <= 40) on p_partkey::varchar = oms_id
+        left join layout l using (product_type)""",
+    "measured": f"""
+        select *, max_x - min_x as dx, max_y - min_y as dy, trunc({CANVAS} * uly)::int as top, trunc({CANVAS} * w)::int as width
+        from asked left join (select distinct image_id, true as has_file from raster) using (image_id) left join bbox using (image_id)""",
+    "scaled": f"""
+        select *, case when dx <> 0 and dy::double * width / dx + top > {FLOOR}
+                       then ({FLOOR} - top)::double / nullif(dy, 0) else width::double / nullif(dx, 0) end as scale
+        from measured""",
+    "reasons": """
+        select oms_id, product_type,
+               case when ulx is null then 'no place' when image_id is null then 'no image' when has_file is null then 'no file'
+                    when min_x is null then 'no foreground'
+                    when not coalesce(dx >= 0 and dy >= 0 and round_even((dx + 1) * scale, 0) > 0
+                                      and round_even((dy + 1) * scale, 0) > 0, false) then 'no extent' end as reason
+        from scaled""",
+}
+
 ITEM = """'{"id": "' || oms_id || '", "score": ' || (10000 - pos) || ', "productType": "' || product_type
           || '", "label": "' || p_brand || '"}'"""
 BASE_NAME = "regexp_extract(url, '[^/]*$')"
@@ -318,6 +340,7 @@ def oracle_sql() -> dict[str, str]:
         "bbox": _query(SILHOUETTE, "select * from bbox"),
         "placement": _query(LAYERS, """
             select oms_id, product_type, "left", top, width, round(scale, 9) as scale from placement"""),
+        "layers_missing": _query({**CTES, **SILHOUETTE, **MISSING}, "select oms_id, product_type, reason from reasons where reason is not null"),
         "layer_raster": _query(LAYERS, "select * from layer_raster"),
         "resized": _query(RASTER, _resized("raster", "image_id", 8, (3, 4, 8), "rgba")),
         "layer_images": _query(LAYERS, _resized("layer_raster", "oms_id, product_type", CANVAS, SETTINGS.image_sizes, "rgba")),

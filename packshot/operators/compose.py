@@ -45,12 +45,15 @@ def gather_layers(members: DataFrame, layers: DataFrame, rows_per_task: int = 1_
 def stack(pixels: DataFrame, n_layers: int) -> DataFrame:
     """Lay the pixels of each picture over opaque white, lowest ``z`` first: ``(img_id, x, y, r, g, b)``.
 
-    ``z`` runs below ``n_layers``, the number of layers of the layout. Cells without a pixel stay
+    ``z`` runs below ``n_layers``, the number of layers of the layout; a higher one raises. Cells without a pixel stay
     white and give no row. A group holds one cell of one picture, so it has at most ``n_layers``
     pixels; one aggregate per layer keeps them in generated code.
     """
     packed = F.expr("cast(a as bigint) * 16777216 + r * 65536 + g * 256 + b")
-    at = [F.max(F.when(F.col("z") == i, packed)).alias(f"_{i}") for i in range(n_layers)]
+    beyond = F.raise_error(F.concat(F.lit(f"a layer beyond the {n_layers} of the layout: "), F.col("z"))).cast("bigint")
+    packed = F.when(F.col("z") < n_layers, packed).otherwise(beyond)
+    pixels = pixels.select("img_id", "x", "y", "z", packed.alias("_packed"))
+    at = [F.max(F.when(F.col("z") == i, F.col("_packed"))).alias(f"_{i}") for i in range(n_layers)]
     # a layer without a pixel here has alpha 0, which leaves the cell as it is
     cells = pixels.groupBy("img_id", "x", "y").agg(*at).na.fill(0, [f"_{i}" for i in range(n_layers)])
     below = {c: "255" for c, _ in SHIFTS}

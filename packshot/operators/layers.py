@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from packshot.operators.layout import first_layer
 from packshot.operators.raster import bounding_box, placement
 from packshot.operators.regions import Tiles
 from packshot.operators.silhouette import foreground
 from packshot.operators.skew import find_hot, plan_by_output, salted_join
-from packshot.runtime import materialise
+from packshot.runtime import broadcast_if_small, materialise
 from packshot.sources.layouts import ImageSettings
 
 
@@ -75,13 +78,48 @@ def _targets(source: str, src: str, out: str, offset: str, canvas: int) -> Colum
     return F.expr(f"if({low} <= {high}, sequence({low}, {high}), array())")
 
 
+def tiles_of(tiles: Tiles, placed_skus: DataFrame) -> Tiles:
+    """The tiles of the images that ``placed_skus`` use."""
+    used = placed_skus.select("image_id").distinct()
+    return replace(tiles, table=tiles.table.join(used, "image_id", "left_semi"))
+
+
+def layers_missing(
+    skus: DataFrame, images: DataFrame, image_ids: DataFrame, boxes: DataFrame, layers: DataFrame, settings: ImageSettings
+) -> DataFrame:
+    """``(oms_id, product_type, reason)`` of the layers that are not drawn.
+
+    ``skus``: the layers asked for; ``images``: ``(oms_id, product_type, image_id)`` by the attributes;
+    ``image_ids``: the images there are; ``boxes``: their bounding boxes; ``layers``: the layout. The first reason counts: no
+    place in the layout, no image by the attributes, no file, no foreground, no extent.
+    """
+    keys = ["oms_id", "product_type"]
+    named = one_image_per_layer(images).select(F.col("oms_id").alias("_oms"), F.col("product_type").alias("_type"), "image_id")
+    asked = skus.select(*keys).distinct()
+    asked = asked.join(named, F.col("oms_id").eqNullSafe(F.col("_oms")) & F.col("product_type").eqNullSafe(F.col("_type")), "left")
+    places = broadcast_if_small(first_layer(layers).select("product_type", "ulx", "uly", "w"))
+    there = image_ids.select("image_id", F.lit(True).alias("_file")).distinct()
+    found = placement(asked.join(places, "product_type", "left").join(there, "image_id", "left").join(boxes, "image_id", "left"), settings)
+    drawn = [F.rint((F.col(f"max_{c}") - F.col(f"min_{c}") + 1) * F.col("scale")) > 0 for c in "xy"]
+    solid = [F.col(f"max_{c}") >= F.col(f"min_{c}") for c in "xy"]
+    extent = F.coalesce(drawn[0] & drawn[1] & solid[0] & solid[1], F.lit(False))
+    reason = (
+        F.when(F.col("ulx").isNull(), "no place")
+        .when(F.col("image_id").isNull(), "no image")
+        .when(F.col("_file").isNull(), "no file")
+        .when(F.col("min_x").isNull(), "no foreground")
+        .when(~extent, "no extent")
+    )
+    return found.select(*keys, reason.alias("reason")).where("reason is not null")
+
+
 def build_layers(tiles: Tiles, placed_skus: DataFrame, settings: ImageSettings) -> DataFrame:
     """From the tiles of source images and placed SKUs to layers: silhouette, box, placement, scaling.
 
-    Foreground and placements are stored: several steps start from them.
+    Only images of placed SKUs are labelled. Foreground and placements are stored: several steps start from them.
     """
-    cutouts = materialise(foreground(tiles, settings))
     placed_skus = materialise(placed_skus)
+    cutouts = materialise(foreground(tiles_of(tiles, placed_skus), settings))
     hot = find_hot(placed_skus, ["image_id"])
     placements = materialise(layer_placements(placed_skus, bounding_box(cutouts, settings), settings, hot))
     return layer_raster(placements, cutouts, settings)

@@ -25,5 +25,9 @@ def image_manifest(layers: DataFrame, sets: DataFrame, settings: ImageSettings,
         F.lit(BUNDLE_FOLDER).alias("kind"), F.col("img_id").alias("image"), F.lit(settings.bundle_image_filetype).alias("ext")
     )
     names = layer_names.unionAll(bundle_names).withColumn("size", _sizes(settings))
-    file = sized_name(F.concat_ws(".", "image", "ext"), F.col("size"))
-    return names.select("kind", "image", "size", F.concat_ws("/", F.lit(folder), F.lit(day), "kind", file).alias("path"))
+    return names.select("kind", "image", "size", picture_path("kind", "image", "ext", "size", folder, day).alias("path"))
+
+
+def picture_path(kind: Column | str, image: Column | str, ext: Column | str, size: str, folder: str, day: str) -> Column:
+    """The name of a picture of a run, under which it is stored and listed."""
+    return F.concat_ws("/", F.lit(folder), F.lit(day), kind, sized_name(F.concat_ws(".", image, ext), F.col(size)))

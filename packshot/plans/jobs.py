@@ -12,7 +12,7 @@ from packshot.operators.attributes import sku_images, skus_missing
 from packshot.operators.compose import blank_pictures, gather_layers, one_set_per_picture, resized, set_members, stack_opaque
 from packshot.operators.layers import build_layers, one_image_per_layer
 from packshot.operators.layout import layout_types, sku_layers
-from packshot.operators.manifest import image_manifest
+from packshot.operators.manifest import image_manifest, picture_path
 from packshot.operators.product_sets import product_sets
 from packshot.operators.products import first_per_type_lines, layer_skus, sku_counts
 from packshot.operators.regions import Tiles
@@ -87,15 +87,20 @@ def write_pictures(pictures: Pictures, settings: ImageSettings, folder: str, day
     sizes, side = list(settings.image_sizes), settings.canvas
     keys = ["oms_id", "product_type"]
     layers = to_image_structs(resized(pictures.layer_pixels, keys, side, sizes, alpha=True), keys, "size", alpha=True)
-    write_images(layers.withColumnsRenamed({"oms_id": "image_id"}), f"{folder}/{LAYER_FOLDER}", day, LAYER_FOLDER)
+    name = picture_path(F.lit(LAYER_FOLDER), F.concat_ws("_", *keys), F.lit("png"), "size", folder, day)
+    layers = layers.withColumn("path", name).withColumnsRenamed({"oms_id": "image_id"})
+    write_images(layers, f"{folder}/{LAYER_FOLDER}", day, LAYER_FOLDER)
     bundles = to_image_structs(resized(pictures.bundle_pixels, ["img_id"], side, sizes), ["img_id"], "size", alpha=False)
-    write_images(bundles.withColumnsRenamed({"img_id": "image_id"}), f"{folder}/{BUNDLE_FOLDER}", day, BUNDLE_FOLDER)
+    name = picture_path(F.lit(BUNDLE_FOLDER), F.col("img_id"), F.lit(settings.bundle_image_filetype), "size", folder, day)
+    bundles = bundles.withColumn("path", name).withColumnsRenamed({"img_id": "image_id"})
+    write_images(bundles, f"{folder}/{BUNDLE_FOLDER}", day, BUNDLE_FOLDER)
     write_image_id_mapping(pictures.sets, folder, day)
 
 
 def picture_manifest(pictures: Pictures, settings: ImageSettings, folder: str, day: str) -> DataFrame:
-    """Names of the pictures of a run."""
-    return image_manifest(pictures.layers, pictures.sets, settings, folder, day)
+    """Names of the pictures of a run, as in column ``path`` of what ``write_pictures`` stores: drawn layers and all sets."""
+    drawn = pictures.layer_pixels.select("oms_id", "product_type").distinct()
+    return image_manifest(drawn, pictures.sets.select("img_id").distinct(), settings, folder, day)
 
 
 def audit(skus: DataFrame, attributes: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -20,7 +20,14 @@ RASTER_SCHEMA = "image_id string, x int, y int, r int, g int, b int, a int"
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """``(image_id, height, width, nChannels, data)`` with the file name as id; unreadable files are left out."""
+    """``(image_id, height, width, nChannels, data)`` with the file name as id; unreadable files are left out.
+
+    File names have to differ between folders: two pictures under one id would mix, so that raises.
+    """
+    names = spark.read.format("binaryFile").load(path).select(base_name("path").alias("name"))
+    twice = names.groupBy("name").count().where("count > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"several images have one file name: {', '.join(r['name'] for r in twice)}")
     images = spark.read.format("image").option("dropInvalid", True).load(path)
     return images.select(base_name("image.origin").alias("image_id"), "image.height", "image.width", "image.nChannels", "image.data")
 
@@ -56,14 +63,16 @@ def to_image_structs(raster: DataFrame, keys: list[str], size: str, alpha: bool)
 
     Pixels without a row are white (transparent white with ``alpha``). Packed line by line and then
     into pictures, so that no group holds more than the pixels of one line or the lines of one
-    canvas; copies of a pixel count once.
+    canvas. Of several pixels at one place the one with the least colour value counts.
     """
     digits, blank, colour = 6, "FFFFFF", "cast(b as bigint) * 65536 + g * 256 + r"
     if alpha:
         digits, blank, colour = 8, "FFFFFF00", f"({colour}) * 256 + a"
     # pixels of a line: x in the upper half of a BIGINT, the bytes of the pixel in the lower
     pixel = F.expr(f"cast(x as bigint) * 4294967296 + {colour}")
-    lines = raster.groupBy(*keys, size, "y").agg(F.sort_array(F.collect_set(pixel)).alias("c"))
+    lines = raster.groupBy(*keys, size, "y").agg(F.sort_array(F.collect_set(pixel)).alias("s"))
+    first = "filter(s, (e, i) -> i = 0 or shiftright(e, 32) != shiftright(s[greatest(i - 1, 0)], 32))"
+    lines = lines.select(*keys, size, "y", F.expr(first).alias("c"))
     line = _filled("shiftright({e}, 32)", f"lpad(hex(e & 4294967295), {digits}, '0')", f"'{blank}'", size)
     lines = lines.select(*keys, size, "y", F.expr(line).alias("h"))
     pictures = lines.groupBy(*keys, size).agg(F.array_sort(F.collect_set(F.struct("y", "h"))).alias("c"))
@@ -91,7 +100,10 @@ def _filled(place: str, text: str, blank: str, length: str) -> str:
 
 
 def write_images(images: DataFrame, folder: str, day: str, kind: str) -> None:
-    """Store image structs below ``folder`` by day, kind and size; a repeated run replaces its own."""
+    """Store image structs below ``folder`` by day, kind and size; a repeated run replaces its own.
+
+    Column ``path``, if there is one, is the name of the picture in the manifest.
+    """
     dated = images.withColumn("day", F.lit(day)).withColumn("kind", F.lit(kind))
     writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("day", "kind", "size").parquet(folder)

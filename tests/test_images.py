@@ -4,10 +4,12 @@ import struct
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from packshot.functions.paths import image_file
 from packshot.operators.silhouette import image_tiles, mask_tiles
+from packshot.operators import compose
 from packshot.plans import jobs
 from packshot.sources import images
 from packshot.sources.layouts import ImageSettings
@@ -125,5 +127,29 @@ def test_from_files_to_pictures(spark, rows, tmp_path):
     manifest = jobs.picture_manifest(pictures, settings, out, "2020-10-20")
     names = {r.path for r in manifest.collect()}
     assert f"{out}/2020-10-20/layer_imgs/2_Tape_10.png" in names and f"{out}/2020-10-20/package_imgs/one_0_5.jpg" in names
-    assert len(names) == (4 + 3) * 3
+    assert len(names) == (3 + 3) * 3
+    assert names == {r.path for kind in ("layer_imgs", "package_imgs") for r in spark.read.parquet(f"{out}/{kind}").collect()}
     assert rows(spark.read.csv(f"{out}/2020-10-20/package_to_image_mapping.csv")) == [("one", "one_0"), ("three", "three_0"), ("two", "two_0")]
+
+
+def test_one_colour_per_place(spark):
+    raster = spark.createDataFrame(
+        [("i", 0, 0, 1, 2, 3, 255, 2), ("i", 0, 0, 9, 9, 9, 255, 2), ("i", 1, 1, 4, 5, 6, 255, 2)],
+        "image_id string, x int, y int, r int, g int, b int, a int, size int",
+    )
+    data = images.to_image_structs(raster, ["image_id"], "size", alpha=False).first().data
+    assert bytes(data) == bytes([3, 2, 1, 255, 255, 255, 255, 255, 255, 6, 5, 4])
+
+
+def test_file_names_have_to_differ(spark, tmp_path):
+    for folder in ("aa", "bb"):
+        (tmp_path / folder).mkdir()
+        png(tmp_path / folder / "x.png", np.zeros((2, 2, 3)))
+    with pytest.raises(ValueError, match="one file name: x.png"):
+        images.read_images(spark, f"{tmp_path}/*/*")
+
+
+def test_a_layer_beyond_the_layout_raises(spark):
+    pixels = spark.createDataFrame([("p", 3, 0, 0, 1, 1, 1, 255)], "img_id string, z int, x int, y int, r int, g int, b int, a int")
+    with pytest.raises(Exception, match="beyond the 3 of the layout"):
+        compose.stack(pixels, 3).collect()
