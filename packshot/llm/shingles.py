@@ -54,6 +54,7 @@ def hash_filter(keys: DataFrame, key: Column, bits: int) -> np.ndarray:
     each = 4096 * 8  # bits of a map
     maps = (
         keys.select(at.alias("at"))
+        .where("at is not null")
         .groupBy(F.floor(F.col("at") / each).alias("map_no"))
         .agg(F.bitmap_construct_agg(F.col("at") % each).alias("map"))
     )
