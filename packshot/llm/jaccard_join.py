@@ -8,14 +8,15 @@ sets are tied to one of them, and nothing has to be verified.
 
 *Large sets* scan inverted lists. With all shingles in one order, rare first, sets that link share one of
 their first ``s - ceil(threshold * s) + 1``; only these are listed. Every entry of a list is compared with
-its smallest and its largest set, first by size and sketch (see below), then on the whole sets, and the links found are
-joined to components. Only lists that still hold
-sets of different components go on: each is read by a task (in pairs of blocks of :data:`BLOCK_ROWS`, if it is
-long), which compares sets of different components by size and by sketches of parity bits. The bits in which
-two sketches differ are at most the shingles in which the sets differ, so a pair this rules out does not
-link. Of sets that are surely near each other a task names enough pairs to span them, of others all.
-Every named pair is verified on the whole sets. This is repeated until no pair is left to
-name, so no link between components is lost and no group is expanded into all its pairs.
+its smallest and its largest set, first by size and sketch (see below), then on the whole sets, and the links
+found are joined to components. Only lists that still hold sets of different components go on, put together
+where they are much the same (:func:`mixed_lists`). Each is read by a task, in pairs of blocks of
+:data:`BLOCK_ROWS` if it is long, which compares sets of different components by size and by sketches of
+parity bits. The bits in which two sketches differ are at most the shingles in which the sets differ, so a pair
+this rules out does not link. Of sets that, by their sketches, most likely link, a task names enough pairs to
+span them, of others that may link all. Every named pair is verified, and pairs that failed are not named again.
+This is repeated with the lists that named pairs until none is left (from the third time on, all pairs that may
+link are named), so no link between components is lost and no group of links is expanded into all its pairs.
 
 *The boundary* is the size up to which subsets cost less rows than lists and verification, by the counts of set sizes.
 
@@ -46,6 +47,8 @@ LEVEL_BITS = 20
 SMALL_SIZES = 64
 VERIFY_COST = 0.25
 BLOCK_ROWS = 4096
+PAIR_BYTES = 1 << 23
+SPANNING_ROUNDS = 2
 SKETCH_BITS, LARGE_SKETCH_BITS, LARGE_SET = 1024, 8192, 700
 MAX_SUBSETS = 5000
 
@@ -207,7 +210,7 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent
     """
     needed = materialise(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(reps, "node"))
     bits = shingles.filter_bits(needed.count())
-    known = shingles.hash_filter(needed, F.col("node").bitwiseXOR(F.col("doc_id")), bits)
+    known = shingles.hash_filter(needed, F.col("node").bitwiseXOR(F.coalesce("doc_id", F.lit(0))), bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in arrow_text.chunks(batches):
@@ -223,12 +226,16 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent
             yield pa.record_batch([pa.array(nodes[wanted]), members], ["node", "members"])
 
     sets = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "node long, members array<long>")
-    first = sets.select(F.col("node").alias("u"), F.col("members").alias("left_members"))
-    second = sets.select(F.col("node").alias("v"), F.col("members").alias("right_members"))
-    both = F.size(F.array_intersect("left_members", "right_members"))
-    sizes = F.size("left_members") + F.size("right_members")
-    found = pairs.join(second, "v").join(first, "u").select("u", "v", (100 * both >= percent * (sizes - both)).alias("ok"))
-    return found.distinct()
+    sides = pairs.select("u", "v", F.explode(F.array("u", "v")).alias("node"))
+    met = sides.join(sets, "node")
+    # copies that the filter lets through bring a set again
+    whole = met.groupBy("u", "v").agg(
+        F.first(F.when(F.col("node") == F.col("u"), F.col("members")), ignorenulls=True).alias("a"),
+        F.first(F.when(F.col("node") == F.col("v"), F.col("members")), ignorenulls=True).alias("b"),
+    )
+    both = F.size(F.array_intersect("a", "b"))
+    sizes = F.size("a") + F.size("b")
+    return whole.select("u", "v", (100 * both >= percent * (sizes - both)).alias("ok"))
 
 
 def plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -255,8 +262,31 @@ def _room(both: np.ndarray, percent: int) -> np.ndarray:
     return both - 2 * (-(-percent * both // (100 + percent)))
 
 
-def open_pairs(lists: DataFrame, labels: DataFrame, sketches: DataFrame, failed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that stand in one list and may link: ``u, v``."""
+def mixed_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows ``key, node, size`` of lists that hold sets of different components, with near-equal lists put together.
+
+    Sets that resemble each other stand together in many lists. Lists that share sets, directly or by others, are a
+    bunch; where all pairs of a bunch are fewer than the pairs of its lists, the bunch is one list.
+    """
+    marked = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    kinds = marked.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("n"), F.min("node").alias("first"))
+    rows = materialise(lists.join(kinds.where("a != b").select("key", "n", "first"), "key"))
+    bunches = materialise(components(rows.select(F.col("node").alias("u"), F.col("first").alias("v"))))
+    per_list = rows.select("key", "n", F.col("first").alias("node")).distinct().join(bunches, "node")
+    in_lists = per_list.groupBy("component").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("list_pairs"))
+    nodes = bunches.groupBy("component").agg((F.count(F.lit(1)).cast("double") * F.count(F.lit(1))).alias("all_pairs"))
+    joint = materialise(in_lists.join(nodes, "component").where("all_pairs < list_pairs").select("component"))
+    placed = rows.join(bunches, "node")
+    apart = placed.join(joint, "component", "left_anti").select("key", "node", "size")
+    together = placed.join(joint, "component").select(F.xxhash64(F.lit("bunch"), "component").alias("key"), "node", "size").distinct()
+    return apart.unionByName(together)
+
+
+def open_pairs(lists: DataFrame, labels: DataFrame, sketches: DataFrame, failed: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    """Pairs of different components that stand in one list and may link: ``key, u, v``.
+
+    With ``spanning``, pairs that most likely link are named only as far as they join components.
+    """
     marked = lists.join(labels, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("component"))
     mixed = (
         marked.groupBy("key")
@@ -270,73 +300,110 @@ def open_pairs(lists: DataFrame, labels: DataFrame, sketches: DataFrame, failed:
         "key", "node", "size", "component", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
     )
     bad = failed.groupBy("u").agg(F.collect_set("v").alias("bad")).withColumnRenamed("u", "node")
-    full = dealt.join(sketches, "node").join(bad, "node", "left")
+    full = dealt.join(_short_sketches(sketches), "node").join(bad, "node", "left")
     sorted_rows = full.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        rest: pa.Table | None = None  # the list that the last batch may have cut
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = np.stack([batch.column(c).to_numpy() for c in ("key", "x", "y")])
-            cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-            for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                piece = batch.slice(a, b - a)
-                if held and i == 0:
-                    last = held[-1].slice(held[-1].num_rows - 1)
-                    same = all(last.column(c)[0] == piece.column(c)[0] for c in ("key", "x", "y"))
-                else:
-                    same = False
-                if held and not same:
-                    yield _named(pa.Table.from_batches(held), percent)
-                    held = []
-                held.append(piece)
-        if held:
-            yield _named(pa.Table.from_batches(held), percent)
-
-    return sorted_rows.mapInArrow(run, "u long, v long").distinct()
+            table = pa.Table.from_batches([batch])
+            if rest is not None:
+                table = pa.concat_tables([rest, table])
+            starts = _list_starts(table)
+            if len(starts) > 1:
+                yield from _named(table.slice(0, int(starts[-1])).combine_chunks(), percent, spanning)
+            rest = table.slice(int(starts[-1])) if len(starts) else table
+        if rest is not None and rest.num_rows:
+            yield from _named(rest.combine_chunks(), percent, spanning)
 
+    return sorted_rows.mapInArrow(run, "key long, u long, v long")
 
-def _folded(sketches: Sequence[bytes]) -> np.ndarray:
-    """Sketches as rows of 64-bit words, all folded down to the shortest."""
-    width = min(map(len, sketches)) // 8
-    out = np.zeros((len(sketches), width), np.uint64)
-    for i, s in enumerate(sketches):
-        out[i] = np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, width), axis=0)
-    return out
 
+def _short_sketches(sketches: DataFrame) -> DataFrame:
+    """``node, sketch`` folded down to about a bit per shingle, 256 bits at least; the bound holds for these too."""
 
-def _named(rows: pa.Table, percent: int) -> pa.RecordBatch:
-    node, size, component, block, x, y = (rows.column(c).to_numpy() for c in ("node", "size", "component", "block", "x", "y"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            short = []
+            for size, whole in zip(batch.column("size").to_pylist(), batch.column("sketch").to_pylist(), strict=True):
+                width = 32
+                while width * 8 < size and width < len(whole):
+                    width *= 2
+                short.append(np.bitwise_xor.reduce(np.frombuffer(whole, np.uint8).reshape(-1, width), axis=0).tobytes())
+            yield pa.record_batch([batch.column("node"), pa.array(short, pa.binary())], ["node", "sketch"])
+
+    return sketches.select("node", "size", "sketch").mapInArrow(run, "node long, sketch binary")
+
+
+def _folded(sketches: Sequence[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, all folded down to the shortest."""
+    width = min(map(len, sketches))
+    same = [s if len(s) == width else np.bitwise_xor.reduce(np.frombuffer(s, np.uint8).reshape(-1, width), axis=0).tobytes() for s in sketches]
+    return np.frombuffer(b"".join(same), np.uint64).reshape(len(same), width // 8)
+
+
+def _list_starts(table: pa.Table) -> np.ndarray:
+    if not table.num_rows:
+        return np.zeros(0, np.int64)
+    key = np.stack([table.column(c).to_numpy() for c in ("key", "x", "y")])
+    return np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1])
+
+
+def _candidates(size: np.ndarray, bits: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
+    """Those of the pairs ``i, j`` that sizes and sketches leave, nearest first, and whether they most likely link."""
+    room = _room(size[i] + size[j], percent)
+    near = np.abs(size[i] - size[j]) <= room
+    i, j, room = i[near], j[near], room[near]
+    differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1)
+    ok = differ <= room
+    i, j, room, differ = i[ok], j[ok], room[ok], differ[ok]
+    # the bits that differ say how many shingles differ, less those that meet in a bin
+    n_bits = 64 * bits.shape[1]
+    estimate = -n_bits / 2 * np.log(np.maximum(1 - 2 * differ / n_bits, 1e-9))
+    order = np.argsort(differ, kind="stable")
+    return i[order], j[order], (estimate <= room)[order]
+
+
+def _named(rows: pa.Table, percent: int, spanning: bool) -> Iterator[pa.RecordBatch]:
+    """The pairs that whole lists name; lists are compared together, up to :data:`PAIR_BYTES` of sketches."""
+    key, node, size, root, block = (rows.column(c).to_numpy().copy() for c in ("key", "node", "size", "component", "block"))
+    crossing = rows.column("x").to_numpy() != rows.column("y").to_numpy()
     size = size.astype(np.int64)
-    bits = _folded(rows.column("sketch").to_pylist())
+    sketches = rows.column("sketch").to_pylist()
     bad = {int(n): set(b) for n, b in zip(node, rows.column("bad").to_pylist(), strict=True) if b}
-    root = component.copy()
-    two_blocks = x[0] != y[0]
-    pairs: list[tuple[int, int]] = []
-    for i in range(1, len(node)):
-        at = np.flatnonzero(root[:i] != root[i])
-        if two_blocks:
-            at = at[block[at] != block[i]]
-        if not len(at):
-            continue
-        room = _room(size[at] + size[i], percent)
-        apart = np.abs(size[at] - size[i])
-        at, room = at[apart <= room], room[apart <= room]
-        if not len(at):
-            continue
-        differ = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1)
-        ok = differ <= room
-        at, room, differ = at[ok], room[ok], differ[ok]
-        for j, surely in zip(at[np.argsort(differ)].tolist(), (2 * differ <= room)[np.argsort(differ)].tolist(), strict=True):
-            u, v = sorted((int(node[i]), int(node[j])))
-            if root[j] == root[i] or u in bad and v in bad[u]:
-                continue
-            pairs.append((u, v))
-            if surely:
-                root[: len(root)][root == root[j]] = root[i]
-    found = np.array(pairs, np.int64).reshape(-1, 2)
-    return pa.record_batch([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["u", "v"])
+    starts = _list_starts(rows)
+    ends = np.append(starts[1:], len(node))
+    number = np.repeat(np.arange(len(starts)), ends - starts)
+    before = np.arange(len(node)) - starts[number]  # rows of the list that a row is compared with
+    narrow = np.minimum.reduceat(np.array([len(x) for x in sketches]), starts)[number]
+    pairs: list[tuple[int, int, int]] = []
+    for width in np.unique(narrow).tolist():
+        mine = np.flatnonzero(narrow == width)
+        place = np.zeros(len(node), np.int64)
+        place[mine] = np.arange(len(mine))
+        bits = _folded([sketches[r] for r in mine.tolist()] + [b"\0" * width])
+        done = np.concatenate([[0], np.cumsum(before[mine])])
+        at = 0
+        while at < len(mine):
+            to = max(at + 1, int(np.searchsorted(done, done[at] + PAIR_BYTES // width, side="right")) - 1)
+            part = mine[at:to]
+            i = np.repeat(part, before[part])
+            j = arrow_text.ragged(starts[number[part]], before[part])
+            apart = root[i] != root[j]
+            apart &= ~crossing[i] | (block[i] != block[j])
+            i, j = i[apart], j[apart]
+            m, n, likely = _candidates(size[mine], bits, place[i], place[j], percent)
+            for p, q, sure in zip(mine[m].tolist(), mine[n].tolist(), likely.tolist(), strict=True):
+                u, v = sorted((int(node[p]), int(node[q])))
+                if root[p] == root[q] or u in bad and v in bad[u]:
+                    continue
+                pairs.append((int(key[p]), u, v))
+                if spanning and sure:
+                    own = slice(starts[number[p]], ends[number[p]])
+                    root[own] = np.where(root[own] == root[q], root[p], root[own])
+            at = to
+    found = np.array(pairs, np.int64).reshape(-1, 3)
+    yield pa.record_batch([pa.array(found[:, c].copy()) for c in range(3)], ["key", "u", "v"])
 
 
 def jaccard_links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -356,14 +423,22 @@ def jaccard_links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tu
     checked = materialise(verified(likely, docs, reps, k, percent))
     links = materialise(sure.union(checked.where("ok").select("u", "v")).distinct())
     failed = checked.where("not ok").select("u", "v")
+    lists = materialise(mixed_lists(lists.select("key", "node", "size"), materialise(components(links))))
+    turn = 0
     while True:
         labels = materialise(components(links))
-        pairs = materialise(open_pairs(lists.select("key", "node", "size"), labels, nodes.select("node", "sketch"), failed, percent))
-        if pairs.isEmpty():
+        turn += 1
+        named = materialise(open_pairs(lists, labels, nodes, failed, percent, turn <= SPANNING_ROUNDS))
+        if named.isEmpty():
             return members, links
+        # a list that names no pair has none left
+        lists = lists.join(named.select("key").distinct(), "key", "left_semi")
+        named = named.select("u", "v").distinct()
+        pairs = materialise(plausible(named, nodes, percent))
+        ruled_out = named.join(pairs, ["u", "v"], "left_anti")
         checked = materialise(verified(pairs, docs, reps, k, percent))
         links = materialise(links.union(checked.where("ok").select("u", "v")))
-        failed = materialise(failed.union(checked.where("not ok").select("u", "v")))
+        failed = materialise(failed.union(checked.where("not ok").select("u", "v")).union(ruled_out))
 
 
 def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
