@@ -100,6 +100,13 @@ def test_jaccard_odd_rows(spark, documents, odd_rows):
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [0, 1, 2, 3, 4, 5, 6]
 
 
+def test_jaccard_without_an_id(spark, documents):
+    text = [f"w{i}" for i in range(300)]
+    rows = [(None, " ".join(text)), (7, " ".join([*text, "more"])), (9, " ".join(text[1:])), (None, "other text of its own")]
+    got = sorted((r["doc_id"] or -1, r["component_id"] or -1) for r in jaccard_join.jaccard_components(documents(rows)).collect())
+    assert got == [(-1, -1), (-1, 7), (7, 7), (9, 7)]
+
+
 def test_boundary_follows_the_cost():
     assert jaccard_join.boundary({500: 100}, 90) == 0
     assert jaccard_join.boundary({5: 100, 9: 50}, 90) >= 9
