@@ -117,7 +117,8 @@ def token_files(
             names = [x.split()[0] for x in FILES.split(", ")]
             return pa.record_batch([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
 
-        for part in arrow_text.chunks(batches):
+        # a text has at most as many ids as bytes, so a slice does not overfill a file
+        for part in arrow_text.chunks(batches, limit=min(arrow_text.CHUNK_BYTES, ids_per_file)):
             ids, counts = encoded(*arrow_text.buffer(part.column("text")), tokenizer_path, end_id)
             held.append((part.column("doc_id").fill_null(_NULL).to_numpy(zero_copy_only=False), counts, ids))
             n_held += len(ids)
