@@ -5,9 +5,8 @@ Some of its cuts can be told from ASCII bytes alone: before a single space betwe
 characters, around a single line break between two others, and between an ASCII letter or digit and
 ASCII punctuation (but no apostrophe). Cutting there and encoding what lies between gives the ids of
 the whole text. A worker keeps the ids of pieces it has met in a table of fixed size; texts with other
-white space or control characters are encoded whole.
-
-``encode_special_tokens`` is set: the string of a special token in a text is ordinary text.
+white space or control characters are encoded whole, and so are texts with the string of an added token
+(``<|endoftext|>``), which the library gives its own id.
 """
 
 from __future__ import annotations
@@ -45,7 +44,8 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = sorted((t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, added)) or rb"(?!)")
         size = self.tokenizer.get_vocab_size()
         spaced = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         # byte-level spellings of the space and the line break
@@ -87,14 +87,18 @@ class PieceEncoder:
         np.cumsum(sizes, out=sums[1:])
         return ids, np.diff(sums[first])
 
-    @staticmethod
-    def _unusual(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        at = np.flatnonzero(_ODD[raw])
-        if not len(at):
-            return at
-        at = np.array([i for i in at.tolist() if _ODD_SEQUENCE.match(raw[i : i + 3].tobytes())], np.int64)
+    def _unusual(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        at = [i for i in np.flatnonzero(_ODD[raw]).tolist() if _ODD_SEQUENCE.match(raw[i : i + 3].tobytes())]
+        at = np.array(at + self._added_at(raw, offsets), np.int64)
         return np.unique(np.searchsorted(offsets, at, side="right") - 1)
 
+    def _added_at(self, raw: np.ndarray, offsets: np.ndarray) -> list[int]:
+        """The starts of texts with the string of an added token."""
+        data = raw.tobytes()
+        if not self.added.search(data):
+            return []
+        return [a for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True) if self.added.search(data, a, b)]
+
     def _pieces(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         hashes = span_hashes(raw, starts, ends) | np.uint64(1)
         slots = [(hashes >> np.uint64(s)).astype(np.int64) & (SLOTS - 1) for s in (1, 33)]
@@ -125,7 +129,9 @@ class PieceEncoder:
         found: list = [None] * len(texts)
         spaced, plain, rest = [], [], []
         for i, t in enumerate(texts):
-            if t[0] == " " and len(t) > 1 and not _white(t[1:]):
+            if self.added.search(data, starts[i], ends[i]):
+                rest.append(i)
+            elif t[0] == " " and len(t) > 1 and not _white(t[1:]):
                 spaced.append(i)
             elif not _white(t):
                 plain.append(i)

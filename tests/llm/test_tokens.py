@@ -38,6 +38,21 @@ def test_pieces_survive_a_forgotten_table(encoder):
     assert ids_of(encoder, texts) == before == encoder.whole(texts)
 
 
+def test_special_strings_get_the_ids_of_the_plain_library(encoder):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_file())
+    random.seed(1)
+    parts = ["<|endoftext|>", "<|endoftext|", "<|endof", "text|>", "a", " ", "b", "\n", "'s", "|", "é"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", " <|endoftext|>", "<|endof", "text|>", "of the"]
+    texts += ["".join(random.choice(parts) for _ in range(random.randint(0, 12))) for _ in range(500)]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    assert ids_of(encoder, texts) == want
+    encoder.forget()
+    assert [ids_of(encoder, [t])[0] for t in texts] == want
+
+
 @pytest.mark.parametrize("bits", [1, 8])
 @pytest.mark.parametrize("n", [0, 1, 7, 64, 1000, 4097])
 def test_file_round_trip(bits, n):
