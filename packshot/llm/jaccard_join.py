@@ -87,7 +87,7 @@ def boundary(sizes: dict[int, int], percent: int) -> int:
 
 
 def document_sets(docs: DataFrame, k: int) -> DataFrame:
-    """``doc_id, node`` (hash of the set, null without one), ``size, sketch``; no shuffle."""
+    """``doc_id, text_key`` (hash of the text), ``node`` (hash of the set, null without one), ``size, sketch``; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in arrow_text.chunks(batches):
@@ -95,15 +95,16 @@ def document_sets(docs: DataFrame, k: int) -> DataFrame:
             yield pa.record_batch(
                 [
                     part.column("doc_id"),
+                    part.column("text_key"),
                     pa.array([node_of(x) if len(x) else None for x in sets], pa.int64()),
                     pa.array([len(x) for x in sets], pa.int64()),
                     pa.array([sketch(x) if len(x) else None for x in sets], pa.binary()),
                 ],
-                ["doc_id", "node", "size", "sketch"],
+                ["doc_id", "text_key", "node", "size", "sketch"],
             )
 
-    ids = F.col("doc_id").cast("long").alias("doc_id")
-    return docs.select(ids, "text").mapInArrow(run, "doc_id long, node long, size long, sketch binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_key long, node long, size long, sketch binary")
 
 
 def node_of(members: np.ndarray) -> int:
@@ -407,7 +408,7 @@ def _named(rows: pa.Table, percent: int, spanning: bool) -> Iterator[pa.RecordBa
 
 
 def jaccard_links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Membership ``doc_id, node, size`` of every row, and links ``u, v`` that span every component of nodes."""
+    """Membership ``doc_id, text_key, node, size`` of every row, and links ``u, v`` that span every component of nodes."""
     members = materialise(document_sets(docs, k))
     nodes = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("size").alias("size"), F.first("sketch").alias("sketch"))
     nodes = materialise(nodes)
@@ -441,18 +442,27 @@ def jaccard_links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tu
         failed = materialise(failed.union(checked.where("not ok").select("u", "v")).union(ruled_out))
 
 
-def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, component_id`` (least ``doc_id`` reachable), ``class_id``.
+def _grouped(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Rows of :func:`jaccard_links`, each with its class, its component and ``stays``, the row that stands for the component.
 
-    ``class_id`` is the least ``doc_id`` with the same set; copies are not expanded into pairs.
+    That row has the least ``doc_id``, one without an id only if all are, and of several texts under it the least ``text_key``.
     """
     members, links = jaccard_links(docs, k, percent)
     labels = components(links)
-    reps = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("class_id"))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    reps = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("class_id"), F.min(row).alias("stays"))
     labelled = reps.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = labelled.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    found = labelled.join(least, "component").select("node", "class_id", "component_id")
-    return members.join(found, "node", "left").select(
+    least = labelled.groupBy("component").agg(F.min("class_id").alias("component_id"), F.min("stays").alias("stays"))
+    found = labelled.drop("stays").join(least, "component").select("node", "class_id", "component_id", "stays")
+    return members.join(found, "node", "left")
+
+
+def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id`` (least ``doc_id`` reachable), ``class_id``.
+
+    ``class_id`` is the least ``doc_id`` with the same set; copies are not expanded into pairs.
+    """
+    return _grouped(docs, k, percent).select(
         "doc_id",
         F.col("size").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
@@ -461,18 +471,25 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT)
 
 
 def one_per_group(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``docs`` with one document of each group: the least ``doc_id``, or one row of it if it is repeated.
+    """``docs`` with one row of each group: the least ``doc_id``, and one without an id only if no row of the group has one.
 
-    Documents without a set stay.
+    Rows are told apart by ``doc_id`` and text: of unlike texts under one ``doc_id``, each is judged in its own group. Of rows equal
+    in both, one stays. Documents without a set stay.
     """
-    found = materialise(jaccard_components(docs, k, percent))
-    key = docs["doc_id"].cast("long")
-    losers = found.where("component_id != doc_id").select(F.col("doc_id").alias("_other"))
-    kept = docs.join(losers, key == losers["_other"], "left_anti")
-    again = materialise(found.where("n_shingles > 0 and component_id = doc_id").groupBy("doc_id").count().where("count > 1"))
-    if again.isEmpty():
-        return kept
-    again = again.select(F.col("doc_id").alias("_again"))
-    once = kept.join(again, key == again["_again"], "left_anti")
-    repeated = kept.join(again, key == again["_again"], "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated)
+    stays = (F.col("stays.doc_id").eqNullSafe(F.col("doc_id"))) & (F.col("stays.text_key") == F.col("text_key"))
+    found = _grouped(docs, k, percent).where("node is not null").select("doc_id", "text_key", stays.alias("stays"))
+    rows = materialise(found.groupBy("doc_id", "text_key").agg(F.first("stays").alias("stays"), F.count(F.lit(1)).alias("n")))
+    keyed = docs.withColumns({"_row_id": F.col("doc_id").cast("long"), "_row_text": F.xxhash64("text")})
+    mine = ["_row_id", "_row_text"]
+
+    def met(side: DataFrame, condition: str, how: str) -> DataFrame:
+        other = rows.where(condition).select(F.col("doc_id").alias("_other_id"), F.col("text_key").alias("_other_text"))
+        same = side["_row_id"].eqNullSafe(other["_other_id"]) & (side["_row_text"] == other["_other_text"])
+        return side.join(other, same, how)
+
+    kept = met(keyed, "not stays", "left_anti")
+    if rows.where("stays and n > 1").isEmpty():
+        return kept.drop(*mine)
+    once = met(kept, "stays and n > 1", "left_anti")
+    repeated = met(kept, "stays and n > 1", "left_semi").dropDuplicates(mine)
+    return once.unionByName(repeated).drop(*mine)

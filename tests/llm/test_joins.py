@@ -107,6 +107,23 @@ def test_jaccard_without_an_id(spark, documents):
     assert got == [(-1, -1), (-1, 7), (7, 7), (9, 7)]
 
 
+def test_one_row_per_group_without_an_id_and_under_one_id(spark, documents):
+    def text(name, changed=0):
+        return " ".join([f"{name}{i}" for i in range(300)] + ["more"] * changed)
+
+    rows = [(None, text("a")), (7, text("a", 1)), (None, text("a"))]  # the row with an id stays
+    rows += [(None, text("b")), (None, text("b"))]  # one of two copies
+    rows += [(None, text("c")), (None, text("d"))]  # unlike
+    rows += [(1, text("e")), (2, text("e", 1)), (2, text("f"))]  # the second text of 2 is its own group
+    rows += [(3, text("g")), (3, text("h")), (3, text("h"))]  # least of two groups
+    rows += [(None, ""), (None, None), (4, "")]  # no set
+    kept = jaccard_join.one_per_group(documents(rows, extra=True), 5, 80)
+    assert kept.columns == documents(rows, extra=True).columns
+    want = [(None, text("b")), (7, text("a", 1)), (None, text("c")), (None, text("d")), (1, text("e")), (2, text("f"))]
+    want += [(3, text("g")), (3, text("h")), (None, ""), (None, None), (4, "")]
+    assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(repr, want))
+
+
 def test_boundary_follows_the_cost():
     assert jaccard_join.boundary({500: 100}, 90) == 0
     assert jaccard_join.boundary({5: 100, 9: 50}, 90) >= 9
