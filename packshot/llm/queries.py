@@ -1,4 +1,4 @@
-"""The ten operators on the driver tables, with the columns their contracts name."""
+"""The operators on the driver tables, with the columns their contracts name."""
 
 from __future__ import annotations
 
@@ -12,12 +12,15 @@ from packshot.llm import (
     best_fit_packing,
     chat_format,
     decontamination,
+    exact_dedup,
+    fill_in_middle,
     jaccard_join,
     lm_scoring,
     quality_classifier,
     quality_rules,
     secret_scan,
     substring_dedup,
+    target_sampling,
     token_output,
 )
 from packshot.llm.sql import SQL
@@ -81,6 +84,18 @@ def op9_token_output(spark, sf_dir):
     return token_output.read_token_files(files)
 
 
+def op11_fill_in_middle(spark, sf_dir):
+    return fill_in_middle.digests(fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+def op12_exact_dedup(spark, sf_dir):
+    return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_target_sampling(spark, sf_dir):
+    return target_sampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_substring_dedup": op2_substring_dedup,
@@ -92,4 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_classifier": op7_quality_classifier,
     "op8_chat_format": op8_chat_format,
     "op10_secret_scan": op10_secret_scan,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_target_sampling": op13_target_sampling,
 }
