@@ -26,7 +26,8 @@ def dated_children(listing: DataFrame, root: str) -> DataFrame:
     """``day`` (text) of each path whose first component below ``root`` is a date."""
     below = F.split_part(F.concat(F.lit("/"), "path"), F.lit("/" + root.strip("/") + "/"), F.lit(2))
     child = F.split_part(below, F.lit("/"), F.lit(1))
-    is_day = F.try_to_date(child, "yyyy-MM-dd").isNotNull() & (F.length(child) == 10)
+    # the pattern first: only what looks like a date is parsed, and a cast that fails raises nothing inside
+    is_day = child.rlike(r"^\d{4}-\d{2}-\d{2}$") & child.try_cast("date").isNotNull()
     return listing.select(F.when(is_day, child).alias("day")).where("day is not null")
 
 
@@ -41,12 +42,25 @@ def latest_day(listing: DataFrame, root: str, max_day: str | None = None) -> Dat
 def latest_snapshot(
     table: DataFrame, start: datetime.date | str, max_retries: int = 30, day: str = "day"
 ) -> DataFrame:
-    """Rows of the latest day that has any, from ``start`` back over at most ``max_retries`` days."""
+    """Rows of the latest day that has any, from ``start`` back over at most ``max_retries`` days.
+
+    The day is a subquery of one value. With ``day`` as a partition column (:func:`write_snapshots`) it is found
+    first and selects the one folder that is read; the days themselves come from the folders of the window alone.
+    """
     first: Column = F.lit(str(start)).cast("date")
     window = table.where(F.col(day).between(F.date_sub(first, max_retries), first))
-    # one row, whatever the data; with ``day`` as partition column it prunes the second scan
-    latest = window.agg(F.max(day).alias(day))
-    return window.join(F.broadcast(latest), day)
+    return window.where(F.col(day) == window.agg(F.max(day)).scalar())
+
+
+def write_snapshots(table: DataFrame, folder: str, day: str = "day") -> None:
+    """Store rows below one ``day=`` folder per day; the days of ``table`` replace their own folders."""
+    writer = table.withColumnRenamed(day, "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("day").parquet(folder)
+
+
+def read_snapshots(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """The rows of ``write_snapshots`` with ``day`` as a date; ``schema`` names the other columns."""
+    return spark.read.schema(f"{schema}, day date").parquet(folder)
 
 
 def load_most_recent(

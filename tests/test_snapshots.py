@@ -53,11 +53,20 @@ def test_latest_snapshot(spark, rows):
     assert snapshots.latest_snapshot(table, "2020-01-15", 13).count() == 0
 
 
-def test_latest_snapshot_prunes_partitions(spark, tmp_path):
+def test_latest_snapshot_reads_one_folder(spark, tmp_path):
     path = str(tmp_path / "table")
     days = spark.range(60).select("id", F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
-    days.write.partitionBy("day").parquet(path)
-    found = snapshots.latest_snapshot(spark.read.parquet(path), "2020-02-10", 5)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "2020-02-10" in plan
+    snapshots.write_snapshots(days.withColumnRenamed("day", "on"), path, "on")
+    found = snapshots.latest_snapshot(snapshots.read_snapshots(spark, path, "id long"), "2020-02-10", 5)
     assert [r.id for r in found.collect()] == [40]
+    stage = found._jdf.queryExecution().executedPlan().executedPlan().collectLeaves().apply(0)
+    scan = stage.plan().collectLeaves().apply(0)
+    assert scan.metrics().apply("numPartitions").value() == 1 and scan.metrics().apply("numFiles").value() == 1
+
+
+def test_days_replace_their_own_folders(spark, rows, tmp_path):
+    path = str(tmp_path / "table")
+    make_days = lambda *rs: spark.createDataFrame(rs, "id long, day string").withColumn("day", F.col("day").cast("date"))
+    snapshots.write_snapshots(make_days((1, "2020-01-01"), (2, "2020-01-02")), path)
+    snapshots.write_snapshots(make_days((3, "2020-01-02"), (4, "2020-01-03")), path)
+    assert rows(snapshots.read_snapshots(spark, path, "id long"), "id") == [(1,), (3,), (4,)]
