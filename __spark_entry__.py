@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 import entry_sql
 import entry_views as views
-from entry_views import LAYOUT_TYPES, REPEATED_TYPES, SETTINGS, SIDE, table
+from entry_views import LAYOUT_TYPES, LOW_SETTINGS, REPEATED_TYPES, SETTINGS, SIDE, table
 from packshot.functions import dates, paths
 from packshot.operators import attributes as attribute_steps
-from packshot.operators import compose, layers, layout, manifest, products, raster, regions, silhouette
+from packshot.operators import blocks, compose, layers, layout, manifest, products, raster, regions, silhouette
 from packshot.operators.product_sets import product_sets
 from packshot.plans import jobs
 from packshot.runtime import materialise
@@ -235,20 +235,40 @@ def _tiles(spark, sf_dir):
     return silhouette.mask_tiles(views.raster(spark, sf_dir), SETTINGS, SIDE)
 
 
-def foreground_cutoff(spark, sf_dir):
-    tiles = _tiles(spark, sf_dir)
-    found = silhouette.foreground_cutoff(silhouette.image_regions(tiles), SETTINGS)
+def _cutoffs(tiles, settings):
+    found = silhouette.foreground_cutoff(silhouette.image_regions(tiles), settings)
     return found.select("image_id", "n_pixels", F.col("level").cast("bigint").alias("level"), F.col("cutoff").cast("bigint").alias("cutoff"), "covered")
 
 
+def foreground_cutoff(spark, sf_dir):
+    return _cutoffs(_tiles(spark, sf_dir), SETTINGS)
+
+
+def foreground_cutoff_low(spark, sf_dir):
+    # 51 gray levels
+    return _cutoffs(silhouette.mask_tiles(views.raster(spark, sf_dir), LOW_SETTINGS, SIDE), LOW_SETTINGS)
+
+
+def foreground_cutoff_tiled(spark, sf_dir):
+    return _cutoffs(_small_tiles(spark, sf_dir), SETTINGS)
+
+
+def _small_tiles(spark, sf_dir):
+    # tiles of a quarter of the image, so that regions have to be merged
+    return silhouette.mask_tiles(views.raster(spark, sf_dir), SETTINGS, tile=4)
+
+
 def seeds(spark, sf_dir):
-    tiles = _tiles(spark, sf_dir)
-    found = silhouette.seeds(tiles, silhouette.image_regions(tiles), SETTINGS)
-    return found.select("image_id", "x", "y", "seed")
+    return _seeds(_tiles(spark, sf_dir))
+
+
+def seeds_tiled(spark, sf_dir):
+    return _seeds(_small_tiles(spark, sf_dir))
 
 
-def _foreground(spark, sf_dir):
-    return silhouette.foreground(_tiles(spark, sf_dir), SETTINGS)
+def _seeds(tiles):
+    found = silhouette.seeds(tiles, silhouette.image_regions(tiles), SETTINGS)
+    return found.select("image_id", "x", "y", "seed")
 
 
 def foreground_of_files(spark, sf_dir):
@@ -260,7 +280,8 @@ def foreground_of_files(spark, sf_dir):
 
 
 def bbox(spark, sf_dir):
-    return raster.bounding_box(_foreground(spark, sf_dir), SETTINGS)
+    cutouts = materialise(silhouette.foreground_blocks(_tiles(spark, sf_dir), SETTINGS))
+    return raster.bounding_box_of_blocks(cutouts, SETTINGS)
 
 
 def _image_id() -> Column:
@@ -283,9 +304,9 @@ def layers_missing(spark, sf_dir):
     return layers.layers_missing(skus, images_of, ids, bbox(spark, sf_dir), views.bundle_layout(spark), SETTINGS)
 
 
-def layer_raster(spark, sf_dir):
+def _layer_blocks(spark, sf_dir, skus=None):
     return jobs.layer_job(
-        layer_skus(spark, sf_dir),
+        skus if skus is not None else layer_skus(spark, sf_dir),
         _attributes(spark, sf_dir),
         _tiles(spark, sf_dir),
         views.bundle_layout(spark),
@@ -294,36 +315,47 @@ def layer_raster(spark, sf_dir):
     )
 
 
+def layer_raster(spark, sf_dir):
+    return blocks.pixels(_layer_blocks(spark, sf_dir), jobs.LAYER_KEYS)
+
+
 def resized(spark, sf_dir):
     shrunk = compose.resized(views.raster(spark, sf_dir), ["image_id"], SIDE, [3, 4, 8], alpha=True)
     return shrunk.select("image_id", "size", "x", "y", "r", "g", "b", "a")
 
 
 def layer_images(spark, sf_dir):
-    keys = ["oms_id", "product_type"]
-    shrunk = compose.resized(layer_raster(spark, sf_dir), keys, SETTINGS.canvas, list(SETTINGS.image_sizes), alpha=True)
-    return shrunk.select(*keys, "size", "x", "y", "r", "g", "b", "a")
+    shrunk = blocks.shrink(_layer_blocks(spark, sf_dir), jobs.LAYER_KEYS, SETTINGS.canvas, list(SETTINGS.sizes), alpha=True)
+    return blocks.pixels(shrunk, [*jobs.LAYER_KEYS, "size"])
 
 
-def _typed_sets(spark, sf_dir):
-    return product_sets(_lines(spark, sf_dir), LAYOUT_TYPES, with_types=True)
+def _sets_and_layers(spark, sf_dir):
+    # both start from the stored bundle lines
+    lines = materialise(_lines(spark, sf_dir))
+    layer_blocks = materialise(_layer_blocks(spark, sf_dir, products.layer_skus(lines)))
+    return product_sets(lines, LAYOUT_TYPES, with_types=True), layer_blocks
 
 
 def composite(spark, sf_dir):
     # half-transparent layers, so that the order of stacking shows in every channel
-    alpha = F.expr("cast((r * 7 + x * 31 + y * 17) % 256 as int)")
-    seen_through = materialise(layer_raster(spark, sf_dir)).withColumn("a", alpha)
-    members = compose.set_members(materialise(compose.one_set_per_picture(_typed_sets(spark, sf_dir))))
-    return compose.stack(compose.gather_layers(members, seen_through), len(LAYOUT_TYPES))
+    sets, layer_blocks = _sets_and_layers(spark, sf_dir)
+    seen_through = blocks.with_alpha(layer_blocks, lambda x, y, r, g, b, a: (r * 7 + x * 31 + y * 17) % 256)
+    drawn, names = jobs.bundle_job(sets, materialise(seen_through), blank=False)
+    return blocks.pixels(compose.by_name(drawn, names), ["img_id"], alpha=False)
+
+
+def _bundles(spark, sf_dir):
+    return jobs.bundle_job(*_sets_and_layers(spark, sf_dir))
 
 
 def bundle_pixels(spark, sf_dir):
-    return jobs.bundle_job(_typed_sets(spark, sf_dir), materialise(layer_raster(spark, sf_dir)))
+    return blocks.pixels(compose.by_name(*_bundles(spark, sf_dir)), ["img_id"], alpha=False)
 
 
 def bundle_images(spark, sf_dir):
-    shrunk = compose.resized(bundle_pixels(spark, sf_dir), ["img_id"], SETTINGS.canvas, list(SETTINGS.image_sizes))
-    return shrunk.select("img_id", "size", "x", "y", "r", "g", "b")
+    drawn, names = _bundles(spark, sf_dir)
+    shrunk = blocks.shrink(drawn, ["set_key"], SETTINGS.canvas, list(SETTINGS.sizes))
+    return blocks.pixels(compose.by_name(shrunk, names), ["img_id", "size"], alpha=False)
 
 
 def image_structs(spark, sf_dir):
@@ -373,7 +405,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "region_pixels": region_pixels,
     "filter_mask": filter_mask,
     "foreground_cutoff": foreground_cutoff,
+    "foreground_cutoff_low": foreground_cutoff_low,
+    "foreground_cutoff_tiled": foreground_cutoff_tiled,
     "seeds": seeds,
+    "seeds_tiled": seeds_tiled,
     "foreground_of_files": foreground_of_files,
     "bbox": bbox,
     "placement": placement,

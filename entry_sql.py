@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from entry_views import LAYOUT, REPEATED_TYPES, SETTINGS
+from entry_views import LAYOUT, LOW_SETTINGS, REPEATED_TYPES, SETTINGS
 from packshot.operators.attributes import PRIMARY_IMAGE
+from packshot.sources.layouts import ImageSettings
 
 LAYOUT_ROWS = ", ".join(f"({i}, '{t}', {ulx}::double, {uly}::double, {w}::double)" for i, (t, ulx, uly, w) in enumerate(LAYOUT))
 
@@ -75,7 +76,8 @@ LAYOUTS = {
     "layers": """
         select bundle_type, i + m * again as pos, p_type as product_type,
                ('0.' || lpad(((n + 7 * again) % 100)::varchar, 2, '0'))::double as ulx,
-               ('0.' || lpad(((k + 7 * again) % 100)::varchar, 2, '0'))::double as uly, 0.35::double as w
+               ('0.' || lpad(((k + 7 * again) % 100)::varchar, 2, '0'))::double as uly,
+               ('0.' || lpad(((n + k + 7 * again) % 100)::varchar, 2, '0'))::double as w
         from typed, (values (0), (1)) t(again)""",
 }
 
@@ -110,21 +112,32 @@ def _regions(mask: str) -> dict[str, str]:
 
 NON_WHITE = "select image_id, 0 as mask, x, y from gray where luma <= 2422500"
 
+
+
+def _cutoffs(settings: ImageSettings) -> dict[str, str]:
+    """The gray cutoff of every image, from all masks of its levels and the white one."""
+    first = round(settings.silo_gray_max_cutoff * 100)
+    top = 100 - first
+    return {
+        **RASTER,
+        **_regions(f"""
+            select image_id, k as mask, x, y from gray, range({top + 1}) t(k) where luma <= ({first} + k) * 25500
+            union all select image_id, {top + 1}, x, y from gray where luma >= 2550000"""),
+        "totals": "select image_id, count(*) as n_pixels from raster group by 1",
+        "big": f"""
+            select * from sized join totals using (image_id) where size > n_pixels * {settings.silo_filter_size_cutoff}::double""",
+        "shares": f"""
+            select image_id, n_pixels, mask, count(*) as covered from big where mask <= {top} group by all
+            having count(*) > n_pixels * {settings.silo_min_img_not_background}::double""",
+        "cutoffs": f"""
+            select image_id, n_pixels, min(mask)::bigint as level, (({first} + min(mask)) * 25500)::bigint as cutoff,
+                   arg_min(covered, mask) as covered
+            from shares group by image_id, n_pixels""",
+    }
+
+
 SILHOUETTE = {
-    **RASTER,
-    **_regions("""
-        select image_id, k as mask, x, y from gray, range(6) t(k) where luma <= (95 + k) * 25500
-        union all select image_id, 6, x, y from gray where luma >= 2550000"""),
-    "totals": "select image_id, count(*) as n_pixels from raster group by 1",
-    "big": f"""
-        select * from sized join totals using (image_id) where size > n_pixels * {SETTINGS.silo_filter_size_cutoff}::double""",
-    "shares": f"""
-        select image_id, n_pixels, mask, count(*) as covered from big where mask <= 5 group by all
-        having count(*) > n_pixels * {SETTINGS.silo_min_img_not_background}::double""",
-    "cutoffs": """
-        select image_id, n_pixels, min(mask)::bigint as level, ((95 + min(mask)) * 25500)::bigint as cutoff,
-               arg_min(covered, mask) as covered
-        from shares group by image_id, n_pixels""",
+    **_cutoffs(SETTINGS),
     "seeds": """
         select image_id, x, y, sum(case mask when 6 then 1 else 2 end)::int as seed
         from big join (select image_id, level from cutoffs) using (image_id)
@@ -335,7 +348,10 @@ def oracle_sql() -> dict[str, str]:
             join (select image_id, count(*) as n_pixels from raster group by 1) using (image_id)
             where size > n_pixels * {SETTINGS.silo_filter_size_cutoff}::double"""),
         "foreground_cutoff": _query(SILHOUETTE, "select * from cutoffs"),
+        "foreground_cutoff_low": _query(_cutoffs(LOW_SETTINGS), "select * from cutoffs"),
+        "foreground_cutoff_tiled": _query(SILHOUETTE, "select * from cutoffs"),
         "seeds": _query(SILHOUETTE, "select * from seeds"),
+        "seeds_tiled": _query(SILHOUETTE, "select * from seeds"),
         "foreground_of_files": _query(SILHOUETTE, "select * from cutouts"),
         "bbox": _query(SILHOUETTE, "select * from bbox"),
         "placement": _query(LAYERS, """

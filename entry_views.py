@@ -20,6 +20,10 @@ REPEATED_TYPES = ["PROMO", "SMALL", "PROMO"]
 SETTINGS = ImageSettings(
     (5, 8, 20), "jpg", 1, 2, silo_filter_size_cutoff=0.05, silo_min_img_not_background=0.72
 )
+# a low first cutoff, from which gray levels go up in 51 steps
+LOW_SETTINGS = ImageSettings(
+    (5, 8, 20), "jpg", 1, 2, silo_filter_size_cutoff=0.05, silo_gray_max_cutoff=0.5, silo_min_img_not_background=0.3
+)
 SIDE = 8
 
 
@@ -67,7 +71,7 @@ def layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = part.groupBy("p_brand", "p_size", "p_type").agg(F.count(F.lit(1)).alias("n"), F.min("p_partkey").alias("k"))
     layer = (
         """concat('{"productType": "', t.p_type, '", "ulx": 0.', lpad((t.n + SHIFT) % 100, 2, '0'),
-                  ', "uly": 0.', lpad((t.k + SHIFT) % 100, 2, '0'), ', "w": 0.35}')"""
+                  ', "uly": 0.', lpad((t.k + SHIFT) % 100, 2, '0'), ', "w": 0.', lpad((t.n + t.k + SHIFT) % 100, 2, '0'), '}')"""
     )
     once, again = (f"transform(types, t -> {layer.replace('SHIFT', shift)})" for shift in ("0", "7"))
     layers = f"array_join(concat({once}, {again}), ', ')"

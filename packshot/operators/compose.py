@@ -1,14 +1,22 @@
-"""Stacking layers into bundle pictures, and scaling pictures to the stored sizes."""
+"""Stacking layers into bundle pictures, and scaling pictures to the stored sizes.
+
+The work is done on blocks (``operators/blocks.py``); ``stack``, ``stack_opaque`` and ``resized`` are the
+same steps on pixel rows, for raster tables.
+"""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packshot.operators.skew import plan_by_output, salted_join
+from packshot.operators import blocks
+from packshot.operators.skew import find_hot, plan_by_output, salted_join
 
-#: place of each channel in a packed pixel
-SHIFTS = (("r", 16), ("g", 8), ("b", 0))
+#: bytes of cells, and blocks, that a task joins
+TASK_BYTES = 64 << 20
+TASK_BLOCKS = 100_000
 
 
 def one_set_per_picture(sets: DataFrame) -> DataFrame:
@@ -16,10 +24,28 @@ def one_set_per_picture(sets: DataFrame) -> DataFrame:
     return sets.groupBy("img_id").agg(F.min(F.struct("sku_list", "type_list")).alias("s")).select("img_id", "s.*")
 
 
-def set_members(sets: DataFrame) -> DataFrame:
+def with_set_key(sets: DataFrame) -> DataFrame:
+    """``sets`` with ``set_key``, a digest of what the set holds: equal sets make equal pictures."""
+    content = F.to_json(F.struct("sku_list", "type_list"))
+    return sets.withColumn("set_key", F.unhex(F.md5(content)))
+
+
+def set_dictionary(sets: DataFrame) -> DataFrame:
+    """``(set_key, sku_list, type_list)`` of the distinct sets."""
+    return sets.select("set_key", "sku_list", "type_list").dropDuplicates(["set_key"])
+
+
+def by_name(drawn: DataFrame, names: DataFrame) -> DataFrame:
+    """``drawn`` (by ``set_key``) once for each ``img_id`` of ``names`` that shows it."""
+    hot = find_hot(names, ["set_key"])
+    found = salted_join(names.select("img_id", "set_key"), drawn, ["set_key"], hot, F.xxhash64("img_id"))
+    return found.drop("set_key")
+
+
+def set_members(sets: DataFrame, key: str = "img_id") -> DataFrame:
     """``(img_id, z, oms_id, product_type)``, lowest layer first."""
-    return sets.select("img_id", F.posexplode(F.arrays_zip("sku_list", "type_list")).alias("z", "m")).select(
-        "img_id", "z", F.col("m.sku_list").alias("oms_id"), F.col("m.type_list").alias("product_type")
+    return sets.select(key, F.posexplode(F.arrays_zip("sku_list", "type_list")).alias("z", "m")).select(
+        key, "z", F.col("m.sku_list").alias("oms_id"), F.col("m.type_list").alias("product_type")
     )
 
 
@@ -29,54 +55,57 @@ def blank_pictures(sets: DataFrame) -> DataFrame:
     return sets.select("img_id", F.lit(-1).alias("z"), F.lit(0).alias("x"), F.lit(0).alias("y"), *white)
 
 
+def blank_blocks(sets: DataFrame, key: str) -> DataFrame:
+    """``blank_pictures`` as blocks."""
+    zero = F.lit(0)
+    return sets.select(key, F.lit(-1).alias("z"), zero.alias("tx"), zero.alias("ty"), F.expr(blocks.BLANK).alias("cells"))
+
+
 def gather_layers(members: DataFrame, layers: DataFrame, rows_per_task: int = 1_000_000) -> DataFrame:
-    """Pixels of the layers of every picture: ``(img_id, z, x, y, r, g, b, a)``.
+    """What ``layers`` (pixels or blocks by ``oms_id, product_type``) have for the members of every picture.
 
-    Every member of a set brings all pixels of its layer, so the result is far larger than either
+    Every member of a set brings its whole layer, so the result is far larger than either
     input. The join is therefore cut by the rows it gives: the number of tasks follows from the
     total, and a product that is part of very many sets is spread over several. Both inputs should
     be stored tables, since their counts are taken first.
     """
+    return _gathered(members, layers, rows_per_task)[0]
+
+
+def _gathered(members: DataFrame, layers: DataFrame, rows_per_task: int) -> tuple[DataFrame, int]:
     on = ["oms_id", "product_type"]
     hot, tasks = plan_by_output(members, layers, on, rows_per_task)
-    return salted_join(members, layers, on, hot, F.xxhash64("img_id", "z"), tasks=tasks).drop(*on)
+    salt = F.xxhash64(*[c for c in members.columns if c not in on])
+    return salted_join(members, layers, on, hot, salt, tasks=tasks).drop(*on), tasks
+
+
+def draw_sets(dictionary: DataFrame, layers: DataFrame, blank: bool = True) -> DataFrame:
+    """Blocks ``(set_key, tx, ty, cells)`` of the pictures of distinct sets, from stored layer blocks.
+
+    Two shuffles, of blocks: layers meet the sets that have them, and the layers of a picture are stacked.
+    """
+    mean = layers.agg(F.avg(F.size("cells"))).first()[0] or 1
+    per_task = max(1, min(TASK_BLOCKS, math.ceil(TASK_BYTES / (8 * mean))))
+    gathered, tasks = _gathered(set_members(dictionary, "set_key"), layers, per_task)
+    if blank:
+        gathered = gathered.unionByName(blank_blocks(dictionary, "set_key"))
+    return blocks.stack(gathered, "set_key", tasks)
 
 
 def stack(pixels: DataFrame, n_layers: int) -> DataFrame:
     """Lay the pixels of each picture over opaque white, lowest ``z`` first: ``(img_id, x, y, r, g, b)``.
 
     ``z`` runs below ``n_layers``, the number of layers of the layout; a higher one raises. Cells without a pixel stay
-    white and give no row. A group holds one cell of one picture, so it has at most ``n_layers``
-    pixels; one aggregate per layer keeps them in generated code.
+    white and give no row. Pixels are packed into blocks first.
     """
-    packed = F.expr("cast(a as bigint) * 16777216 + r * 65536 + g * 256 + b")
-    beyond = F.raise_error(F.concat(F.lit(f"a layer beyond the {n_layers} of the layout: "), F.col("z"))).cast("bigint")
-    packed = F.when(F.col("z") < n_layers, packed).otherwise(beyond)
-    pixels = pixels.select("img_id", "x", "y", "z", packed.alias("_packed"))
-    at = [F.max(F.when(F.col("z") == i, F.col("_packed"))).alias(f"_{i}") for i in range(n_layers)]
-    # a layer without a pixel here has alpha 0, which leaves the cell as it is
-    cells = pixels.groupBy("img_id", "x", "y").agg(*at).na.fill(0, [f"_{i}" for i in range(n_layers)])
-    below = {c: "255" for c, _ in SHIFTS}
-    for i in range(n_layers):
-        alpha = f"shiftright(_{i}, 24)"
-        below = {
-            c: f"(((shiftright(_{i}, {s}) & 255) * {alpha} + {below[c]} * (255 - {alpha}) + 127) div 255)"
-            for c, s in SHIFTS
-        }
-    return cells.select("img_id", "x", "y", *[F.expr(f"cast({e} as int)").alias(c) for c, e in below.items()])
+    beyond = F.raise_error(F.concat(F.lit(f"a layer beyond the {n_layers} of the layout: "), F.col("z"))).cast("int")
+    return stack_opaque(pixels.withColumn("z", F.when(F.col("z") < n_layers, F.col("z")).otherwise(beyond)))
 
 
 def stack_opaque(pixels: DataFrame) -> DataFrame:
-    """``stack`` for layers without half-transparent pixels: the highest one shows.
-
-    A plain maximum, combined on the map side, where ``stack`` has to ship every pixel.
-    """
-    packed = F.expr("shiftleft(cast(z as bigint), 24) + r * 65536 + g * 256 + b")
-    top = pixels.groupBy("img_id", "x", "y").agg(F.max(packed).alias("top"))
-    channel = "cast(shiftright(top, {s}) & 255 as int)"
-    return top.select(
-        "img_id", "x", "y", *[F.expr(channel.format(s=s)).alias(c) for c, s in SHIFTS]
-    )
+    """``stack`` without a check of ``z``; where layers are opaque the highest one shows."""
+    layers = blocks.pack(pixels, ["img_id", "z"])
+    return blocks.pixels(blocks.stack(layers, "img_id"), ["img_id"], alpha=False)
 
 
 def resized(raster: DataFrame, keys: list[str], side: int, sizes: list[int], alpha: bool = False) -> DataFrame:
@@ -85,24 +114,5 @@ def resized(raster: DataFrame, keys: list[str], side: int, sizes: list[int], alp
     Pixels without a row count as white (transparent white with ``alpha``), so only the drawn part
     of a picture is read. ``size`` equal to ``side`` passes the pixels through.
     """
-    if max(sizes) > side:
-        raise ValueError(f"cannot enlarge pictures of side {side} to {max(sizes)}")
-    channels = ["r", "g", "b", "a"] if alpha else ["r", "g", "b"]
-    parts = []
-    if side in sizes:
-        parts.append(raster.select(*keys, F.lit(side).alias("size"), "x", "y", *channels))
-    smaller = sorted({s for s in sizes if s != side})
-    if smaller:
-        block = lambda c: F.expr(f"{c} * size div {side}").cast("int")
-        sums = (
-            raster.withColumn("size", F.explode(F.array(*[F.lit(s) for s in smaller])))
-            .groupBy(*keys, "size", block("x").alias("bx"), block("y").alias("by"))
-            .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in channels])
-        )
-        # columns (rows) of block i run from ceil(i * side / size) to ceil((i + 1) * side / size) - 1
-        span = "(({c} + 1) * {s} + size - 1) div size - ({c} * {s} + size - 1) div size"
-        cells = f"({span.format(c='bx', s=side)}) * ({span.format(c='by', s=side)})"
-        blank = {c: 0 if c == "a" else 255 for c in channels}
-        means = [F.expr(f"({c} + ({cells} - n) * {blank[c]}) div ({cells})").cast("int").alias(c) for c in channels]
-        parts.append(sums.select(*keys, "size", F.col("bx").alias("x"), F.col("by").alias("y"), *means))
-    return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
+    shrunk = blocks.shrink(blocks.pack(raster, keys), keys, side, sizes, alpha)
+    return blocks.pixels(shrunk, [*keys, "size"], alpha)

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from packshot.operators import blocks
 from packshot.operators.layout import first_layer
-from packshot.operators.raster import bounding_box, placement
+from packshot.operators.raster import bounding_box_of_blocks, placement
 from packshot.operators.regions import Tiles
-from packshot.operators.silhouette import foreground
+from packshot.operators.silhouette import foreground_blocks
 from packshot.operators.skew import find_hot, plan_by_output, salted_join
 from packshot.runtime import broadcast_if_small, materialise
 from packshot.sources.layouts import ImageSettings
 
 
+BOX = ("min_x", "max_x", "min_y", "max_y")
+_AXES = (("x", f"tx * {blocks.TILE} + shiftright(c, 32) % {blocks.TILE}"), ("y", f"ty * {blocks.TILE} + shiftright(c, 32) div {blocks.TILE}"))
+_ENDS = (("array_min", "min"), ("array_max", "max"))
+
+
 def one_image_per_layer(sku_images: DataFrame) -> DataFrame:
     """One image per (SKU, type), as a layer shows one: the first id of a SKU that has several."""
     return sku_images.groupBy("oms_id", "product_type").agg(F.min("image_id").alias("image_id"))
@@ -32,17 +39,14 @@ def layer_placements(
     return placement(joined, settings)
 
 
-def layer_raster(
-    placements: DataFrame, cutouts: DataFrame, settings: ImageSettings, rows_per_task: int = 1_000_000
-) -> DataFrame:
-    """Pixels of each layer on the canvas: ``(oms_id, product_type, x, y, r, g, b, a)``, opaque ones only.
+def layer_blocks(placements: DataFrame, cutouts: DataFrame, settings: ImageSettings, blocks_per_task: int = 1_000) -> DataFrame:
+    """Blocks of each layer on the canvas: ``(oms_id, product_type, tx, ty, cells)``, opaque cells only.
 
     The box (both edges included) is scaled to the rounded size and every target pixel takes the
-    nearest source pixel. Each source pixel is spread to the target cells it serves, so there is no
-    join on a target grid. What falls off the canvas is cut. Many SKUs may share an image, and each
-    brings all its pixels: the join is cut by the rows it gives, so both inputs should be stored.
+    nearest source pixel. ``cutouts`` are blocks by ``image_id``, with the box of each (``foreground_blocks``). Many
+    SKUs may share an image, and each brings all its blocks: the join is cut by the rows it gives, so both
+    inputs should be stored.
     """
-    canvas = settings.canvas
     sized = placements.where(F.col("scale").isNotNull()).select(
         "oms_id", "product_type", "image_id", "left", "top", "min_x", "max_x", "min_y", "max_y",
         (F.col("max_x") - F.col("min_x") + 1).alias("src_w"),
@@ -50,37 +54,29 @@ def layer_raster(
         F.rint((F.col("max_x") - F.col("min_x") + 1) * F.col("scale")).cast("bigint").alias("out_w"),
         F.rint((F.col("max_y") - F.col("min_y") + 1) * F.col("scale")).cast("bigint").alias("out_h"),
     ).where((F.col("src_w") > 0) & (F.col("src_h") > 0) & (F.col("out_w") > 0) & (F.col("out_h") > 0))
-    inside = F.col("x").between(F.col("min_x"), F.col("max_x")) & F.col("y").between(F.col("min_y"), F.col("max_y"))
-    source = cutouts.select("image_id", "x", "y", "r", "g", "b")
-    hot, tasks = plan_by_output(placements, source, ["image_id"], rows_per_task)
+    source = cutouts.select("image_id", "tx", "ty", *[F.col(c).alias(f"_{c}") for c in BOX], "cells")
+    meets = [(F.col(f"_min_{c}") <= F.col(f"max_{c}")) & (F.col(f"_max_{c}") >= F.col(f"min_{c}")) for c in "xy"]
+    hot, tasks = plan_by_output(placements, source, ["image_id"], blocks_per_task)
     salt = F.xxhash64("oms_id", "product_type")
-    pixels = salted_join(sized, source, ["image_id"], hot, salt, tasks=tasks).where(inside)
-    return (
-        pixels.withColumn("tx", F.explode(_targets("x - min_x", "src_w", "out_w", "left", canvas)))
-        .withColumn("ty", F.explode(_targets("y - min_y", "src_h", "out_h", "top", canvas)))
-        .select(
-            "oms_id", "product_type", F.col("tx").cast("int").alias("x"), F.col("ty").cast("int").alias("y"),
-            "r", "g", "b", F.lit(255).alias("a"),
-        )
-    )
+    joined = salted_join(sized, source, ["image_id"], hot, salt, tasks=tasks).where(meets[0] & meets[1])
+    return blocks.resample(joined, ["oms_id", "product_type"], settings.canvas)
 
 
-def _targets(source: str, src: str, out: str, offset: str, canvas: int) -> Column:
-    """Canvas coordinates served by a source coordinate, clipped to the canvas.
-
-    Target ``t`` of ``out`` takes source ``((2t + 1) * src) div (2 * out)``, the one under its
-    centre; the first target of source ``s`` is therefore ``ceil((2 * out * s - src) / (2 * src))``.
-    """
-    first = f"((2 * {out} * ({source}) + {src} - 1) div (2 * {src}))"
-    behind = f"((2 * {out} * ({source} + 1) + {src} - 1) div (2 * {src}))"
-    low = f"greatest({offset} + {first}, 0L)"
-    high = f"least({offset} + {behind} - 1, {canvas - 1}L)"
-    return F.expr(f"if({low} <= {high}, sequence({low}, {high}), array())")
+def layer_raster(
+    placements: DataFrame, cutouts: DataFrame, settings: ImageSettings, blocks_per_task: int = 1_000
+) -> DataFrame:
+    """``layer_blocks`` from and to pixel rows: ``(oms_id, product_type, x, y, r, g, b, a)``."""
+    packed = blocks.pack(cutouts.withColumn("a", F.lit(255)), ["image_id"])
+    place = [F.expr(f"{f}(transform(cells, c -> cast({at} as int)))").alias(f"{n}_{c}") for c, at in _AXES for f, n in _ENDS]
+    boxed = packed.select("*", *place)
+    return blocks.pixels(layer_blocks(placements, boxed, settings, blocks_per_task), ["oms_id", "product_type"])
 
 
-def tiles_of(tiles: Tiles, placed_skus: DataFrame) -> Tiles:
-    """The tiles of the images that ``placed_skus`` use."""
+def tiles_of(tiles: Tiles | Callable[[DataFrame], Tiles], placed_skus: DataFrame) -> Tiles:
+    """The tiles of the images that ``placed_skus`` use; images that come as files are opened only if they are used."""
     used = placed_skus.select("image_id").distinct()
+    if callable(tiles):
+        return tiles(used)
     return replace(tiles, table=tiles.table.join(used, "image_id", "left_semi"))
 
 
@@ -113,13 +109,16 @@ def layers_missing(
     return found.select(*keys, reason.alias("reason")).where("reason is not null")
 
 
-def build_layers(tiles: Tiles, placed_skus: DataFrame, settings: ImageSettings) -> DataFrame:
-    """From the tiles of source images and placed SKUs to layers: silhouette, box, placement, scaling.
+def build_layers(tiles: Tiles | Callable[[DataFrame], Tiles], placed_skus: DataFrame, settings: ImageSettings) -> DataFrame:
+    """From the tiles of source images and placed SKUs to blocks of layers: silhouette, box, placement, scaling.
 
-    Only images of placed SKUs are labelled. Foreground and placements are stored: several steps start from them.
+    Only images of placed SKUs are labelled. Cut-outs and placements are stored: several steps start from them.
     """
     placed_skus = materialise(placed_skus)
-    cutouts = materialise(foreground(tiles_of(tiles, placed_skus), settings))
+    tiles = tiles_of(tiles, placed_skus)
+    if tiles.tile != blocks.TILE:
+        raise ValueError(f"layers are made from tiles of {blocks.TILE}")
+    cutouts = materialise(foreground_blocks(tiles, settings))
     hot = find_hot(placed_skus, ["image_id"])
-    placements = materialise(layer_placements(placed_skus, bounding_box(cutouts, settings), settings, hot))
-    return layer_raster(placements, cutouts, settings)
+    placements = materialise(layer_placements(placed_skus, bounding_box_of_blocks(cutouts, settings), settings, hot))
+    return layer_blocks(placements, cutouts, settings)

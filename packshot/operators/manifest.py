@@ -10,7 +10,7 @@ from packshot.sources.layouts import ImageSettings
 
 
 def _sizes(settings: ImageSettings) -> Column:
-    return F.explode(F.array(*[F.lit(s) for s in settings.image_sizes]))
+    return F.explode(F.array(*[F.lit(s) for s in settings.sizes]))
 
 
 def image_manifest(layers: DataFrame, sets: DataFrame, settings: ImageSettings, folder: str, day: str) -> DataFrame:
@@ -25,9 +25,13 @@ def image_manifest(layers: DataFrame, sets: DataFrame, settings: ImageSettings,
         F.lit(BUNDLE_FOLDER).alias("kind"), F.col("img_id").alias("image"), F.lit(settings.bundle_image_filetype).alias("ext")
     )
     names = layer_names.unionAll(bundle_names).withColumn("size", _sizes(settings))
-    return names.select("kind", "image", "size", picture_path("kind", "image", "ext", "size", folder, day).alias("path"))
+    return names.select("kind", "image", "size", picture_path("kind", "image", "ext", settings, folder, day).alias("path"))
 
 
-def picture_path(kind: Column | str, image: Column | str, ext: Column | str, size: str, folder: str, day: str) -> Column:
-    """The name of a picture of a run, under which it is stored and listed."""
-    return F.concat_ws("/", F.lit(folder), F.lit(day), kind, sized_name(F.concat_ws(".", image, ext), F.col(size)))
+def picture_path(kind: Column | str, image: Column | str, ext: Column | str, settings: ImageSettings, folder: str, day: str) -> Column:
+    """The name of a picture of a run, under which it is stored and listed.
+
+    It ends with column ``size``, but not where the settings name no sizes.
+    """
+    name = F.concat_ws(".", image, ext)
+    return F.concat_ws("/", F.lit(folder), F.lit(day), kind, sized_name(name, F.col("size")) if settings.image_sizes else name)

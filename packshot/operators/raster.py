@@ -39,6 +39,17 @@ def bounding_box(foreground: DataFrame, settings: ImageSettings) -> DataFrame:
     )
 
 
+def bounding_box_of_blocks(blocks: DataFrame, settings: ImageSettings) -> DataFrame:
+    """``bounding_box`` from blocks with their own boxes (``foreground_blocks``): a row per tile and no pixel is read."""
+    erode = settings.erode_size
+    return blocks.groupBy("image_id").agg(
+        (F.min("min_x") + erode).alias("min_x"),
+        (F.max("max_x") - erode).alias("max_x"),
+        (F.min("min_y") + erode).alias("min_y"),
+        (F.max("max_y") - erode).alias("max_y"),
+    )
+
+
 def placement(boxes: DataFrame, settings: ImageSettings) -> DataFrame:
     """Where each box goes on the canvas: adds ``left, top, width`` (pixels) and ``scale``.
 

@@ -1,271 +1,374 @@
 """4-connected regions of masks, found tile by tile.
 
-A mask pixel row is ``(image_id, x, y, bits)``: bit ``m`` of ``bits`` says that the pixel belongs
-to mask ``m``, so several masks of an image are labelled in one pass; an optional ``rgb`` (24 bits)
-travels along. The pixels are shuffled once, into tiles of fixed size (``tile_pixels``). Every tile
-is labelled on its own, which bounds the work of a task however large an image is, and gives one
-row per tile region (``tile_regions``). Regions that touch across tile borders are merged on that
-small table (``merge_regions``), and ``paint`` brings a value per region back to the pixels without
-moving them again.
-
-A region is named by its first pixel in reading order: row * 2^32 + column.
+The masks of an image are its gray levels: mask ``k`` holds the pixels of level ``k`` and of all levels before
+it, so each mask lies inside the next. One more mask, unrelated to them, may follow (the white one). The pixels are
+shuffled once, into tiles of fixed size (``tile_pixels``), one packed BIGINT each.
+
+Every tile is labelled on its own, which bounds the work of a task however large an image is. Its pixels and
+the links between neighbours are taken in the order of their levels, and regions only grow and join on the way: a
+component tree, found in one pass whatever the number of levels. A row of ``tile_regions`` is a node of that tree, a
+region from the mask in which it gets its shape (``mask``) to the last before it changes (``until``). It has
+the runs on the tile's edge, and on demand the runs of all its pixels, so no later step has to label a tile again.
+
+Regions that touch across tile borders are joined on that small table (``merge_regions``). A region is named by its
+first pixel in reading order: row * 2^32 + column.
 """
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packshot.operators.skew import find_hot, salted_join
 from packshot.runtime import materialise
 
+# task code is pickled by value: executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TILE = 128
 PLACE = ["image_id", "tx", "ty"]
 KEYS = ["image_id", "mask"]
+#: level of a pixel that no gray mask holds, and the most masks there can be
+NO_LEVEL = 255
+#: cells labelled at a time
+ROUND = 1 << 19
+# sides of a tile, as borders name them
+LEFT, RIGHT, TOP, BOTTOM = range(4)
 
 
 @dataclass
 class Tiles:
-    """Pixels grouped into tiles: ``(image_id, tx, ty, cells)``, one packed BIGINT per pixel."""
+    """Pixels grouped into tiles: ``(image_id, tx, ty, cells)``, one BIGINT per pixel.
+
+    A cell is its place (row * tile + column) in the upper 31 bits, a byte for the level, a byte that says
+    whether the pixel is in the last, unrelated mask (``n_masks`` - 1, if ``extra``), and 24 bits of colour.
+    """
 
     table: DataFrame
     n_masks: int
     tile: int
     one_tile: bool
+    extra: bool = False
 
 
-def check_tile(tile: int, n_masks: int) -> None:
-    """Place, masks and colour of a pixel have to fit a BIGINT."""
-    if tile * tile << n_masks >= 1 << 39:
-        raise ValueError(f"{n_masks} masks do not fit a tile of {tile} x {tile}")
+def check_levels(n_masks: int) -> None:
+    """A level has to fit a byte."""
+    if n_masks > NO_LEVEL:
+        raise ValueError(f"{n_masks} masks: the gray cutoff has more steps than a byte counts")
 
 
 def tile_pixels(
     mask: DataFrame, n_masks: int = 1, max_side: int | None = None, tile: int = TILE, store: bool = False
 ) -> Tiles:
-    """Group mask pixels into tiles.
+    """Group mask pixels ``(image_id, x, y)`` into tiles; ``level``, ``extra`` and ``rgb`` are optional columns.
 
     ``max_side`` is a promise that no image is larger, checked on every pixel; with at most
     ``tile`` no merge is needed and all that follows stays one lazy plan. Without it, or with
     ``store``, the tiles are stored once for the steps that read them.
     """
-    check_tile(tile, n_masks)
+    check_levels(n_masks)
     one_tile = max_side is not None and max_side <= tile
     if max_side is not None:
         fits = (F.col("x") < max_side) & (F.col("y") < max_side)
         message = F.lit(f"pixel outside the promised {max_side} x {max_side}")
         mask = mask.withColumn("x", F.when(fits, F.col("x")).otherwise(F.raise_error(message).cast("int")))
     place = (F.col("y") % tile) * tile + F.col("x") % tile
-    rgb = F.col("rgb") if "rgb" in mask.columns else F.lit(0)
-    code = (place.cast("bigint") * (1 << n_masks) + F.col("bits")) * (1 << 24) + rgb
+    level, extra, rgb = (F.col(c) if c in mask.columns else F.lit(0) for c in ("level", "extra", "rgb"))
+    code = ((place.cast("bigint") * 256 + level) * 256 + extra) * (1 << 24) + rgb
     table = (
-        mask.where(F.col("bits") > 0)
-        .groupBy("image_id", F.expr(f"cast(x div {tile} as int)").alias("tx"), F.expr(f"cast(y div {tile} as int)").alias("ty"))
+        mask.groupBy("image_id", F.expr(f"cast(x div {tile} as int)").alias("tx"), F.expr(f"cast(y div {tile} as int)").alias("ty"))
         # a set: copies of a pixel count once, and no list is longer than its tile
         .agg(F.collect_set(code).alias("cells"))
     )
-    return Tiles(materialise(table) if store or not one_tile else table, n_masks, tile, one_tile)
-
-
-def _kernel(tile: int, n_masks: int):
-    """Label the tiles of Arrow batches. Self-contained, so that executors need no package."""
-
-    def kernel(tx, ty, cells):
-        """Per mask and some tiles: row of the tile, x, y, rgb, index of the region's first pixel."""
-        import numpy as np
-
-        area, cells_per_round = tile * tile, 1 << 19
-
-        def roots_of(key):
-            # ``key`` is sorted; neighbours across differ by 1, neighbours below by ``tile``
-            n = len(key)
-            across = np.flatnonzero((key[1:] == key[:-1] + 1) & (key[1:] % tile != 0))
-            below = np.searchsorted(key, key + tile)
-            down = np.flatnonzero((below < n) & (key % area < area - tile))
-            down = down[key[below[down]] == key[down] + tile]
-            a, b = np.concatenate([across, down]), np.concatenate([across + 1, below[down]])
-            root = np.arange(n)
-            while True:
-                ra, rb = root[a], root[b]
-                if (ra == rb).all():
-                    return root
-                np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
-                up = root[root]
-                while (up != root).any():
-                    root, up = up, up[up]
-
-        lengths = np.diff(cells.offsets.to_numpy())
-        codes = cells.flatten().to_numpy()
-        ends = np.cumsum(lengths)
-        first = 0
-        while first < len(lengths):
-            begin = ends[first] - lengths[first]
-            last = max(first + 1, int(np.searchsorted(ends, begin + cells_per_round, "right")))
-            part = codes[begin : ends[last - 1]]
-            key = np.repeat(np.arange(first, last), lengths[first:last]) * area + (part >> (24 + n_masks))
-            order = np.argsort(key, kind="stable")
-            key, part = key[order], part[order]
-            new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            bits = np.bitwise_or.reduceat((part >> 24) & ((1 << n_masks) - 1), new)
-            key, rgb = key[new], part[new] & 0xFFFFFF
-            for m in range(n_masks):
-                chosen = np.flatnonzero((bits >> m) & 1)
-                if len(chosen):
-                    row, spot = key[chosen] // area, key[chosen] % area
-                    x, y = tx[row] * tile + spot % tile, ty[row] * tile + spot // tile
-                    yield m, row, x, y, rgb[chosen], roots_of(key[chosen]), chosen
-            yield None, key // area, None, None, None, None, None
-            first = last
-
-    return kernel
-
-
-def tile_regions(tiles: Tiles) -> DataFrame:
-    """``(image_id, mask, region, size, border)`` per tile region.
-
-    ``border`` lists its pixels on the tile's edge, coded like region names; it is empty where no
-    merge is needed.
+    stored = materialise(table) if store or not one_tile else table
+    return Tiles(stored, n_masks, tile, one_tile, "extra" in mask.columns)
+
+
+@dataclass
+class _Part:
+    """The pixels of some tiles in the order of tile and place; of several at one place the first by code."""
+
+    row: np.ndarray  # of the batch
+    spot: np.ndarray
+    x: np.ndarray
+    y: np.ndarray
+    level: np.ndarray
+    extra: np.ndarray
+    rgb: np.ndarray
+    a: np.ndarray  # neighbours, as places in these arrays
+    b: np.ndarray
+
+
+def _parts(tx: np.ndarray, ty: np.ndarray, cells: pa.Array, tile: int):
+    """The tiles of an Arrow batch, about :data:`ROUND` pixels at a time."""
+    area = tile * tile
+    lengths = np.diff(cells.offsets.to_numpy())
+    codes, ends, first = cells.flatten().to_numpy(), np.cumsum(lengths), 0
+    while first < len(lengths):
+        begin = ends[first] - lengths[first]
+        last = max(first + 1, int(np.searchsorted(ends, begin + ROUND, "right")))
+        part = codes[begin : ends[last - 1]]
+        key = np.repeat(np.arange(first, last), lengths[first:last]) * area + (part >> 40)
+        order = np.lexsort((part, key))
+        key, part = key[order], part[order]
+        one = np.ones(len(key), bool)
+        one[1:] = key[1:] != key[:-1]
+        key, part = key[one], part[one]
+        # neighbours across differ by 1, neighbours below by ``tile``
+        across = np.flatnonzero((key[1:] == key[:-1] + 1) & (key[1:] % tile != 0))
+        below = np.searchsorted(key, key + tile)
+        down = np.flatnonzero((below < len(key)) & (key % area < area - tile))
+        down = down[key[below[down]] == key[down] + tile]
+        row, spot = key // area, key % area
+        x, y = tx[row].astype(np.int64) * tile + spot % tile, ty[row].astype(np.int64) * tile + spot // tile
+        level, extra = ((part >> 32) & 255).astype(np.int64), ((part >> 24) & 255) > 0
+        a, b = np.concatenate([across, down]), np.concatenate([across + 1, below[down]])
+        yield _Part(row, spot, x, y, level, extra, part & 0xFFFFFF, a, b)
+        first = last
+
+
+def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``root`` (the first pixel of each region, for every pixel) with the regions of ``a`` and ``b`` joined."""
+    while True:
+        ra, rb = root[a], root[b]
+        differ = ra != rb
+        if not differ.any():
+            return root
+        a, b, ra, rb = a[differ], b[differ], ra[differ], rb[differ]
+        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+        up = root[root]
+        while (up != root).any():
+            root, up = up, up[up]
+
+
+def _tree(part: _Part, masks: range):
+    """The nodes of the component tree: ``(first mask, last mask, heads, sizes, root, inside)`` as they end.
+
+    ``heads`` are the first pixels of the regions, ``root`` gives every pixel its head and ``inside`` says which
+    pixels the masks hold.
+    """
+    n = len(part.level)
+    link = np.maximum(part.level[part.a], part.level[part.b])
+    order = np.argsort(link, kind="stable")
+    a, b, borders = part.a[order], part.b[order], np.searchsorted(link[order], np.arange(masks.stop + 1))
+    present = np.bincount(part.level, minlength=NO_LEVEL + 1)
+    root, since, sizes = np.arange(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    inside = np.zeros(n, bool)
+    for m in masks:
+        if not present[m]:
+            continue  # nothing changes: links of a level have a pixel of it
+        grown = _join(root.copy(), a[borders[m] : borders[m + 1]], b[borders[m] : borders[m + 1]])
+        now = part.level <= m
+        new = np.bincount(grown[now], minlength=n)
+        ended = np.flatnonzero((sizes > 0) & (new != sizes))
+        for first in np.unique(since[ended]):
+            heads = ended[since[ended] == first]
+            yield int(first), m - 1, heads, sizes[heads], root, inside
+        since[new != sizes] = m
+        root, sizes, inside = grown, new, now
+    alive = np.flatnonzero(sizes > 0)
+    for first in np.unique(since[alive]):
+        heads = alive[since[alive] == first]
+        yield int(first), masks.stop - 1, heads, sizes[heads], root, inside
+
+
+def _labelled(part: _Part, inside: np.ndarray) -> np.ndarray:
+    """The head of every pixel for one mask."""
+    both = inside[part.a] & inside[part.b]
+    return _join(np.arange(len(inside)), part.a[both], part.b[both])
+
+
+def _by_head(heads: np.ndarray, root: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pixels ``which`` in the order of their heads, and the offsets of those of each of ``heads``."""
+    owner = root[which]
+    at = np.searchsorted(heads, owner)
+    mine = at < len(heads)
+    mine[mine] = heads[at[mine]] == owner[mine]
+    which, at = which[mine], at[mine]
+    order = np.argsort(at, kind="stable")
+    return which[order], np.searchsorted(at[order], np.arange(len(heads) + 1))
+
+
+def _pixel_runs(part: _Part, which: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """``(y, x, n)`` runs of pixels side by side, a list per region."""
+    x, y = part.x[which], part.y[which]
+    new = np.ones(len(which), bool)
+    new[1:] = (y[1:] != y[:-1]) | (x[1:] != x[:-1] + 1)
+    new[offsets[:-1][offsets[:-1] < len(which)]] = True
+    starts = np.flatnonzero(new)
+    lengths = np.diff(np.append(starts, len(which)))
+    columns = [pa.array(y[starts].astype(np.int32)), pa.array(x[starts].astype(np.int32)), pa.array(lengths.astype(np.int32))]
+    cut = np.searchsorted(starts, offsets).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(cut), pa.StructArray.from_arrays(columns, ["y", "x", "n"]))
+
+
+def _border_runs(part: _Part, heads: np.ndarray, root: np.ndarray, inside: np.ndarray, tile: int, skip: bool) -> pa.Array:
+    """``(side, low, high)`` runs of a region's pixels on the sides of its tile, a list per region."""
+    found = [[], [], [], []]
+    for side, (fixed, at, along) in enumerate(
+        ((part.x, 0, part.y), (part.x, tile - 1, part.y), (part.y, 0, part.x), (part.y, tile - 1, part.x))
+    ):
+        which = np.flatnonzero(inside & (fixed % tile == at)) if not skip else np.zeros(0, np.int64)
+        which, offsets = _by_head(heads, root, which)
+        owner = np.repeat(np.arange(len(heads)), np.diff(offsets))
+        order = np.lexsort((along[which], owner))
+        owner, place = owner[order], along[which][order]
+        new = np.ones(len(owner), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + 1)
+        starts = np.flatnonzero(new)
+        ends = np.append(starts[1:], len(owner)) - 1
+        for held, values in zip(found, (owner[starts], np.full(len(starts), side), place[starts], place[ends] if len(starts) else place[:0]), strict=True):
+            held.append(values)
+    owner, side, low, high = (np.concatenate(f) for f in found)
+    order = np.argsort(owner, kind="stable")
+    columns = [pa.array(v[order].astype(np.int32)) for v in (side, low, high)]
+    offsets = np.searchsorted(owner[order], np.arange(len(heads) + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(columns, ["side", "low", "high"]))
+
+
+def tile_regions(tiles: Tiles, runs: bool = False) -> DataFrame:
+    """``(image_id, tx, ty, mask, until, region, size, border[, runs])`` per node of the trees of the tiles.
+
+    ``border`` has the runs on the tile's edge; it is empty where no merge is needed. ``runs``: ``(y, x, n)`` of all pixels.
     """
-    tile, one_tile = tiles.tile, tiles.one_tile
-    kernel = _kernel(tile, tiles.n_masks)
+    tile, one_tile, n_masks, extra = tiles.tile, tiles.one_tile, tiles.n_masks, tiles.extra
 
-    def find(batches):
-        import numpy as np
-        import pyarrow as pa
+    def nodes(part):
+        yield from _tree(part, range(n_masks - extra))
+        if extra:
+            root = _labelled(part, part.extra)
+            sizes = np.bincount(root[part.extra], minlength=len(root))
+            heads = np.flatnonzero(sizes)
+            yield n_masks - 1, n_masks - 1, heads, sizes[heads], root, part.extra
 
+    def find(batches):
         for batch in batches:
             ids, tx, ty, cells = (batch.column(i) for i in range(4))
-            for m, row, x, y, _, root, _ in kernel(tx.to_numpy(), ty.to_numpy(), cells):
-                if m is None:
-                    continue
-                heads = np.flatnonzero(root == np.arange(len(root)))
-                sizes = np.bincount(root, minlength=len(root))[heads]
-                name = (y.astype(np.int64) << 32) + x
-                edge = (x % tile == 0) | (x % tile == tile - 1) | (y % tile == 0) | (y % tile == tile - 1)
-                edge = np.flatnonzero(edge & (not one_tile))
-                edge = edge[np.argsort(root[edge], kind="stable")]
-                stops = np.searchsorted(root[edge], heads, "right")
-                offsets = np.concatenate([[0], stops]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.take(pa.array(row[heads])),
-                        pa.array(np.full(len(heads), m, np.int32)),
-                        pa.array(name[heads]),
-                        pa.array(sizes.astype(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(name[edge])),
-                    ],
-                    names=["image_id", "mask", "region", "size", "border"],
-                )
-
+            for part in _parts(tx.to_numpy(), ty.to_numpy(), cells, tile):
+                for first, last, heads, sizes, root, inside in nodes(part):
+                    rows = pa.array(part.row[heads])
+                    name = (part.y[heads] << 32) + part.x[heads]
+                    columns = [ids.take(rows), tx.take(rows), ty.take(rows)]
+                    columns += [pa.array(np.full(len(heads), m, np.int32)) for m in (first, last)]
+                    columns += [pa.array(name), pa.array(sizes.astype(np.int64))]
+                    columns.append(_border_runs(part, heads, root, inside, tile, one_tile))
+                    if runs:
+                        columns.append(_pixel_runs(part, *_by_head(heads, root, np.flatnonzero(inside))))
+                    yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = [*PLACE, "mask", "until", "region", "size", "border", *(["runs"] if runs else [])]
     id_type = tiles.table.schema["image_id"].dataType.simpleString()
-    schema = f"image_id {id_type}, mask int, region bigint, size bigint, border array<bigint>"
+    schema = f"image_id {id_type}, tx int, ty int, mask int, until int, region bigint, size bigint, border array<struct<side:int,low:int,high:int>>"
+    if runs:
+        schema += ", runs array<struct<y:int,x:int,n:int>>"
     return tiles.table.select(*PLACE, "cells").mapInArrow(find, schema)
 
 
-def paint(tiles: Tiles, values: DataFrame) -> DataFrame:
-    """``(image_id, x, y, rgb, value)`` of the pixels in the regions of ``values``.
+def paint(tiles: Tiles, values: DataFrame, only: int | None = None) -> DataFrame:
+    """Blocks ``(image_id, tx, ty, min_x, max_x, min_y, max_y, cells)`` of the pixels in the regions of ``values``.
 
-    ``values`` is ``(image_id, mask, region, value)`` by tile region, ``value`` a BIGINT; a pixel in
-    several of them (of different masks) gets the sum. The lists meet the tiles where they are.
+    ``values`` is ``(image_id, mask, region, value)`` by tile region, of one gray mask per image and the extra one;
+    a pixel in both gets the sum of the values (below 256). A cell has its value where blocks have their alpha. ``only`` keeps
+    the pixels of that value, as opaque cells. The box is that of the cells.
     """
-    tile, n_masks = tiles.tile, tiles.n_masks
-    kernel = _kernel(tile, n_masks)
+    tile, n_masks, extra = tiles.tile, tiles.n_masks, tiles.extra
+
+    def held(part, mask, region, value, owner, inside, which):
+        """Sum of the values for each pixel, by the regions that ``which`` picks."""
+        root = _labelled(part, inside)
+        first = owner[which] * (tile * tile) + (region[which] >> 32) % tile * tile + (region[which] & 0xFFFFFFFF) % tile
+        order = np.argsort(first)
+        known, amount = first[order], value[which][order]
+        asked = part.row[root] * (tile * tile) + part.spot[root]
+        at = np.minimum(np.searchsorted(known, asked), max(len(known) - 1, 0))
+        hit = inside & (known[at] == asked) if len(known) else np.zeros(len(asked), bool)
+        return np.where(hit, amount[at] if len(known) else 0, 0)
 
     def spread(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        def spot_of(row, x, y):
-            return (row * tile + y % tile) * tile + x % tile
-
         for batch in batches:
             ids, tx, ty, cells, wanted = (batch.column(i) for i in range(5))
             owner = np.repeat(np.arange(len(ids)), np.diff(wanted.offsets.to_numpy()))
             mask, region, value = (c.to_numpy() for c in wanted.flatten().flatten())
-            held = []
-            for m, row, x, y, rgb, root, chosen in kernel(tx.to_numpy(), ty.to_numpy(), cells):
-                if m is not None:
-                    mine = np.flatnonzero(mask == m)
-                    mine = mine[np.argsort(spot_of(owner[mine], region[mine] & 0xFFFFFFFF, region[mine] >> 32))]
-                    known = spot_of(owner[mine], region[mine] & 0xFFFFFFFF, region[mine] >> 32)
-                    heads, back = np.unique(root, return_inverse=True)
-                    asked = spot_of(row[heads], x[heads], y[heads])
-                    at = np.searchsorted(known, asked)
-                    same = at < len(known)
-                    same[same] = known[at[same]] == asked[same]
-                    found = np.where(same, mine[np.minimum(at, len(mine) - 1)] if len(mine) else -1, -1)
-                    at = found[back]
-                    hit = at >= 0
-                    held.append((chosen[hit], row[hit], x[hit], y[hit], rgb[hit], value[at[hit]]))
+            gray = mask < n_masks - extra
+            level = np.full(len(ids), -1, np.int64)
+            level[owner[gray]] = mask[gray]
+            for part in _parts(tx.to_numpy(), ty.to_numpy(), cells, tile):
+                total = held(part, mask, region, value, owner, part.level <= level[part.row], gray)
+                if extra:
+                    total += held(part, mask, region, value, owner, part.extra, ~gray)
+                at = np.flatnonzero(total == only if only is not None else total > 0)
+                if not len(at):
                     continue
-                spot = np.concatenate([h[0] for h in held]) if held else np.zeros(0, np.int64)
-                if len(spot):
-                    row, x, y, rgb, val = (np.concatenate([h[i] for h in held]) for i in range(1, 6))
-                    _, one, back = np.unique(spot, return_index=True, return_inverse=True)
-                    total = np.zeros(len(one), np.int64)
-                    np.add.at(total, back, val)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            ids.take(pa.array(row[one])),
-                            pa.array(x[one].astype(np.int32)),
-                            pa.array(y[one].astype(np.int32)),
-                            pa.array(rgb[one].astype(np.int32)),
-                            pa.array(total),
-                        ],
-                        names=["image_id", "x", "y", "rgb", "value"],
-                    )
-                held = []
-
-    def tile_of(coordinate: str) -> Column:
+                row = part.row[at]
+                starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+                last = np.full(len(at), 255) if only is not None else total[at]
+                code = (part.spot[at] << 32) | (part.rgb[at] << 8) | last
+                boxes = [f.reduceat(v[at], starts).astype(np.int32) for v in (part.x, part.y) for f in (np.minimum, np.maximum)]
+                of = pa.array(row[starts])
+                lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(at)).astype(np.int32)), pa.array(code))
+                columns = [ids.take(of), tx.take(of), ty.take(of), *map(pa.array, boxes), lists]
+                yield pa.RecordBatch.from_arrays(columns, [*PLACE, "min_x", "max_x", "min_y", "max_y", "cells"])
+
+    def tile_of(coordinate: str):
         return F.expr(f"cast(({coordinate}) div {tile} as int)")
 
     by_tile = (
         values.withColumn("tx", tile_of("region & 4294967295"))
         .withColumn("ty", tile_of("shiftright(region, 32)"))
         .groupBy(*PLACE)
-        .agg(F.collect_set(F.struct("mask", "region", "value")).alias("wanted"))
+        .agg(F.collect_set(F.struct("mask", "region", F.col("value").cast("bigint").alias("value"))).alias("wanted"))
     )
     id_type = tiles.table.schema["image_id"].dataType.simpleString()
     joined = tiles.table.join(by_tile, PLACE).select(*PLACE, "cells", "wanted")
-    return joined.mapInArrow(spread, f"image_id {id_type}, x int, y int, rgb int, value bigint")
+    schema = f"image_id {id_type}, tx int, ty int, min_x int, max_x int, min_y int, max_y int, cells array<bigint>"
+    return joined.mapInArrow(spread, schema)
 
 
 def merge_regions(tiles: Tiles, regions: DataFrame) -> DataFrame:
-    """``(image_id, mask, region, size, label, total)``: tile regions with the region they are part of.
+    """``regions`` with ``label`` and ``total``: the region that each tile region is part of, and its size.
 
-    ``label`` is the smallest name among the joined tile regions, ``total`` their common size.
+    ``label`` is the smallest name among the joined tile regions. Nodes on a tile's edge come back
+    once per mask (``until`` = ``mask``), as what they join changes from mask to mask; others stay nodes.
     """
-    alone = regions.select(*KEYS, "region", "size", F.col("region").alias("label"), F.col("size").alias("total"))
+    alone = [F.col("region").alias("label"), F.col("size").alias("total")]
     if tiles.one_tile:
-        return alone
+        return regions.select("*", *alone).drop("border")
     regions = materialise(regions)
-    alone = regions.select(*KEYS, "region", "size", F.col("region").alias("label"), F.col("size").alias("total"))
-    links = materialise(_border_links(regions, tiles.tile))
+    inner = regions.where(F.size("border") == 0).select("*", *alone).drop("border")
+    outer = regions.where(F.size("border") > 0).withColumn("mask", F.explode(F.sequence("mask", "until"))).withColumn("until", F.col("mask"))
+    links = materialise(_border_links(outer))
+    outer = outer.drop("border")
     if links.isEmpty():
-        return alone
-    labels = regions.select(*KEYS, "region", "size").join(_merged_labels(links), [*KEYS, "region"], "left")
-    labels = materialise(labels.withColumn("label", F.coalesce("label", "region")))
+        return inner.unionByName(outer.select("*", *alone))
+    narrow = outer.select(*KEYS, "region", "size").join(_merged_labels(links), [*KEYS, "region"], "left")
+    labels = materialise(narrow.withColumn("label", F.coalesce("label", "region")))
     on = [*KEYS, "label"]
     totals = labels.groupBy(*on).agg(F.sum("size").alias("total"))
     # very many tile regions may share a label: the background of a large image, say
-    merged = salted_join(labels, totals, on, find_hot(labels, on), F.xxhash64("region"))
-    return merged.select(*KEYS, "region", "size", "label", "total")
+    merged = salted_join(labels, totals, on, find_hot(labels, on), F.xxhash64("region")).select(*KEYS, "region", "label", "total")
+    return inner.unionByName(outer.join(merged, [*KEYS, "region"]))
 
 
-def _border_links(regions: DataFrame, tile: int) -> DataFrame:
-    """Pairs of tile regions with neighbouring pixels, in both directions: ``(image_id, mask, region, other)``."""
-    edge = regions.select(*KEYS, "region", F.explode("border").alias("p")).select(
-        *KEYS, "region", F.expr("p & 4294967295").alias("x"), F.shiftright("p", 32).alias("y")
-    )
+def _border_links(outer: DataFrame) -> DataFrame:
+    """Pairs of tile regions with neighbouring pixels, in both directions: ``(image_id, mask, region, other)``.
+
+    The runs on facing sides of two tiles meet where they overlap.
+    """
+    edge = outer.select(*KEYS, "tx", "ty", "region", F.explode("border").alias("e")).select(*KEYS, "tx", "ty", "region", "e.*")
     pairs = []
-    for along, across in (("x", "y"), ("y", "x")):
-        before = edge.where(F.col(along) % tile == tile - 1).select(
-            *KEYS, across, (F.col(along) + 1).alias(along), "region"
+    for near, far, along in ((RIGHT, LEFT, "tx"), (BOTTOM, TOP, "ty")):
+        before = edge.where(F.col("side") == near).withColumn(along, F.col(along) + 1).drop("side")
+        after = edge.where(F.col("side") == far).select(
+            *KEYS, "tx", "ty", F.col("region").alias("other"), F.col("low").alias("low2"), F.col("high").alias("high2")
         )
-        after = edge.where(F.col(along) % tile == 0).select(*KEYS, across, along, F.col("region").alias("other"))
-        pairs.append(before.join(after, [*KEYS, across, along]).select(*KEYS, "region", "other"))
+        met = before.join(after, [*KEYS, "tx", "ty"]).where((F.col("low") <= F.col("high2")) & (F.col("low2") <= F.col("high")))
+        pairs.append(met.select(*KEYS, "region", "other"))
     one_way = pairs[0].unionAll(pairs[1])
     both = F.explode(F.array(F.struct("region", "other"), F.struct(F.col("other").alias("region"), F.col("region").alias("other"))))
     return one_way.select(*KEYS, both.alias("link")).select(*KEYS, "link.region", "link.other").distinct()
@@ -305,19 +408,24 @@ def _merged_labels(links: DataFrame) -> DataFrame:
 
 def regions(mask: DataFrame, max_side: int | None = None, tile: int = TILE) -> DataFrame:
     """``(image_id, region, size)``: the regions of one mask ``(image_id, x, y)``."""
-    tiles = tile_pixels(mask.withColumn("bits", F.lit(1)), 1, max_side, tile)
+    tiles = tile_pixels(mask, 1, max_side, tile)
     merged = merge_regions(tiles, tile_regions(tiles))
     if not tiles.one_tile:
         merged = merged.where(F.col("region") == F.col("label"))
     return merged.select("image_id", F.col("label").alias("region"), F.col("total").alias("size"))
 
 
+def _run_pixels(regions: DataFrame) -> DataFrame:
+    """``(image_id, x, y, region)`` of the runs of labelled regions; no shuffle."""
+    run = regions.select("image_id", "label", F.explode("runs").alias("r"))
+    x = F.explode(F.sequence(F.col("r.x"), F.col("r.x") + F.col("r.n") - 1))
+    return run.select("image_id", x.alias("x"), F.col("r.y").alias("y"), F.col("label").alias("region"))
+
+
 def region_pixels(mask: DataFrame, max_side: int | None = None, tile: int = TILE) -> DataFrame:
     """``(image_id, x, y, region)``: every mask pixel with its region."""
-    tiles = tile_pixels(mask.withColumn("bits", F.lit(1)), 1, max_side, tile)
-    merged = merge_regions(tiles, tile_regions(tiles))
-    labels = merged.select(*KEYS, "region", F.col("label").alias("value"))
-    return paint(tiles, labels).select("image_id", "x", "y", F.col("value").alias("region"))
+    tiles = tile_pixels(mask, 1, max_side, tile)
+    return _run_pixels(merge_regions(tiles, tile_regions(tiles, runs=True)))
 
 
 def filter_mask(
@@ -326,12 +434,10 @@ def filter_mask(
     """``(image_id, x, y, region)``: the mask without its small regions.
 
     A region stays if it has more than ``size_cutoff`` of all pixels of its image; ``totals`` is
-    ``(image_id, n_pixels)``.
+    ``(image_id, n_pixels)``. The regions carry their runs: the tiles are read and labelled once.
     """
-    tiles = tile_pixels(mask.withColumn("bits", F.lit(1)), 1, max_side, tile, store=True)
-    merged = materialise(merge_regions(tiles, tile_regions(tiles)))
+    tiles = tile_pixels(mask, 1, max_side, tile)
+    merged = materialise(merge_regions(tiles, tile_regions(tiles, runs=True)))
     hot = find_hot(merged, ["image_id"])
     sized = salted_join(merged, totals.select("image_id", "n_pixels"), ["image_id"], hot, F.xxhash64("region"))
-    kept = sized.where(F.col("total") > F.col("n_pixels") * F.lit(size_cutoff))
-    labels = kept.select(*KEYS, "region", F.col("label").alias("value"))
-    return paint(tiles, labels).select("image_id", "x", "y", F.col("value").alias("region"))
+    return _run_pixels(sized.where(F.col("total") > F.col("n_pixels") * F.lit(size_cutoff)))

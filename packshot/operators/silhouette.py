@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packshot.operators.raster import LUMA_BLUE, LUMA_GREEN, LUMA_RED, LUMA_STEP, LUMA_WHITE, luma
-from packshot.operators.regions import TILE, Tiles, check_tile, merge_regions, paint, tile_pixels, tile_regions
+from packshot.operators.blocks import pixels
+from packshot.operators.regions import NO_LEVEL, TILE, Tiles, check_levels, merge_regions, paint, tile_pixels, tile_regions
 from packshot.operators.skew import find_hot, salted_join
 from packshot.runtime import materialise
+from packshot.sources.images import read_images
 from packshot.sources.layouts import ImageSettings
 
 
@@ -22,15 +25,16 @@ def cutoff_levels(settings: ImageSettings) -> int:
 def mask_tiles(raster: DataFrame, settings: ImageSettings, max_side: int | None = None, tile: int = TILE) -> Tiles:
     """Stored tiles with all masks of an image: mask ``k`` for gray cutoff level ``k``, the last for white."""
     top = cutoff_levels(settings)
+    check_levels(top + 2)
     start = round(settings.silo_gray_max_cutoff * LUMA_WHITE)
     white = round(settings.silo_white_min_cutoff * LUMA_WHITE)
     level = F.greatest(F.lit(0), F.ceil((F.col("luma") - start) / F.lit(LUMA_STEP)).cast("int"))
     rgb = (F.col("r") * 65536 + F.col("g") * 256 + F.col("b")).alias("rgb")
-    pixels = raster.select("image_id", "x", "y", rgb, luma().alias("luma")).withColumn("level", level)
-    # a pixel is in the mask of its level and of all later ones
-    gray_bits = F.lit(1 << (top + 1)) - F.expr(f"shiftleft(1, least(level, {top + 1}))")
-    white_bit = F.when(F.col("luma") >= white, 1 << (top + 1)).otherwise(0)
-    pixels = pixels.select("image_id", "x", "y", "rgb", (gray_bits + white_bit).alias("bits"))
+    pixels = raster.select("image_id", "x", "y", rgb, luma().alias("luma"))
+    pixels = pixels.select(
+        "image_id", "x", "y", "rgb", F.when(level <= top, level).otherwise(NO_LEVEL).alias("level"),
+        (F.col("luma") >= white).cast("int").alias("extra"),
+    )
     return tile_pixels(pixels, top + 2, max_side, tile, store=True)
 
 
@@ -42,10 +46,10 @@ def image_tiles(images: DataFrame, settings: ImageSettings, tile: int = TILE) ->
     """
     top = cutoff_levels(settings)
     n_masks = top + 2
-    check_tile(tile, n_masks)
+    check_levels(n_masks)
     start = round(settings.silo_gray_max_cutoff * LUMA_WHITE)
     white = round(settings.silo_white_min_cutoff * LUMA_WHITE)
-    weights, step = (LUMA_BLUE, LUMA_GREEN, LUMA_RED), LUMA_STEP
+    weights, step, none = (LUMA_BLUE, LUMA_GREEN, LUMA_RED), LUMA_STEP, NO_LEVEL
 
     def cut(batches):
         import numpy as np
@@ -55,9 +59,10 @@ def image_tiles(images: DataFrame, settings: ImageSettings, tile: int = TILE) ->
             """Masks and colour of a band of pixels, packed."""
             bgr = [pixels[..., min(c, n - 1)].astype(np.int64) for c in range(3)]
             gray = sum(w * c for w, c in zip(weights, bgr))
-            level = np.clip(-((start - gray) // step), 0, top + 1)
-            bits = (1 << (top + 1)) - (1 << level) + ((gray >= white).astype(np.int64) << (top + 1))
-            return (bits << 24) + (bgr[2] << 16) + (bgr[1] << 8) + bgr[0]
+            level = np.maximum(-((start - gray) // step), 0)
+            level[level > top] = none
+            masks = (level << 8) + (gray >= white)
+            return (masks << 24) + (bgr[2] << 16) + (bgr[1] << 8) + bgr[0]
 
         for batch in batches:
             ids = batch.column(0)
@@ -69,9 +74,8 @@ def image_tiles(images: DataFrame, settings: ImageSettings, tile: int = TILE) ->
                 for top_row in range(0, height, tile):
                     packed = band(pixels[top_row : top_row + tile], channels)
                     place = np.arange(packed.shape[0])[:, None] * tile + np.arange(width)[None, :] % tile
-                    packed += place << (24 + n_masks)
+                    packed += place << 40
                     cells = [packed[:, x : x + tile].ravel() for x in range(0, width, tile)]
-                    cells = [c[(c >> 24) & ((1 << n_masks) - 1) > 0] for c in cells]
                     offsets = np.cumsum([0, *map(len, cells)]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -86,7 +90,15 @@ def image_tiles(images: DataFrame, settings: ImageSettings, tile: int = TILE) ->
     id_type = images.schema["image_id"].dataType.simpleString()
     source = images.select("image_id", "height", "width", "nChannels", "data")
     table = source.mapInArrow(cut, f"image_id {id_type}, tx int, ty int, cells array<bigint>")
-    return Tiles(materialise(table), n_masks, tile, one_tile=False)
+    return Tiles(materialise(table), n_masks, tile, one_tile=False, extra=True)
+
+
+def file_tiles(spark: SparkSession, path: str, settings: ImageSettings) -> Callable[[DataFrame], Tiles]:
+    """What makes the tiles of the image files below ``path`` that a table ``(image_id)`` names.
+
+    The operators that take tiles take this too: they say which images they use, and the others are not opened.
+    """
+    return lambda wanted: image_tiles(read_images(spark, path, wanted), settings)
 
 
 def image_regions(tiles: Tiles) -> DataFrame:
@@ -106,7 +118,8 @@ def foreground_cutoff(regions: DataFrame, settings: ImageSettings) -> DataFrame:
 def _kept(regions: DataFrame, hot: DataFrame | None, settings: ImageSettings) -> DataFrame:
     """Regions larger than the size cutoff, with the number of pixels of their image."""
     # the last gray level takes in every pixel of an image
-    whole = regions.where(F.col("mask") == cutoff_levels(settings))
+    top = cutoff_levels(settings)
+    whole = regions.where(F.lit(top).between(F.col("mask"), F.col("until")))
     totals = whole.groupBy("image_id").agg(F.sum("size").alias("n_pixels"))
     sized = salted_join(regions, totals, ["image_id"], hot, F.xxhash64("mask", "region"))
     return sized.where(F.col("total") > F.col("n_pixels") * F.lit(settings.silo_filter_size_cutoff))
@@ -115,6 +128,7 @@ def _kept(regions: DataFrame, hot: DataFrame | None, settings: ImageSettings) ->
 def _cutoffs(kept: DataFrame, settings: ImageSettings) -> DataFrame:
     covered = (
         kept.where(F.col("mask") <= cutoff_levels(settings))
+        .withColumn("mask", F.explode(F.sequence("mask", "until")))
         .groupBy("image_id", "n_pixels", "mask")
         .agg(F.sum("size").alias("covered"))
         .where(F.col("covered") > F.col("n_pixels") * F.lit(settings.silo_min_img_not_background))
@@ -127,25 +141,32 @@ def _cutoffs(kept: DataFrame, settings: ImageSettings) -> DataFrame:
     )
 
 
-def seeds(tiles: Tiles, regions: DataFrame, settings: ImageSettings) -> DataFrame:
-    """``(image_id, x, y, rgb, seed)``: 1 white, 2 foreground, 3 both. Other pixels give no row."""
+def _seed_values(regions: DataFrame, settings: ImageSettings) -> DataFrame:
+    """``(image_id, mask, region, value)`` of the tile regions that are seeds: 1 white, 2 gray at the image's level."""
     white = cutoff_levels(settings) + 1
     hot = find_hot(regions, ["image_id"])
     kept = _kept(regions, hot, settings)
     levels = _cutoffs(kept, settings).select("image_id", "level")
-    wanted = salted_join(kept, levels, ["image_id"], hot, F.xxhash64("mask", "region")).where(
-        (F.col("mask") == F.col("level")) | (F.col("mask") == white)
-    )
-    value = F.when(F.col("mask") == white, 1).otherwise(2).cast("bigint")
-    return paint(tiles, wanted.select("image_id", "mask", "region", value.alias("value"))).select(
-        "image_id", "x", "y", "rgb", F.col("value").cast("int").alias("seed")
+    gray = F.col("level").between(F.col("mask"), F.col("until"))
+    wanted = salted_join(kept, levels, ["image_id"], hot, F.xxhash64("mask", "region")).where(gray | (F.col("mask") == white))
+    is_white = F.col("mask") == white
+    return wanted.select(
+        "image_id", F.when(is_white, white).otherwise(F.col("level")).alias("mask"), "region", F.when(is_white, 1).otherwise(2).alias("value")
     )
 
 
+def seeds(tiles: Tiles, regions: DataFrame, settings: ImageSettings) -> DataFrame:
+    """``(image_id, x, y, rgb, seed)``: 1 white, 2 foreground, 3 both. Other pixels give no row."""
+    found = paint(tiles, _seed_values(regions, settings))
+    rgb = F.expr("r * 65536 + g * 256 + b").alias("rgb")
+    return pixels(found, ["image_id"], tile=tiles.tile).select("image_id", "x", "y", rgb, F.col("a").alias("seed"))
+
+
+def foreground_blocks(tiles: Tiles, settings: ImageSettings) -> DataFrame:
+    """The foreground (seeds of kind 2) as blocks: ``(image_id, tx, ty, min_x, max_x, min_y, max_y, cells)``."""
+    return paint(tiles, _seed_values(image_regions(tiles), settings), only=2)
+
+
 def foreground(tiles: Tiles, settings: ImageSettings) -> DataFrame:
-    """``(image_id, x, y, r, g, b)`` of the foreground pixels: seeds of kind 2."""
-    found = seeds(tiles, image_regions(tiles), settings).where(F.col("seed") == 2)
-    channel = "cast(shiftright(rgb, {s}) & 255 as int)"
-    return found.select(
-        "image_id", "x", "y", *[F.expr(channel.format(s=s)).alias(c) for c, s in (("r", 16), ("g", 8), ("b", 0))]
-    )
+    """``(image_id, x, y, r, g, b)`` of the foreground pixels."""
+    return pixels(foreground_blocks(tiles, settings), ["image_id"], alpha=False, tile=tiles.tile)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from packshot.functions.paths import BUNDLE_FOLDER, LAYER_FOLDER
 from packshot.operators.attributes import sku_images, skus_missing
-from packshot.operators.compose import blank_pictures, gather_layers, one_set_per_picture, resized, set_members, stack_opaque
+from packshot.operators import blocks
+from packshot.operators.compose import by_name, draw_sets, one_set_per_picture, set_dictionary, with_set_key
 from packshot.operators.layers import build_layers, one_image_per_layer
 from packshot.operators.layout import layout_types, sku_layers
 from packshot.operators.manifest import image_manifest, picture_path
@@ -18,21 +20,25 @@ from packshot.operators.products import first_per_type_lines, layer_skus, sku_co
 from packshot.operators.regions import Tiles
 from packshot.runtime import materialise
 from packshot.sources.bundles import write_image_id_mapping
-from packshot.sources.images import to_image_structs, write_images
+from packshot.sources.images import picture_structs, write_images
 from packshot.sources.layouts import ImageSettings
 
 
+LAYER_KEYS = ["oms_id", "product_type"]
+
+
 def layer_job(
     skus: DataFrame,
     attributes: DataFrame,
-    tiles: Tiles,
+    tiles: Tiles | Callable[[DataFrame], Tiles],
     layers: DataFrame,
     settings: ImageSettings,
     image_id: Column,
 ) -> DataFrame:
-    """Layer pixels of every SKU of a bundle that has an image and a place in the layout.
+    """Layer blocks of every SKU of a bundle that has an image and a place in the layout.
 
-    ``tiles`` come from stored images (``image_tiles``) or from a raster table (``mask_tiles``);
+    ``tiles`` come from image files (``file_tiles``, which opens the files that are used), from stored images
+    (``image_tiles``) or from a raster table (``mask_tiles``);
     ``image_id`` turns ``img_guid`` of the attributes into their id.
     """
     images = sku_images(attributes, skus).select("oms_id", "product_type", image_id.alias("image_id"))
@@ -40,30 +46,40 @@ def layer_job(
     return build_layers(tiles, placed, settings)
 
 
-def bundle_job(sets: DataFrame, layer_pixels: DataFrame) -> DataFrame:
-    """Drawn pixels of every bundle picture, from product sets with types and stored layer pixels.
+def bundle_job(sets: DataFrame, layer_blocks: DataFrame, blank: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``(blocks, names)``: the pictures of the distinct product sets by ``set_key``, and which ``img_id`` shows which.
 
-    The sets are stored once: planning the join, the join itself and the blank pictures read them.
+    From sets with types and stored layer blocks. Sets of equal content are drawn once. Names and
+    the dictionary of sets are stored: planning the join, the join itself and blank pictures read them.
+    ``blank`` puts a white pixel below every picture, so that those without layers show up.
     """
-    pictures = materialise(one_set_per_picture(sets))
-    pixels = gather_layers(set_members(pictures), layer_pixels)
-    return stack_opaque(pixels.unionByName(blank_pictures(pictures)))
+    names = materialise(with_set_key(one_set_per_picture(sets)))
+    return draw_sets(materialise(set_dictionary(names)), layer_blocks, blank), names.select("img_id", "set_key")
 
 
 @dataclass
 class Pictures:
-    """Results of ``picture_job``; sets and layers are stored, the rest is lazy."""
+    """Results of ``picture_job``; sets, names and layers are stored, the rest is lazy."""
 
     sets: DataFrame
     layers: DataFrame
-    layer_pixels: DataFrame
-    bundle_pixels: DataFrame
+    layer_blocks: DataFrame
+    set_blocks: DataFrame
+    names: DataFrame
+
+    @property
+    def layer_pixels(self) -> DataFrame:
+        return blocks.pixels(self.layer_blocks, LAYER_KEYS)
+
+    @property
+    def bundle_pixels(self) -> DataFrame:
+        return blocks.pixels(by_name(self.set_blocks, self.names), ["img_id"], alpha=False)
 
 
 def picture_job(
     lines: DataFrame,
     attributes: DataFrame,
-    tiles: Tiles,
+    tiles: Tiles | Callable[[DataFrame], Tiles],
     layers: DataFrame,
     settings: ImageSettings,
     image_id: Column,
@@ -74,24 +90,30 @@ def picture_job(
     ``all_sets`` keeps every product and so draws every product set. The layers are stored once,
     since both the layer files and the bundle pictures read them.
     """
+    lines = materialise(lines)
     skus = layer_skus(lines)
     if not all_sets:
         lines = first_per_type_lines(lines)
     sets = materialise(product_sets(lines, layout_types(layers), with_types=True))
-    layer_pixels = materialise(layer_job(skus, attributes, tiles, layers, settings, image_id))
-    return Pictures(sets, skus, layer_pixels, bundle_job(sets, layer_pixels))
+    drawn = materialise(layer_job(skus, attributes, tiles, layers, settings, image_id))
+    return Pictures(sets, skus, drawn, *bundle_job(sets, drawn))
 
 
 def write_pictures(pictures: Pictures, settings: ImageSettings, folder: str, day: str) -> None:
-    """Store layers, bundle pictures and the id mapping of a run; every size, as image structs."""
-    sizes, side = list(settings.image_sizes), settings.canvas
-    keys = ["oms_id", "product_type"]
-    layers = to_image_structs(resized(pictures.layer_pixels, keys, side, sizes, alpha=True), keys, "size", alpha=True)
-    name = picture_path(F.lit(LAYER_FOLDER), F.concat_ws("_", *keys), F.lit("png"), "size", folder, day)
+    """Store layers, bundle pictures and the id mapping of a run, as image structs.
+
+    Every size of ``image_sizes``, or the canvas as it is where there are none. A set that several pictures show is
+    shrunk and put together once.
+    """
+    sizes, side = list(settings.sizes), settings.canvas
+    shrunk = blocks.shrink(pictures.layer_blocks, LAYER_KEYS, side, sizes, alpha=True)
+    layers = picture_structs(shrunk, LAYER_KEYS, alpha=True)
+    name = picture_path(F.lit(LAYER_FOLDER), F.concat_ws("_", *LAYER_KEYS), F.lit("png"), settings, folder, day)
     layers = layers.withColumn("path", name).withColumnsRenamed({"oms_id": "image_id"})
     write_images(layers, f"{folder}/{LAYER_FOLDER}", day, LAYER_FOLDER)
-    bundles = to_image_structs(resized(pictures.bundle_pixels, ["img_id"], side, sizes), ["img_id"], "size", alpha=False)
-    name = picture_path(F.lit(BUNDLE_FOLDER), F.col("img_id"), F.lit(settings.bundle_image_filetype), "size", folder, day)
+    shrunk = blocks.shrink(pictures.set_blocks, ["set_key"], side, sizes)
+    bundles = by_name(picture_structs(shrunk, ["set_key"], alpha=False), pictures.names)
+    name = picture_path(F.lit(BUNDLE_FOLDER), F.col("img_id"), F.lit(settings.bundle_image_filetype), settings, folder, day)
     bundles = bundles.withColumn("path", name).withColumnsRenamed({"img_id": "image_id"})
     write_images(bundles, f"{folder}/{BUNDLE_FOLDER}", day, BUNDLE_FOLDER)
     write_image_id_mapping(pictures.sets, folder, day)
@@ -99,7 +121,7 @@ def write_pictures(pictures: Pictures, settings: ImageSettings, folder: str, day
 
 def picture_manifest(pictures: Pictures, settings: ImageSettings, folder: str, day: str) -> DataFrame:
     """Names of the pictures of a run, as in column ``path`` of what ``write_pictures`` stores: drawn layers and all sets."""
-    drawn = pictures.layer_pixels.select("oms_id", "product_type").distinct()
+    drawn = pictures.layer_blocks.select(*LAYER_KEYS).distinct()
     return image_manifest(drawn, pictures.sets.select("img_id").distinct(), settings, folder, day)
 
 

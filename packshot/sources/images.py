@@ -7,29 +7,53 @@ order.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packshot.functions.paths import base_name
+from packshot.operators import blocks
 
 # OpenCV type codes that Spark's image source uses.
 MODE_BGR = 16
 MODE_BGRA = 24
 
+IMAGE_SCHEMA = "image_id string, height int, width int, nChannels int, data binary"
 RASTER_SCHEMA = "image_id string, x int, y int, r int, g int, b int, a int"
 
 
-def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """``(image_id, height, width, nChannels, data)`` with the file name as id; unreadable files are left out.
+def list_images(spark: SparkSession, path: str) -> DataFrame:
+    """``(image_id, path)`` of the files there are, the file name as id; no content is read.
 
     File names have to differ between folders: two pictures under one id would mix, so that raises.
     """
-    names = spark.read.format("binaryFile").load(path).select(base_name("path").alias("name"))
-    twice = names.groupBy("name").count().where("count > 1").limit(3).collect()
+    files = spark.read.format("binaryFile").load(path).select(base_name("path").alias("image_id"), "path")
+    twice = files.groupBy("image_id").count().where("count > 1").limit(3).collect()
     if twice:
-        raise ValueError(f"several images have one file name: {', '.join(r['name'] for r in twice)}")
-    images = spark.read.format("image").option("dropInvalid", True).load(path)
-    return images.select(base_name("image.origin").alias("image_id"), "image.height", "image.width", "image.nChannels", "image.data")
+        raise ValueError(f"several images have one file name: {', '.join(r['image_id'] for r in twice)}")
+    return files
+
+
+def read_images(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:
+    """``(image_id, height, width, nChannels, data)`` with the file name as id; unreadable files are left out.
+
+    With ``wanted`` (a column ``image_id``) the files are listed first, and only those that it names are
+    opened and decoded. Their paths pass the driver, as those of every file of a scan do.
+    """
+    files = list_images(spark, path)
+    reader = spark.read.format("image").option("dropInvalid", True)
+    if wanted is None:
+        images = reader.load(path)
+    else:
+        chosen = files.join(wanted.select("image_id").distinct(), "image_id", "left_semi").select("path")
+        paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r["path"]) for r in chosen.toLocalIterator()]
+        if not paths:
+            return spark.createDataFrame([], IMAGE_SCHEMA)
+        images = reader.load(paths)
+    # the origin is a URI, in which a plus sign is one
+    origin = F.url_decode(F.replace("image.origin", F.lit("+"), F.lit("%2B")))
+    return images.select(base_name(origin).alias("image_id"), "image.height", "image.width", "image.nChannels", "image.data")
 
 
 def to_raster(images: DataFrame) -> DataFrame:
@@ -58,45 +82,33 @@ def to_raster(images: DataFrame) -> DataFrame:
     return source.mapInArrow(unpack, RASTER_SCHEMA)
 
 
-def to_image_structs(raster: DataFrame, keys: list[str], size: str, alpha: bool) -> DataFrame:
-    """Pictures of side ``size`` from the drawn pixels of a raster table, one row per ``keys``.
+def picture_structs(pictures: DataFrame, keys: list[str], alpha: bool) -> DataFrame:
+    """Pictures of side ``size`` from blocks ``(keys..., size, tx, ty, cells)``, one row per ``keys`` and size.
 
-    Pixels without a row are white (transparent white with ``alpha``). Packed line by line and then
-    into pictures, so that no group holds more than the pixels of one line or the lines of one
-    canvas. Of several pixels at one place the one with the least colour value counts.
+    What is not drawn is white (transparent white with ``alpha``).
     """
-    digits, blank, colour = 6, "FFFFFF", "cast(b as bigint) * 65536 + g * 256 + r"
-    if alpha:
-        digits, blank, colour = 8, "FFFFFF00", f"({colour}) * 256 + a"
-    # pixels of a line: x in the upper half of a BIGINT, the bytes of the pixel in the lower
-    pixel = F.expr(f"cast(x as bigint) * 4294967296 + {colour}")
-    lines = raster.groupBy(*keys, size, "y").agg(F.sort_array(F.collect_set(pixel)).alias("s"))
-    first = "filter(s, (e, i) -> i = 0 or shiftright(e, 32) != shiftright(s[greatest(i - 1, 0)], 32))"
-    lines = lines.select(*keys, size, "y", F.expr(first).alias("c"))
-    line = _filled("shiftright({e}, 32)", f"lpad(hex(e & 4294967295), {digits}, '0')", f"'{blank}'", size)
-    lines = lines.select(*keys, size, "y", F.expr(line).alias("h"))
-    pictures = lines.groupBy(*keys, size).agg(F.array_sort(F.collect_set(F.struct("y", "h"))).alias("c"))
-    picture = _filled("{e}.y", "e.h", f"repeat('{blank}', {size})", size)
-    return pictures.select(
+    channels = 4 if alpha else 3
+    return blocks.assemble(pictures, keys, channels).select(
         *keys,
-        size,
-        F.col(size).alias("height"),
-        F.col(size).alias("width"),
-        F.lit(digits // 2).alias("nChannels"),
+        "size",
+        F.col("size").alias("height"),
+        F.col("size").alias("width"),
+        F.lit(channels).alias("nChannels"),
         F.lit(MODE_BGRA if alpha else MODE_BGR).alias("mode"),
-        F.unhex(F.expr(picture)).alias("data"),
+        "data",
     )
 
 
-def _filled(place: str, text: str, blank: str, length: str) -> str:
-    """SQL text that joins the sorted cells ``c`` as hexadecimal text, ``blank`` for places without a cell.
+def to_image_structs(raster: DataFrame, keys: list[str], size: str, alpha: bool) -> DataFrame:
+    """``picture_structs`` from the drawn pixels of a raster table, whose column ``size`` names the side.
 
-    ``place`` gives the place of cell ``{e}``, ``text`` its digits as an expression of ``e``.
+    Of several pixels at one place the one with the least colour value counts.
     """
-    here, before, last = (place.format(e=e) for e in ("e", "get(c, i - 1)", "element_at(c, -1)"))
-    gap = f"cast({here} - coalesce({before}, -1) - 1 as int)"
-    pieces = f"transform(c, (e, i) -> concat(repeat({blank}, {gap}), {text}))"
-    return f"concat(array_join({pieces}, ''), repeat({blank}, cast({length} - 1 - {last} as int)))"
+    raster = raster.withColumnRenamed(size, "size") if size != "size" else raster
+    if not alpha:
+        raster = raster.withColumn("a", F.lit(255))
+    found = picture_structs(blocks.pack(raster, [*keys, "size"]), keys, alpha)
+    return found.withColumnRenamed("size", size) if size != "size" else found
 
 
 def write_images(images: DataFrame, folder: str, day: str, kind: str) -> None:

@@ -15,10 +15,10 @@ LAYOUT_SCHEMA = (
 SETTINGS_SCHEMA = (
     "image_sizes array<int>, bundle_image_filetype string, erode_size int, bottom_border int, "
     "silo_filter_size_cutoff double, silo_white_min_cutoff double, "
-    "silo_gray_max_cutoff double, silo_min_img_not_background double"
+    "silo_gray_max_cutoff double, silo_min_img_not_background double, canvas_side int"
 )
 
-SETTINGS_REQUIRED = ("image_sizes", "bundle_image_filetype", "erode_size", "bottom_border")
+SETTINGS_REQUIRED = ("bundle_image_filetype", "erode_size", "bottom_border")
 
 
 def read_layouts(spark: SparkSession, path: str) -> DataFrame:
@@ -43,9 +43,13 @@ def parse_layouts(text: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class ImageSettings:
-    """How pictures are cut out and drawn. The defaults of the last four are the usual ones."""
+    """How pictures are cut out and drawn. The defaults of the ``silo`` settings are the usual ones.
 
-    image_sizes: tuple[int, ...]
+    Pictures are stored at every size of ``image_sizes``; without any, once and unscaled, on a canvas of
+    ``canvas_side``.
+    """
+
+    image_sizes: tuple[int, ...] | None
     bundle_image_filetype: str
     erode_size: int
     bottom_border: int
@@ -53,11 +57,23 @@ class ImageSettings:
     silo_white_min_cutoff: float = 1.0
     silo_gray_max_cutoff: float = 0.95
     silo_min_img_not_background: float = 0.1
+    canvas_side: int | None = None
+
+    def __post_init__(self) -> None:
+        if not self.image_sizes and not self.canvas_side:
+            raise ValueError("image settings need image_sizes or canvas_side")
+        if self.image_sizes and self.canvas_side and self.canvas_side < max(self.image_sizes):
+            raise ValueError("a canvas smaller than the largest picture")
 
     @property
     def canvas(self) -> int:
-        """Side of the square a bundle picture is drawn on."""
-        return max(self.image_sizes)
+        """Side of the square a bundle picture is drawn on: the largest size, unless it is named."""
+        return self.canvas_side or max(self.image_sizes)
+
+    @property
+    def sizes(self) -> tuple[int, ...]:
+        """The sides of the stored pictures."""
+        return self.image_sizes or (self.canvas,)
 
 
 def image_settings(settings: DataFrame) -> DataFrame:
@@ -66,11 +82,11 @@ def image_settings(settings: DataFrame) -> DataFrame:
 
 
 def read_image_settings(spark: SparkSession, path: str) -> ImageSettings:
-    """Settings of one JSON object; missing ``silo_*`` keys take their defaults."""
+    """Settings of one JSON object; missing ``silo_*`` keys take their defaults, missing sizes mean unscaled pictures."""
     row = spark.read.schema(SETTINGS_SCHEMA).option("multiLine", True).json(path).first()
     missing = [k for k in SETTINGS_REQUIRED if row[k] is None]
     if missing:
         raise ValueError(f"image settings without {', '.join(missing)}")
     given = {k: v for k, v in row.asDict().items() if v is not None}
-    given["image_sizes"] = tuple(given["image_sizes"])
+    given["image_sizes"] = tuple(given.get("image_sizes") or ()) or None
     return ImageSettings(**given)

@@ -8,11 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from packshot.functions.paths import image_file
-from packshot.operators.silhouette import image_tiles, mask_tiles
-from packshot.operators import compose
+from packshot.operators.silhouette import file_tiles, image_tiles, mask_tiles
+from packshot.operators import compose, silhouette
+from packshot.operators.attributes import PRIMARY_IMAGE
 from packshot.plans import jobs
 from packshot.sources import images
-from packshot.sources.layouts import ImageSettings
+from packshot.sources.layouts import ImageSettings, read_image_settings
 
 
 def png(path, pixels):
@@ -132,6 +133,102 @@ def test_from_files_to_pictures(spark, rows, tmp_path):
     assert rows(spark.read.csv(f"{out}/2020-10-20/package_to_image_mapping.csv")) == [("one", "one_0"), ("three", "three_0"), ("two", "two_0")]
 
 
+def test_only_wanted_files_are_opened(spark, tmp_path):
+    for name in ("a.png", "b[1].png", "c.png", "d{x}.png", "e +%.png"):
+        png(tmp_path / name, np.full((4, 5, 3), 7))
+    wanted = spark.createDataFrame([("b[1].png",), ("d{x}.png",), ("d{x}.png",), ("gone.png",), (None,)], "image_id string")
+    found = images.read_images(spark, str(tmp_path), wanted)
+    assert len(found.inputFiles()) == 2  # of five
+    assert sorted(r.image_id for r in found.collect()) == ["b[1].png", "d{x}.png"]
+    assert {r.image_id for r in images.read_images(spark, str(tmp_path)).collect()} == {r.image_id for r in images.list_images(spark, str(tmp_path)).collect()}
+    assert images.read_images(spark, str(tmp_path), wanted.where("image_id = 'gone.png'")).count() == 0
+    plan = images.list_images(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+    tiles = file_tiles(spark, str(tmp_path), ImageSettings((9,), "png", 1, 1))(wanted)
+    assert {r.image_id for r in tiles.table.collect()} == {"b[1].png", "d{x}.png"}
+
+
+def test_layers_open_the_files_they_use(spark, tmp_path, monkeypatch):
+    square = np.full((20, 20, 3), 255)
+    square[4:16, 4:16] = [200, 10, 10]
+    (tmp_path / "img").mkdir()
+    for i in range(6):
+        png(tmp_path / "img" / f"{i}.png", square)
+    opened = []
+    real = images.read_images
+    monkeypatch.setattr(silhouette, "read_images", lambda *a: opened.append(real(*a)) or opened[-1])
+    attributes = spark.createDataFrame([(str(i), PRIMARY_IMAGE, f"x/{i}.png") for i in range(6)], "oms_id string, attribute_id string, attribute_value string")
+    layers = spark.createDataFrame([("t", 0, "Saw", 0.1, 0.1, 0.5)], "bundle_type string, pos int, product_type string, ulx double, uly double, w double")
+    skus = spark.createDataFrame([("2", "Saw"), ("4", "Saw"), ("5", "Lamp")], "oms_id string, product_type string")
+    settings = ImageSettings((5, 20), "jpg", 1, 2)
+    made = jobs.layer_job(skus, attributes, file_tiles(spark, str(tmp_path / "img"), settings), layers, settings, image_file("img_guid"))
+    assert {r.oms_id for r in made.collect()} == {"2", "4"}
+    assert sorted(f.rpartition("/")[2] for df in opened for f in df.inputFiles()) == ["2.png", "4.png"]  # the lamp has no place
+
+
+def test_unscaled_pictures(spark, rows, tmp_path):
+    """Without sizes every picture is stored once, as drawn, on a canvas of more than one tile."""
+    path = tmp_path / "settings.json"
+    path.write_text('{"bundle_image_filetype": "jpg", "erode_size": 0, "bottom_border": 0, "canvas_side": 200}')
+    settings = read_image_settings(spark, str(path))
+    assert settings.image_sizes is None and settings.canvas == 200 and settings.sizes == (200,)
+    square = np.full((150, 150, 3), 255)
+    square[10:140, 10:140] = np.arange(130 * 130 * 3).reshape(130, 130, 3) % 200
+    (tmp_path / "img").mkdir()
+    png(tmp_path / "img" / "square.png", square)
+    attributes = spark.createDataFrame([("1", PRIMARY_IMAGE, "x/square.png")], "oms_id string, attribute_id string, attribute_value string")
+    lines = spark.createDataFrame([("one", '[{"id": "1", "productType": "Saw"}]')], "line_key string, product_list_json string")
+    layers = spark.createDataFrame([("t", 0, "Saw", 0.0, 0.0, 0.9)], "bundle_type string, pos int, product_type string, ulx double, uly double, w double")
+    tiles = file_tiles(spark, str(tmp_path / "img"), settings)
+    pictures = jobs.picture_job(lines, attributes, tiles, layers, settings, image_file("img_guid"))
+    out = str(tmp_path / "out")
+    jobs.write_pictures(pictures, settings, out, "2020-10-20")
+    stored = spark.read.parquet(f"{out}/package_imgs").collect()
+    assert [r.path for r in stored] == [f"{out}/2020-10-20/package_imgs/one_0.jpg"]
+    assert {r.path for r in jobs.picture_manifest(pictures, settings, out, "2020-10-20").collect()} == {
+        f"{out}/2020-10-20/package_imgs/one_0.jpg", f"{out}/2020-10-20/layer_imgs/1_Saw.png"
+    }
+    got = np.frombuffer(stored[0].data, np.uint8).reshape(200, 200, 3)
+    width = round(130 * (180 / 129))
+    at = (2 * np.arange(width) + 1) * 130 // (2 * width)
+    want = np.full((200, 200, 3), 255)
+    want[:width, :width] = square[10:140, 10:140][at][:, at][..., ::-1]
+    assert (got == want).all()
+
+
+def test_the_usual_canvas(spark, rows, tmp_path):
+    """Pictures of side 1000 at the six usual sizes: 64 tiles each."""
+    side, sizes = 1000, (65, 100, 300, 400, 600, 1000)
+    draw = np.random.default_rng(4)
+    picture = np.full((500, 400, 3), 255)
+    picture[30:470, 20:380] = np.kron(draw.integers(0, 230, (44, 36, 3)), np.ones((10, 10, 1), int))
+    (tmp_path / "img").mkdir()
+    png(tmp_path / "img" / "p.png", picture)
+    settings = ImageSettings(sizes, "jpg", 0, 80)
+    attributes = spark.createDataFrame([("1", PRIMARY_IMAGE, "x/p.png")], "oms_id string, attribute_id string, attribute_value string")
+    lines = spark.createDataFrame([("one", '[{"id": "1", "productType": "Saw"}]')], "line_key string, product_list_json string")
+    layers = spark.createDataFrame([("t", 0, "Saw", 0.1, 0.05, 0.6)], "bundle_type string, pos int, product_type string, ulx double, uly double, w double")
+    tiles = file_tiles(spark, str(tmp_path / "img"), settings)
+    pictures = jobs.picture_job(lines, attributes, tiles, layers, settings, image_file("img_guid"))
+    out = str(tmp_path / "out")
+    jobs.write_pictures(pictures, settings, out, "2020-10-20")
+    stored = {r.size: np.frombuffer(r.data, np.uint8).reshape(r.size, r.size, 3) for r in spark.read.parquet(f"{out}/package_imgs").collect()}
+    assert sorted(stored) == list(sizes)
+    scale = 600 / 359
+    if 439 * scale + 50 > side - 80:
+        scale = (side - 80 - 50) / 439
+    w, h = round(360 * scale), round(440 * scale)
+    x, y = (2 * np.arange(w) + 1) * 360 // (2 * w), (2 * np.arange(h) + 1) * 440 // (2 * h)
+    full = np.full((side, side, 3), 255)
+    full[50 : 50 + h, 100 : 100 + w] = picture[30:470, 20:380][y][:, x][..., ::-1]
+    for size in sizes:
+        cell = np.arange(side) * size // side
+        sums = np.zeros((size, size, 3), np.int64)
+        np.add.at(sums, (cell[:, None], cell[None, :]), full)
+        n = np.bincount(cell)
+        assert (stored[size] == sums // (n[:, None, None] * n[None, :, None])).all()
+
+
 def test_one_colour_per_place(spark):
     raster = spark.createDataFrame(
         [("i", 0, 0, 1, 2, 3, 255, 2), ("i", 0, 0, 9, 9, 9, 255, 2), ("i", 1, 1, 4, 5, 6, 255, 2)],

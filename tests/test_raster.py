@@ -75,6 +75,40 @@ def test_small_regions_are_dropped(spark, masks, how):
     }
 
 
+def test_filtered_masks_do_not_move_tiles_again(spark, masks):
+    df = spark.createDataFrame(mask_rows(masks), "image_id string, x int, y int")
+    totals = spark.createDataFrame([(k, m.size) for k, m in masks.items()], "image_id string, n_pixels long")
+    for how in ({"max_side": 14}, {"tile": 4}):
+        plan = regions.filter_mask(df, totals, 0.04, **how)._jdf.queryExecution().executedPlan().toString()
+        assert "cells" not in plan and "MapInArrow" not in plan  # runs of stored regions
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_component_tree_at_every_level(spark, seed):
+    """Every region of every mask, in tiles that cut them."""
+    rng = np.random.default_rng(seed)
+    levels = {"a": rng.integers(0, 12, (11, 13)), "b": rng.choice([0, 3, 200, 255], (9, 8))}
+    data = [(k, int(x), int(y), int(v[y, x]), int((x + y) % 3 == 0)) for k, v in levels.items() for y in range(v.shape[0]) for x in range(v.shape[1])]
+    df = spark.createDataFrame(data, "image_id string, x int, y int, level int, extra int")
+    for how in ({"tile": 4}, {"max_side": 13}):
+        tiles = regions.tile_pixels(df, 13, **how)
+        found = regions.merge_regions(tiles, regions.tile_regions(tiles, runs=True)).collect()
+        for k, v in levels.items():
+            for mask in range(13):
+                inside = v <= mask if mask < 12 else np.add.outer(np.arange(v.shape[0]), np.arange(v.shape[1])) % 3 == 0
+                got = {}
+                for r in found:
+                    if r.image_id == k and r.mask <= mask <= r.until:
+                        assert sum(e.n for e in r.runs) == r.size
+                        got |= {(e.x + i, e.y): ((r.label & 0xFFFFFFFF, r.label >> 32), r.total) for e in r.runs for i in range(e.n)}
+                assert got == flood(inside)
+
+
+def test_more_levels_than_a_byte_counts(spark):
+    with pytest.raises(ValueError, match="masks"):
+        regions.tile_pixels(spark.createDataFrame([("i", 0, 0)], "image_id string, x int, y int"), 300)
+
+
 def test_copies_of_a_pixel_count_once(spark, masks):
     once = spark.createDataFrame(mask_rows({"half": masks["half"]}), "image_id string, x int, y int")
     assert sorted(regions.regions(once.union(once), 14).collect()) == sorted(regions.regions(once, 14).collect())
@@ -148,6 +182,8 @@ def silhouette_by_definition(p, s):
         ImageSettings((16,), "png", 1, 1),
         ImageSettings((16,), "png", 1, 1, silo_filter_size_cutoff=0.04, silo_min_img_not_background=0.6),
         ImageSettings((16,), "png", 1, 1, silo_gray_max_cutoff=0.9, silo_white_min_cutoff=0.99, silo_filter_size_cutoff=0.03),
+        ImageSettings((16,), "png", 1, 1, silo_gray_max_cutoff=0.5, silo_filter_size_cutoff=0.03, silo_min_img_not_background=0.4),
+        ImageSettings((16,), "png", 1, 1, silo_gray_max_cutoff=0.05, silo_white_min_cutoff=0.9),
     ],
 )
 @pytest.mark.parametrize("tiling", [{"max_side": 11}, {"tile": 4}])
