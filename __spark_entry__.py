@@ -354,13 +354,13 @@ def bundle_pixels(spark, sf_dir):
 
 def bundle_images(spark, sf_dir):
     drawn, names = _bundles(spark, sf_dir)
-    shrunk = blocks.shrink(drawn, ["set_key"], SETTINGS.canvas, list(SETTINGS.sizes))
+    shrunk = blocks.shrink(drawn, ["set_key"], SETTINGS.canvas, list(SETTINGS.sizes), together=True)
     return blocks.pixels(compose.by_name(shrunk, names), ["img_id", "size"], alpha=False)
 
 
 def image_structs(spark, sf_dir):
-    shrunk = compose.resized(views.raster(spark, sf_dir), ["image_id"], SIDE, [3, 4, 8])
-    packed = images.to_image_structs(shrunk, ["image_id"], "size", alpha=False)
+    shrunk = blocks.shrink(blocks.pack(views.raster(spark, sf_dir), ["image_id"]), ["image_id"], SIDE, [3, 4, 8])
+    packed = images.picture_structs(shrunk, ["image_id"], alpha=False)
     return packed.select("image_id", "height", "width", "nChannels", "mode", F.hex("data").alias("bytes"))
 
 

@@ -292,78 +292,76 @@ def _block_span(cells: np.ndarray, size: int, side: int) -> np.ndarray:
     return -(-(cells + 1) * side // size) + (cells * -side // size)
 
 
-def shrink(blocks: DataFrame, keys: list[str], side: int, sizes: list[int], alpha: bool = False, tile: int = TILE) -> DataFrame:
+def _cell_sums(key: np.ndarray, channels: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The keys there are (below ``most``), how often each stands there, and the sums of the channels."""
+    if most <= 4 * len(key) + (1 << 16):
+        n = np.bincount(key, minlength=most)
+        found = np.flatnonzero(n)
+        return found, n[found], [np.bincount(key, c, minlength=most)[found].astype(np.int64) for c in channels]
+    found, back, n = np.unique(key, return_inverse=True, return_counts=True)
+    return found, n, [np.bincount(back, c).astype(np.int64) for c in channels]
+
+
+def shrink(
+    blocks: DataFrame, keys: list[str], side: int, sizes: list[int], alpha: bool = False, tile: int = TILE, together: bool = False
+) -> DataFrame:
     """Blocks ``(keys..., size, tx, ty, cells)`` of square pictures at each of ``sizes``.
 
     Averages blocks of pixels and rounds down; pixels that are not drawn count as white (transparent white with
     ``alpha``), cells without any drawn pixel are not drawn. ``size`` equal to ``side`` passes the blocks through. One
-    pass over the pixels gives the partial sums of a tile for all sizes; sums of one cell from several tiles
-    meet in one shuffle of sums, by picture.
+    pass over the pixels serves all sizes. The blocks of a picture meet in one shuffle; none is needed
+    where they stand ``together``, one after the other in one task, as :func:`stack` gives them. A task holds one picture
+    beyond a batch.
     """
     if max(sizes) > side:
         raise ValueError(f"cannot enlarge pictures of side {side} to {max(sizes)}")
     smaller = sorted({s for s in sizes if s != side})
-    same = blocks.select(*keys, F.lit(side).alias("size"), "tx", "ty", "cells") if side in sizes else None
-    if not smaller:
-        return same
-    names = ["place", "n", "r", "g", "b", "a"]
-    kinds = [np.int32, np.int32, *[np.int64] * 4]
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in _slices(whole):
-                cells, row = _lists(batch.column("cells"))
-                x = batch.column("tx").to_numpy().astype(np.int64)[row] * tile + (cells >> 32) % tile
-                y = batch.column("ty").to_numpy().astype(np.int64)[row] * tile + (cells >> 32) // tile
-                channels = [((cells >> s) & 255).astype(np.float64) for s in (24, 16, 8, 0)]
-                for size in smaller:
-                    key = (row * size + y * size // side) * size + x * size // side
-                    found, back, n = np.unique(key, return_inverse=True, return_counts=True)
-                    if not len(found):
-                        continue
-                    sums = [found % (size * size), n, *(np.bincount(back, c) for c in channels)]
-                    cut = _runs(found // (size * size))
-                    columns = [batch.column(c).take(pa.array(found[cut] // (size * size))) for c in keys]
-                    columns += [pa.array(np.full(len(cut), size, np.int32))]
-                    columns += [_as_lists(v.astype(k), cut) for v, k in zip(sums, kinds, strict=True)]
-                    yield pa.record_batch(columns, [*keys, "size", *names])
-
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in _whole_groups(batches, [*keys, "size"]):
-            starts = _changes(whole, [*keys, "size"])
-            group = np.zeros(whole.num_rows, np.int64)
-            group[starts[1:]] = 1
-            group = np.cumsum(group)
-            lengths = np.diff(whole.column("place").offsets.to_numpy())
-            for a, b in _group_slices(starts, lengths):
+    def shrunk(cells, x, y, group, size):
+        """Group, cell and tile of a picture's cells at ``size``, in the order of group and tile."""
+        first = int(group[0])
+        channels = [((cells >> s) & 255).astype(np.float64) for s in (24, 16, 8, 0)]
+        key = ((group - first) * size + y * size // side) * size + x * size // side
+        found, n, (r, g, b, a) = _cell_sums(key, channels, (int(group[-1]) - first + 1) * size * size)
+        x, y, of = found % size, found // size % size, found // (size * size) + first
+        area = _block_span(x, size, side) * _block_span(y, size, side)
+        mean = [(v + (area - n) * 255) // area for v in (r, g, b)]
+        opaque = a // area if alpha else 255
+        return ((y % tile * tile + x % tile) << 32) | (mean[0] << 24) | (mean[1] << 16) | (mean[2] << 8) | opaque, x // tile, y // tile, of
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        across = -(-side // tile)
+        for whole in _whole_groups(batches, keys):
+            if side in sizes:
+                columns = [whole.column(c) for c in keys] + [pa.array(np.full(whole.num_rows, side, np.int32))]
+                offsets = whole.column("cells").offsets.to_numpy()
+                same = _as_lists(whole.column("cells").flatten().to_numpy(), (offsets - offsets[0])[:-1])
+                yield pa.record_batch([*columns, whole.column("tx"), whole.column("ty"), same], [*keys, "size", "tx", "ty", "cells"])
+            starts = _changes(whole, keys)
+            number = np.zeros(whole.num_rows, np.int64)
+            number[starts[1:]] = 1
+            number = np.cumsum(number)
+            for a, b in _group_slices(starts, np.diff(whole.column("cells").offsets.to_numpy())):
                 part = whole.slice(a, b - a)
-                place, row = _lists(part.column("place"))
-                if not len(place):
+                cells, row = _lists(part.column("cells"))
+                if not len(cells):
                     continue
-                size = part.column("size").to_numpy().astype(np.int64)[row]
-                key = group[a:b][row] * (side * side) + place
-                found, first, back = np.unique(key, return_index=True, return_inverse=True)
-                n, r, g, bl, al = (np.bincount(back, _lists(part.column(c))[0]).astype(np.int64) for c in names[1:])
-                size, spot, of = size[first], place[first].astype(np.int64), found // (side * side)
-                x, y = spot % size, spot // size
-                cells = _block_span(x, size, side) * _block_span(y, size, side)
-                mean = [(v + (cells - n) * 255) // cells for v in (r, g, bl)]
-                opaque = al // cells if alpha else np.full(len(al), 255)
-                t = (y // tile) * (side // tile + 1) + x // tile
-                new = ((y % tile * tile + x % tile) << 32) | (mean[0] << 24) | (mean[1] << 16) | (mean[2] << 8) | opaque
-                order = np.lexsort((new, t, of))
-                of, t, new = of[order], t[order], new[order]
-                cut = _runs(of * ((side // tile + 1) ** 2) + t)
-                rows = pa.array(starts[of[cut]])
-                columns = [whole.column(c).take(rows) for c in [*keys, "size"]]
-                columns += [pa.array((t[cut] % (side // tile + 1)).astype(np.int32)), pa.array((t[cut] // (side // tile + 1)).astype(np.int32))]
-                yield pa.record_batch([*columns, _as_lists(new, cut)], [*keys, "size", "tx", "ty", "cells"])
-
-    typed = types_of(blocks, keys)
-    lists = "place array<int>, n array<int>, r array<bigint>, g array<bigint>, b array<bigint>, a array<bigint>"
-    sums = blocks.select(*keys, "tx", "ty", "cells").mapInArrow(partial, f"{typed}, size int, {lists}")
-    found = sorted_groups(sums, keys, ["size"]).mapInArrow(merged, f"{typed}, size int, tx int, ty int, cells array<bigint>")
-    return same.unionByName(found) if same is not None else found
+                x = part.column("tx").to_numpy().astype(np.int64)[row] * tile + (cells >> 32) % tile
+                y = part.column("ty").to_numpy().astype(np.int64)[row] * tile + (cells >> 32) // tile
+                for size in smaller:
+                    new, tx, ty, of = shrunk(cells, x, y, number[a:b][row], size)
+                    place = (of * across + ty) * across + tx
+                    if size > tile:
+                        order = np.argsort(place, kind="stable")
+                        new, tx, ty, of, place = new[order], tx[order], ty[order], of[order], place[order]
+                    cut = _runs(place)
+                    columns = [whole.column(c).take(pa.array(starts[of[cut]])) for c in keys]
+                    columns += [pa.array(np.full(len(cut), size, np.int32)), *(pa.array(v[cut].astype(np.int32)) for v in (tx, ty))]
+                    yield pa.record_batch([*columns, _as_lists(new, cut)], [*keys, "size", "tx", "ty", "cells"])
+
+    source = blocks.select(*keys, "tx", "ty", "cells")
+    source = source if together else sorted_groups(source, keys, [])
+    return source.mapInArrow(run, f"{types_of(blocks, keys)}, size int, tx int, ty int, cells array<bigint>")
 
 
 # whole pictures

@@ -111,7 +111,7 @@ def write_pictures(pictures: Pictures, settings: ImageSettings, folder: str, day
     name = picture_path(F.lit(LAYER_FOLDER), F.concat_ws("_", *LAYER_KEYS), F.lit("png"), settings, folder, day)
     layers = layers.withColumn("path", name).withColumnsRenamed({"oms_id": "image_id"})
     write_images(layers, f"{folder}/{LAYER_FOLDER}", day, LAYER_FOLDER)
-    shrunk = blocks.shrink(pictures.set_blocks, ["set_key"], side, sizes)
+    shrunk = blocks.shrink(pictures.set_blocks, ["set_key"], side, sizes, together=True)
     bundles = by_name(picture_structs(shrunk, ["set_key"], alpha=False), pictures.names)
     name = picture_path(F.lit(BUNDLE_FOLDER), F.col("img_id"), F.lit(settings.bundle_image_filetype), settings, folder, day)
     bundles = bundles.withColumn("path", name).withColumnsRenamed({"img_id": "image_id"})

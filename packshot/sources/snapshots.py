@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,21 +23,24 @@ def child_folders(spark: SparkSession, pattern: str) -> DataFrame:
     return spark.createDataFrame([(s.getPath().toString(),) for s in found], "path string")
 
 
+def _named_days(listing: DataFrame, root: str) -> DataFrame:
+    """``day`` (text) of each path whose first component below the first ``root`` has the form of a date."""
+    escaped = re.sub(r"([^\w/])", r"\\\1", root.strip("/"))
+    child = rf"^(?>(?:.*?/)??{escaped}/)(\d{{4}}-\d{{2}}-\d{{2}})(?:/|$)"
+    return listing.select(F.regexp_extract("path", child, 1).alias("day")).where("day != ''")
+
+
 def dated_children(listing: DataFrame, root: str) -> DataFrame:
     """``day`` (text) of each path whose first component below ``root`` is a date."""
-    below = F.split_part(F.concat(F.lit("/"), "path"), F.lit("/" + root.strip("/") + "/"), F.lit(2))
-    child = F.split_part(below, F.lit("/"), F.lit(1))
-    # the pattern first: only what looks like a date is parsed, and a cast that fails raises nothing inside
-    is_day = child.rlike(r"^\d{4}-\d{2}-\d{2}$") & child.try_cast("date").isNotNull()
-    return listing.select(F.when(is_day, child).alias("day")).where("day is not null")
+    return _named_days(listing, root).where(F.try_to_date("day", "yyyy-MM-dd").isNotNull())
 
 
 def latest_day(listing: DataFrame, root: str, max_day: str | None = None) -> DataFrame:
     """One row ``day``: the latest dated child of ``root`` not after ``max_day``; NULL if none."""
-    days = dated_children(listing, root)
+    days = _named_days(listing, root).distinct()  # few, however many paths there are
     if max_day is not None:
         days = days.where(F.col("day") <= max_day)
-    return days.agg(F.max("day").cast("date").alias("day"))
+    return days.agg(F.max(F.try_to_date("day", "yyyy-MM-dd")).alias("day"))
 
 
 def latest_snapshot(
