@@ -5,8 +5,8 @@ ids) and ``hex`` (long lowercase hex runs). Weak kinds are too common alone: ``i
 assigned), ``key`` (a random-looking run of letters and digits) and ``endpoint`` (a URL or cloud host).
 
 Every part has a role: identifier (access, id), secret (assign, hex, key), endpoint. A scope is a
-paragraph; parts meet when they lie in one scope, at most ``reach`` code points apart. The meeting parts
-are found by an interval join over the sorted parts of the document. Reported are: an ``id`` that meets a
+paragraph (blank lines part them); parts meet when they begin in one scope, however far apart. The scopes that
+hold parts of a role are found by an interval join of the sorted parts with the scopes of the document. Reported are: an ``id`` that meets a
 secret, a ``key`` that meets an identifier or an endpoint, an ``endpoint`` that meets both an identifier and a
 secret. A weak candidate that overlaps a base span is that span and not reported again.
 
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from packshot.llm import arrow_text
 
 KINDS = ("assign", "access", "hex", "id", "key", "endpoint")
-REACH = 400
 MASK = "[secret]"
 COLUMNS = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 
@@ -60,7 +59,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 class _Parts:
-    """Intervals of one role, for the question whether any lies within reach."""
+    """Intervals of one role, for the question whether any of them overlaps a given one."""
 
     def __init__(self, spans: list[tuple[int, int]]) -> None:
         spans = sorted(spans)
@@ -74,7 +73,17 @@ class _Parts:
         return at > 0 and self.ends[at - 1] >= low
 
 
-def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int = REACH) -> list[tuple[int, int, int]]:
+def _scopes_of(starts: list[int], breaks: list[int]) -> set[int]:
+    """The numbers of the scopes in which a part begins: a merge of two sorted lists."""
+    found, scope = set(), 0
+    for s in sorted(starts):
+        while scope < len(breaks) and breaks[scope] <= s:
+            scope += 1
+        found.add(scope)
+    return found
+
+
+def linked_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Weak candidates that meet complementary parts, as ``(start, kind, end)``."""
     low = text.lower()
     weak = [(m.start(), 5, m.end()) for m in _ENDPOINT.finditer(text)] if "://" in text or ".com" in text else []
@@ -86,18 +95,15 @@ def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int = REACH
     taken = _Parts([(s, e) for s, _, e in base])
     weak = [w for w in weak if not taken.meet(w[0] + 1, w[2] - 1)]
     roles: list[list] = [[], [], []]
-    for s, k, e in [*base, *weak]:
-        roles[(1, 0, 1, 0, 1, 2)[k]].append((s, e))
-    identifiers, secrets, endpoints = (_Parts(r) for r in roles)
-    breaks = [m.start() for m in _BREAK.finditer(text)]
+    for s, k, _ in [*base, *weak]:
+        roles[(1, 0, 1, 0, 1, 2)[k]].append(s)
+    breaks = [m.end() for m in _BREAK.finditer(text)]
+    identifiers, secrets, endpoints = (_scopes_of(r, breaks) for r in roles)
     out = []
     for s, k, e in weak:
-        at = bisect_left(breaks, s)
-        low_end = max(s - reach, breaks[at - 1] + 1 if at else 0)
-        after = bisect_left(breaks, e)
-        high = min(e + reach, (breaks[after] if after < len(breaks) else len(text)) - 1)
-        id_near, secret_near, end_near = (p.meet(low_end + 1, high) for p in (identifiers, secrets, endpoints))
-        if (k == 3 and secret_near) or (k == 4 and (id_near or end_near)) or (k == 5 and id_near and secret_near):
+        scope = bisect_right(breaks, s)
+        has_id, has_secret, has_end = (scope in p for p in (identifiers, secrets, endpoints))
+        if (k == 3 and has_secret) or (k == 4 and (has_id or has_end)) or (k == 5 and has_id and has_secret):
             out.append((s, k, e))
     return out
 
@@ -116,7 +122,7 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join(out) + text[at:]
 
 
-def secret_spans(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def secret_spans(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: counts of base kinds, their digest and all spans; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +130,7 @@ def secret_spans(docs: DataFrame, reach: int = REACH) -> DataFrame:
             rows = []
             for text in part.column("text").to_pylist():
                 base = base_spans(text or "")
-                spans = base + linked_spans(text or "", base, reach)
+                spans = base + linked_spans(text or "", base)
                 digest = hashlib.sha256(spelled(base).encode()).hexdigest()
                 rows.append((*(sum(k == n for _, k, _ in base) for n in range(3)), digest, spelled(spans)))
             kinds = [pa.int64()] * 3 + [pa.string()] * 2
@@ -134,7 +140,7 @@ def secret_spans(docs: DataFrame, reach: int = REACH) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, COLUMNS)
 
 
-def without_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def without_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with all spans masked in ``text`` and, if there is one, ``n_chars`` counted anew."""
     names, schema = docs.columns, docs.schema
 
@@ -144,7 +150,7 @@ def without_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
             texts = []
             for text in part.column(at).to_pylist():
                 base = base_spans(text or "")
-                spans = base + linked_spans(text or "", base, reach)
+                spans = base + linked_spans(text or "", base)
                 texts.append(masked(text, spans) if spans else text)
             columns = list(part.columns)
             columns[at] = pa.array(texts, columns[at].type)
