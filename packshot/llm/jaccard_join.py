@@ -7,16 +7,19 @@ c shingles, for each size that it can link with; sets of sizes s and t under one
 sets are tied to one of them, and nothing has to be verified.
 
 *Large sets* scan inverted lists. With all shingles in one order, rare first, sets that link share one of
-their first ``s - ceil(threshold * s) + 1``; only these are listed. Every entry of a list is compared with
-its smallest and its largest set, first by size and sketch (see below), then on the whole sets, and the links
-found are joined to components. Only lists that still hold sets of different components go on, put together
-where they are much the same (:func:`mixed_lists`). Each is read by a task, in pairs of blocks of
-:data:`BLOCK_ROWS` if it is long, which compares sets of different components by size and by sketches of
-parity bits. The bits in which two sketches differ are at most the shingles in which the sets differ, so a pair
-this rules out does not link. Of sets that, by their sketches, most likely link, a task names enough pairs to
-span them, of others that may link all. Every named pair is verified, and pairs that failed are not named again.
-This is repeated with the lists that named pairs until none is left (from the third time on, all pairs that may
-link are named), so no link between components is lost and no group of links is expanded into all its pairs.
+their first ``s - ceil(threshold * s) + 1``; only these are listed, and of the lists only those that two sets share go
+on. Every entry of a list is paired with its smallest and its largest set. Sizes and sketches of parity bits
+rule most pairs out: the bits in which two sketches differ are at most the shingles in which the sets differ. Each set is
+verified with its most likely partner first, then the pairs that still lie between components.
+
+Only lists that still hold sets of different components go on, put together where they are much the same
+(:func:`mixed_lists`). Each is read by a task, in pairs of blocks of :data:`BLOCK_ROWS` if it is long, which compares
+sets of different components by size and sketch, and names pairs: enough to span the sets that most likely link, and
+all others that may. These are verified. In the lists that named any, all that is left between components is then compared
+on whole sets inside the tasks (:func:`exhausted`), so no link between components is lost, no table of pairs that failed
+is needed and no group of links is expanded into all its pairs.
+
+A set that has to be verified is made from its text once and stored (:func:`stored_sets`).
 
 *The boundary* is the size up to which subsets cost less rows than lists and verification, by the counts of set sizes.
 
@@ -29,13 +32,13 @@ columns are ignored; an empty table gives no row.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import combinations
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packshot.llm import arrow_text, shingles
@@ -47,8 +50,10 @@ LEVEL_BITS = 20
 SMALL_SIZES = 64
 VERIFY_COST = 0.25
 BLOCK_ROWS = 4096
+BLOCK_BYTES = 8 << 20  # of sets
 PAIR_BYTES = 1 << 23
-SPANNING_ROUNDS = 2
+GUESTS = 4096
+GIVEN = 1 << 20
 SKETCH_BITS, LARGE_SKETCH_BITS, LARGE_SET = 1024, 8192, 700
 MAX_SUBSETS = 5000
 
@@ -87,11 +92,19 @@ def boundary(sizes: dict[int, int], percent: int) -> int:
 
 
 def document_sets(docs: DataFrame, k: int) -> DataFrame:
-    """``doc_id, text_key`` (hash of the text), ``node`` (hash of the set, null without one), ``size, sketch``; no shuffle."""
+    """``doc_id, text_key`` (hash of the text), ``node`` (hash of the set, null without one), ``size, sketch``; no shuffle.
+
+    Rows with a ``bin`` are no documents: ``size`` shingles fell into that crowded bin of hashes in a task.
+    """
+    n_bins = 1 << LEVEL_BITS
+    names = ["doc_id", "text_key", "node", "size", "sketch", "bin"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(n_bins, np.int64)
         for part in arrow_text.chunks(batches):
             sets = list(shingles.text_shingles(part, k))
+            bins = (np.concatenate(sets) & np.uint64(n_bins - 1)).astype(np.int64)
+            counts += np.bincount(bins, minlength=n_bins)
             yield pa.record_batch(
                 [
                     part.column("doc_id"),
@@ -99,12 +112,17 @@ def document_sets(docs: DataFrame, k: int) -> DataFrame:
                     pa.array([node_of(x) if len(x) else None for x in sets], pa.int64()),
                     pa.array([len(x) for x in sets], pa.int64()),
                     pa.array([sketch(x) if len(x) else None for x in sets], pa.binary()),
+                    pa.nulls(len(sets), pa.int64()),
                 ],
-                ["doc_id", "text_key", "node", "size", "sketch"],
+                names,
             )
+        mean = counts.mean()
+        at = np.flatnonzero(counts > mean + 6 * np.sqrt(mean) + 6)
+        none = pa.nulls(len(at), pa.int64())
+        yield pa.record_batch([none, none, none, pa.array(counts[at]), pa.nulls(len(at), pa.binary()), pa.array(at)], names)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    return rows.mapInArrow(run, "doc_id long, text_key long, node long, size long, sketch binary")
+    return rows.mapInArrow(run, "doc_id long, text_key long, node long, size long, sketch binary, bin long")
 
 
 def node_of(members: np.ndarray) -> int:
@@ -118,22 +136,10 @@ def sketch(members: np.ndarray) -> bytes:
     return np.packbits(np.bincount(bins, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
 
-def crowded_bins(docs: DataFrame, k: int) -> np.ndarray:
+def bin_levels(bins: DataFrame) -> np.ndarray:
     """A level for each bin of shingle hashes: the binary order of magnitude of counts in crowded bins, else 0."""
-    n_bins = 1 << LEVEL_BITS
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(n_bins, np.int64)
-        for part in arrow_text.chunks(batches):
-            hashes, first = shingles.word_hashes(part)
-            grams, whole = arrow_text.grams(hashes, first, k)
-            counts += np.bincount((grams[whole] & np.uint64(n_bins - 1)).astype(np.int64), minlength=n_bins)
-        mean = counts.mean()
-        at = np.flatnonzero(counts > mean + 6 * np.sqrt(mean) + 6)
-        yield pa.record_batch([pa.array(at), pa.array(counts[at])], ["bin", "n"])
-
-    levels = np.zeros(n_bins, np.uint8)
-    for row in docs.select("text").mapInArrow(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toLocalIterator():
+    levels = np.zeros(1 << LEVEL_BITS, np.uint8)
+    for row in bins.groupBy("bin").agg(F.sum("size").alias("n")).toLocalIterator():
         levels[row["bin"]] = int(row["n"]).bit_length()
     return levels
 
@@ -190,57 +196,112 @@ def set_keys(docs: DataFrame, k: int, percent: int, small: int, levels: np.ndarr
 
 
 def shared_keys(keys: DataFrame) -> DataFrame:
-    """Rows of keys that at least two nodes have, each with the least and the greatest of them.
+    """Rows of stored ``keys`` that at least two nodes have, each with the least and the greatest of them by rank.
 
+    Keys of a single node are told by an aggregate of numbers and dropped by a hash filter before other rows move.
     Copies of a document give equal rows; the aggregates don't mind.
     """
-    entry = F.struct("rank", "node")
-    ends = (
-        keys.groupBy("kind", "key")
-        .agg(F.min(entry).alias("low"), F.max(entry).alias("high"))
-        .where("low.node != high.node and (kind = 1 or low.rank = 0)")
-        .select("kind", "key", F.col("low.node").alias("low"), F.col("high.node").alias("high"))
-    )
-    return keys.join(ends, ["kind", "key"]).distinct()
 
+    def shared(rows: DataFrame, *more) -> DataFrame:
+        found = rows.groupBy("kind", "key").agg(F.min("node").alias("_a"), F.max("node").alias("_b"), F.min("rank").alias("_r"), *more)
+        return found.where("_a != _b and (kind = 1 or _r = 0)").drop("_a", "_b", "_r")
 
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
-    """``u, v, ok`` of pairs of nodes, from the whole sets. ``reps``: ``node, doc_id`` of one document per node.
+    some = materialise(shared(keys))
+    known = shingles.hash_filter(some, F.col("key"), shingles.filter_bits(some.count()))
 
-    The sets are made from the texts again, for the documents that a hash filter lets through.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(shingles.in_filter(known, batch.column("key").to_numpy())))
+
+    rows = materialise(keys.mapInArrow(run, keys.schema))
+    # by rank, and by node where ranks are equal
+    place = F.col("rank").cast("long") * (1 << 40) + F.shiftrightunsigned("node", 24)
+    ends = shared(rows, F.min_by("node", place).alias("low"), F.max_by("node", place).alias("high"))
+    return rows.join(ends, ["kind", "key"]).distinct()
+
+
+def stored_sets(wanted: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """``node, members`` of the nodes of ``wanted`` (``node, doc_id`` of one of its documents): one pass over the texts.
+
+    A hash filter lets their documents through; copies may bring a set again, from other tasks.
     """
-    needed = materialise(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(reps, "node"))
-    bits = shingles.filter_bits(needed.count())
-    known = shingles.hash_filter(needed, F.col("node").bitwiseXOR(F.coalesce("doc_id", F.lit(0))), bits)
+    bits = shingles.filter_bits(wanted.count())
+    known = shingles.hash_filter(wanted, F.col("node").bitwiseXOR(F.coalesce("doc_id", F.lit(0))), bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
         for part in arrow_text.chunks(batches):
             ids = part.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
             sets = list(shingles.text_shingles(part, k))
             nodes = np.array([node_of(x) if len(x) else 0 for x in sets], np.int64)
-            wanted = np.flatnonzero(shingles.in_filter(known, nodes ^ ids)) if len(sets) else []
-            wanted = [i for i in wanted if len(sets[i])]
-            lengths = np.array([len(sets[i]) for i in wanted], np.int64)
-            values = np.concatenate([sets[i] for i in wanted]).view(np.int64) if wanted else np.zeros(0, np.int64)
+            chosen = []
+            for i in np.flatnonzero(shingles.in_filter(known, nodes ^ ids)).tolist() if len(sets) else []:
+                if len(sets[i]) and int(nodes[i]) not in given:
+                    given.add(int(nodes[i]))
+                    chosen.append(i)
+            if len(given) > GIVEN:
+                given.clear()
+            lengths = np.array([len(sets[i]) for i in chosen], np.int64)
+            values = np.concatenate([sets[i] for i in chosen]).view(np.int64) if chosen else np.zeros(0, np.int64)
             offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
             members = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-            yield pa.record_batch([pa.array(nodes[wanted]), members], ["node", "members"])
-
-    sets = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "node long, members array<long>")
-    sides = pairs.select("u", "v", F.explode(F.array("u", "v")).alias("node"))
-    met = sides.join(sets, "node")
-    # copies that the filter lets through bring a set again
-    whole = met.groupBy("u", "v").agg(
-        F.first(F.when(F.col("node") == F.col("u"), F.col("members")), ignorenulls=True).alias("a"),
-        F.first(F.when(F.col("node") == F.col("v"), F.col("members")), ignorenulls=True).alias("b"),
+            yield pa.record_batch([pa.array(nodes[chosen]), members], ["node", "members"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return materialise(texts.mapInArrow(run, "node long, members array<long>"))
+
+
+def _linking(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets link."""
+    small, large = (a, b) if len(a) < len(b) else (b, a)
+    both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``u, v`` that link, on whole sets.
+
+    Of a pair the node with more pairs is the host: its set comes once, and once more for every :data:`GUESTS` pairs, which
+    are dealt to as many tasks; the guest's set comes with the pair.
+    """
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    degree = lambda c: ends.select(F.col("host").alias(c), F.col("n").alias(f"n_{c}"))
+    turned = pairs.join(degree("u"), "u").join(degree("v"), "v")
+    first = (F.col("n_u") > F.col("n_v")) | ((F.col("n_u") == F.col("n_v")) & (F.col("u") < F.col("v")))
+    dealt = turned.select(
+        F.when(first, F.col("u")).otherwise(F.col("v")).alias("host"),
+        F.when(first, F.col("v")).otherwise(F.col("u")).alias("guest"),
+        F.ceil(F.greatest("n_u", "n_v") / GUESTS).alias("salts"),
     )
-    both = F.size(F.array_intersect("a", "b"))
-    sizes = F.size("a") + F.size("b")
-    return whole.select("u", "v", (100 * both >= percent * (sizes - both)).alias("ok"))
+    dealt = materialise(dealt.withColumn("salt", F.pmod(F.xxhash64("guest"), F.col("salts"))).drop("salts").distinct())
+    hosts = dealt.select("host", "salt").distinct().select("host", "salt", F.col("host").alias("node"))
+    sides = dealt.select("host", "salt", F.col("guest").alias("node")).unionByName(hosts)
+    rows = sides.join(sets, "node").select("host", "salt", (F.col("node") != F.col("host")).alias("guest"), "node", "members")
+    rows = rows.repartition("host", "salt").sortWithinPartitions("host", "salt", "guest")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        host, own = None, None
+        for batch in batches:
+            found = []
+            members = batch.column("members")
+            offsets, values = members.offsets.to_numpy(), members.values.to_numpy()
+            for i, (h, guest, node) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("host", "guest", "node")), strict=True)):
+                mine = values[offsets[i] : offsets[i + 1]].view(np.uint64)
+                if not guest:
+                    host, own = h, mine.copy()
+                elif h == host and _linking(own, mine, percent):
+                    found.append((min(h, node), max(h, node)))
+            out = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.record_batch([pa.array(out[:, 0].copy()), pa.array(out[:, 1].copy())], ["u", "v"])
+
+    return rows.mapInArrow(run, "u long, v long").distinct()
 
 
 def plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs that sizes and sketches do not rule out; only these need their whole sets."""
+    """``u, v, far`` of the pairs that sizes and sketches do not rule out; only these need their whole sets.
+
+    ``far``: the bits that differ, of the room there is for shingles that differ.
+    """
     side = lambda n: sketches.select(F.col("node").alias(n), F.col("size").alias(f"size_{n}"), F.col("sketch").alias(f"sketch_{n}"))
     sizes = 100 * F.least("size_u", "size_v") >= percent * F.greatest("size_u", "size_v")
     joined = pairs.join(side("u"), "u").join(side("v"), "v").where(sizes)
@@ -253,9 +314,37 @@ def plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
             room = _room(both, percent)
             sketched = zip(batch.column("sketch_u").to_pylist(), batch.column("sketch_v").to_pylist(), strict=True)
             differ = np.array([int(np.bitwise_count(a ^ b).sum()) for a, b in map(_folded, sketched)])
-            yield batch.filter(pa.array(differ <= room)).select(["u", "v"])
+            found = batch.select(["u", "v"]).append_column("far", pa.array(differ / np.maximum(room, 1)))
+            yield found.filter(pa.array(differ <= room))
+
+    return joined.mapInArrow(run, "u long, v long, far double")
+
+
+def nearest(pairs: DataFrame) -> DataFrame:
+    """Of every node the pair that most likely links."""
+    both = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("other")), F.struct(F.col("v").alias("node"), F.col("u").alias("other")))
+    ends = pairs.select("far", F.explode(both).alias("e")).groupBy("e.node").agg(F.min(F.struct("far", "e.other")).alias("best"))
+    other = F.col("best.other")
+    return ends.select(F.least("node", other).alias("u"), F.greatest("node", other).alias("v")).distinct()
 
-    return joined.mapInArrow(run, "u long, v long")
+
+def between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose ends lie in different components, with these (``a, b``)."""
+    side = lambda c, n: labels.select(F.col("node").alias(c), F.col("component").alias(n))
+    joined = pairs.join(side("u", "a"), "u", "left").join(side("v", "b"), "v", "left")
+    return joined.withColumns({"a": F.coalesce("a", "u"), "b": F.coalesce("b", "v")}).where("a != b")
+
+
+def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after more links: only the components that these join are looked at."""
+    new = materialise(between(links, labels).select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
+    if new.isEmpty():
+        return labels
+    above = materialise(components(new))
+    single = above.join(labels, "node", "left_anti").select("node", F.col("node").alias("component"))
+    up = above.select(F.col("node").alias("component"), F.col("component").alias("_up"))
+    joined = labels.unionByName(single).join(up, "component", "left")
+    return materialise(joined.select("node", F.coalesce("_up", "component").alias("component")))
 
 
 def _room(both: np.ndarray, percent: int) -> np.ndarray:
@@ -266,43 +355,38 @@ def _room(both: np.ndarray, percent: int) -> np.ndarray:
 def mixed_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows ``key, node, size`` of lists that hold sets of different components, with near-equal lists put together.
 
-    Sets that resemble each other stand together in many lists. Lists that share sets, directly or by others, are a
-    bunch; where all pairs of a bunch are fewer than the pairs of its lists, the bunch is one list.
+    Sets that resemble each other stand together in many lists, whose least nodes are then mostly the same. Lists with one
+    least node are a bunch; where all pairs of a bunch are fewer than the pairs of its lists, the bunch is one list.
     """
     marked = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     kinds = marked.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("n"), F.min("node").alias("first"))
-    rows = materialise(lists.join(kinds.where("a != b").select("key", "n", "first"), "key"))
-    bunches = materialise(components(rows.select(F.col("node").alias("u"), F.col("first").alias("v"))))
-    per_list = rows.select("key", "n", F.col("first").alias("node")).distinct().join(bunches, "node")
-    in_lists = per_list.groupBy("component").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("list_pairs"))
-    nodes = bunches.groupBy("component").agg((F.count(F.lit(1)).cast("double") * F.count(F.lit(1))).alias("all_pairs"))
-    joint = materialise(in_lists.join(nodes, "component").where("all_pairs < list_pairs").select("component"))
-    placed = rows.join(bunches, "node")
-    apart = placed.join(joint, "component", "left_anti").select("key", "node", "size")
-    together = placed.join(joint, "component").select(F.xxhash64(F.lit("bunch"), "component").alias("key"), "node", "size").distinct()
-    return apart.unionByName(together)
-
-
-def open_pairs(lists: DataFrame, labels: DataFrame, sketches: DataFrame, failed: DataFrame, percent: int, spanning: bool) -> DataFrame:
-    """Pairs of different components that stand in one list and may link: ``key, u, v``.
-
-    With ``spanning``, pairs that most likely link are named only as far as they join components.
-    """
+    kinds = materialise(kinds.where("a != b").select("key", "n", "first"))
+    rows = materialise(lists.join(kinds.select("key", "first"), "key"))
+    bunched = rows.groupBy("first", "node").agg(F.min("size").alias("size"))
+    square = F.count(F.lit(1)).cast("double") * F.count(F.lit(1))
+    in_lists = kinds.groupBy("first").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("list_pairs"))
+    joint = bunched.groupBy("first").agg(square.alias("all_pairs")).join(in_lists, "first")
+    joint = materialise(joint.where("all_pairs < list_pairs").select("first"))
+    apart = rows.join(joint, "first", "left_anti").select("key", "node", "size")
+    together = bunched.join(joint, "first").select(F.xxhash64(F.lit("bunch"), "first").alias("key"), "node", "size")
+    return materialise(apart.unionByName(together))
+
+
+def _dealt(lists: DataFrame, labels: DataFrame, blocks: Column) -> DataFrame:
+    """Rows of lists with different components, in pairs ``x, y`` of ``blocks`` (an aggregate over a list)."""
     marked = lists.join(labels, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("component"))
-    mixed = (
-        marked.groupBy("key")
-        .agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("n"))
-        .where("a != b")
-        .select("key", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
-    )
-    dealt = marked.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = dealt.withColumn("other", other).select(
+    mixed = marked.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), blocks.cast("int").alias("blocks"))
+    dealt = marked.join(mixed.where("a != b").select("key", "blocks"), "key")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select(
         "key", "node", "size", "component", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
     )
-    bad = failed.groupBy("u").agg(F.collect_set("v").alias("bad")).withColumnRenamed("u", "node")
-    full = dealt.join(_short_sketches(sketches), "node").join(bad, "node", "left")
-    sorted_rows = full.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "node")
+
+
+def _by_list(rows: DataFrame, of_lists: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """What ``of_lists`` makes of whole lists (or pairs of blocks), which stand one after the other in a task."""
+    rows = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None  # the list that the last batch may have cut
@@ -312,12 +396,28 @@ def open_pairs(lists: DataFrame, labels: DataFrame, sketches: DataFrame, failed:
                 table = pa.concat_tables([rest, table])
             starts = _list_starts(table)
             if len(starts) > 1:
-                yield from _named(table.slice(0, int(starts[-1])).combine_chunks(), percent, spanning)
+                yield from of_lists(table.slice(0, int(starts[-1])).combine_chunks())
             rest = table.slice(int(starts[-1])) if len(starts) else table
         if rest is not None and rest.num_rows:
-            yield from _named(rest.combine_chunks(), percent, spanning)
+            yield from of_lists(rest.combine_chunks())
+
+    return rows.mapInArrow(run, schema)
 
-    return sorted_rows.mapInArrow(run, "key long, u long, v long")
+
+def open_pairs(lists: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that stand in one list and may link: ``key, u, v``.
+
+    Pairs that most likely link are named only as far as they join components.
+    """
+    dealt = _dealt(lists, labels, F.ceil(F.count(F.lit(1)) / BLOCK_ROWS))
+    return _by_list(dealt.join(_short_sketches(sketches), "node"), lambda rows: _named(rows, percent), "key long, u long, v long")
+
+
+def exhausted(lists: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``u, v`` that join all components that links inside the lists join, by whole sets in the tasks."""
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("size") * 8 / BLOCK_BYTES))
+    dealt = _dealt(lists, labels, blocks)
+    return _by_list(dealt.join(sets.dropDuplicates(["node"]), "node"), lambda rows: _spanned(rows, percent), "u long, v long").distinct()
 
 
 def _short_sketches(sketches: DataFrame) -> DataFrame:
@@ -365,22 +465,23 @@ def _candidates(size: np.ndarray, bits: np.ndarray, i: np.ndarray, j: np.ndarray
     return i[order], j[order], (estimate <= room)[order]
 
 
-def _named(rows: pa.Table, percent: int, spanning: bool) -> Iterator[pa.RecordBatch]:
-    """The pairs that whole lists name; lists are compared together, up to :data:`PAIR_BYTES` of sketches."""
-    key, node, size, root, block = (rows.column(c).to_numpy().copy() for c in ("key", "node", "size", "component", "block"))
+def _compared(rows: pa.Table, sketches: list[bytes], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The rows ``i, j`` of whole lists that sizes and sketches leave, nearest first, in parts, and the roots to keep.
+
+    Lists are compared together, up to :data:`PAIR_BYTES` of sketches. Who joins components sets their roots; pairs of one root
+    do not come up again in later parts.
+    """
+    size, root, block = (rows.column(c).to_numpy().copy() for c in ("size", "component", "block"))
     crossing = rows.column("x").to_numpy() != rows.column("y").to_numpy()
     size = size.astype(np.int64)
-    sketches = rows.column("sketch").to_pylist()
-    bad = {int(n): set(b) for n, b in zip(node, rows.column("bad").to_pylist(), strict=True) if b}
     starts = _list_starts(rows)
-    ends = np.append(starts[1:], len(node))
+    ends = np.append(starts[1:], len(size))
     number = np.repeat(np.arange(len(starts)), ends - starts)
-    before = np.arange(len(node)) - starts[number]  # rows of the list that a row is compared with
+    before = np.arange(len(size)) - starts[number]  # rows of the list that a row is compared with
     narrow = np.minimum.reduceat(np.array([len(x) for x in sketches]), starts)[number]
-    pairs: list[tuple[int, int, int]] = []
     for width in np.unique(narrow).tolist():
         mine = np.flatnonzero(narrow == width)
-        place = np.zeros(len(node), np.int64)
+        place = np.zeros(len(size), np.int64)
         place[mine] = np.arange(len(mine))
         bits = _folded([sketches[r] for r in mine.tolist()] + [b"\0" * width])
         done = np.concatenate([[0], np.cumsum(before[mine])])
@@ -394,61 +495,93 @@ def _named(rows: pa.Table, percent: int, spanning: bool) -> Iterator[pa.RecordBa
             apart &= ~crossing[i] | (block[i] != block[j])
             i, j = i[apart], j[apart]
             m, n, likely = _candidates(size[mine], bits, place[i], place[j], percent)
-            for p, q, sure in zip(mine[m].tolist(), mine[n].tolist(), likely.tolist(), strict=True):
-                u, v = sorted((int(node[p]), int(node[q])))
-                if root[p] == root[q] or u in bad and v in bad[u]:
-                    continue
-                pairs.append((int(key[p]), u, v))
-                if spanning and sure:
-                    own = slice(starts[number[p]], ends[number[p]])
-                    root[own] = np.where(root[own] == root[q], root[p], root[own])
+            yield mine[m], mine[n], likely, root
             at = to
+
+
+def _joined_roots(root: np.ndarray, starts: np.ndarray, p: int, q: int) -> None:
+    """Give the rows of ``p``'s list with the root of ``q`` the root of ``p``."""
+    at = int(np.searchsorted(starts, p, side="right"))
+    own = slice(int(starts[at - 1]), int(starts[at]) if at < len(starts) else len(root))
+    root[own] = np.where(root[own] == root[q], root[p], root[own])
+
+
+def _named(rows: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """The pairs that whole lists name by sketches."""
+    key, node, starts = rows.column("key").to_numpy(), rows.column("node").to_numpy(), _list_starts(rows)
+    pairs: list[tuple[int, int, int]] = []
+    for i, j, likely, root in _compared(rows, rows.column("sketch").to_pylist(), percent):
+        for p, q, sure in zip(i.tolist(), j.tolist(), likely.tolist(), strict=True):
+            if root[p] == root[q]:
+                continue
+            u, v = sorted((int(node[p]), int(node[q])))
+            pairs.append((int(key[p]), u, v))
+            if sure:
+                _joined_roots(root, starts, p, q)
     found = np.array(pairs, np.int64).reshape(-1, 3)
     yield pa.record_batch([pa.array(found[:, c].copy()) for c in range(3)], ["key", "u", "v"])
 
 
-def jaccard_links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Membership ``doc_id, text_key, node, size`` of every row, and links ``u, v`` that span every component of nodes."""
-    members = materialise(document_sets(docs, k))
+def _spanned(rows: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links that span what links in whole lists, verified on their sets."""
+    node, starts = rows.column("node").to_numpy(), _list_starts(rows)
+    members = rows.column("members").combine_chunks()
+    members = members.chunk(0) if isinstance(members, pa.ChunkedArray) else members
+    offsets, values = members.offsets.to_numpy(), members.values.to_numpy().view(np.uint64)
+    sets = [values[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+    pairs: list[tuple[int, int]] = []
+    for i, j, _, root in _compared(rows, [sketch(x) for x in sets], percent):
+        for p, q in zip(i.tolist(), j.tolist(), strict=True):
+            if root[p] != root[q] and _linking(sets[p], sets[q], percent):
+                pairs.append(tuple(sorted((int(node[p]), int(node[q])))))
+                _joined_roots(root, starts, p, q)
+    found = np.array(pairs, np.int64).reshape(-1, 2)
+    yield pa.record_batch([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["u", "v"])
+
+
+def jaccard_labels(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Membership ``doc_id, text_key, node, size`` of every row, and ``node, component`` of every node that links with another."""
+    stored = materialise(document_sets(docs, k))
+    members = stored.where("bin is null").drop("bin")
     nodes = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("size").alias("size"), F.first("sketch").alias("sketch"))
     nodes = materialise(nodes)
     sizes = {r["size"]: r["n"] for r in nodes.groupBy(F.least("size", F.lit(2 * SMALL_SIZES)).alias("size")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    small = boundary(sizes, percent)
-    shared = materialise(shared_keys(set_keys(docs, k, percent, small, crowded_bins(docs, k))))
+    keys = materialise(set_keys(docs, k, percent, boundary(sizes, percent), bin_levels(stored.where("bin is not null"))))
+    shared = materialise(shared_keys(keys))
     ordered = [F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")]
     sure = shared.where("kind = 0 and node != low").select("node", F.col("low").alias("other")).select(*ordered).distinct()
     lists = shared.where("kind = 1")
     ends = lists.select("node", F.explode(F.array("low", "high")).alias("other")).where("node != other").select(*ordered).distinct()
     reps = nodes.select("node", "doc_id")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        return stored_sets(materialise(wanted.select("node").distinct().join(reps, "node")), docs, k)
+
     likely = materialise(plausible(ends, nodes, percent))
-    checked = materialise(verified(likely, docs, reps, k, percent))
-    links = materialise(sure.union(checked.where("ok").select("u", "v")).distinct())
-    failed = checked.where("not ok").select("u", "v")
-    lists = materialise(mixed_lists(lists.select("key", "node", "size"), materialise(components(links))))
-    turn = 0
-    while True:
-        labels = materialise(components(links))
-        turn += 1
-        named = materialise(open_pairs(lists, labels, nodes, failed, percent, turn <= SPANNING_ROUNDS))
-        if named.isEmpty():
-            return members, links
-        # a list that names no pair has none left
-        lists = lists.join(named.select("key").distinct(), "key", "left_semi")
-        named = named.select("u", "v").distinct()
-        pairs = materialise(plausible(named, nodes, percent))
-        ruled_out = named.join(pairs, ["u", "v"], "left_anti")
-        checked = materialise(verified(pairs, docs, reps, k, percent))
-        links = materialise(links.union(checked.where("ok").select("u", "v")))
-        failed = materialise(failed.union(checked.where("not ok").select("u", "v")).union(ruled_out))
+    sets = sets_of(likely.select(F.explode(F.array("u", "v")).alias("node")))
+    best = materialise(nearest(likely))
+    labels = materialise(components(sure.unionByName(verified(best, sets, percent))))
+    others = materialise(between(likely.join(best, ["u", "v"], "left_anti"), labels).select("u", "v"))
+    if not others.isEmpty():
+        labels = relabelled(labels, materialise(verified(others, sets, percent)))
+    lists = mixed_lists(lists.select("key", "node", "size"), labels)
+    named = materialise(open_pairs(lists, labels, nodes, percent))
+    if named.isEmpty():
+        return members, labels
+    # a list that names no pair has none
+    lists = materialise(lists.join(named.select("key").distinct(), "key", "left_semi"))
+    sets = sets_of(lists)
+    pairs = materialise(plausible(named.select("u", "v").distinct(), nodes, percent))
+    labels = relabelled(labels, materialise(verified(pairs.select("u", "v"), sets, percent)))
+    return members, relabelled(labels, materialise(exhausted(lists, labels, sets, percent)))
 
 
 def _grouped(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Rows of :func:`jaccard_links`, each with its class, its component and ``stays``, the row that stands for the component.
+    """Rows of :func:`jaccard_labels`, each with its class, its component and ``stays``, the row that stands for the component.
 
     That row has the least ``doc_id``, one without an id only if all are, and of several texts under it the least ``text_key``.
     """
-    members, links = jaccard_links(docs, k, percent)
-    labels = components(links)
+    members, labels = jaccard_labels(docs, k, percent)
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     reps = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("class_id"), F.min(row).alias("stays"))
     labelled = reps.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
