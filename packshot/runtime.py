@@ -25,15 +25,28 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder
 
 
+def application_folder(spark: SparkSession) -> str:
+    """The folder of all that this application stores for itself, below :func:`scratch_folder`."""
+    return f"{scratch_folder(spark).rstrip('/')}/packshot-{spark.sparkContext.applicationId}"
+
+
+def remove_stored(spark: SparkSession) -> bool:
+    """Remove what the application has stored for itself, at the end of a job: results that were not written are lost with it.
+
+    Says whether there was anything.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the plan starts from a stored table.
 
     A stored Parquet table survives the loss of executors, and its readers still prune columns.
-    The tables of an application lie in one folder, named by its id, to be removed with it.
+    The tables of an application lie in one folder, named by its id, which :func:`remove_stored` removes.
     """
     spark = df.sparkSession
-    folder = f"{scratch_folder(spark).rstrip('/')}/packshot-{spark.sparkContext.applicationId}"
-    path = f"{folder}/{uuid.uuid4().hex}"
+    path = f"{application_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
