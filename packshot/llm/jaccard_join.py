@@ -14,10 +14,9 @@ verified with its most likely partner first, then the pairs that still lie betwe
 
 Only lists that still hold sets of different components go on, put together where they are much the same
 (:func:`mixed_lists`). Each is read by a task, in pairs of blocks of :data:`BLOCK_ROWS` if it is long, which compares
-sets of different components by size and sketch, and names pairs: enough to span the sets that most likely link, and
-all others that may. These are verified. In the lists that named any, all that is left between components is then compared
-on whole sets inside the tasks (:func:`exhausted`), so no link between components is lost, no table of pairs that failed
-is needed and no group of links is expanded into all its pairs.
+sets of different components by size and sketch. It names the pairs that may link, which are verified, or, where these are
+many more than the sets in them, the sets, which are compared whole inside a task (:func:`exhausted`). So no link
+between components is lost, and no group of sets is expanded into rows of all its pairs.
 
 A set that has to be verified is made from its text once and stored (:func:`stored_sets`).
 
@@ -54,6 +53,8 @@ BLOCK_BYTES = 8 << 20  # of sets
 PAIR_BYTES = 1 << 23
 GUESTS = 4096
 GIVEN = 1 << 20
+DENSE = 8
+SHORT_BITS = 4
 SKETCH_BITS, LARGE_SKETCH_BITS, LARGE_SET = 1024, 8192, 700
 MAX_SUBSETS = 5000
 
@@ -196,17 +197,17 @@ def set_keys(docs: DataFrame, k: int, percent: int, small: int, levels: np.ndarr
 
 
 def shared_keys(keys: DataFrame) -> DataFrame:
-    """Rows of stored ``keys`` that at least two nodes have, each with the least and the greatest of them by rank.
+    """Rows of stored ``keys`` that at least two nodes have, each with the least and the greatest of them by rank, and these ranks.
 
     Keys of a single node are told by an aggregate of numbers and dropped by a hash filter before other rows move.
     Copies of a document give equal rows; the aggregates don't mind.
     """
 
     def shared(rows: DataFrame, *more) -> DataFrame:
-        found = rows.groupBy("kind", "key").agg(F.min("node").alias("_a"), F.max("node").alias("_b"), F.min("rank").alias("_r"), *more)
-        return found.where("_a != _b and (kind = 1 or _r = 0)").drop("_a", "_b", "_r")
+        found = rows.groupBy("kind", "key").agg(F.min("node").alias("_a"), F.max("node").alias("_b"), F.min("rank").alias("low_rank"), *more)
+        return found.where("_a != _b and (kind = 1 or low_rank = 0)").drop("_a", "_b")
 
-    some = materialise(shared(keys))
+    some = materialise(shared(keys).select("key"))
     known = shingles.hash_filter(some, F.col("key"), shingles.filter_bits(some.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +217,7 @@ def shared_keys(keys: DataFrame) -> DataFrame:
     rows = materialise(keys.mapInArrow(run, keys.schema))
     # by rank, and by node where ranks are equal
     place = F.col("rank").cast("long") * (1 << 40) + F.shiftrightunsigned("node", 24)
-    ends = shared(rows, F.min_by("node", place).alias("low"), F.max_by("node", place).alias("high"))
+    ends = shared(rows, F.min_by("node", place).alias("low"), F.max_by("node", place).alias("high"), F.max("rank").alias("high_rank"))
     return rows.join(ends, ["kind", "key"]).distinct()
 
 
@@ -405,12 +406,9 @@ def _by_list(rows: DataFrame, of_lists: Callable[[pa.RecordBatch], Iterator[pa.R
 
 
 def open_pairs(lists: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that stand in one list and may link: ``key, u, v``.
-
-    Pairs that most likely link are named only as far as they join components.
-    """
+    """Pairs of different components that stand in one list and may link, or the sets of crowded lists: ``group, u, v``."""
     dealt = _dealt(lists, labels, F.ceil(F.count(F.lit(1)) / BLOCK_ROWS))
-    return _by_list(dealt.join(_short_sketches(sketches), "node"), lambda rows: _named(rows, percent), "key long, u long, v long")
+    return _by_list(dealt.join(_short_sketches(sketches, percent), "node"), lambda rows: _named(rows, percent), "group long, u long, v long")
 
 
 def exhausted(lists: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -420,15 +418,20 @@ def exhausted(lists: DataFrame, labels: DataFrame, sets: DataFrame, percent: int
     return _by_list(dealt.join(sets.dropDuplicates(["node"]), "node"), lambda rows: _spanned(rows, percent), "u long, v long").distinct()
 
 
-def _short_sketches(sketches: DataFrame) -> DataFrame:
-    """``node, sketch`` folded down to about a bit per shingle, 256 bits at least; the bound holds for these too."""
+def _short_sketches(sketches: DataFrame, percent: int) -> DataFrame:
+    """``node, sketch`` folded down as far as sketches of unlike sets still differ in more bits than linked ones may.
+
+    About half the bits of unlike sets differ. 256 bits at least; the bound holds for folded sketches too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            sizes = batch.column("size").to_numpy()
+            need = SHORT_BITS * _room(2 * sizes, percent) if len(sizes) else sizes
             short = []
-            for size, whole in zip(batch.column("size").to_pylist(), batch.column("sketch").to_pylist(), strict=True):
+            for bits, whole in zip(need.tolist(), batch.column("sketch").to_pylist(), strict=True):
                 width = 32
-                while width * 8 < size and width < len(whole):
+                while width * 8 < bits and width < len(whole):
                     width *= 2
                 short.append(np.bitwise_xor.reduce(np.frombuffer(whole, np.uint8).reshape(-1, width), axis=0).tobytes())
             yield pa.record_batch([batch.column("node"), pa.array(short, pa.binary())], ["node", "sketch"])
@@ -475,26 +478,25 @@ def _compared(rows: pa.Table, sketches: list[bytes], percent: int) -> Iterator[t
     crossing = rows.column("x").to_numpy() != rows.column("y").to_numpy()
     size = size.astype(np.int64)
     starts = _list_starts(rows)
-    ends = np.append(starts[1:], len(size))
-    number = np.repeat(np.arange(len(starts)), ends - starts)
-    before = np.arange(len(size)) - starts[number]  # rows of the list that a row is compared with
-    narrow = np.minimum.reduceat(np.array([len(x) for x in sketches]), starts)[number]
-    for width in np.unique(narrow).tolist():
-        mine = np.flatnonzero(narrow == width)
-        place = np.zeros(len(size), np.int64)
-        place[mine] = np.arange(len(mine))
+    number = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(size))))
+    widths = np.array([len(x) for x in sketches])
+    for width in np.unique(widths).tolist():
+        # sets of like sizes have one width or two neighbours
+        mine = np.flatnonzero((widths == width) | (widths == 2 * width))
+        first = np.flatnonzero(np.append(True, number[mine][1:] != number[mine][:-1]))
+        before = np.arange(len(mine)) - np.repeat(first, np.diff(np.append(first, len(mine))))  # rows of the list to compare with
         bits = _folded([sketches[r] for r in mine.tolist()] + [b"\0" * width])
-        done = np.concatenate([[0], np.cumsum(before[mine])])
+        done = np.concatenate([[0], np.cumsum(before)])
         at = 0
         while at < len(mine):
             to = max(at + 1, int(np.searchsorted(done, done[at] + PAIR_BYTES // width, side="right")) - 1)
-            part = mine[at:to]
-            i = np.repeat(part, before[part])
-            j = arrow_text.ragged(starts[number[part]], before[part])
-            apart = root[i] != root[j]
+            part = np.arange(at, to)
+            m = np.repeat(part, before[part])
+            n = arrow_text.ragged(part - before[part], before[part])
+            i, j = mine[m], mine[n]
+            apart = (root[i] != root[j]) & ((widths[i] == width) | (widths[j] == width))
             apart &= ~crossing[i] | (block[i] != block[j])
-            i, j = i[apart], j[apart]
-            m, n, likely = _candidates(size[mine], bits, place[i], place[j], percent)
+            m, n, likely = _candidates(size[mine], bits, m[apart], n[apart], percent)
             yield mine[m], mine[n], likely, root
             at = to
 
@@ -507,19 +509,24 @@ def _joined_roots(root: np.ndarray, starts: np.ndarray, p: int, q: int) -> None:
 
 
 def _named(rows: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
-    """The pairs that whole lists name by sketches."""
-    key, node, starts = rows.column("key").to_numpy(), rows.column("node").to_numpy(), _list_starts(rows)
-    pairs: list[tuple[int, int, int]] = []
-    for i, j, likely, root in _compared(rows, rows.column("sketch").to_pylist(), percent):
-        for p, q, sure in zip(i.tolist(), j.tolist(), likely.tolist(), strict=True):
-            if root[p] == root[q]:
-                continue
-            u, v = sorted((int(node[p]), int(node[q])))
-            pairs.append((int(key[p]), u, v))
-            if sure:
-                _joined_roots(root, starts, p, q)
-    found = np.array(pairs, np.int64).reshape(-1, 3)
-    yield pa.record_batch([pa.array(found[:, c].copy()) for c in range(3)], ["key", "u", "v"])
+    """What whole lists (or pairs of blocks) name by sketches: ``group, u, v``.
+
+    All pairs that may link, or, of a list with many more pairs than sets in them, these sets alone (``v`` null).
+    """
+    node, starts = rows.column("node").to_numpy(), _list_starts(rows)
+    key, x, y = (rows.column(c).to_numpy().astype(np.int64).view(np.uint64) for c in ("key", "x", "y"))
+    group = arrow_text.mix(key + arrow_text.mix(x * np.uint64(1 << 32) + y)).view(np.int64)
+    found = [(i, j) for i, j, _, _ in _compared(rows, rows.column("sketch").to_pylist(), percent)]
+    i, j = (np.concatenate([f[c] for f in found]) if found else np.zeros(0, np.int64) for c in (0, 1))
+    number = np.searchsorted(starts, i, side="right") - 1
+    involved = np.zeros(len(node), bool)
+    involved[i] = involved[j] = True
+    of = np.searchsorted(starts, np.flatnonzero(involved), side="right") - 1
+    dense = np.bincount(number, minlength=len(starts)) > DENSE * np.bincount(of, minlength=len(starts))
+    few, alone = ~dense[number], np.flatnonzero(involved)[dense[of]]
+    u, v = np.minimum(node[i], node[j])[few], np.maximum(node[i], node[j])[few]
+    columns = [np.concatenate([group[i[few]], group[alone]]), np.concatenate([u, node[alone]])]
+    yield pa.record_batch([*map(pa.array, columns), pa.concat_arrays([pa.array(v), pa.nulls(len(alone), pa.int64())])], ["group", "u", "v"])
 
 
 def _spanned(rows: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
@@ -551,7 +558,9 @@ def jaccard_labels(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> t
     ordered = [F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")]
     sure = shared.where("kind = 0 and node != low").select("node", F.col("low").alias("other")).select(*ordered).distinct()
     lists = shared.where("kind = 1")
-    ends = lists.select("node", F.explode(F.array("low", "high")).alias("other")).where("node != other").select(*ordered).distinct()
+    end = F.explode(F.array(*[F.struct(F.col(c).alias("other"), F.col(f"{c}_rank").alias("far")) for c in ("low", "high")]))
+    ends = lists.select("node", "size", end.alias("e")).where(100 * F.least("size", "e.far") >= percent * F.greatest("size", "e.far"))
+    ends = ends.select("node", "e.other").where("node != other").select(*ordered).distinct()
     reps = nodes.select("node", "doc_id")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
@@ -568,12 +577,13 @@ def jaccard_labels(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> t
     named = materialise(open_pairs(lists, labels, nodes, percent))
     if named.isEmpty():
         return members, labels
-    # a list that names no pair has none
-    lists = materialise(lists.join(named.select("key").distinct(), "key", "left_semi"))
-    sets = sets_of(lists)
-    pairs = materialise(plausible(named.select("u", "v").distinct(), nodes, percent))
-    labels = relabelled(labels, materialise(verified(pairs.select("u", "v"), sets, percent)))
-    return members, relabelled(labels, materialise(exhausted(lists, labels, sets, percent)))
+    tried = likely.select("u", "v")
+    pairs = materialise(plausible(named.where("v is not null").select("u", "v").distinct().join(tried, ["u", "v"], "left_anti"), nodes, percent).select("u", "v"))
+    crowded = named.where("v is null").select(F.col("group").alias("key"), F.col("u").alias("node")).join(nodes.select("node", "size"), "node")
+    crowded = materialise(crowded.select("key", "node", "size"))
+    sets = sets_of(pairs.select(F.explode(F.array("u", "v")).alias("node")).unionByName(crowded.select("node")))
+    links = verified(pairs, sets, percent).unionByName(exhausted(crowded, labels, sets, percent))
+    return members, relabelled(labels, materialise(links))
 
 
 def _grouped(docs: DataFrame, k: int, percent: int) -> DataFrame:
