@@ -6,7 +6,8 @@ documents of a language that pass the base rules; they are summed anew without t
 from the first sums, so that junk does not shape what is normal. A document is dropped when the
 Jensen-Shannon distance (root of the base-2 divergence) of either histogram exceeds its limit. A limit is
 ``share + noise / sqrt(n_words)``, as the distance of a sample from its own source falls with that root.
-Documents shorter than the guard are judged by the base rules alone: their histograms are mostly noise.
+Two guards lie above the least length of the base rules: documents with fewer words, or fewer characters in words, than
+these have histograms that are mostly noise. They are judged by the base rules alone and do not shape the references.
 
 Null texts have no words. A null language is a language of its own. Languages without a word list use the
 words of all lists. Repeated rows are judged one by one; extra columns are ignored. Empty tables give no row.
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 from packshot.runtime import broadcast_if_small, materialise
 
 MIN_WORDS, REPEAT_PERCENT = 50, 50
-GUARD_WORDS = 50
+# the least words and characters in words of a histogram that says something
+GUARD_WORDS, GUARD_CHARS = 60, 300
 # share and noise of the limits
 CHAR_LIMIT, WORD_LIMIT = (0.1, 1.5), (0.06, 2.35)
 
@@ -144,9 +146,13 @@ def _histograms(counts: DataFrame) -> DataFrame:
     return counts.withColumn("_chars", rest(F.col("word_chars"), symbols)).withColumn("_terms", rest(F.col("n_words"), F.col("_common")))
 
 
-def language_references(counts: DataFrame, guard_words: int = GUARD_WORDS) -> DataFrame:
+def long_enough(guard_words: int, guard_chars: int) -> Column:
+    return (F.col("n_words") >= guard_words) & (F.col("word_chars") >= guard_chars)
+
+
+def language_references(counts: DataFrame, guard_words: int = GUARD_WORDS, guard_chars: int = GUARD_CHARS) -> DataFrame:
     """Summed histograms per language: ``lang, _ref_chars, _ref_terms``."""
-    fit = _histograms(counts).where(~F.col("base_failed") & (F.col("n_words") >= guard_words))
+    fit = _histograms(counts).where(~F.col("base_failed") & long_enough(guard_words, guard_chars))
     n_chars = len(CLASSES) + 2
     n_terms = max(len(ALL_WORDS), *(len(w.split()) for w in COMMON.values())) + 1
     sums = [F.sum(F.get(F.col("_chars"), F.lit(i))).alias(f"c{i}") for i in range(n_chars)]
@@ -182,9 +188,9 @@ def _distances(counts: DataFrame, references: DataFrame) -> DataFrame:
     )
 
 
-def _far(guard_words: int, char_limit: tuple[float, float], word_limit: tuple[float, float]) -> Column:
+def _far(guard_words: int, guard_chars: int, char_limit: tuple[float, float], word_limit: tuple[float, float]) -> Column:
     over = lambda name, limit: F.col(name) > limit[0] + limit[1] / F.sqrt("n_words")
-    return (F.col("n_words") >= guard_words) & (over("char_distance", char_limit) | over("word_distance", word_limit))
+    return long_enough(guard_words, guard_chars) & (over("char_distance", char_limit) | over("word_distance", word_limit))
 
 
 def judged(
@@ -192,13 +198,14 @@ def judged(
     guard_words: int = GUARD_WORDS,
     char_limit: tuple[float, float] = CHAR_LIMIT,
     word_limit: tuple[float, float] = WORD_LIMIT,
+    guard_chars: int = GUARD_CHARS,
 ) -> DataFrame:
     """Every document with its base counts, both distances, ``base_failed`` and ``kept``."""
-    far = _far(guard_words, char_limit, word_limit)
+    far = _far(guard_words, guard_chars, char_limit, word_limit)
     counts = materialise(document_counts(docs))
-    all_sums = materialise(language_references(counts, guard_words))
+    all_sums = materialise(language_references(counts, guard_words, guard_chars))
     near = _distances(counts, all_sums).where(~far).select(*counts.columns)
-    near_sums = language_references(near, guard_words)
+    near_sums = language_references(near, guard_words, guard_chars)
     # a language without any document near its own sums keeps these
     alone = all_sums.join(near_sums.select(F.col("_lang").alias("_near")), F.col("_lang").eqNullSafe(F.col("_near")), "left_anti")
     distances = _distances(counts, materialise(near_sums.unionByName(alone)))
