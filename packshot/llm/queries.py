@@ -24,7 +24,7 @@ from packshot.llm import (
     token_output,
 )
 from packshot.llm.sql import SQL
-from packshot.runtime import materialise, scratch_folder
+from packshot.runtime import application_folder, materialise
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,7 +79,7 @@ def op10_secret_scan(spark, sf_dir):
 
 
 def op9_token_output(spark, sf_dir):
-    path = f"{scratch_folder(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
+    path = f"{application_folder(spark)}/token-files-{uuid.uuid4().hex}"
     files = token_output.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_file())
     return token_output.read_token_files(files)
 

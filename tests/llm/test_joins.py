@@ -78,6 +78,25 @@ def test_jaccard(spark, documents, k, percent, seed, monkeypatch):
     assert got == brute_components(rows, k, percent)
 
 
+def test_crowded_lists_are_compared_in_tasks(spark, documents, monkeypatch):
+    """Sets just below the threshold, in lists of which the tasks name the sets and not the pairs."""
+    monkeypatch.setattr(jaccard_join, "DENSE", 0)
+    monkeypatch.setattr(jaccard_join, "BLOCK_BYTES", 20_000)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(60):
+        copy = list(base)
+        for j in range(4 if i % 3 else 2):  # 4 or 2 places of their own
+            copy[(i * 7 + j * 50) % 200] = f"n{i}x{j}"
+        rows.append((i, " ".join(copy)))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(documents(rows)).collect()}
+    want = brute_components(rows, 3, 90)
+    assert got == want and 1 < len({c for _, c in want.values()})
+    rows = near_copies(11)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(documents(rows), 5, 80).collect()}
+    assert got == brute_components(rows, 5, 80)
+
+
 def test_jaccard_chain_without_a_centre(spark, documents):
     # each links with its neighbours only, so the least and greatest set of a list do not find all
     base = [f"w{i}" for i in range(150)]
@@ -133,9 +152,13 @@ def test_boundary_follows_the_cost():
             assert 100 * c >= 90 * (s + t - c) and 100 * (c - 1) < 90 * (s + t - c + 1)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hot", [False, True])
+def test_components(spark, hot, monkeypatch):
+    if hot:  # hubs are split
+        monkeypatch.setattr(components, "HOT_LINKS", 20)
     random.seed(5)
     links = [(random.randrange(300), random.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(40)]
+    links += [(5000, 6000 + i) for i in range(300)] + [(7000 + i, 5000) for i in range(200)]
     root = {}
     find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
     for u, v in links:
@@ -225,6 +248,28 @@ def test_contained_items(spark, documents, odd_rows):
     assert decontamination.contained_items(documents(rows), bench.limit(0)).count() == 0
 
 
+def test_only_candidates_are_verified(spark, documents, monkeypatch):
+    """The result comes through the sketches: what they do not name is not looked at, and they miss nothing."""
+    random.seed(9)
+    boiler = " ".join(f"b{i}" for i in range(8))  # in all items and documents: shared by many, contained by itself in none
+    items = [(i, boiler + " " + " ".join(f"i{i}w{j}" for j in range(60))) for i in range(30)]
+    rows = [(100 + i, " ".join(f"d{i}x{j}" for j in range(400)) + " " + boiler) for i in range(40)]
+    rows += [(200 + i, f"{rows[i][1]} {items[i][1]} {rows[i + 1][1]}") for i in range(30)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    wanted = decontamination.item_shingles(bench, 5)
+    pairs = {(r["_id"], r["item_id"]) for r in decontamination.candidate_pairs(documents(rows), wanted, 5).collect()}
+    assert pairs >= {(200 + i, i) for i in range(30)} and len(pairs) < len(rows) * len(items)
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.contained_items(documents(rows), bench).collect()}
+    assert got == {(200 + i, i) for i in range(30)}
+    real = decontamination.candidate_pairs
+    monkeypatch.setattr(decontamination, "candidate_pairs", lambda *a: real(*a).where("item_id < 7"))
+    assert decontamination.contained_items(documents(rows), bench).count() == 7
+    monkeypatch.setattr(decontamination, "candidate_pairs", real)
+    hot = decontamination.find_hot
+    monkeypatch.setattr(decontamination, "find_hot", lambda df, on, rows: hot(df, on, share=50, rows=3))
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.contained_items(documents(rows), bench).collect()} == got
+
+
 def test_language_model(spark, documents, odd_rows):
     random.seed(7)
     rows = odd_rows[:6] + odd_rows[8:]
@@ -299,6 +344,37 @@ def test_pipeline_stages(spark, documents, odd_rows, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == state.count()
 
 
+def test_pipeline_takes_odd_rows(spark, documents, odd_rows, tmp_path):
+    """Null ids and texts, repeated rows, clashing columns; then empty tables."""
+    for rows, folder in ((odd_rows + [(10, "the of and to in a " * 40), (None, "the of and to in a " * 40), (None, None)], "odd"), ([], "none")):
+        base = tmp_path / folder
+        documents(rows, extra=True).write.parquet(f"{base}/documents.parquet")
+        spark.createDataFrame([(i, 1, 0) for i, _ in rows if i is not None], "doc_id long, quality int, toxic int").write.parquet(f"{base}/labels.parquet")
+        spark.createDataFrame([(1, "a b c d e f g")] if rows else [], "item_id long, text string").write.parquet(f"{base}/benchmark.parquet")
+        state = documents(rows, extra=True)
+        for n, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            columns = state.columns
+            stage(spark, state, str(base)).write.parquet(f"{base}/stage{n}")
+            state = spark.read.parquet(f"{base}/stage{n}")
+            assert n == 4 or state.columns == columns
+            if n == 1:  # of equal sets with and without an id the one with the id stays, as do all without a set
+                kept = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or "") for r in state.collect())
+                want = [(i, t) for i, t in odd_rows[:6]] + [(6, "a b c d e f g"), (None, "no id here at all"), (10, "the of and to in a " * 40), (None, None)]
+                assert kept == (sorted((i is not None, i or 0, t or "") for i, t in want) if rows else [])
+            if n == 2:  # the benchmark item
+                assert not [r for r in state.collect() if r["text"] == "a b c d e f g"]
+        assert state.count() >= len({i for i, _ in rows if i not in (6, None)})
+        assert corpus_pipeline.run(spark, str(base)).count() == state.count()
+
+
+def test_rows_of_one_document_are_scored_together(spark, documents, odd_rows):
+    rows = [*odd_rows, (6, "other words"), (None, "of no one")]
+    got = lm_scoring.scored(documents(rows, extra=True)).collect()
+    assert len(got) == len({i for i, _ in rows})
+    by = {r["doc_id"]: r["n_tokens"] for r in got}
+    assert by[6] == 8 + 8 + 3 and by[None] == 6 + 4
+
+
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert corpus_pipeline.ORACLE_SQL is None and 4 <= len(corpus_pipeline.STAGES) <= 5

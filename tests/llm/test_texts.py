@@ -108,6 +108,14 @@ def test_conversations(spark):
     assert chat_format.read_back(chat_format.format_turns(df.limit(0))).count() == 0
 
 
+def test_a_very_long_turn_reads_back(spark):
+    text = "[/INST] ok </s> \\ é\n" * 60_000
+    df = spark.createDataFrame([(1, 0, "user", text), (1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    got = chat_format.read_back(chat_format.format_turns(df)).first()
+    assert got["loss_chars"] == len(text) and got["loss_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+    assert got["turns_sha256"] == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
+
+
 def plain_counts(text):
     words = WORD.findall(text or "")
     lines = [x for x in (text or "").split("\n") if WORD.search(x)]
@@ -144,6 +152,20 @@ def test_quality_divergence(spark, documents):
     assert all(kept[i] for i in range(120)) and not any(kept[i] for i in range(120, 122))
 
 
+def test_short_documents_are_judged_by_the_base_rules(spark, documents):
+    random.seed(2)
+    common = quality_rules.COMMON["en"].split()
+    clean = [" ".join(random.choice(common) if random.random() < 0.5 else random.choice("bcdfg") + "ain" + str(i)[-1:] for _ in range(300)) for i in range(60)]
+    junk = lambda n, w=6: " ".join(f"Z{i}Q!!!"[:w] for i in range(n))
+    rows = [*enumerate(clean), (100, junk(49)), (101, junk(55)), (102, junk(59, 7)), (103, junk(80, 3)), (104, junk(80)), (105, junk(200))]
+    got = {r["doc_id"]: r for r in quality_rules.judged(documents(rows)).collect()}
+    assert got[100]["base_failed"] and not got[100]["kept"]
+    # between the least length and the guards, by words (101, 102) or by characters (103)
+    assert all(got[i]["kept"] and got[i]["char_distance"] > 0.4 for i in (101, 102, 103))
+    assert got[103]["n_words"] == 80 and got[103]["word_chars"] < quality_rules.GUARD_CHARS
+    assert not got[104]["kept"] and not got[105]["kept"] and not got[105]["base_failed"]
+
+
 def test_js_distance(spark):
     df = spark.sql("select array(1L, 0L) a, array(0L, 5L) b, array(2L, 0L) c, array(0L, 0L) z")
     d = quality_rules.js_distance
@@ -153,6 +175,35 @@ def test_js_distance(spark):
     assert row[0] == pytest.approx(1.0) and row[1] == 0 and row[2] == 0
 
 
+def test_classifier_as_by_a_plain_solver(spark, documents):
+    """Sums over partitions against one matrix, and the calibration against pooling by hand."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    random.seed(4)
+    words = ["the", "of", "House", "tree.", "BUY!!", "$$", "x1", "and"]
+    rows = [(i, "\n".join(" ".join(random.choice(words[: 3 + i % 6]) for _ in range(random.randint(1, 40))) for _ in range(3))) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(random.random() < (0.9 if i % 6 < 3 else 0.2))) for i in range(400)], "doc_id long, quality int")
+    table = quality_classifier.document_statistics(documents(rows).repartition(5))
+    model = quality_classifier.fit(table, labels)
+    held = F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.lit(5)) == 0
+    got = sorted(table.join(labels, "doc_id").select("doc_id", "statistics", "quality", held.alias("held")).collect())
+    x, y, out = np.array([r.statistics for r in got], float), np.array([r.quality for r in got], float), np.array([r.held for r in got])
+    waves = quality_classifier.Waves(x.mean(0), x.std(0))
+    z = waves(x)
+    plain = np.linalg.lstsq(np.vstack([z[~out], np.sqrt(quality_classifier.RIDGE) * np.eye(z.shape[1])]), np.append(y[~out], np.zeros(z.shape[1])), rcond=None)[0]
+    assert np.allclose(model.raw(x), z @ plain, atol=1e-6)
+    order = np.argsort(z[out] @ plain)
+    pools = []  # weight and mean, means ascending
+    for v in y[out][order]:
+        pools.append([1, v])
+        while len(pools) > 1 and pools[-2][1] >= pools[-1][1]:
+            n, m = pools.pop()
+            pools[-1] = [pools[-1][0] + n, (pools[-1][0] * pools[-1][1] + n * m) / (pools[-1][0] + n)]
+    want = np.repeat([m for _, m in pools], [n for n, _ in pools])
+    assert np.allclose(np.interp((z[out] @ plain)[order], model.knots, model.levels), want, atol=1e-6)
+
+
 def test_classifier(spark, documents, odd_rows):
     random.seed(2)
     good = [" ".join(random.choice(["the", "of", "house", "Garden.", "tree"]) for _ in range(120)) for _ in range(150)]
