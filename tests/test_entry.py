@@ -49,7 +49,7 @@ def test_same_as_sql(spark, db, name):
 
 def test_scans_read_what_they_need(spark):
     plan = entry.queries()["layer_skus"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
-    schemas = [set(re.findall(r"(\w+):", x)) for x in re.findall(r"ReadSchema: struct<([^>]*)>", plan)]
+    schemas = [set(re.findall(r"(\w+)#", x)) for x in re.findall(r"FileScan parquet \[([^\]]*)\]", plan)]
     order = {"l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"}
     assert {"l_orderkey", *order} in schemas and {"p_partkey", "p_type", "p_brand"} in schemas
     assert "Python" not in plan and "CartesianProduct" not in plan
