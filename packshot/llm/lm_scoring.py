@@ -1,26 +1,29 @@
 """Log probabilities of texts by a probabilistic suffix tree over words.
 
-Tokens are words (letters A-Z lower-cased) and one end per document. The tree's symbols are the words that make up at least
-``LEAST`` of all training tokens, the end, and one class for all other words; a word of the class has the class's
-probability times its share of it by counts.
-
-*Contexts.* A context is a sequence of up to ``DEPTH`` symbols before a token, the start of the document being
-one. Level by level, contexts of at least ``LEAST`` of the training tokens are counted with the symbols behind them. A
-context is retained, with its suffixes, if its distribution diverges from that of the context without its first
-symbol: by ``DIVERGENCE`` nats or more, and by more than ``GAIN`` nats in all for each symbol that was seen behind it.
-
-*Smoothing.* Behind a context s, ``P(x|s) = (c(sx) + (rest(s) + BETA) P(x|suffix of s)) / (c(s) + BETA)``, where pairs rarer than
-``LEAST_PAIR`` of the training tokens are not stored and ``rest(s)`` is what they add up to. Every distribution adds up to 1.
-
-*Scoring.* Each token takes the longest retained suffix of what stands before it.
-
-All counts cover all training documents. The stored tree is bounded: at most ``1 / LEAST`` symbols and contexts and
-``1 / LEAST_PAIR`` pairs per level; it goes to the tasks. The counts of all words do not: words below ``LEAST`` meet
-the documents in shards of the word hash, one packed row per shard and batch of documents; a packed row of sums comes
-back for each, and these are added up by batch.
-
-Null and empty texts are one end token. Rows of one ``doc_id`` count as one document's texts: their sums are added. A
-null ``doc_id`` is trained on like any other. Extra columns are ignored. Without training documents the model is the
+Tokens are words (letters A-Z lower-cased) and one end per document; every word is a symbol of its own. A context is a
+sequence of up to ``depth`` tokens before a token; the start of the document counts as one.
+
+*Contexts.* A context that occurs ``least_context`` times in the training texts is a candidate, and a token that follows it
+``least_pair`` times is stored behind it; both are plain counts, so the tree grows with the corpus. Level by level, a
+candidate is retained if the context without its first token is, and if its distribution diverges from that one's: by
+``divergence`` nats or more, and by ``gain`` nats in all for each token stored behind it.
+
+*Smoothing.* Behind a context s, ``P(x|s) = (c(sx) + (rest(s) + beta) P(x|suffix of s)) / (c(s) + beta)``, where
+``rest(s)`` is what the tokens that are not stored add up to. Behind the empty context it is ``(c(x) + 1) / (N + V + 1)``. Every
+distribution adds up to 1.
+
+*Scoring.* Each token takes the longest retained suffix of what stands before it. Its log probability is that behind the empty
+context, plus ``log w(s)`` for each retained suffix s, ``w(s) = (rest(s) + beta) / (c(s) + beta)``, plus for each that stores the token
+``log P(x|s) - log P(x|suffix of s) - log w(s)``. So a text's score is a sum over its runs of up to ``depth + 1`` tokens
+of one weight per run, and the tree is a table of run hashes and weights.
+
+All counts cover all training documents, and no part of the tree is bounded by a share of them. Runs that make up at
+least ``HEAD`` of the tokens, fewer than ``1 / HEAD`` per length, go to the tasks; they would be hot keys. All others meet the
+documents in shards of their hash, one packed row per shard and batch of documents; a packed row of sums comes back
+for each. Hash filters of bounded size leave out what is in no shard.
+
+Null and empty texts are one end token. Every row is scored; repeated rows come back as often as they are there. A null
+``doc_id`` is trained on like any other. Extra columns are ignored. Without training documents the model is the
 uniform one over one unseen word. An empty table gives no row.
 """
 
@@ -36,337 +39,393 @@ from pyspark.sql import functions as F
 from packshot.llm import arrow_text, shingles
 from packshot.runtime import materialise
 
-LEAST, LEAST_PAIR, DEPTH = 1e-4, 2e-6, 2
+DEPTH, LEAST_CONTEXT, LEAST_PAIR = 4, 12, 3
 DIVERGENCE, GAIN, BETA = 0.01, 2.0, 10.0
 FOLDS, HELD_FOLD = 7, 2
+HEAD = 1e-5
 BATCH_BYTES = 16 << 20
-SHARD_TOKENS, SHARD_WORDS = 4_000_000, 250_000
-END = np.uint64(0x243F6A8885A308D3)  # the hash that stands for the end token
-# symbols: 0 start of the document, 1 other words, 2 end, then words
-START, OTHER, STOP, FIRST_WORD = 0, 1, 2, 3
+SHARD_TOKENS, SHARD_RUNS = 4_000_000, 250_000
+END = np.uint64(0x243F6A8885A308D3)  # the hashes that stand for the end token and the start
+START = np.uint64(0x13198A2E03707344)
+_STEP = np.uint64(0xD1342543DE82EF95)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(FOLDS)) == HELD_FOLD, F.lit(False))
 
 
-def _tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens, an end behind each text, and the number of tokens before each text."""
+def _stream(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens with a start before and an end behind each text, and where each text starts (with the end of the last)."""
     hashes, first = shingles.word_hashes(part)
     n = np.diff(first)
-    out = np.full(len(hashes) + len(n), END, np.uint64)
-    ends = np.cumsum(n + 1) - 1
+    out = np.full(len(hashes) + 2 * len(n), END, np.uint64)
+    cuts = np.concatenate([[0], np.cumsum(n + 2)])
     own = np.ones(len(out), bool)
-    own[ends] = False
+    own[cuts[:-1]] = own[cuts[1:] - 1] = False
     out[own] = hashes
-    return out, np.concatenate([[0], ends + 1])
+    out[cuts[:-1]] = START
+    return out, cuts
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``word, n``: how often each token hash occurs in training documents (``held`` false)."""
+def _places(cuts: np.ndarray) -> np.ndarray:
+    return np.arange(cuts[-1]) - np.repeat(cuts[:-1], np.diff(cuts))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
 
-        def counted() -> pa.RecordBatch:
-            words, n = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return pa.record_batch([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
+def joined(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """The hash of a run from those of the run without its last and without its first token."""
+    return arrow_text.mix(prefix * _STEP + suffix)
+
+
+def _longer(runs: np.ndarray) -> np.ndarray:
+    """Hashes of the runs that are one token longer, each at its last token; the first one has no meaning."""
+    out = np.zeros_like(runs)
+    out[1:] = joined(runs[:-1], runs[1:])
+    return out
+
 
+def _merged(rows: Iterator[tuple[np.ndarray, ...]], count, limit: int = BATCH_BYTES // 6) -> Iterator[pa.RecordBatch]:
+    """``count`` of the rows put together, whenever there are ``limit`` of them."""
+    held: list[tuple] = []
+    n = 0
+    for row in rows:
+        held.append(row)
+        n += len(row[0])
+        if n >= limit:
+            yield count(*map(np.concatenate, zip(*held, strict=True)))
+            held, n = [], 0
+    if n:
+        yield count(*map(np.concatenate, zip(*held, strict=True)))
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``run, n``: how often each token hash occurs in training documents (``held`` false)."""
+
+    def count(tokens: np.ndarray) -> pa.RecordBatch:
+        words, n = np.unique(tokens, return_counts=True)
+        return pa.record_batch([pa.array(words.view(np.int64)), pa.array(n)], ["run", "n"])
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray]]:
         for part in arrow_text.chunks(batches):
-            held.append(_tokens(part)[0])
-            if sum(map(len, held)) >= BATCH_BYTES // 6:
-                yield counted()
-        if held:
-            yield counted()
+            stream, cuts = _stream(part)
+            yield (np.delete(stream, cuts[:-1]),)
+
+    rows = docs.where("not held").select("text").mapInArrow(lambda batches: _merged(tokens(batches), count), "run long, n long")
+    return rows.groupBy("run").agg(F.sum("n").alias("n"))
+
+
+class Known:
+    """Filters of the runs that may be contexts and of those that may be stored, one token shorter than what is counted."""
+
+    def __init__(self, counts: DataFrame, least_context: int, least_pair: int) -> None:
+        def of(least: int) -> np.ndarray:
+            rows = counts.where(F.col("n") >= least)
+            return shingles.hash_filter(rows, F.col("run"), shingles.filter_bits(rows.count()))
+
+        self.contexts, self.pairs = of(least_context), of(least_pair)
 
-    return docs.where("not held").select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    def among(self, runs: np.ndarray, ok: np.ndarray) -> np.ndarray:
+        """Of the longer runs at ``ok``, those whose halves are both known."""
+        at = np.flatnonzero(ok)
+        at = at[(runs[at - 1] == START) | shingles.in_filter(self.contexts, runs[at - 1])]
+        at = at[shingles.in_filter(self.pairs, runs[at])]
+        out = np.zeros(len(ok), bool)
+        out[at] = True
+        return out
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], known: Known, least: int, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For lengths ``least`` to ``most``: the length, all runs one token shorter, all runs, and the places of the candidates."""
+    for part in arrow_text.chunks(batches):
+        runs, cuts = _stream(part)
+        place = _places(cuts)
+        ok = None
+        for n in range(2, most + 1):
+            shorter, runs = runs, _longer(runs)
+            if n < least:
+                continue
+            if ok is None:
+                ok = known.among(shorter, place >= n - 1)
+            else:
+                ok[1:] &= ok[:-1] & (place[1:] >= n - 1)
+                ok[0] = False
+            yield n, shorter, runs, np.flatnonzero(ok)
+
+
+def repeated_filter(docs: DataFrame, known: Known, bits: int, least_pair: int) -> np.ndarray:
+    """A filter of the pairs of tokens that may occur ``least_pair`` times: the places of a filter are counted, four bytes each."""
+
+    def count(at: np.ndarray) -> pa.RecordBatch:
+        at, n = np.unique(at, return_counts=True)
+        return pa.record_batch([pa.array(at), pa.array(n.clip(0, least_pair).astype(np.int32))], ["at", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((((runs[at] & np.uint64(bits - 1)).astype(np.int32)),) for _, _, runs, at in _candidates(batches, known, 2, 2))
+        return _merged(rows, count)
+
+    rows = docs.where("not held").select("text").mapInArrow(run, "at int, n int")
+    often = rows.groupBy("at").agg(F.sum("n").alias("n")).where(F.col("n") >= least_pair)
+    return shingles.hash_filter(often, F.col("at"), bits)
 
 
-def _is_frequent(total: int) -> Column:
-    return (F.col("n") >= LEAST * total) | (F.col("word") == int(END.view(np.int64)))
+def run_counts(docs: DataFrame, known: Known, least: int, most: int, least_pair: int, repeated: np.ndarray | None = None) -> DataFrame:
+    """``length, context, suffix, run, n`` of the runs of ``least`` to ``most`` tokens that occur ``least_pair`` times behind a candidate."""
 
+    def count(length: np.ndarray, context: np.ndarray, suffix: np.ndarray, runs: np.ndarray) -> pa.RecordBatch:
+        _, at, n = np.unique(runs, return_index=True, return_counts=True)
+        columns = [length[at], context[at].view(np.int64), suffix[at].view(np.int64), n]
+        return pa.record_batch(list(map(pa.array, columns)), ["length", "context", "suffix", "n"])
 
-class Symbols:
-    """Frequent words and what they count; ``of`` gives the symbol of each token hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple[np.ndarray, ...]]:
+            for length, shorter, runs, at in _candidates(batches, known, least, most):
+                if repeated is not None:
+                    at = at[shingles.in_filter(repeated, runs[at])]
+                yield np.full(len(at), length, np.int32), shorter[at - 1], shorter[at], runs[at]
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int, distinct: int) -> None:
-        order = np.argsort(words)
-        self.words, self.counts = words[order], counts[order]
-        self.total, self.distinct = total, distinct
-        # of the class of other words: one minus the rest
-        self.log_other = float(np.log10(max(1e-300, 1 - (self.counts + 1).sum() / (total + distinct + 1))))
-        self.log_base = np.log10((self.counts + 1) / (total + distinct + 1))
+        return _merged(rows(), count, BATCH_BYTES // 16)
 
-    def of(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.where(hashes == END, STOP, OTHER).astype(np.int64)
-        at = np.searchsorted(self.words, hashes).clip(0, len(self.words) - 1)
-        found = np.where(self.words[at] == hashes, at + FIRST_WORD, OTHER)
-        return np.where(hashes == END, STOP, found).astype(np.int64)
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            halves = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("context", "suffix"))
+            yield pa.record_batch([*batch.columns, pa.array(joined(*halves).view(np.int64))], [*batch.schema.names, "run"])
 
-    @property
-    def n(self) -> int:
-        return len(self.words) + FIRST_WORD
+    rows = docs.where("not held").select("text").mapInArrow(run, "length int, context long, suffix long, n long")
+    counts = rows.groupBy("length", "context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= least_pair)
+    return counts.mapInArrow(named, "length int, context long, suffix long, n long, run long")
 
 
-class Tree:
-    """Retained contexts by length, and log probabilities of the symbols behind them.
+def _level(counts: DataFrame, totals: DataFrame, shorter: DataFrame, least_context: int) -> tuple[DataFrame, DataFrame]:
+    """The contexts of a level that are retained (``run, n, weight``), and what they store (``run, n, p, delta``).
 
-    A context of length d is ``earlier context * n + symbol``-coded as one number, the last symbol in the
-    lowest place. ``levels[d - 1]``: sorted codes, their weights of the shorter context, sorted pairs ``code * n + symbol``
-    and the pairs' smoothed counts over the context's total.
+    ``totals``: ``run, n`` of the contexts; ``shorter``: ``run, p`` stored behind their suffixes.
     """
+    contexts = totals.where(F.col("n") >= least_context).select(F.col("run").alias("context"), F.col("n").alias("total"))
+    pairs = counts.join(shorter.select(F.col("run").alias("suffix"), F.col("p").alias("before")), "suffix").join(contexts, "context")
+    rest = F.col("total") - F.col("seen")
+    of_rest = F.when(rest > 0, rest * F.ln(rest / F.col("total") / F.greatest(1 - F.col("expected"), F.lit(1e-12)))).otherwise(0.0)
+    retained = materialise(
+        pairs.groupBy("context")
+        .agg(
+            F.max("total").alias("total"),
+            F.sum("n").alias("seen"),
+            F.sum("before").alias("expected"),
+            F.sum(F.col("n") * F.ln(F.col("n") / F.col("total") / F.col("before"))).alias("gain"),
+            F.count(F.lit(1)).alias("kinds"),
+        )
+        .withColumn("gain", F.col("gain") + of_rest)
+        .where((F.col("gain") >= DIVERGENCE * F.col("total")) & (F.col("gain") >= GAIN * F.col("kinds")))
+        .select("context", "total", ((rest + BETA) / (F.col("total") + BETA)).alias("weight"))
+    )
+    behind = pairs.drop("total").join(retained, "context")
+    p = F.col("n") / (F.col("total") + BETA) + F.col("weight") * F.col("before")
+    stored = behind.withColumn("p", p).select("run", "n", "p", (F.log10("p") - F.log10("before") - F.log10("weight")).alias("delta"))
+    return retained.select(F.col("context").alias("run"), F.col("total").alias("n"), "weight"), materialise(stored)
 
-    def __init__(self, n: int, root: np.ndarray) -> None:
-        self.n, self.root, self.levels = n, root, []
-
-    def probabilities(self, symbols: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """P of each symbol behind its longest retained context; ``before[:, j]`` is the symbol j + 1 places back, -1 beyond the start."""
-        out = self.root[symbols].copy()
-        code, place = np.zeros(len(symbols), np.int64), 1
-        live = np.ones(len(symbols), bool)
-        for d, (codes, weights, pairs, shares) in enumerate(self.levels):
-            live &= before[:, d] >= 0
-            code = code + np.where(live, before[:, d], 0) * place
-            place *= self.n
-            if not len(codes):
-                break
-            at = np.searchsorted(codes, code).clip(0, len(codes) - 1)
-            live &= codes[at] == code
-            pair = code * self.n + symbols
-            got = np.searchsorted(pairs, pair).clip(0, max(0, len(pairs) - 1))
-            seen = np.where(pairs[got] == pair, shares[got], 0.0) if len(pairs) else 0.0
-            out = np.where(live, seen + weights[at] * out, out)
-        return out
 
+def weights(docs: DataFrame, words: DataFrame, total: int, distinct: int, depth: int = DEPTH, least_context: int = LEAST_CONTEXT, least_pair: int = LEAST_PAIR) -> DataFrame:
+    """``run, seen, n, weight``: what each run adds to a score, maybe in two rows. ``seen``: how often it occurs; ``n``: the same for words, else 0.
 
-def _before(symbols: np.ndarray, first: np.ndarray, depth: int) -> np.ndarray:
-    """The symbols 1 to ``depth`` places before each token; the start of its text stands once before the first."""
-    place = np.arange(len(symbols)) - np.repeat(first[:-1], np.diff(first))
-    out = np.full((len(symbols), depth), -1, np.int64)
-    for d in range(1, depth + 1):
-        out[d:, d - 1] = symbols[:-d] if d < len(symbols) else symbols[:0]
-        out[place == d - 1, d - 1] = START
-        out[place < d - 1, d - 1] = -1
+    A word adds ``log10(n + 1)``, on top of the log probability of an unseen word.
+    """
+    spark = docs.sparkSession
+    n_texts = docs.where("not held").count()
+    totals = words.select("run", "n").where(F.col("run") != int(END.view(np.int64))).union(spark.createDataFrame([(int(START), n_texts)], "run long, n long"))
+    shorter = words.select("run", ((F.col("n") + 1) / (total + distinct + 1)).alias("p"))
+    out = words.select("run", F.col("n").alias("seen"), "n", F.log10(F.col("n") + 1).alias("weight"))
+    known = Known(words, least_context, least_pair)
+    repeated = repeated_filter(docs, known, shingles.filter_bits(total), least_pair)
+    lengths = iter(range(2, depth + 2))
+    counts = None
+    for length in lengths:
+        if length <= 4:  # the few longer ones are counted in the same pass
+            most = length if length < 4 else depth + 1
+            counts = materialise(run_counts(docs, known, length, most, least_pair, repeated if length == 2 else None))
+        level = counts.where(F.col("length") == length)
+        retained, stored = _level(level, totals, shorter, least_context)
+        add = F.lit(0).cast("long").alias("n")
+        out = out.union(stored.select("run", F.col("n").alias("seen"), add, F.col("delta").alias("weight")))
+        out = out.union(retained.select("run", F.col("n").alias("seen"), add, F.log10("weight").alias("weight")))
+        totals, shorter = level.select("run", "n"), stored.select("run", "p")
+        if length < 4:
+            known = Known(level, least_context, least_pair)
     return out
 
 
-def _context_pairs(docs: DataFrame, symbols: Symbols, d: int, shorter: np.ndarray) -> DataFrame:
-    """``code, symbol, n`` of training tokens behind contexts of length ``d`` whose last ``d - 1`` symbols are in ``shorter``."""
+class Head:
+    """The runs that many documents hold, and a filter of all others."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys: list[np.ndarray] = []
+    def __init__(self, often: DataFrame, tail: DataFrame, n_tail: int) -> None:
+        often = often.groupBy("run").agg(F.max("n").alias("n"), F.sum("weight").alias("weight"))
+        rows = sorted((r["run"], r["n"], r["weight"]) for r in often.toLocalIterator())
+        runs = np.array([r[0] for r in rows], np.int64).view(np.uint64)
+        order = np.argsort(runs)
+        self.runs = runs[order]
+        self.n = np.array([r[1] for r in rows], np.int64)[order]
+        self.weights = np.array([r[2] for r in rows], np.float64)[order]
+        self.filter = shingles.hash_filter(tail, F.col("run"), shingles.filter_bits(n_tail))
 
-        def counted() -> pa.RecordBatch:
-            key, n = np.unique(np.concatenate(keys), return_counts=True)
-            keys.clear()
-            return pa.record_batch([pa.array(key // symbols.n), pa.array((key % symbols.n).astype(np.int32)), pa.array(n)], ["code", "symbol", "n"])
+    def find(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each run in the head, and whether it is there."""
+        if not len(self.runs):
+            return np.zeros(len(runs), np.int64), np.zeros(len(runs), bool)
+        at = np.searchsorted(self.runs, runs).clip(0, len(self.runs) - 1)
+        return at, self.runs[at] == runs
 
-        for part in arrow_text.chunks(batches):
-            hashes, first = _tokens(part)
-            coded = symbols.of(hashes)
-            before = _before(coded, first, d)
-            ok = before[:, d - 1] >= 0
-            code = sum(before[:, j] * symbols.n**j for j in range(d))
-            if d > 1:
-                last = code % symbols.n ** (d - 1)
-                ok &= shorter[np.searchsorted(shorter, last).clip(0, len(shorter) - 1)] == last
-            keys.append((code * symbols.n + coded)[ok])
-            if sum(map(len, keys)) >= BATCH_BYTES // 6:
-                yield counted()
-        if keys:
-            yield counted()
-
-    rows = docs.where("not held").select("text").mapInArrow(run, "code long, symbol int, n long")
-    return rows.groupBy("code", "symbol").agg(F.sum("n").alias("n"))
-
-
-def grown_tree(docs: DataFrame, symbols: Symbols, depth: int = DEPTH) -> Tree:
-    """The tree over all training documents."""
-    total = symbols.total + symbols.distinct + 1
-    root = np.zeros(symbols.n)
-    root[FIRST_WORD:] = (symbols.counts + 1) / total
-    ends = root[FIRST_WORD:][symbols.words == END]
-    root[STOP] = ends[0] if len(ends) else 1 / total
-    root[OTHER] = 10**symbols.log_other
-    root[FIRST_WORD:][symbols.words == END] = 0.0
-    tree = Tree(symbols.n, root)
-    candidates = np.zeros(1, np.int64)
-    for d in range(1, depth + 1):
-        if symbols.n ** (d + 1) >= 1 << 62 or not len(candidates):
-            break
-        pairs = materialise(_context_pairs(docs, symbols, d, candidates))
-        sums = pairs.groupBy("code").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-        frequent = materialise(sums.where(F.col("total") >= LEAST * symbols.total))
-        kept = pairs.where(F.col("n") >= LEAST_PAIR * symbols.total).join(frequent, "code")
-        rows = np.array([tuple(r) for r in kept.select("code", "symbol", "n", "total", "kinds").toLocalIterator()], np.float64).reshape(-1, 5)
-        contexts = np.array([tuple(r) for r in frequent.select("code", "total").collect()], np.float64).reshape(-1, 2)
-        candidates = np.sort(contexts[:, 0].astype(np.int64))
-        _add_level(tree, d, rows, contexts)
-    return tree
-
-
-def _add_level(tree: Tree, d: int, rows: np.ndarray, contexts: np.ndarray) -> None:
-    """Test the contexts of length ``d`` against their suffixes and add those that diverge."""
-    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-    code, symbol, n, total, kinds = rows[:, 0].astype(np.int64), rows[:, 1].astype(np.int64), rows[:, 2], rows[:, 3], rows[:, 4]
-    # of the suffix alone
-    before = np.stack([code // tree.n**j % tree.n for j in range(d - 1)], 1) if d > 1 else np.zeros((len(code), 0), np.int64)
-    parent = tree.probabilities(symbol, before)
-    if d > 1:  # a tree holds the suffixes of its contexts
-        codes = tree.levels[d - 2][0]
-        suffix = code % tree.n ** (d - 1)
-        have = np.isin(suffix, codes)
-    else:
-        have = np.ones(len(code), bool)
-    starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
-    if len(starts):
-        seen, expected = np.add.reduceat(n, starts), np.add.reduceat(parent, starts)
-        gain = np.add.reduceat(n * np.log(n / total / np.maximum(parent, 1e-300)), starts)
-        rest, rest_expected = np.maximum(total[starts] - seen, 0), np.maximum(1 - expected, 1e-12)
-        gain += np.where(rest > 0, rest * np.log(np.maximum(rest, 1e-300) / total[starts] / rest_expected), 0)
-        keep = have[starts] & (gain >= DIVERGENCE * total[starts]) & (gain >= GAIN * kinds[starts])
-        weights = (rest + BETA) / (total[starts] + BETA)
-        kept_rows = np.repeat(keep, np.diff(np.append(starts, len(code))))
-        shares = (n / (total + BETA))[kept_rows]
-        tree.levels.append((code[starts][keep], weights[keep], (code * tree.n + symbol)[kept_rows], shares))
-    else:
-        tree.levels.append((np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0)))
-
-
-def _tree_sums(docs: DataFrame, symbols: Symbols, tree: Tree) -> DataFrame:
-    """Per row: tokens, and what frequent words and the tree add to the sums."""
-    depth = max(1, len(tree.levels))
-    per_symbol = np.zeros(symbols.n)
-    per_symbol[FIRST_WORD:] = symbols.log_base
-    ends = symbols.log_base[symbols.words == END]
-    per_symbol[STOP] = ends[0] if len(ends) else -np.log10(symbols.total + symbols.distinct + 1)
-    end_known = bool(len(ends))
+
+def _runs(part: pa.RecordBatch, depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each length: the length, hashes of the runs in the texts of ``part``, and their texts. The start alone is no run."""
+    runs, cuts = _stream(part)
+    place, text = _places(cuts), arrow_text.owners(cuts)
+    for n in range(1, depth + 2):
+        if n > 1:
+            runs = _longer(runs)
+        ok = place >= max(1, n - 1)
+        yield n, runs[ok], text[ok]
+
+
+def row_keys(part: pa.RecordBatch) -> np.ndarray:
+    """A hash of each row's id and tokens: rows that share it have the same scores."""
+    ids = part.column("doc_id")
+    keys = ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64) * np.uint64(2) + ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint64)
+    stream, cuts = _stream(part)
+    return arrow_text.mix(arrow_text.mix(keys) + np.add.reduceat(arrow_text.mix(stream + _places(cuts).astype(np.uint64)), cuts[:-1]))
+
+
+def _head_sums(docs: DataFrame, head: Head, depth: int, start: float, unseen: float) -> DataFrame:
+    """A row per document: its tokens, and what the head adds to its sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in arrow_text.chunks(batches):
-            hashes, first = _tokens(part)
-            coded = symbols.of(hashes)
-            scores = np.log10(tree.probabilities(coded, _before(coded, first, depth)))
-            scores[coded == OTHER] -= symbols.log_other
-            known = (coded != OTHER) & ((coded != STOP) | end_known)
-            sums = [np.add.reduceat(x, first[:-1]) for x in (known.astype(np.int64), per_symbol[coded], scores)]
-            columns = [part.column("doc_id"), part.column("held"), pa.array(np.diff(first)), *map(pa.array, sums)]
-            yield pa.record_batch(columns, ["doc_id", "held", "n_tokens", "n_known", "base_score", "score"])
-
-    kinds = "doc_id long, held boolean, n_tokens long, n_known long, base_score double, score double"
+            size = part.num_rows
+            n_tokens, n_known = np.zeros(size, np.int64), np.zeros(size, np.int64)
+            base, score = np.zeros(size), np.full(size, start)
+            for length, runs, text in _runs(part, depth):
+                at, found = head.find(runs)
+                at, whose = at[found], text[found]
+                if length == 1:
+                    n_tokens = np.bincount(text, minlength=size)
+                    n_known = np.bincount(whose, minlength=size)
+                    base += n_tokens * unseen + np.bincount(whose, np.log10(head.n[at] + 1), size)
+                    score += n_tokens * unseen
+                score += np.bincount(whose, head.weights[at], size)
+            columns = [row_keys(part).view(np.int64), n_tokens, n_known, base, score]
+            yield pa.record_batch([part.column("doc_id"), part.column("held"), *map(pa.array, columns)], ["doc_id", "held", "key", "n_tokens", "n_known", "base_score", "score"])
+
+    kinds = "doc_id long, held boolean, key long, n_tokens long, n_known long, base_score double, score double"
     return docs.select("doc_id", "held", "text").mapInArrow(run, kinds)
 
 
-def _rare_sums(docs: DataFrame, counts: DataFrame, symbols: Symbols, n_shards: int) -> DataFrame:
-    """Per document and batch: what words below the frequent ones add. Both scores take their base value.
+def _tail_sums(docs: DataFrame, head: Head, tail: DataFrame, depth: int, n_shards: int) -> DataFrame:
+    """``key, n_known, base_score, score``: what all other runs add, per batch.
 
-    A row of the request is a shard's part of a batch: distinct word hashes, how many entries each has, and the entries,
-    (document of the batch) once per occurrence.
+    A row of the request is a shard's part of a batch: distinct runs, how many entries each has, and the entries (document of
+    the batch), once per occurrence.
     """
-    sizes = "shard int, batch long, doc_ids binary, doc_null binary, words binary, entries binary, docs binary"
+    request = ["shard", "batch", "keys", "runs", "entries", "docs"]
+    answer_columns = ["batch", "keys", "known", "base", "score"]
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         n_bytes = 0
 
         def rows() -> Iterator[pa.RecordBatch]:
-            ids = np.concatenate([h[0] for h in held])
-            null = np.concatenate([h[1] for h in held])
-            hashes = np.concatenate([h[2] for h in held])
-            doc = np.concatenate([h[3] + before for h, before in zip(held, np.cumsum([0, *(len(h[0]) for h in held)]), strict=False)])
+            before = np.cumsum([0, *(len(h[0]) for h in held)])
+            keys = np.concatenate([h[0] for h in held])
+            runs = np.concatenate([h[1] for h in held])
+            doc = np.concatenate([h[2] + b for h, b in zip(held, before, strict=False)])
             held.clear()
-            batch = int(arrow_text.mix(np.add.reduce(arrow_text.mix(ids.view(np.uint64)), keepdims=True)).view(np.int64)[0])
-            shard = (hashes % np.uint64(n_shards)).astype(np.int64)
-            order = np.lexsort((hashes, shard))
-            shard, hashes, doc = shard[order], hashes[order], doc[order]
-            cuts = np.searchsorted(shard, np.arange(n_shards + 1))
+            batch = int(arrow_text.mix(np.add.reduce(keys, keepdims=True)).view(np.int64)[0])
+            shard = (runs % np.uint64(n_shards)).astype(np.int64)
+            order = np.lexsort((runs, shard))
+            runs, doc = runs[order], doc[order]
+            cuts = np.searchsorted(shard[order], np.arange(n_shards + 1))
             for s in range(n_shards):
                 a, b = cuts[s], cuts[s + 1]
                 if a == b:
                     continue
-                words, entries = np.unique(hashes[a:b], return_counts=True)
+                distinct, entries = np.unique(runs[a:b], return_counts=True)
                 used, local = np.unique(doc[a:b], return_inverse=True)
-                values = [ids[used], null[used], words, entries.astype(np.int32), local.astype(np.int32)]
+                values = [keys[used], distinct, entries.astype(np.int32), local.astype(np.int32)]
                 columns = [pa.array([s], pa.int32()), pa.array([batch]), *(pa.array([v.tobytes()], pa.binary()) for v in values)]
-                yield pa.record_batch(columns, [x.split()[0] for x in sizes.split(", ")])
+                yield pa.record_batch(columns, request)
 
         for part in arrow_text.chunks(batches):
-            hashes, first = _tokens(part)
-            rare = symbols.of(hashes) == OTHER
-            ids = part.column("doc_id")
-            held.append((ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False), hashes[rare], arrow_text.owners(first)[rare]))
-            n_bytes += len(hashes) * 6
+            found = []
+            for _, runs, text in _runs(part, depth):
+                at = np.flatnonzero(shingles.in_filter(head.filter, runs))
+                at = at[~head.find(runs[at])[1]]
+                found.append((runs[at], text[at]))
+            runs, text = (np.concatenate(x) for x in zip(*found, strict=True))
+            held.append((row_keys(part), runs, text))
+            n_bytes += len(runs) * 8
             if n_bytes >= BATCH_BYTES:
                 yield from rows()
                 n_bytes = 0
         if held:
             yield from rows()
 
-    unseen = -np.log10(symbols.total + symbols.distinct + 1)
-
-    sums = "batch long, doc_ids binary, doc_null binary, known binary, base binary"
-
     def answer(known: pa.Table, asked: pa.Table) -> pa.Table:
         """A row of sums for each row of the request."""
-        words = known.column("word").to_numpy().view(np.uint64)
-        order = np.argsort(words)
-        words, n = words[order], known.column("n").to_numpy()[order]
+        runs, at = np.unique(known.column("run").to_numpy().view(np.uint64), return_inverse=True)
+        n = np.bincount(at, known.column("n").to_numpy(), len(runs)).astype(np.int64)
+        value = np.bincount(at, known.column("weight").to_numpy(), len(runs))
         out = []
-        for row in asked.drop_columns(["shard"]).to_pylist():
-            mine = np.frombuffer(row["words"], np.uint64)
-            found = np.zeros(len(mine), np.int64)
-            if len(words):
-                at = np.searchsorted(words, mine).clip(0, len(words) - 1)
-                found = np.where(words[at] == mine, n[at], 0)
+        for i in range(asked.num_rows):
+            row = {c: asked.column(c)[i].as_py() for c in request[1:]}
+            mine = np.frombuffer(row["runs"], np.uint64)
+            counts, added = np.zeros(len(mine), np.int64), np.zeros(len(mine))
+            if len(runs):
+                place = np.searchsorted(runs, mine).clip(0, len(runs) - 1)
+                same = runs[place] == mine
+                counts, added = np.where(same, n[place], 0), np.where(same, value[place], 0.0)
             entries, local = np.frombuffer(row["entries"], np.int32), np.frombuffer(row["docs"], np.int32)
-            n_docs = len(row["doc_ids"]) // 8
-            seen = np.repeat(found > 0, entries)
-            known_sums = np.bincount(local[seen], minlength=n_docs).astype(np.int64)
-            base_sums = np.bincount(local, np.repeat(np.log10(found + 1) + unseen, entries), n_docs)
-            out.append((row["batch"], row["doc_ids"], row["doc_null"], known_sums.tobytes(), base_sums.tobytes()))
+            size = len(row["keys"]) // 8
+            sums = [
+                np.bincount(local[np.repeat(counts > 0, entries)], minlength=size).astype(np.int64),
+                np.bincount(local, np.repeat(np.log10(counts + 1), entries), size),
+                np.bincount(local, np.repeat(added, entries), size),
+            ]
+            out.append((row["batch"], row["keys"], *(s.tobytes() for s in sums)))
         kinds = [pa.int64(), *[pa.binary()] * 4]
         columns = zip(*out, strict=True) if out else [[]] * 5
-        return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in sums.split(", ")])
+        return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], answer_columns)
 
     def add(parts: pa.Table) -> pa.Table:
         """The sums of a batch, from all shards: a row per document."""
-        joined = [b"".join(parts.column(c).to_pylist()) for c in ("doc_ids", "doc_null", "known", "base")]
-        ids, null, known, base = (np.frombuffer(x, t) for x, t in zip(joined, (np.int64, bool, np.int64, np.float64), strict=True))
-        key = np.stack([ids, null.astype(np.int64)], 1)
-        docs, at = np.unique(key, axis=0, return_inverse=True)
-        at = at.ravel()
-        columns = [
-            pa.array(docs[:, 0], pa.int64(), mask=docs[:, 1] > 0),
-            pa.array(np.bincount(at, known, len(docs)).astype(np.int64)),
-            pa.array(np.bincount(at, base, len(docs))),
-        ]
-        return pa.table(columns, ["doc_id", "n_known", "base_score"])
-
-    asked = docs.select("doc_id", "text").mapInArrow(ask, sizes)
+        packed = (b"".join(parts.column(c).to_pylist()) for c in answer_columns[1:])
+        keys, known, base, score = (np.frombuffer(x, t) for x, t in zip(packed, (np.int64, np.int64, np.float64, np.float64), strict=True))
+        own, at = np.unique(keys, return_inverse=True)
+        sums = [np.bincount(at, known, len(own)).astype(np.int64), np.bincount(at, base, len(own)), np.bincount(at, score, len(own))]
+        return pa.table([own, *sums], ["key", "n_known", "base_score", "score"])
+
+    binaries = ", ".join(f"{c} binary" for c in request[2:])
+    asked = docs.select("doc_id", "text").mapInArrow(ask, f"shard int, batch long, {binaries}")
     # of the unsigned hash
-    high = F.pmod(F.shiftrightunsigned("word", 1), F.lit(n_shards)) * 2 + F.col("word").bitwiseAND(F.lit(1))
-    rare = counts.where(~_is_frequent(symbols.total)).withColumn("shard", F.pmod(high, F.lit(n_shards)).cast("int"))
-    answers = rare.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(answer, sums)
-    return answers.groupBy("batch").applyInArrow(add, "doc_id long, n_known long, base_score double")
+    high = F.pmod(F.shiftrightunsigned("run", 1), F.lit(n_shards)) * 2 + F.col("run").bitwiseAND(F.lit(1))
+    known = tail.select("run", "n", "weight").withColumn("shard", F.pmod(high, F.lit(n_shards)).cast("int"))
+    binaries = ", ".join(f"{c} binary" for c in answer_columns[1:])
+    answers = known.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(answer, f"batch long, {binaries}")
+    return answers.groupBy("batch").applyInArrow(add, "key long, n_known long, base_score double, score double")
 
 
-def scored(docs: DataFrame) -> DataFrame:
+def scored(docs: DataFrame, depth: int = DEPTH, least_context: int = LEAST_CONTEXT, least_pair: int = LEAST_PAIR) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every document."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held"), F.col("text").cast("string").alias("text"))
-    counts = materialise(word_counts(rows))
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    frequent = counts.where(_is_frequent(total)).toLocalIterator()
-    pairs = [(r["word"], r["n"]) for r in frequent]
-    words = np.array([w for w, _ in pairs], np.int64).view(np.uint64)
-    symbols = Symbols(words, np.array([n for _, n in pairs], np.int64), total, distinct)
-    tree = grown_tree(rows, symbols)
-    n_shards = int(max(1, -(-distinct // SHARD_WORDS), -(-total // SHARD_TOKENS)))
-    parts = _tree_sums(rows, symbols, tree)
-    rare = _rare_sums(rows, counts, symbols, n_shards)
-    rare = rare.select("doc_id", F.lit(None).cast("boolean").alias("held"), F.lit(0).cast("long").alias("n_tokens"), "n_known", "base_score", F.col("base_score").alias("score"))
-    sums = parts.unionByName(rare).groupBy("doc_id").agg(
-        F.max("held").alias("held_out"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
-    )
-    return sums.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+    words = materialise(word_counts(rows))
+    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    table = materialise(weights(rows, words, total, distinct, depth, least_context, least_pair))
+    start = table.where(F.col("run") == int(START)).agg(F.sum("weight")).first()[0] or 0.0
+    often, rest = (table.where(f) for f in (F.col("seen") >= HEAD * total, F.col("seen") < HEAD * total))
+    n_tail = rest.count()
+    head = Head(often, rest, n_tail)
+    n_shards = int(max(1, -(-n_tail // SHARD_RUNS), -(-total // SHARD_TOKENS)))
+    own = _head_sums(rows, head, depth, start, float(-np.log10(total + distinct + 1)))
+    tail = _tail_sums(rows, head, rest, depth, n_shards)
+    sums = ("n_tokens", "n_known", "base_score", "score")
+    none = [F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("boolean").alias("held"), "key", F.lit(0).cast("long").alias("n_tokens")]
+    parts = own.withColumn("copies", F.lit(1)).unionByName(tail.select(*none, "n_known", "base_score", "score", F.lit(0).alias("copies")))
+    # all copies of a row are in its sums
+    each = parts.groupBy("key").agg(F.max("doc_id").alias("doc_id"), F.max("held").alias("held_out"), F.sum("copies").alias("copies"), *[F.sum(c).alias(c) for c in sums])
+    per_row = [(F.col(c) / F.col("copies")).cast("long" if c.startswith("n_") else "double").alias(c) for c in sums]
+    copies = each.select("doc_id", "held_out", *per_row, F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    return copies.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

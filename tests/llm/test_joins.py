@@ -270,42 +270,90 @@ def test_only_candidates_are_verified(spark, documents, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in decontamination.contained_items(documents(rows), bench).collect()} == got
 
 
-def test_language_model(spark, documents, odd_rows):
+def plain_tree(texts, depth, least_context, least_pair):
+    """``(longest, p)`` of a suffix tree over token tuples by dictionaries: the longest retained suffix, and the probability behind it."""
+    seen = Counter()
+    for w in texts:
+        run = ["<start>", *w]
+        seen.update(tuple(run[i : i + n]) for n in range(1, depth + 2) for i in range(len(run) - n + 1))
+    words = {x[0]: n for x, n in seen.items() if len(x) == 1 and x != ("<start>",)}
+    total, behind, tree = sum(words.values()), {}, {}
+    for run, n in seen.items():
+        if n >= least_pair and len(run) > 1:
+            behind.setdefault(run[:-1], {})[run[-1]] = n
+
+    def p(s, x):
+        if not s:
+            return (words.get(x, 0) + 1) / (total + len(words) + 1)
+        rest, n, stored = tree[s]
+        return (stored.get(x, 0) + (rest + lm_scoring.BETA) * p(s[1:], x)) / (n + lm_scoring.BETA)
+
+    for s in sorted(behind, key=len):
+        n, stored = seen[s], behind[s]
+        if n < least_context or (len(s) > 1 and s[1:] not in tree):
+            continue
+        rest, before = n - sum(stored.values()), {x: p(s[1:], x) for x in stored}
+        gain = sum(c * np.log(c / n / before[x]) for x, c in stored.items())
+        gain += rest * np.log(rest / n / max(1e-12, 1 - sum(before.values()))) if rest else 0
+        if gain >= lm_scoring.DIVERGENCE * n and gain >= lm_scoring.GAIN * len(stored):
+            tree[s] = rest, n, stored
+
+    def longest(before):
+        s = ()
+        while len(s) < min(depth, len(before)) and before[len(before) - len(s) - 1 :] in tree:
+            s = before[len(before) - len(s) - 1 :]
+        return s
+
+    return words, tree, longest, p
+
+
+@pytest.mark.parametrize("head", [1e-9, 0.02, 2.0])
+def test_language_model(spark, documents, odd_rows, monkeypatch, head):
+    monkeypatch.setattr(lm_scoring, "HEAD", head)  # all runs with the tasks, some, none
+    monkeypatch.setattr(lm_scoring, "SHARD_RUNS", 100)
     random.seed(7)
-    rows = odd_rows[:6] + odd_rows[8:]
+    rows = [*odd_rows, (6, "other words"), (None, "of no one")]
+    after = {"the": ["cat sat on a mat", "dog ran", *(f"rare{i}" for i in range(40))], "of": ["the", "Cat", "course not"]}
+    after["Cat"] = ["w y0", "v w y1", "u v w y2", "x u v w y3"]
     for i in range(300):
         words = ["start"]
         while len(words) < 60:
-            words.append({"start": "the", "the": random.choice(["cat", "dog", f"rare{random.randrange(500)}"])}.get(words[-1], random.choice(["the", "of", "Cat"])))
+            words += random.choice(after.get(words[-1], ["the", "of", "Cat"])).split()
         rows.append((100 + i, " ".join(words)))
-    tokens = {d: [*words_of(t), None] for d, t in rows}
-    held = {d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2 for d in tokens}
-    counts = Counter(x for d, w in tokens.items() if not held[d] for x in w)
+    rows += rows[-3:]
+    tokens = [(d, tuple([*words_of(t), None])) for d, t in rows]
+    held = {d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in tokens}
+    counts, tree, longest, p = plain_tree([w for d, w in tokens if not held[d]], 4, 12, 3)
+    assert {len(s) for s in tree} == {1, 2, 3, 4} and ("<start>",) in tree
     total, distinct = sum(counts.values()), len(counts)
-    got = {r["doc_id"]: r for r in lm_scoring.scored(documents(rows, extra=True)).collect()}
-    assert got.keys() == tokens.keys()
-    for d, w in tokens.items():
-        r = got[d]
-        base = sum(np.log10((counts[x] + 1) / (total + distinct + 1)) for x in w)
-        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[d], len(w), sum(counts[x] > 0 for x in w), total)
-        assert r["base_score"] == pytest.approx(base) and np.isfinite(r["score"])
-    sums = [[got[d][c] for d in tokens if held[d] and d >= 100] for c in ("score", "base_score")]
-    assert sum(sums[0]) > 0.8 * sum(sums[1])  # log probabilities: the tree has learnt what follows what
-
-
-def test_distributions_add_up_to_one(spark, documents):
-    rows = [(i, " ".join(random.choice(["a", "b", "a b", "c a", f"r{random.randrange(99)}"]) for _ in range(80))) for i in range(60)]
-    docs = documents(rows).selectExpr("doc_id", "false as held", "text")
-    counts = lm_scoring.word_counts(docs).collect()
-    total = sum(r["n"] for r in counts)
-    often = [(r["word"], r["n"]) for r in counts if r["n"] >= 40]
-    symbols = lm_scoring.Symbols(np.array([w for w, _ in often], np.int64).view(np.uint64), np.array([n for _, n in often]), total, len(counts))
-    tree = lm_scoring.grown_tree(docs, symbols)
-    assert len(tree.levels) == 2 and len(tree.levels[0][0]) > 1
-    every = np.arange(1, tree.n)
-    for code in [*tree.levels[0][0].tolist(), *tree.levels[1][0].tolist(), tree.n**2 - 1]:
-        before = np.tile([[code % tree.n, code // tree.n]], (len(every), 1))
-        assert tree.probabilities(every, before).sum() == pytest.approx(1)
+    for s in [(), *random.sample(sorted(tree, key=str), 20)]:
+        assert sum(p(s, x) for x in [*counts, "unseen"]) == pytest.approx(1)
+    want = []
+    for d, w in tokens:
+        base = sum(np.log10((counts.get(x, 0) + 1) / (total + distinct + 1)) for x in w)
+        run = ("<start>", *w)
+        near = [run[max(0, i - 4) : i] for i in range(1, len(run))]
+        score = sum(np.log10(p(longest(s), x)) for s, x in zip(near, w, strict=True))
+        want.append((d is not None, d or 0, held[d], len(w), sum(x in counts for x in w), total, round(base, 6), round(score, 6)))
+    got = []
+    for r in lm_scoring.scored(documents(rows, extra=True)).collect():
+        got.append((r["doc_id"] is not None, r["doc_id"] or 0, *r[1:5], round(r["base_score"], 6), round(r["score"], 6)))
+    assert len(got) == len(rows)
+    for a, b in zip(sorted(got), sorted(want), strict=True):
+        assert a[:6] == b[:6] and a[6:] == pytest.approx(b[6:], abs=1e-4)
+    sums = [sum(r[c] for r in want if r[2] and r[1] >= 100) for c in (7, 6)]
+    assert sums[0] > 0.8 * sums[1]  # log probabilities: the tree has learnt what follows what
+
+
+def test_the_tree_grows_with_the_corpus(spark, documents):
+    def runs(n):
+        random.seed(1)
+        pairs = [f"a{i} b{i} c{i}" for i in range(n)]
+        docs = documents([(i, " ".join(random.sample(pairs, n))) for i in range(20)]).selectExpr("doc_id", "false as held", "text")
+        words = lm_scoring.word_counts(docs)
+        return lm_scoring.weights(docs, words, *words.selectExpr("sum(n)", "count(1)").first()).where("n = 0").count()
+
+    assert runs(800) > 1.9 * runs(400) > 1500
 
 
 def test_nothing_to_score(spark, documents):
@@ -367,14 +415,6 @@ def test_pipeline_takes_odd_rows(spark, documents, odd_rows, tmp_path):
         assert corpus_pipeline.run(spark, str(base)).count() == state.count()
 
 
-def test_rows_of_one_document_are_scored_together(spark, documents, odd_rows):
-    rows = [*odd_rows, (6, "other words"), (None, "of no one")]
-    got = lm_scoring.scored(documents(rows, extra=True)).collect()
-    assert len(got) == len({i for i, _ in rows})
-    by = {r["doc_id"]: r["n_tokens"] for r in got}
-    assert by[6] == 8 + 8 + 3 and by[None] == 6 + 4
-
-
 def test_names():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert corpus_pipeline.ORACLE_SQL is None and 4 <= len(corpus_pipeline.STAGES) <= 5
