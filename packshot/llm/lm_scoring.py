@@ -39,10 +39,10 @@ from pyspark.sql import functions as F
 from packshot.llm import arrow_text, shingles
 from packshot.runtime import materialise
 
-DEPTH, LEAST_CONTEXT, LEAST_PAIR = 4, 12, 3
+DEPTH, LEAST_CONTEXT, LEAST_PAIR = 4, 32, 6
 DIVERGENCE, GAIN, BETA = 0.01, 2.0, 10.0
 FOLDS, HELD_FOLD = 7, 2
-HEAD = 1e-5
+HEAD = 3e-6
 BATCH_BYTES = 16 << 20
 SHARD_TOKENS, SHARD_RUNS = 4_000_000, 250_000
 END = np.uint64(0x243F6A8885A308D3)  # the hashes that stand for the end token and the start
@@ -160,7 +160,7 @@ def repeated_filter(docs: DataFrame, known: Known, bits: int, least_pair: int) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = ((((runs[at] & np.uint64(bits - 1)).astype(np.int32)),) for _, _, runs, at in _candidates(batches, known, 2, 2))
-        return _merged(rows, count)
+        return _merged(rows, count, BATCH_BYTES // 3)
 
     rows = docs.where("not held").select("text").mapInArrow(run, "at int, n int")
     often = rows.groupBy("at").agg(F.sum("n").alias("n")).where(F.col("n") >= least_pair)
@@ -291,38 +291,46 @@ def row_keys(part: pa.RecordBatch) -> np.ndarray:
     return arrow_text.mix(arrow_text.mix(keys) + np.add.reduceat(arrow_text.mix(stream + _places(cuts).astype(np.uint64)), cuts[:-1]))
 
 
-def _head_sums(docs: DataFrame, head: Head, depth: int, start: float, unseen: float) -> DataFrame:
-    """A row per document: its tokens, and what the head adds to its sums."""
+def _narrow(numbers: np.ndarray) -> np.ndarray:
+    """As unsigned numbers of one, two or four bytes."""
+    return numbers.astype(np.min_scalar_type(numbers.max()) if numbers.max() < 1 << 16 else np.uint32)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in arrow_text.chunks(batches):
-            size = part.num_rows
-            n_tokens, n_known = np.zeros(size, np.int64), np.zeros(size, np.int64)
-            base, score = np.zeros(size), np.full(size, start)
-            for length, runs, text in _runs(part, depth):
-                at, found = head.find(runs)
-                at, whose = at[found], text[found]
-                if length == 1:
-                    n_tokens = np.bincount(text, minlength=size)
-                    n_known = np.bincount(whose, minlength=size)
-                    base += n_tokens * unseen + np.bincount(whose, np.log10(head.n[at] + 1), size)
-                    score += n_tokens * unseen
-                score += np.bincount(whose, head.weights[at], size)
-            columns = [row_keys(part).view(np.int64), n_tokens, n_known, base, score]
-            yield pa.record_batch([part.column("doc_id"), part.column("held"), *map(pa.array, columns)], ["doc_id", "held", "key", "n_tokens", "n_known", "base_score", "score"])
-
-    kinds = "doc_id long, held boolean, key long, n_tokens long, n_known long, base_score double, score double"
-    return docs.select("doc_id", "held", "text").mapInArrow(run, kinds)
-
-
-def _tail_sums(docs: DataFrame, head: Head, tail: DataFrame, depth: int, n_shards: int) -> DataFrame:
-    """``key, n_known, base_score, score``: what all other runs add, per batch.
+
+def _wide(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(packed, f"u{len(packed) // n}").astype(np.int64)
+
+
+ROW = np.dtype([("key", "u8"), ("doc_id", "i8"), ("no_id", "?"), ("held", "?"), ("n_tokens", "i8"), ("n_known", "i8"), ("base", "f8"), ("score", "f8")])
+
+
+def _own_sums(part: pa.RecordBatch, runs: list, head: Head, start: float, unseen: float) -> np.ndarray:
+    """A ``ROW`` per document: its tokens, and what the head adds to its sums. ``runs``: of :func:`_runs`."""
+    size = part.num_rows
+    out = np.zeros(size, ROW)
+    ids = part.column("doc_id")
+    out["key"], out["no_id"] = row_keys(part), ids.is_null().to_numpy(zero_copy_only=False)
+    out["doc_id"] = ids.fill_null(0).to_numpy(zero_copy_only=False)
+    out["held"] = part.column("held").to_numpy(zero_copy_only=False)
+    out["n_tokens"] = np.bincount(runs[0][2], minlength=size)
+    out["score"] = start + out["n_tokens"] * unseen
+    for length, hashes, text in runs:
+        at, found = head.find(hashes)
+        at, whose = at[found], text[found]
+        out["score"] += np.bincount(whose, head.weights[at], size)
+        if length == 1:
+            out["n_known"] = np.bincount(whose, minlength=size)
+            out["base"] = out["n_tokens"] * unseen + np.bincount(whose, np.log10(head.n[at] + 1), size)
+    return out
+
+
+def _sums(docs: DataFrame, head: Head, tail: DataFrame, depth: int, n_shards: int, start: float, unseen: float) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, base_score, score`` of every row.
 
     A row of the request is a shard's part of a batch: distinct runs, how many entries each has, and the entries (document of
-    the batch), once per occurrence.
+    the batch), once per occurrence. What is known of the batch itself travels with one of them.
     """
-    request = ["shard", "batch", "keys", "runs", "entries", "docs"]
-    answer_columns = ["batch", "keys", "known", "base", "score"]
+    request = ["shard", "batch", "own", "keys", "runs", "entries", "docs"]
+    answer_columns = ["batch", "own", "keys", "known", "base", "score"]
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -330,34 +338,39 @@ def _tail_sums(docs: DataFrame, head: Head, tail: DataFrame, depth: int, n_shard
 
         def rows() -> Iterator[pa.RecordBatch]:
             before = np.cumsum([0, *(len(h[0]) for h in held)])
-            keys = np.concatenate([h[0] for h in held])
+            own = np.concatenate([h[0] for h in held])
             runs = np.concatenate([h[1] for h in held])
-            doc = np.concatenate([h[2] + b for h, b in zip(held, before, strict=False)])
+            doc = np.concatenate([h[2] + np.int32(b) for h, b in zip(held, before, strict=False)])
             held.clear()
-            batch = int(arrow_text.mix(np.add.reduce(keys, keepdims=True)).view(np.int64)[0])
-            shard = (runs % np.uint64(n_shards)).astype(np.int64)
-            order = np.lexsort((runs, shard))
+            number = arrow_text.mix(np.add.reduce(own["key"], keepdims=True))
+            batch = int(number.view(np.int64)[0])
+            order = np.argsort(runs)
             runs, doc = runs[order], doc[order]
-            cuts = np.searchsorted(shard[order], np.arange(n_shards + 1))
+
+            def row(shard: int, *values: bytes) -> pa.RecordBatch:
+                return pa.record_batch([pa.array([shard], pa.int32()), pa.array([batch]), *(pa.array([v], pa.binary()) for v in values)], request)
+
+            yield row(int(number[0]) % n_shards, own.tobytes(), b"", b"", b"", b"")
+            # shard s has the hashes whose high halves are s / n_shards of all or more
+            cuts = np.searchsorted((runs >> np.uint64(32)) * np.uint64(n_shards) >> np.uint64(32), np.arange(n_shards + 1, dtype=np.uint64))
             for s in range(n_shards):
                 a, b = cuts[s], cuts[s + 1]
                 if a == b:
                     continue
                 distinct, entries = np.unique(runs[a:b], return_counts=True)
                 used, local = np.unique(doc[a:b], return_inverse=True)
-                values = [keys[used], distinct, entries.astype(np.int32), local.astype(np.int32)]
-                columns = [pa.array([s], pa.int32()), pa.array([batch]), *(pa.array([v.tobytes()], pa.binary()) for v in values)]
-                yield pa.record_batch(columns, request)
+                yield row(s, b"", *(v.tobytes() for v in (own["key"][used], distinct, _narrow(entries), _narrow(local))))
 
         for part in arrow_text.chunks(batches):
+            runs = list(_runs(part, depth))
             found = []
-            for _, runs, text in _runs(part, depth):
-                at = np.flatnonzero(shingles.in_filter(head.filter, runs))
-                at = at[~head.find(runs[at])[1]]
-                found.append((runs[at], text[at]))
-            runs, text = (np.concatenate(x) for x in zip(*found, strict=True))
-            held.append((row_keys(part), runs, text))
-            n_bytes += len(runs) * 8
+            for _, hashes, text in runs:
+                at = np.flatnonzero(shingles.in_filter(head.filter, hashes))
+                at = at[~head.find(hashes[at])[1]]
+                found.append((hashes[at], text[at].astype(np.int32)))
+            asked, text = (np.concatenate(x) for x in zip(*found, strict=True))
+            held.append((_own_sums(part, runs, head, start, unseen), asked, text))
+            n_bytes += len(asked) * 12 + part.num_rows * ROW.itemsize
             if n_bytes >= BATCH_BYTES:
                 yield from rows()
                 n_bytes = 0
@@ -373,39 +386,55 @@ def _tail_sums(docs: DataFrame, head: Head, tail: DataFrame, depth: int, n_shard
         for i in range(asked.num_rows):
             row = {c: asked.column(c)[i].as_py() for c in request[1:]}
             mine = np.frombuffer(row["runs"], np.uint64)
+            if not len(mine):
+                out.append((row["batch"], row["own"], b"", b"", b"", b""))
+                continue
             counts, added = np.zeros(len(mine), np.int64), np.zeros(len(mine))
             if len(runs):
                 place = np.searchsorted(runs, mine).clip(0, len(runs) - 1)
                 same = runs[place] == mine
                 counts, added = np.where(same, n[place], 0), np.where(same, value[place], 0.0)
-            entries, local = np.frombuffer(row["entries"], np.int32), np.frombuffer(row["docs"], np.int32)
+            entries = _wide(row["entries"], len(mine))
+            local = _wide(row["docs"], int(entries.sum()))
             size = len(row["keys"]) // 8
             sums = [
                 np.bincount(local[np.repeat(counts > 0, entries)], minlength=size).astype(np.int64),
                 np.bincount(local, np.repeat(np.log10(counts + 1), entries), size),
                 np.bincount(local, np.repeat(added, entries), size),
             ]
-            out.append((row["batch"], row["keys"], *(s.tobytes() for s in sums)))
-        kinds = [pa.int64(), *[pa.binary()] * 4]
-        columns = zip(*out, strict=True) if out else [[]] * 5
+            out.append((row["batch"], b"", row["keys"], *(s.tobytes() for s in sums)))
+        kinds = [pa.int64(), *[pa.binary()] * 5]
+        columns = zip(*out, strict=True) if out else [[]] * 6
         return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], answer_columns)
 
     def add(parts: pa.Table) -> pa.Table:
-        """The sums of a batch, from all shards: a row per document."""
+        """The rows of a batch with the sums from all shards, in which equal rows are added up."""
         packed = (b"".join(parts.column(c).to_pylist()) for c in answer_columns[1:])
-        keys, known, base, score = (np.frombuffer(x, t) for x, t in zip(packed, (np.int64, np.int64, np.float64, np.float64), strict=True))
-        own, at = np.unique(keys, return_inverse=True)
-        sums = [np.bincount(at, known, len(own)).astype(np.int64), np.bincount(at, base, len(own)), np.bincount(at, score, len(own))]
-        return pa.table([own, *sums], ["key", "n_known", "base_score", "score"])
+        own, keys, known, base, score = (np.frombuffer(x, t) for x, t in zip(packed, (ROW, np.uint64, np.int64, np.float64, np.float64), strict=True))
+        distinct, at, copies = np.unique(own["key"], return_inverse=True, return_counts=True)
+        to = np.searchsorted(distinct, keys)
+
+        def both(values: np.ndarray, more: np.ndarray) -> pa.Array:
+            return pa.array(values + (np.bincount(to, more, len(distinct)) / copies).astype(values.dtype)[at])
+
+        columns = [
+            pa.array(own["doc_id"], mask=own["no_id"]),
+            pa.array(own["held"]),
+            pa.array(own["n_tokens"]),
+            both(own["n_known"], known),
+            both(own["base"], base),
+            both(own["score"], score),
+        ]
+        return pa.table(columns, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     binaries = ", ".join(f"{c} binary" for c in request[2:])
-    asked = docs.select("doc_id", "text").mapInArrow(ask, f"shard int, batch long, {binaries}")
-    # of the unsigned hash
-    high = F.pmod(F.shiftrightunsigned("run", 1), F.lit(n_shards)) * 2 + F.col("run").bitwiseAND(F.lit(1))
-    known = tail.select("run", "n", "weight").withColumn("shard", F.pmod(high, F.lit(n_shards)).cast("int"))
+    asked = docs.mapInArrow(ask, f"shard int, batch long, {binaries}")
+    shard = F.shiftright(F.shiftrightunsigned("run", 32) * n_shards, 32).cast("int")
+    known = tail.select("run", "n", "weight").withColumn("shard", shard)
     binaries = ", ".join(f"{c} binary" for c in answer_columns[1:])
     answers = known.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(answer, f"batch long, {binaries}")
-    return answers.groupBy("batch").applyInArrow(add, "key long, n_known long, base_score double, score double")
+    columns = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    return answers.groupBy("batch").applyInArrow(add, columns)
 
 
 def scored(docs: DataFrame, depth: int = DEPTH, least_context: int = LEAST_CONTEXT, least_pair: int = LEAST_PAIR) -> DataFrame:
@@ -419,13 +448,6 @@ def scored(docs: DataFrame, depth: int = DEPTH, least_context: int = LEAST_CONTE
     n_tail = rest.count()
     head = Head(often, rest, n_tail)
     n_shards = int(max(1, -(-n_tail // SHARD_RUNS), -(-total // SHARD_TOKENS)))
-    own = _head_sums(rows, head, depth, start, float(-np.log10(total + distinct + 1)))
-    tail = _tail_sums(rows, head, rest, depth, n_shards)
-    sums = ("n_tokens", "n_known", "base_score", "score")
-    none = [F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("boolean").alias("held"), "key", F.lit(0).cast("long").alias("n_tokens")]
-    parts = own.withColumn("copies", F.lit(1)).unionByName(tail.select(*none, "n_known", "base_score", "score", F.lit(0).alias("copies")))
-    # all copies of a row are in its sums
-    each = parts.groupBy("key").agg(F.max("doc_id").alias("doc_id"), F.max("held").alias("held_out"), F.sum("copies").alias("copies"), *[F.sum(c).alias(c) for c in sums])
-    per_row = [(F.col(c) / F.col("copies")).cast("long" if c.startswith("n_") else "double").alias(c) for c in sums]
-    copies = each.select("doc_id", "held_out", *per_row, F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
-    return copies.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+    unseen = float(-np.log10(total + distinct + 1))
+    sums = _sums(rows, head, rest, depth, n_shards, start, unseen)
+    return sums.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -336,7 +336,7 @@ def test_language_model(spark, documents, odd_rows, monkeypatch, head):
         score = sum(np.log10(p(longest(s), x)) for s, x in zip(near, w, strict=True))
         want.append((d is not None, d or 0, held[d], len(w), sum(x in counts for x in w), total, round(base, 6), round(score, 6)))
     got = []
-    for r in lm_scoring.scored(documents(rows, extra=True)).collect():
+    for r in lm_scoring.scored(documents(rows, extra=True), 4, 12, 3).collect():
         got.append((r["doc_id"] is not None, r["doc_id"] or 0, *r[1:5], round(r["base_score"], 6), round(r["score"], 6)))
     assert len(got) == len(rows)
     for a, b in zip(sorted(got), sorted(want), strict=True):
@@ -351,7 +351,7 @@ def test_the_tree_grows_with_the_corpus(spark, documents):
         pairs = [f"a{i} b{i} c{i}" for i in range(n)]
         docs = documents([(i, " ".join(random.sample(pairs, n))) for i in range(20)]).selectExpr("doc_id", "false as held", "text")
         words = lm_scoring.word_counts(docs)
-        return lm_scoring.weights(docs, words, *words.selectExpr("sum(n)", "count(1)").first()).where("n = 0").count()
+        return lm_scoring.weights(docs, words, *words.selectExpr("sum(n)", "count(1)").first(), 4, 12, 3).where("n = 0").count()
 
     assert runs(800) > 1.9 * runs(400) > 1500
 
