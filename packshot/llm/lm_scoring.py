@@ -252,9 +252,9 @@ def weights(docs: DataFrame, words: DataFrame, total: int, distinct: int, depth:
 
 
 class Head:
-    """The runs that many documents hold, and a filter of all others."""
+    """The runs that many documents hold, and a filter of these and all others."""
 
-    def __init__(self, often: DataFrame, tail: DataFrame, n_tail: int) -> None:
+    def __init__(self, often: DataFrame, table: DataFrame, n: int) -> None:
         often = often.groupBy("run").agg(F.max("n").alias("n"), F.sum("weight").alias("weight"))
         rows = sorted((r["run"], r["n"], r["weight"]) for r in often.toLocalIterator())
         runs = np.array([r[0] for r in rows], np.int64).view(np.uint64)
@@ -262,7 +262,7 @@ class Head:
         self.runs = runs[order]
         self.n = np.array([r[1] for r in rows], np.int64)[order]
         self.weights = np.array([r[2] for r in rows], np.float64)[order]
-        self.filter = shingles.hash_filter(tail, F.col("run"), shingles.filter_bits(n_tail))
+        self.filter = shingles.hash_filter(table, F.col("run"), shingles.filter_bits(n))
 
     def find(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The place of each run in the head, and whether it is there."""
@@ -303,24 +303,29 @@ def _wide(packed: bytes, n: int) -> np.ndarray:
 ROW = np.dtype([("key", "u8"), ("doc_id", "i8"), ("no_id", "?"), ("held", "?"), ("n_tokens", "i8"), ("n_known", "i8"), ("base", "f8"), ("score", "f8")])
 
 
-def _own_sums(part: pa.RecordBatch, runs: list, head: Head, start: float, unseen: float) -> np.ndarray:
-    """A ``ROW`` per document: its tokens, and what the head adds to its sums. ``runs``: of :func:`_runs`."""
+def _own_sums(part: pa.RecordBatch, depth: int, head: Head, start: float, unseen: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A ``ROW`` per document, with its tokens and what the head adds to its sums; the runs left to ask for, and their documents."""
     size = part.num_rows
     out = np.zeros(size, ROW)
     ids = part.column("doc_id")
     out["key"], out["no_id"] = row_keys(part), ids.is_null().to_numpy(zero_copy_only=False)
     out["doc_id"] = ids.fill_null(0).to_numpy(zero_copy_only=False)
     out["held"] = part.column("held").to_numpy(zero_copy_only=False)
-    out["n_tokens"] = np.bincount(runs[0][2], minlength=size)
-    out["score"] = start + out["n_tokens"] * unseen
-    for length, hashes, text in runs:
+    left = []
+    for length, hashes, text in _runs(part, depth):
+        if length == 1:
+            out["n_tokens"] = np.bincount(text, minlength=size)
+            out["score"] = start + out["n_tokens"] * unseen
+        may = np.flatnonzero(shingles.in_filter(head.filter, hashes))
+        hashes, text = hashes[may], text[may]
         at, found = head.find(hashes)
+        left.append((hashes[~found], text[~found].astype(np.int32)))
         at, whose = at[found], text[found]
         out["score"] += np.bincount(whose, head.weights[at], size)
         if length == 1:
             out["n_known"] = np.bincount(whose, minlength=size)
             out["base"] = out["n_tokens"] * unseen + np.bincount(whose, np.log10(head.n[at] + 1), size)
-    return out
+    return out, *(np.concatenate(x) for x in zip(*left, strict=True))
 
 
 def _sums(docs: DataFrame, head: Head, tail: DataFrame, depth: int, n_shards: int, start: float, unseen: float) -> DataFrame:
@@ -362,15 +367,8 @@ def _sums(docs: DataFrame, head: Head, tail: DataFrame, depth: int, n_shards: in
                 yield row(s, b"", *(v.tobytes() for v in (own["key"][used], distinct, _narrow(entries), _narrow(local))))
 
         for part in arrow_text.chunks(batches):
-            runs = list(_runs(part, depth))
-            found = []
-            for _, hashes, text in runs:
-                at = np.flatnonzero(shingles.in_filter(head.filter, hashes))
-                at = at[~head.find(hashes[at])[1]]
-                found.append((hashes[at], text[at].astype(np.int32)))
-            asked, text = (np.concatenate(x) for x in zip(*found, strict=True))
-            held.append((_own_sums(part, runs, head, start, unseen), asked, text))
-            n_bytes += len(asked) * 12 + part.num_rows * ROW.itemsize
+            held.append(_own_sums(part, depth, head, start, unseen))
+            n_bytes += len(held[-1][1]) * 12 + part.num_rows * ROW.itemsize
             if n_bytes >= BATCH_BYTES:
                 yield from rows()
                 n_bytes = 0
@@ -446,7 +444,7 @@ def scored(docs: DataFrame, depth: int = DEPTH, least_context: int = LEAST_CONTE
     start = table.where(F.col("run") == int(START)).agg(F.sum("weight")).first()[0] or 0.0
     often, rest = (table.where(f) for f in (F.col("seen") >= HEAD * total, F.col("seen") < HEAD * total))
     n_tail = rest.count()
-    head = Head(often, rest, n_tail)
+    head = Head(often, table, table.count())
     n_shards = int(max(1, -(-n_tail // SHARD_RUNS), -(-total // SHARD_TOKENS)))
     unseen = float(-np.log10(total + distinct + 1))
     sums = _sums(rows, head, rest, depth, n_shards, start, unseen)
