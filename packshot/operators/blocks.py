@@ -7,7 +7,7 @@ picture may have several blocks for one tile, with different places.
 Blocks are what is stored and shuffled between the steps of a picture: one row per picture and tile, or
 per picture, layer and tile. The kernels take whole Arrow batches of blocks, whose size Spark bounds in
 bytes, and treat all their pixels at once. Steps that need all blocks of a picture or tile read them in
-sorted order and hold one picture or tile beyond a batch (:func:`_whole_groups`).
+sorted order and hold one picture or tile beyond a batch (:func:`whole_groups`).
 
 Task code of this module is pickled by value, so executors need no copy of the package.
 """
@@ -103,7 +103,7 @@ def _slices(batch: pa.RecordBatch, cells: str = "cells", weight: np.ndarray | No
         at = to
 
 
-def _changes(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
+def changes(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     """The rows at which one of ``keys`` differs from the row before (row 0 is one)."""
     import pyarrow.compute as pc
 
@@ -118,14 +118,14 @@ def _changes(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
     """Sorted rows in batches that end with a group: a group of equal ``keys`` is never cut."""
     kept: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
         joined = pa.concat_batches([*kept, batch]) if kept else batch
-        last = int(_changes(joined, keys)[-1])
+        last = int(changes(joined, keys)[-1])
         if last:
             yield joined.slice(0, last)
         kept = [joined.slice(last)]
@@ -250,13 +250,13 @@ def stack(layers: DataFrame, key: str, tasks: int | None = None, tile: int = TIL
     area = tile * tile
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in _whole_groups(batches, [key, "tx", "ty"]):
-            starts = _changes(whole, [key, "tx", "ty"])
+        for whole in whole_groups(batches, [key, "tx", "ty"]):
+            starts = changes(whole, [key, "tx", "ty"])
             group = np.zeros(whole.num_rows, np.int64)
             group[starts[1:]] = 1
             group = np.cumsum(group)
             sizes = np.diff(whole.column("cells").offsets.to_numpy())
-            for a, b in _group_slices(starts, sizes):
+            for a, b in group_slices(starts, sizes):
                 part = whole.slice(a, b - a)
                 cells, row = _lists(part.column("cells"))
                 if not len(cells):
@@ -272,13 +272,13 @@ def stack(layers: DataFrame, key: str, tasks: int | None = None, tile: int = TIL
     return source.mapInArrow(run, schema)
 
 
-def _group_slices(starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Rows of whole groups with about :data:`SLICE` cells in all."""
+def group_slices(starts: np.ndarray, sizes: np.ndarray, most: int = SLICE) -> Iterator[tuple[int, int]]:
+    """Rows of whole groups with about ``most`` cells in all."""
     before = np.append(0, np.cumsum(sizes))
     borders = np.append(starts, len(sizes))
     at = 0
     while at < len(starts):
-        to = int(np.searchsorted(before[borders], before[borders[at]] + SLICE, side="right")) - 1
+        to = int(np.searchsorted(before[borders], before[borders[at]] + most, side="right")) - 1
         to = max(at + 1, min(to, len(starts)))
         yield int(borders[at]), int(borders[to])
         at = to
@@ -331,17 +331,17 @@ def shrink(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         across = -(-side // tile)
-        for whole in _whole_groups(batches, keys):
+        for whole in whole_groups(batches, keys):
             if side in sizes:
                 columns = [whole.column(c) for c in keys] + [pa.array(np.full(whole.num_rows, side, np.int32))]
                 offsets = whole.column("cells").offsets.to_numpy()
                 same = _as_lists(whole.column("cells").flatten().to_numpy(), (offsets - offsets[0])[:-1])
                 yield pa.record_batch([*columns, whole.column("tx"), whole.column("ty"), same], [*keys, "size", "tx", "ty", "cells"])
-            starts = _changes(whole, keys)
+            starts = changes(whole, keys)
             number = np.zeros(whole.num_rows, np.int64)
             number[starts[1:]] = 1
             number = np.cumsum(number)
-            for a, b in _group_slices(starts, np.diff(whole.column("cells").offsets.to_numpy())):
+            for a, b in group_slices(starts, np.diff(whole.column("cells").offsets.to_numpy())):
                 part = whole.slice(a, b - a)
                 cells, row = _lists(part.column("cells"))
                 if not len(cells):
@@ -375,11 +375,11 @@ def assemble(blocks: DataFrame, keys: list[str], channels: int, tile: int = TILE
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in _whole_groups(batches, [*keys, "size"]):
-            starts = _changes(whole, [*keys, "size"])
+        for whole in whole_groups(batches, [*keys, "size"]):
+            starts = changes(whole, [*keys, "size"])
             borders = np.append(starts, whole.num_rows)
             sizes = whole.column("size").to_numpy()
-            held, first = [], 0
+            held, first, n_bytes = [], 0, 0
             for i, (a, b) in enumerate(zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)):
                 part, size = whole.slice(a, b - a), int(sizes[a])
                 picture = np.full((size, size, channels), 255, np.uint8)
@@ -390,11 +390,12 @@ def assemble(blocks: DataFrame, keys: list[str], channels: int, tile: int = TILE
                 for c, shift in zip(range(channels), (8, 16, 24, 0)):
                     picture[y, x, c] = (cells >> shift) & 255
                 held.append(picture.tobytes())
-                if sum(map(len, held)) > SLICE * 8 or i + 1 == len(starts):
+                n_bytes += len(held[-1])
+                if n_bytes > SLICE * 8 or i + 1 == len(starts):
                     rows = pa.array(starts[first : i + 1])
                     columns = [whole.column(c).take(rows) for c in [*keys, "size"]]
                     yield pa.record_batch([*columns, pa.array(held, pa.binary())], [*keys, "size", "data"])
-                    held, first = [], i + 1
+                    held, first, n_bytes = [], i + 1, 0
 
     source = sorted_groups(blocks.select(*keys, "size", "tx", "ty", "cells"), [*keys, "size"], ["tx", "ty"])
     return source.mapInArrow(run, f"{types_of(blocks, [*keys, 'size'])}, data binary")

@@ -10,8 +10,8 @@ component tree, found in one pass whatever the number of levels. A row of ``tile
 region from the mask in which it gets its shape (``mask``) to the last before it changes (``until``). It has
 the runs on the tile's edge, and on demand the runs of all its pixels, so no later step has to label a tile again.
 
-Regions that touch across tile borders are joined on that small table (``merge_regions``). A region is named by its
-first pixel in reading order: row * 2^32 + column.
+Regions that touch across tile borders are joined on that small table (``merge_regions``): many images at a time where their
+borders are short, else by rounds of joins. A region is named by its first pixel in reading order: row * 2^32 + column.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from packshot.operators.blocks import changes, group_slices, sorted_groups, whole_groups
 from packshot.operators.skew import find_hot, salted_join
 from packshot.runtime import materialise
 
@@ -38,6 +39,8 @@ KEYS = ["image_id", "mask"]
 NO_LEVEL = 255
 #: cells labelled at a time
 ROUND = 1 << 19
+#: border pixels, once per mask, of an image that one task merges; others take rounds of joins
+MERGED = 1 << 18
 # sides of a tile, as borders name them
 LEFT, RIGHT, TOP, BOTTOM = range(4)
 
@@ -214,7 +217,9 @@ def _border_runs(part: _Part, heads: np.ndarray, root: np.ndarray, inside: np.nd
     for side, (fixed, at, along) in enumerate(
         ((part.x, 0, part.y), (part.x, tile - 1, part.y), (part.y, 0, part.x), (part.y, tile - 1, part.x))
     ):
-        which = np.flatnonzero(inside & (fixed % tile == at)) if not skip else np.zeros(0, np.int64)
+        # no tile lies before the first column or row
+        meets = (fixed % tile == at) & ((fixed > 0) | (side in (RIGHT, BOTTOM)))
+        which = np.flatnonzero(inside & meets) if not skip else np.zeros(0, np.int64)
         which, offsets = _by_head(heads, root, which)
         owner = np.repeat(np.arange(len(heads)), np.diff(offsets))
         order = np.lexsort((along[which], owner))
@@ -333,26 +338,122 @@ def paint(tiles: Tiles, values: DataFrame, only: int | None = None) -> DataFrame
 def merge_regions(tiles: Tiles, regions: DataFrame) -> DataFrame:
     """``regions`` with ``label`` and ``total``: the region that each tile region is part of, and its size.
 
-    ``label`` is the smallest name among the joined tile regions. Nodes on a tile's edge come back
-    once per mask (``until`` = ``mask``), as what they join changes from mask to mask; others stay nodes.
+    ``label`` is the smallest name among the joined tile regions. What the nodes on a tile's edge join changes from
+    mask to mask, so they come back in several rows of fewer masks; others stay nodes. Images with more than :data:`MERGED`
+    border pixels are merged by joins, so that no task holds one of them.
     """
     alone = [F.col("region").alias("label"), F.col("size").alias("total")]
     if tiles.one_tile:
         return regions.select("*", *alone).drop("border")
     regions = materialise(regions)
     inner = regions.where(F.size("border") == 0).select("*", *alone).drop("border")
-    outer = regions.where(F.size("border") > 0).withColumn("mask", F.explode(F.sequence("mask", "until"))).withColumn("until", F.col("mask"))
+    outer = regions.where(F.size("border") > 0)
+    weighed = outer.withColumn("places", F.expr("(until - mask + 1) * aggregate(border, 0L, (n, e) -> n + e.high - e.low + 1)"))
+    sizes = weighed.groupBy("image_id").agg(F.sum("places").alias("places"))
+    large = materialise(sizes.where(F.col("image_id").isNull() | (F.col("places") > MERGED)).select("image_id", F.lit(True).alias("_large")))
+    if large.isEmpty():
+        return inner.unionByName(_merged_images(weighed, tiles.tile))
+    if not large.where("image_id is null").isEmpty():  # a NULL id links nothing
+        return inner.unionByName(_merged_by_joins(outer))
+    known = salted_join(weighed, large, ["image_id"], find_hot(outer, ["image_id"]), F.xxhash64("mask", "region"), "left")
+    small, rest = known.where("_large is null").drop("_large"), known.where("_large").drop("_large", "places")
+    return inner.unionByName(_merged_images(small, tiles.tile)).unionByName(_merged_by_joins(rest))
+
+
+def _merged_images(outer: DataFrame, tile: int) -> DataFrame:
+    """``outer`` with ``label`` and ``total``; the nodes of an image meet in one task, many images at a time.
+
+    Masks with equal results stay one row. Rows of one region (an id that two images have) meet each other, as in a join.
+    """
+    columns = [c for c in outer.columns if c not in ("border", "places")]
+
+    def merge(batches):
+        for whole in whole_groups(batches, ["image_id"]):
+            starts = changes(whole, ["image_id"])
+            image = np.zeros(whole.num_rows, np.int64)
+            image[starts[1:]] = 1
+            image = np.cumsum(image)
+            for a, b in group_slices(starts, whole.column("places").to_numpy(), MERGED):
+                part = whole.slice(a, b - a)
+                mask, until, region, size = (part.column(c).to_numpy().astype(np.int64) for c in ("mask", "until", "region", "size"))
+                # a node once per mask
+                n_masks = until - mask + 1
+                first = np.cumsum(n_masks) - n_masks
+                row = np.repeat(np.arange(len(mask)), n_masks)
+                own_mask = np.arange(len(row)) - first[row] + mask[row]
+                group = image[a:b][row] * 256 + own_mask
+                # equal regions of a mask are one; the order of their numbers is that of their names
+                named = region[row]
+                order = np.lexsort((named, group))
+                new = np.ones(len(order), bool)
+                new[1:] = (group[order][1:] != group[order][:-1]) | (named[order][1:] != named[order][:-1])
+                number = np.empty(len(order), np.int64)
+                number[order] = np.cumsum(new) - 1
+                names, groups = named[order][new], group[order][new]
+                near, far = _links(part, n_masks, first, number, group)
+                of = _join(np.arange(len(names)), near, far)[number]
+                linked = np.zeros(image[b - 1] + 1, bool)
+                linked[groups[near] >> 8] = True
+                linked = linked[group >> 8]
+                label = names[of]
+                total = np.where(linked, np.bincount(of, size[row], len(names)).astype(np.int64)[of], size[row])
+                copies = np.where(linked, np.bincount(number)[number], 1)
+                # masks of a node with equal results
+                cut = np.ones(len(row), bool)
+                cut[1:] = (row[1:] != row[:-1]) | (label[1:] != label[:-1]) | (total[1:] != total[:-1]) | (copies[1:] != copies[:-1])
+                cut = np.flatnonzero(cut)
+                last = np.append(cut[1:], len(row)) - 1
+                cut, last = np.repeat(cut, copies[cut]), np.repeat(last, copies[cut])
+                taken = pa.array(row[cut])
+                values = {"mask": pa.array(own_mask[cut].astype(np.int32)), "until": pa.array(own_mask[last].astype(np.int32))}
+                held = [values[c] if c in values else part.column(c).take(taken) for c in columns]
+                yield pa.RecordBatch.from_arrays([*held, pa.array(label[cut]), pa.array(total[cut])], [*columns, "label", "total"])
+
+    schema = ", ".join(f"`{c}` {outer.schema[c].dataType.simpleString()}" for c in columns)
+    source = sorted_groups(outer, ["image_id"], [])
+    return source.mapInArrow(merge, f"{schema}, label bigint, total bigint")
+
+
+def _links(part: pa.RecordBatch, n_masks: np.ndarray, first: np.ndarray, number: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the regions with neighbouring pixels on both sides of a line between tiles.
+
+    The runs on the sides are taken pixel by pixel and mask by mask; ``first`` is the first mask of a row in ``number`` and ``group``.
+    """
+    border = part.column("border")
+    owner = np.repeat(np.arange(len(border)), np.diff(border.offsets.to_numpy()))
+    side, low, high = (c.to_numpy().astype(np.int64) for c in border.flatten().flatten())
+    along = side // 2  # LEFT and RIGHT, or TOP and BOTTOM
+    line = np.where(along == 0, part.column("tx").to_numpy()[owner], part.column("ty").to_numpy()[owner]) + side % 2
+    run = np.repeat(np.arange(len(owner)), n_masks[owner])
+    node = first[owner][run] + np.arange(len(run)) - np.repeat(np.cumsum(n_masks[owner]) - n_masks[owner], n_masks[owner])
+    _, place = np.unique(((group[node] * 2 + along[run]) << 32) + line[run], return_inverse=True)
+    length = (high - low + 1)[run]
+    pixel = np.repeat(np.arange(len(run)), length)
+    at = low[run][pixel] + np.arange(len(pixel)) - np.repeat(np.cumsum(length) - length, length)
+    key, node, before = (place[pixel] << 32) + at, number[node][pixel], side[run][pixel] % 2 == 1
+    order = np.argsort(key[~before], kind="stable")
+    known, asked = key[~before][order], key[before]
+    begin, end = np.searchsorted(known, asked), np.searchsorted(known, asked, "right")
+    met = end - begin
+    far = np.repeat(begin, met) + np.arange(met.sum()) - np.repeat(np.cumsum(met) - met, met)
+    return np.repeat(node[before], met), node[~before][order][far]
+
+
+def _merged_by_joins(outer: DataFrame) -> DataFrame:
+    """``outer`` with ``label`` and ``total``, once per mask (``until`` = ``mask``), for images of any size."""
+    alone = [F.col("region").alias("label"), F.col("size").alias("total")]
+    outer = outer.withColumn("mask", F.explode(F.sequence("mask", "until"))).withColumn("until", F.col("mask"))
     links = materialise(_border_links(outer))
     outer = outer.drop("border")
     if links.isEmpty():
-        return inner.unionByName(outer.select("*", *alone))
-    narrow = outer.select(*KEYS, "region", "size").join(_merged_labels(links), [*KEYS, "region"], "left")
+        return outer.select("*", *alone)
+    narrow = outer.select(*KEYS, "region", "size").join(_merged_labels(links).hint("merge"), [*KEYS, "region"], "left")
     labels = materialise(narrow.withColumn("label", F.coalesce("label", "region")))
     on = [*KEYS, "label"]
     totals = labels.groupBy(*on).agg(F.sum("size").alias("total"))
     # very many tile regions may share a label: the background of a large image, say
-    merged = salted_join(labels, totals, on, find_hot(labels, on), F.xxhash64("region")).select(*KEYS, "region", "label", "total")
-    return inner.unionByName(outer.join(merged, [*KEYS, "region"]))
+    merged = salted_join(labels, totals.hint("merge"), on, find_hot(labels, on), F.xxhash64("region")).select(*KEYS, "region", "label", "total")
+    return outer.join(merged.hint("merge"), [*KEYS, "region"])
 
 
 def _border_links(outer: DataFrame) -> DataFrame:
@@ -367,7 +468,7 @@ def _border_links(outer: DataFrame) -> DataFrame:
         after = edge.where(F.col("side") == far).select(
             *KEYS, "tx", "ty", F.col("region").alias("other"), F.col("low").alias("low2"), F.col("high").alias("high2")
         )
-        met = before.join(after, [*KEYS, "tx", "ty"]).where((F.col("low") <= F.col("high2")) & (F.col("low2") <= F.col("high")))
+        met = before.join(after.hint("merge"), [*KEYS, "tx", "ty"]).where((F.col("low") <= F.col("high2")) & (F.col("low2") <= F.col("high")))
         pairs.append(met.select(*KEYS, "region", "other"))
     one_way = pairs[0].unionAll(pairs[1])
     both = F.explode(F.array(F.struct("region", "other"), F.struct(F.col("other").alias("region"), F.col("region").alias("other"))))
@@ -384,21 +485,22 @@ def _merged_labels(links: DataFrame) -> DataFrame:
     # links to a region that touches very many others are spread over several tasks
     hub = find_hot(links, [*KEYS, "other"])
     while True:
-        seen = labels.select(*KEYS, F.col("region").alias("other"), F.col("label").alias("near"))
+        # joins of tables that grow with the input: never by way of the driver
+        seen = labels.select(*KEYS, F.col("region").alias("other"), F.col("label").alias("near")).hint("merge")
         near = (
             salted_join(links, seen, [*KEYS, "other"], hub, F.xxhash64("region"))
             .groupBy(*KEYS, "region")
             .agg(F.min("near").alias("near"))
         )
         lower = materialise(
-            labels.join(near, [*KEYS, "region"]).select(
+            labels.join(near.hint("merge"), [*KEYS, "region"]).select(
                 *KEYS, "region", F.col("label").alias("old"), F.least("label", "near").alias("label")
             )
         )
         if lower.where(F.col("label") != F.col("old")).isEmpty():
             return labels
         on = [*KEYS, "label"]
-        jump = lower.select(*KEYS, F.col("region").alias("label"), F.col("label").alias("next"))
+        jump = lower.select(*KEYS, F.col("region").alias("label"), F.col("label").alias("next")).hint("merge")
         labels = materialise(
             salted_join(lower, jump, on, find_hot(lower, on), F.xxhash64("region")).select(
                 *KEYS, "region", F.least("label", "next").alias("label")

@@ -122,6 +122,39 @@ def test_hot_regions_are_merged_alike(spark, masks, monkeypatch):
     assert table == sorted({(k, (y << 32) + x, n) for k, m in masks.items() for (x, y), n in flood(m).values()})
 
 
+@pytest.mark.parametrize("limit", [0, 70])
+@pytest.mark.parametrize("hot", [False, True])
+def test_large_images_are_merged_by_joins(spark, masks, monkeypatch, limit, hot):
+    monkeypatch.setattr(regions, "MERGED", limit)
+    if hot:
+        real = regions.find_hot
+        monkeypatch.setattr(regions, "find_hot", lambda df, on: real(df, on, share=50, rows=3))
+    df = spark.createDataFrame(mask_rows(masks), "image_id string, x int, y int")
+    table = sorted(tuple(r) for r in regions.regions(df, tile=3).collect())
+    assert table == sorted({(k, (y << 32) + x, n) for k, m in masks.items() for (x, y), n in flood(m).values()})
+
+
+def test_regions_meet_without_the_driver(spark, masks, monkeypatch):
+    df = spark.createDataFrame(mask_rows(masks), "image_id string, x int, y int")
+    stored = []
+    real = regions.materialise
+    monkeypatch.setattr(regions, "materialise", lambda df: stored.append(df) or real(df))
+    regions.regions(df, tile=4).collect()
+    assert len(stored) == 3  # tiles, their regions, and the images that are too large: no rounds
+    monkeypatch.setattr(regions, "MERGED", 0)
+    regions.regions(df, tile=4).collect()
+    labels = [s for s in stored if "label" in s.columns and "size" not in s.columns]
+    assert len(labels) > 2 and not any("BroadcastHashJoin" in s._jdf.queryExecution().executedPlan().toString() for s in labels)
+
+
+def test_a_border_pixel_is_in_few_rows(spark):
+    """An image that is one region from its first level to its last."""
+    df = spark.createDataFrame([("i", x, y, 0) for x in range(8) for y in range(8)], "image_id string, x int, y int, level int")
+    tiles = regions.tile_pixels(df, 50, tile=4)
+    found = regions.merge_regions(tiles, regions.tile_regions(tiles)).collect()
+    assert len(found) == 4 and {(r.mask, r.until, r.label, r.total) for r in found} == {(0, 49, 0, 64)}
+
+
 def test_a_broken_promise_raises(spark):
     df = spark.createDataFrame([("i", 9, 0)], "image_id string, x int, y int")
     with pytest.raises(Exception, match="outside the promised 8 x 8"):
