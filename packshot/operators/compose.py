@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 
 from packshot.operators import blocks
 from packshot.operators.skew import find_hot, plan_by_output, salted_join
+from packshot.runtime import materialise
 
 #: bytes of cells, and blocks, that a task joins
 TASK_BYTES = 64 << 20
 TASK_BLOCKS = 100_000
+#: the key of the picture without layers, in hexadecimal digits
+NOTHING = "00" * 16
 
 
 def one_set_per_picture(sets: DataFrame) -> DataFrame:
@@ -35,6 +38,31 @@ def set_dictionary(sets: DataFrame) -> DataFrame:
     return sets.select("set_key", "sku_list", "type_list").dropDuplicates(["set_key"])
 
 
+def shown_layers(sets: DataFrame, layers: DataFrame) -> DataFrame:
+    """``(img_id, set_key, sku_list, type_list)`` of the sets with layers: the members that ``layers`` draws, lowest first.
+
+    Members without a layer show nothing, so only those that have one are looked up in ``layers`` and grouped again.
+    ``set_key`` is a digest of these members, their places and the length of the set: equal sets make equal pictures.
+    """
+    on = ["oms_id", "product_type"]
+    member = F.posexplode(F.arrays_zip("sku_list", "type_list")).alias("z", "m")
+    members = sets.select("img_id", F.size("sku_list").alias("n"), member).select(
+        "img_id", "n", "z", F.col("m.sku_list").alias("oms_id"), F.col("m.type_list").alias("product_type")
+    )
+    members = materialise(members)
+    salt = F.xxhash64("img_id")
+    known = salted_join(members, layers.select(*on).distinct(), on, find_hot(members, on), salt, "left_semi")
+    grouped = known.groupBy("img_id").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("z", *on))).alias("m"))
+    key = F.unhex(F.md5(F.to_json(F.struct("n", "m")))).alias("set_key")
+    return grouped.select("img_id", key, F.col("m.oms_id").alias("sku_list"), F.col("m.product_type").alias("type_list"))
+
+
+def shared_names(sets: DataFrame) -> bool:
+    """Whether an ``img_id`` may come more than once; hashes of the names are counted."""
+    counts = sets.groupBy(F.xxhash64("img_id").alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    return not counts.where("n > 1").isEmpty()
+
+
 def by_name(drawn: DataFrame, names: DataFrame) -> DataFrame:
     """``drawn`` (by ``set_key``) once for each ``img_id`` of ``names`` that shows it."""
     hot = find_hot(names, ["set_key"])
@@ -82,13 +110,15 @@ def _gathered(members: DataFrame, layers: DataFrame, rows_per_task: int) -> tupl
 def draw_sets(dictionary: DataFrame, layers: DataFrame, blank: bool = True) -> DataFrame:
     """Blocks ``(set_key, tx, ty, cells)`` of the pictures of distinct sets, from stored layer blocks.
 
-    Two shuffles, of blocks: layers meet the sets that have them, and the layers of a picture are stacked.
+    Two shuffles, of blocks: layers meet the sets that have them, and the layers of a picture are stacked. ``blank`` adds the
+    picture without layers, :data:`NOTHING`.
     """
     mean = layers.agg(F.avg(F.size("cells"))).first()[0] or 1
     per_task = max(1, min(TASK_BLOCKS, math.ceil(TASK_BYTES / (8 * mean))))
     gathered, tasks = _gathered(set_members(dictionary, "set_key"), layers, per_task)
     if blank:
-        gathered = gathered.unionByName(blank_blocks(dictionary, "set_key"))
+        nothing = dictionary.sparkSession.range(1).select(F.unhex(F.lit(NOTHING)).alias("set_key"))
+        gathered = gathered.unionByName(blank_blocks(dictionary.select("set_key").union(nothing), "set_key"))
     return blocks.stack(gathered, "set_key", tasks)
 
 

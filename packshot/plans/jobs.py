@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from packshot.functions.paths import BUNDLE_FOLDER, LAYER_FOLDER
 from packshot.operators.attributes import sku_images, skus_missing
 from packshot.operators import blocks
-from packshot.operators.compose import by_name, draw_sets, one_set_per_picture, set_dictionary, with_set_key
+from packshot.operators.compose import NOTHING, by_name, draw_sets, one_set_per_picture, set_dictionary, shared_names, shown_layers
 from packshot.operators.layers import build_layers, one_image_per_layer
 from packshot.operators.layout import layout_types, sku_layers
 from packshot.operators.manifest import image_manifest, picture_path
@@ -49,12 +49,20 @@ def layer_job(
 def bundle_job(sets: DataFrame, layer_blocks: DataFrame, blank: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(blocks, names)``: the pictures of the distinct product sets by ``set_key``, and which ``img_id`` shows which.
 
-    From sets with types and stored layer blocks. Sets of equal content are drawn once. Names and
-    the dictionary of sets are stored: planning the join, the join itself and blank pictures read them.
-    ``blank`` puts a white pixel below every picture, so that those without layers show up.
+    From sets with types and stored layer blocks. Sets of equal content are drawn once, and those without any layer
+    share one picture. What sets with layers show is stored, and so are the names: planning the join, the join itself and blank pictures
+    read them. ``blank`` puts a white pixel below every picture, so that those without layers show up; without it these have no name.
     """
-    names = materialise(with_set_key(one_set_per_picture(sets)))
-    return draw_sets(materialise(set_dictionary(names)), layer_blocks, blank), names.select("img_id", "set_key")
+    sets = sets.select("img_id", "sku_list", "type_list")
+    if shared_names(sets):
+        sets = materialise(one_set_per_picture(sets))
+    shown = materialise(shown_layers(sets, layer_blocks))
+    names = shown.select("img_id", "set_key")
+    if blank:
+        keys = shown.select(F.col("img_id").alias("_shown"), "set_key")
+        key = F.coalesce("set_key", F.unhex(F.lit(NOTHING))).alias("set_key")
+        names = materialise(sets.select("img_id").join(keys, F.col("img_id").eqNullSafe(F.col("_shown")), "left").select("img_id", key))
+    return draw_sets(materialise(set_dictionary(shown)), layer_blocks, blank), names
 
 
 @dataclass
