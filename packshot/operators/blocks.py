@@ -28,7 +28,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TILE = 128
 TILE_KEYS = ["tx", "ty"]
 #: pixels a kernel takes at a time
-SLICE = 1 << 20
+SLICE = 1 << 18
 WHITE = 0xFFFFFF
 #: one opaque white cell at the first place, as SQL
 BLANK = "array(4294967295L)"

@@ -38,7 +38,7 @@ KEYS = ["image_id", "mask"]
 #: level of a pixel that no gray mask holds, and the most masks there can be
 NO_LEVEL = 255
 #: cells labelled at a time
-ROUND = 1 << 19
+ROUND = 1 << 17
 #: border pixels, once per mask, of an image that one task merges; others take rounds of joins
 MERGED = 1 << 18
 # sides of a tile, as borders name them
