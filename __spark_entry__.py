@@ -330,8 +330,8 @@ def layer_images(spark, sf_dir):
 
 
 def _sets_and_layers(spark, sf_dir):
-    # both start from the stored bundle lines
-    lines = materialise(_lines(spark, sf_dir))
+    # both start from the stored bundle lines, parsed once
+    lines = materialise(products.parsed_lines(_lines(spark, sf_dir)))
     layer_blocks = materialise(_layer_blocks(spark, sf_dir, products.layer_skus(lines)))
     return product_sets(lines, LAYOUT_TYPES, with_types=True), layer_blocks
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packshot.functions.products import parse_products
-from packshot.operators.products import grouped_by_type
+from packshot.operators.products import grouped_by_type, parsed_lines
 from packshot.runtime import materialise
 
 #: sets of one bundle that a single task writes; a bundle with more is cut into blocks
@@ -58,8 +58,7 @@ def product_sets(
 
 def _sized(lines: DataFrame, layout_types: list[str]) -> DataFrame:
     """``(line_key, groups, n_sets)`` of every list, NULL for unreadable ones."""
-    parsed = lines.select("line_key", parse_products("product_list_json").alias("products"))
-    grouped = parsed.select("line_key", grouped_by_type("products", layout_types).alias("groups"))
+    grouped = parsed_lines(lines).select("line_key", grouped_by_type("products", layout_types).alias("groups"))
     return grouped.select("line_key", _with_strides().alias("groups"), _set_count().alias("n_sets"))
 
 

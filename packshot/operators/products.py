@@ -19,9 +19,20 @@ from packshot.functions.products import (
 from packshot.runtime import broadcast_if_small
 
 
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """``(line_key, products)``: bundle lines with their lists parsed, NULL for unreadable ones.
+
+    To be stored where several steps start from the lines: ``product_rows`` and ``product_sets`` take them as well.
+    """
+    if "products" in lines.columns:
+        return lines.select("line_key", "products")
+    return lines.select("line_key", parse_products("product_list_json").alias("products"))
+
+
 def product_rows(lines: DataFrame) -> DataFrame:
     """One row per product; a bundle with an empty or unreadable list gives none."""
-    return lines.select("line_key", F.posexplode(parse_products("product_list_json")).alias("pos", "product")).select(
+    parsed = F.col("products") if "products" in lines.columns else parse_products("product_list_json")
+    return lines.select("line_key", F.posexplode(parsed).alias("pos", "product")).select(
         "line_key", "pos", F.col("product.id").alias("oms_id"), F.col("product.productType").alias("product_type")
     )
 

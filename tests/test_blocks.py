@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from packshot.operators import blocks, compose, raster
+from packshot.operators import blocks, compose, raster, regions
 from packshot.operators.layers import BOX
 from packshot.plans import jobs
 from packshot.sources.layouts import ImageSettings
@@ -131,6 +131,34 @@ def test_equal_sets_are_drawn_once(spark, monkeypatch):
     assert len(shown) == 1002 and shown["p0",] == shown["p999",] and shown["none",] == {(0, 0): (255, 255, 255, 255)}
 
 
+def test_only_members_with_layers_are_stored(spark, monkeypatch):
+    """Sets that show the same, for want of the other layers, are one; those that show nothing are another."""
+    layer = spark.createDataFrame([("1", "Saw", 0, 0, [5 << 32 | 255])], "oms_id string, product_type string, tx int, ty int, cells array<bigint>")
+    sets = spark.createDataFrame(
+        [(f"p{i}", [f"x{i}", "1"], ["Saw", "Saw"]) for i in range(20)] + [(f"e{i}", [f"y{i}"], ["Saw"]) for i in range(20)] + [(None, ["1"], ["Saw"])],
+        "img_id string, sku_list array<string>, type_list array<string>",
+    )
+    stored = []
+    real = jobs.materialise
+    monkeypatch.setattr(jobs, "materialise", lambda df: stored.append(real(df)) or stored[-1])
+    drawn_sets, names = jobs.bundle_job(sets, layer)
+    assert [s.count() for s in stored] == [21, 41, 2] and drawn_sets.count() == 3
+    shown = pictures_of(blocks.pixels(compose.by_name(drawn_sets, names), ["img_id"]), "img_id")
+    white = {(0, 0): (255, 255, 255, 255)}
+    assert len(shown) == 41 and shown["p3",] == shown[None,] == white | {(5, 0): (0, 0, 0, 255)} and shown["e7",] == white
+    drawn_sets, names = jobs.bundle_job(sets, layer, blank=False)
+    shown = pictures_of(blocks.pixels(compose.by_name(drawn_sets, names), ["img_id"]), "img_id")
+    assert len(shown) == 21 and shown["p3",] == {(5, 0): (0, 0, 0, 255)}
+
+
+def test_kernels_take_bounded_slices(spark):
+    """A kernel holds many arrays as long as its slice, and an executor runs several kernels."""
+    assert blocks.SLICE <= 1 << 18 and regions.ROUND <= 1 << 17
+    sizes = np.full(10_000, 400)
+    slices = list(blocks.group_slices(np.arange(10_000), sizes))
+    assert max(int(sizes[a:b].sum()) for a, b in slices) <= 1 << 18 and slices[-1][1] == 10_000
+
+
 def test_boxes_of_blocks_are_boxes_of_pixels(spark, rows):
     pictures = {"a": drawn(9, 30, 20, 0.1), "b": drawn(10, 4, 33, 0.2)}
     df = frame(spark, pictures)
