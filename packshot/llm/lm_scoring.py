@@ -33,18 +33,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packshot.llm import arrow_text, shingles
-from packshot.runtime import materialise
+from packshot.runtime import materialise, release_shuffles, remove_table
 
 DEPTH, LEAST_CONTEXT, LEAST_PAIR = 4, 32, 6
 DIVERGENCE, GAIN, BETA = 0.01, 2.0, 10.0
 FOLDS, HELD_FOLD = 7, 2
-HEAD = 3e-6
+HEAD = 5e-7
 BATCH_BYTES = 16 << 20
-SHARD_TOKENS, SHARD_RUNS = 4_000_000, 250_000
+SHARD_TOKENS, SHARD_RUNS = 8_000_000, 500_000
+BLOCK = 1 << 16  # places of a filter that are counted together
 END = np.uint64(0x243F6A8885A308D3)  # the hashes that stand for the end token and the start
 START = np.uint64(0x13198A2E03707344)
 _STEP = np.uint64(0xD1342543DE82EF95)
@@ -83,6 +84,30 @@ def _longer(runs: np.ndarray) -> np.ndarray:
     return out
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers as the planes of their bytes, as many as the largest one needs, compressed."""
+    wide = numbers.astype("<u8")
+    width = max(1, (int(wide.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(wide.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return len(wide).to_bytes(7, "little") + bytes([width]) + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    n, width = int.from_bytes(raw[:7], "little"), raw[7]
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(pa.decompress(raw[8:], n * width, "zstd", asbytes=True), np.uint8).reshape(width, n).T
+    return out.view("<u8").ravel()
+
+
+def packed_rising(numbers: np.ndarray) -> bytes:
+    """As :func:`packed`, for numbers in ascending order: the first, and the steps."""
+    return numbers[:1].astype("<u8").tobytes() + packed(np.diff(numbers)) if len(numbers) else b""
+
+
+def unpacked_rising(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.concatenate([np.frombuffer(raw[:8], "<u8"), unpacked(raw[8:])]), dtype=np.uint64) if raw else np.zeros(0, np.uint64)
+
+
 def _merged(rows: Iterator[tuple[np.ndarray, ...]], count, limit: int = BATCH_BYTES // 6) -> Iterator[pa.RecordBatch]:
     """``count`` of the rows put together, whenever there are ``limit`` of them."""
     held: list[tuple] = []
@@ -151,47 +176,111 @@ def _candidates(batches: Iterator[pa.RecordBatch], known: Known, least: int, mos
             yield n, shorter, runs, np.flatnonzero(ok)
 
 
-def repeated_filter(docs: DataFrame, known: Known, bits: int, least_pair: int) -> np.ndarray:
-    """A filter of the pairs of tokens that may occur ``least_pair`` times: the places of a filter are counted, four bytes each."""
+def repeated_filter(docs: DataFrame, known: Known, length: int, bits: int, least_pair: int) -> np.ndarray:
+    """A filter of the runs of ``length`` tokens that may occur ``least_pair`` times: the places of a filter are counted.
+
+    Places move in blocks, two bytes for the place in the block and one or more for the count. The driver gets ``bits / 8`` bytes.
+    """
+    place, number = np.dtype("<u2"), np.min_scalar_type(least_pair)
 
     def count(at: np.ndarray) -> pa.RecordBatch:
         at, n = np.unique(at, return_counts=True)
-        return pa.record_batch([pa.array(at), pa.array(n.clip(0, least_pair).astype(np.int32))], ["at", "n"])
+        blocks, starts = np.unique(at // BLOCK, return_index=True)
+        ends = np.append(starts, len(at)).astype(np.int32)
+
+        def rows(values: np.ndarray) -> pa.Array:
+            return pa.Array.from_buffers(pa.binary(), len(blocks), [None, pa.py_buffer(ends * np.int32(values.itemsize)), pa.py_buffer(values.tobytes())])
+
+        columns = [pa.array(blocks.astype(np.int32)), rows((at % BLOCK).astype(place)), rows(n.clip(0, least_pair).astype(number))]
+        return pa.record_batch(columns, ["block", "at", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((((runs[at] & np.uint64(bits - 1)).astype(np.int32)),) for _, _, runs, at in _candidates(batches, known, 2, 2))
-        return _merged(rows, count, BATCH_BYTES // 3)
+        rows = (((runs[at] & np.uint64(bits - 1)).astype(np.int32),) for _, _, runs, at in _candidates(batches, known, length, length))
+        return _merged(rows, count, BATCH_BYTES // 8)
+
+    def often(parts: pa.Table) -> pa.Table:
+        n = np.zeros(BLOCK, np.int64)
+        for at, more in zip(parts.column("at"), parts.column("n"), strict=True):  # no place is twice in a row
+            n[np.frombuffer(at.as_buffer(), place)] += np.frombuffer(more.as_buffer(), number)
+        return pa.table({"block": parts.column("block")[:1], "map": [np.packbits(n >= least_pair, bitorder="little").tobytes()]})
+
+    rows = docs.where("not held").select("text").mapInArrow(run, "block int, at binary, n binary")
+    out = np.zeros((bits // BLOCK, BLOCK // 8), np.uint8)
+    for row in rows.groupBy("block").applyInArrow(often, "block int, map binary").toLocalIterator():
+        out[row["block"]] = np.frombuffer(row["map"], np.uint8)
+    return out.ravel()
+
+
+def _named(rows: DataFrame, columns: str) -> DataFrame:
+    """``rows`` with the ``run`` that each ``context`` and ``suffix`` make."""
 
-    rows = docs.where("not held").select("text").mapInArrow(run, "at int, n int")
-    often = rows.groupBy("at").agg(F.sum("n").alias("n")).where(F.col("n") >= least_pair)
-    return shingles.hash_filter(often, F.col("at"), bits)
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            halves = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("context", "suffix"))
+            yield pa.record_batch([*batch.columns, pa.array(joined(*halves).view(np.int64))], [*batch.schema.names, "run"])
+
+    return rows.mapInArrow(name, f"{columns}, run long")
 
 
-def run_counts(docs: DataFrame, known: Known, least: int, most: int, least_pair: int, repeated: np.ndarray | None = None) -> DataFrame:
-    """``length, context, suffix, run, n`` of the runs of ``least`` to ``most`` tokens that occur ``least_pair`` times behind a candidate."""
+def run_counts(
+    docs: DataFrame, known: Known, least: int, most: int, least_pair: int, repeated: np.ndarray | None = None, n_shards: int = 1
+) -> DataFrame:
+    """``length, context, suffix, n, run`` of the runs of ``least`` to ``most`` tokens that occur ``least_pair`` times behind a candidate.
+
+    What a batch counts moves in a packed row per shard of the runs' hashes: contexts once, in ascending order.
+    """
+    kinds = ["length", "contexts", "kinds", "suffix", "n"]
 
     def count(length: np.ndarray, context: np.ndarray, suffix: np.ndarray, runs: np.ndarray) -> pa.RecordBatch:
-        _, at, n = np.unique(runs, return_index=True, return_counts=True)
-        columns = [length[at], context[at].view(np.int64), suffix[at].view(np.int64), n]
-        return pa.record_batch(list(map(pa.array, columns)), ["length", "context", "suffix", "n"])
+        runs, at, n = np.unique(runs, return_index=True, return_counts=True)
+        shard = (runs >> np.uint64(32)) * np.uint64(n_shards) >> np.uint64(32)
+        order = np.lexsort((context[at], shard))
+        at, n, shard = at[order], n[order], shard[order]
+        length, context, suffix = length[at], context[at], suffix[at]
+        shards, cuts = np.unique(shard, return_index=True)
+        rows = []
+        for a, b in zip(cuts, [*cuts[1:], len(at)], strict=True):
+            contexts, each = np.unique(context[a:b], return_counts=True)
+            rows.append((packed(length[a:b]), packed_rising(contexts), packed(each), suffix[a:b].tobytes(), packed(n[a:b])))
+        columns = [pa.array(shards.astype(np.int32)), *(pa.array(list(c), pa.binary()) for c in zip(*rows, strict=True))]
+        return pa.record_batch(columns, ["shard", *kinds])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple[np.ndarray, ...]]:
             for length, shorter, runs, at in _candidates(batches, known, least, most):
                 if repeated is not None:
                     at = at[shingles.in_filter(repeated, runs[at])]
-                yield np.full(len(at), length, np.int32), shorter[at - 1], shorter[at], runs[at]
+                if len(at):
+                    yield np.full(len(at), length, np.uint8), shorter[at - 1], shorter[at], runs[at]
 
         return _merged(rows(), count, BATCH_BYTES // 16)
 
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(parts: pa.Table) -> pa.Table:
+        rows = list(zip(*(parts.column(c).to_pylist() for c in kinds), strict=True))
+        length = np.concatenate([unpacked(r[0]).astype(np.int32) for r in rows])
+        context = np.concatenate([np.repeat(unpacked_rising(r[1]), unpacked(r[2]).astype(np.int64)) for r in rows])
+        suffix = np.concatenate([np.frombuffer(r[3], np.uint64) for r in rows])
+        runs, at, whose = np.unique(joined(context, suffix), return_index=True, return_inverse=True)
+        n = np.bincount(whose, np.concatenate([unpacked(r[4]) for r in rows])).astype(np.int64)
+        often = n >= least_pair
+        at = at[often]
+        columns = [length[at], context[at].view(np.int64), suffix[at].view(np.int64), n[often], runs[often].view(np.int64)]
+        return pa.table(columns, ["length", "context", "suffix", "n", "run"])
+
+    binaries = ", ".join(f"{c} binary" for c in kinds)
+    rows = docs.where("not held").select("text").mapInArrow(run, f"shard int, {binaries}")
+    return rows.groupBy("shard").applyInArrow(add, "length int, context long, suffix long, n long, run long")
+
+
+def _named(rows: DataFrame, columns: str) -> DataFrame:
+    """``rows`` with the ``run`` that each ``context`` and ``suffix`` make."""
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             halves = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("context", "suffix"))
             yield pa.record_batch([*batch.columns, pa.array(joined(*halves).view(np.int64))], [*batch.schema.names, "run"])
 
-    rows = docs.where("not held").select("text").mapInArrow(run, "length int, context long, suffix long, n long")
-    counts = rows.groupBy("length", "context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= least_pair)
-    return counts.mapInArrow(named, "length int, context long, suffix long, n long, run long")
+    return rows.mapInArrow(name, f"{columns}, run long")
 
 
 def _level(counts: DataFrame, totals: DataFrame, shorter: DataFrame, least_context: int) -> tuple[DataFrame, DataFrame]:
@@ -200,26 +289,31 @@ def _level(counts: DataFrame, totals: DataFrame, shorter: DataFrame, least_conte
     ``totals``: ``run, n`` of the contexts; ``shorter``: ``run, p`` stored behind their suffixes.
     """
     contexts = totals.where(F.col("n") >= least_context).select(F.col("run").alias("context"), F.col("n").alias("total"))
-    pairs = counts.join(shorter.select(F.col("run").alias("suffix"), F.col("p").alias("before")), "suffix").join(contexts, "context")
+    before = shorter.select(F.col("run").alias("suffix"), F.col("p").alias("before"))
+    pairs = counts.select("context", "suffix", "n").join(before, "suffix").join(contexts, "context")
+    behind = Window.partitionBy("context")
     rest = F.col("total") - F.col("seen")
     of_rest = F.when(rest > 0, rest * F.ln(rest / F.col("total") / F.greatest(1 - F.col("expected"), F.lit(1e-12)))).otherwise(0.0)
-    retained = materialise(
-        pairs.groupBy("context")
-        .agg(
-            F.max("total").alias("total"),
-            F.sum("n").alias("seen"),
-            F.sum("before").alias("expected"),
-            F.sum(F.col("n") * F.ln(F.col("n") / F.col("total") / F.col("before"))).alias("gain"),
-            F.count(F.lit(1)).alias("kinds"),
+    retained = (
+        pairs.withColumns(
+            {
+                "seen": F.sum("n").over(behind),
+                "expected": F.sum("before").over(behind),
+                "gain": F.sum(F.col("n") * F.ln(F.col("n") / F.col("total") / F.col("before"))).over(behind),
+                "kinds": F.count(F.lit(1)).over(behind),
+                "first": F.min("suffix").over(behind),
+            }
         )
         .withColumn("gain", F.col("gain") + of_rest)
         .where((F.col("gain") >= DIVERGENCE * F.col("total")) & (F.col("gain") >= GAIN * F.col("kinds")))
-        .select("context", "total", ((rest + BETA) / (F.col("total") + BETA)).alias("weight"))
+        .withColumn("weight", (rest + BETA) / (F.col("total") + BETA))
+        .withColumn("p", F.col("n") / (F.col("total") + BETA) + F.col("weight") * F.col("before"))
+        .withColumn("delta", F.log10("p") - F.log10("before") - F.log10("weight"))
+        .withColumn("one", F.col("suffix") == F.col("first"))  # a row of the context
+        .select("context", "suffix", "n", "p", "delta", "one", *(F.when(F.col("one"), F.col(c)).alias(c) for c in ("total", "weight")))
     )
-    behind = pairs.drop("total").join(retained, "context")
-    p = F.col("n") / (F.col("total") + BETA) + F.col("weight") * F.col("before")
-    stored = behind.withColumn("p", p).select("run", "n", "p", (F.log10("p") - F.log10("before") - F.log10("weight")).alias("delta"))
-    return retained.select(F.col("context").alias("run"), F.col("total").alias("n"), "weight"), materialise(stored)
+    rows = materialise(_named(retained, "context long, suffix long, n long, p double, delta double, one boolean, total long, weight double").drop("suffix"))
+    return rows.where("one").select(F.col("context").alias("run"), F.col("total").alias("n"), "weight"), rows.select("run", "n", "p", "delta")
 
 
 def weights(docs: DataFrame, words: DataFrame, total: int, distinct: int, depth: int = DEPTH, least_context: int = LEAST_CONTEXT, least_pair: int = LEAST_PAIR) -> DataFrame:
@@ -230,24 +324,32 @@ def weights(docs: DataFrame, words: DataFrame, total: int, distinct: int, depth:
     spark = docs.sparkSession
     n_texts = docs.where("not held").count()
     totals = words.select("run", "n").where(F.col("run") != int(END.view(np.int64))).union(spark.createDataFrame([(int(START), n_texts)], "run long, n long"))
-    shorter = words.select("run", ((F.col("n") + 1) / (total + distinct + 1)).alias("p"))
+    # a run is seen no more often than what it ends with
+    shorter = words.where(F.col("n") >= least_pair).select("run", ((F.col("n") + 1) / (total + distinct + 1)).alias("p"))
     out = words.select("run", F.col("n").alias("seen"), "n", F.log10(F.col("n") + 1).alias("weight"))
     known = Known(words, least_context, least_pair)
-    repeated = repeated_filter(docs, known, shingles.filter_bits(total), least_pair)
+    bits, n_shards = shingles.filter_bits(total), 1 + total * 2 // SHARD_TOKENS
     lengths = iter(range(2, depth + 2))
-    counts = None
+    counts, stored_tables = None, []
     for length in lengths:
         if length <= 4:  # the few longer ones are counted in the same pass
             most = length if length < 4 else depth + 1
-            counts = materialise(run_counts(docs, known, length, most, least_pair, repeated if length == 2 else None))
+            repeated = repeated_filter(docs, known, length, bits, least_pair) if length < 4 else None
+            counts = materialise(run_counts(docs, known, length, most, least_pair, repeated, n_shards))
+            stored_tables.append(counts)
         level = counts.where(F.col("length") == length)
         retained, stored = _level(level, totals, shorter, least_context)
         add = F.lit(0).cast("long").alias("n")
+        stored_tables.append(stored)
+        release_shuffles(spark)
         out = out.union(stored.select("run", F.col("n").alias("seen"), add, F.col("delta").alias("weight")))
         out = out.union(retained.select("run", F.col("n").alias("seen"), add, F.log10("weight").alias("weight")))
         totals, shorter = level.select("run", "n"), stored.select("run", "p")
         if length < 4:
             known = Known(level, least_context, least_pair)
+    out = materialise(out)
+    for table in stored_tables:
+        remove_table(table)
     return out
 
 
@@ -256,50 +358,51 @@ class Head:
 
     def __init__(self, often: DataFrame, table: DataFrame, n: int) -> None:
         often = often.groupBy("run").agg(F.max("n").alias("n"), F.sum("weight").alias("weight"))
-        rows = sorted((r["run"], r["n"], r["weight"]) for r in often.toLocalIterator())
-        runs = np.array([r[0] for r in rows], np.int64).view(np.uint64)
+        rows = often.toArrow()
+        runs = rows.column("run").to_numpy().view(np.uint64)
         order = np.argsort(runs)
         self.runs = runs[order]
-        self.n = np.array([r[1] for r in rows], np.int64)[order]
-        self.weights = np.array([r[2] for r in rows], np.float64)[order]
+        self.n = rows.column("n").to_numpy()[order]
+        self.weights = rows.column("weight").to_numpy()[order]
+        self.bits = np.uint64(max(1, len(self.runs).bit_length()))
+        self.first = np.searchsorted(self.runs >> (np.uint64(64) - self.bits), np.arange(1 << int(self.bits), dtype=np.uint64)).astype(np.int32)
         self.filter = shingles.hash_filter(table, F.col("run"), shingles.filter_bits(n))
 
     def find(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The place of each run in the head, and whether it is there."""
         if not len(self.runs):
             return np.zeros(len(runs), np.int64), np.zeros(len(runs), bool)
-        at = np.searchsorted(self.runs, runs).clip(0, len(self.runs) - 1)
+        at = self.first[runs >> (np.uint64(64) - self.bits)].clip(0, len(self.runs) - 1)
+        left = np.flatnonzero(self.runs[at] < runs)
+        while len(left):  # a few steps, as the head's hashes are evenly dealt
+            left = left[at[left] < len(self.runs) - 1]
+            at[left] += 1
+            left = left[self.runs[at[left]] < runs[left]]
         return at, self.runs[at] == runs
 
 
-def _runs(part: pa.RecordBatch, depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each length: the length, hashes of the runs in the texts of ``part``, and their texts. The start alone is no run."""
-    runs, cuts = _stream(part)
-    place, text = _places(cuts), arrow_text.owners(cuts)
+def _runs(runs: np.ndarray, cuts: np.ndarray, depth: int, table: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each length: the length, hashes of the runs in the texts of a stream that may be in the table, and their texts.
+
+    The start alone is no run. A run is in the table only if it is there without its first token.
+    """
+    text = arrow_text.owners(cuts)
+    at = np.flatnonzero(_places(cuts) >= 1)
     for n in range(1, depth + 2):
         if n > 1:
             runs = _longer(runs)
-        ok = place >= max(1, n - 1)
-        yield n, runs[ok], text[ok]
+            at = at[at - cuts[text[at]] >= n - 1]
+        at = at[shingles.in_filter(table, runs[at])]
+        yield n, runs[at], text[at]
 
 
-def row_keys(part: pa.RecordBatch) -> np.ndarray:
+def row_keys(part: pa.RecordBatch, stream: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     """A hash of each row's id and tokens: rows that share it have the same scores."""
     ids = part.column("doc_id")
     keys = ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64) * np.uint64(2) + ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint64)
-    stream, cuts = _stream(part)
     return arrow_text.mix(arrow_text.mix(keys) + np.add.reduceat(arrow_text.mix(stream + _places(cuts).astype(np.uint64)), cuts[:-1]))
 
 
-def _narrow(numbers: np.ndarray) -> np.ndarray:
-    """As unsigned numbers of one, two or four bytes."""
-    return numbers.astype(np.min_scalar_type(numbers.max()) if numbers.max() < 1 << 16 else np.uint32)
-
-
-def _wide(packed: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(packed, f"u{len(packed) // n}").astype(np.int64)
-
-
 ROW = np.dtype([("key", "u8"), ("doc_id", "i8"), ("no_id", "?"), ("held", "?"), ("n_tokens", "i8"), ("n_known", "i8"), ("base", "f8"), ("score", "f8")])
 
 
@@ -307,17 +410,15 @@ def _own_sums(part: pa.RecordBatch, depth: int, head: Head, start: float, unseen
     """A ``ROW`` per document, with its tokens and what the head adds to its sums; the runs left to ask for, and their documents."""
     size = part.num_rows
     out = np.zeros(size, ROW)
+    stream, cuts = _stream(part)
     ids = part.column("doc_id")
-    out["key"], out["no_id"] = row_keys(part), ids.is_null().to_numpy(zero_copy_only=False)
+    out["key"], out["no_id"] = row_keys(part, stream, cuts), ids.is_null().to_numpy(zero_copy_only=False)
     out["doc_id"] = ids.fill_null(0).to_numpy(zero_copy_only=False)
     out["held"] = part.column("held").to_numpy(zero_copy_only=False)
+    out["n_tokens"] = np.diff(cuts) - 1
+    out["score"] = start + out["n_tokens"] * unseen
     left = []
-    for length, hashes, text in _runs(part, depth):
-        if length == 1:
-            out["n_tokens"] = np.bincount(text, minlength=size)
-            out["score"] = start + out["n_tokens"] * unseen
-        may = np.flatnonzero(shingles.in_filter(head.filter, hashes))
-        hashes, text = hashes[may], text[may]
+    for length, hashes, text in _runs(stream, cuts, depth, head.filter):
         at, found = head.find(hashes)
         left.append((hashes[~found], text[~found].astype(np.int32)))
         at, whose = at[found], text[found]
@@ -332,10 +433,11 @@ def _sums(docs: DataFrame, head: Head, tail: DataFrame, depth: int, n_shards: in
     """``doc_id, held_out, n_tokens, n_known, base_score, score`` of every row.
 
     A row of the request is a shard's part of a batch: distinct runs, how many entries each has, and the entries (document of
-    the batch), once per occurrence. What is known of the batch itself travels with one of them.
+    the batch), once per occurrence. What is known of the batch itself travels with one of them. A row of the answer has the sums
+    of the documents with a word that is found there (``who``), and of those with any run that is (``whose``).
     """
-    request = ["shard", "batch", "own", "keys", "runs", "entries", "docs"]
-    answer_columns = ["batch", "own", "keys", "known", "base", "score"]
+    request = ["shard", "batch", "own", "runs", "entries", "docs"]
+    answer_columns = ["batch", "own", "who", "known", "base", "whose", "score"]
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -347,15 +449,18 @@ def _sums(docs: DataFrame, head: Head, tail: DataFrame, depth: int, n_shards: in
             runs = np.concatenate([h[1] for h in held])
             doc = np.concatenate([h[2] + np.int32(b) for h, b in zip(held, before, strict=False)])
             held.clear()
+            order = np.argsort(own["key"], kind="stable")  # batches of the same rows are the same
+            own, rank = own[order], np.empty(len(own), np.int32)
+            rank[order] = np.arange(len(own), dtype=np.int32)
             number = arrow_text.mix(np.add.reduce(own["key"], keepdims=True))
             batch = int(number.view(np.int64)[0])
             order = np.argsort(runs)
-            runs, doc = runs[order], doc[order]
+            runs, doc = runs[order], rank[doc[order]]
 
             def row(shard: int, *values: bytes) -> pa.RecordBatch:
                 return pa.record_batch([pa.array([shard], pa.int32()), pa.array([batch]), *(pa.array([v], pa.binary()) for v in values)], request)
 
-            yield row(int(number[0]) % n_shards, own.tobytes(), b"", b"", b"", b"")
+            yield row(int(number[0]) % n_shards, own.tobytes(), b"", b"", b"")
             # shard s has the hashes whose high halves are s / n_shards of all or more
             cuts = np.searchsorted((runs >> np.uint64(32)) * np.uint64(n_shards) >> np.uint64(32), np.arange(n_shards + 1, dtype=np.uint64))
             for s in range(n_shards):
@@ -363,8 +468,7 @@ def _sums(docs: DataFrame, head: Head, tail: DataFrame, depth: int, n_shards: in
                 if a == b:
                     continue
                 distinct, entries = np.unique(runs[a:b], return_counts=True)
-                used, local = np.unique(doc[a:b], return_inverse=True)
-                yield row(s, b"", *(v.tobytes() for v in (own["key"][used], distinct, _narrow(entries), _narrow(local))))
+                yield row(s, b"", packed_rising(distinct), packed(entries), packed(doc[a:b]))
 
         for part in arrow_text.chunks(batches):
             held.append(_own_sums(part, depth, head, start, unseen))
@@ -383,37 +487,45 @@ def _sums(docs: DataFrame, head: Head, tail: DataFrame, depth: int, n_shards: in
         out = []
         for i in range(asked.num_rows):
             row = {c: asked.column(c)[i].as_py() for c in request[1:]}
-            mine = np.frombuffer(row["runs"], np.uint64)
+            mine = unpacked_rising(row["runs"])
             if not len(mine):
-                out.append((row["batch"], row["own"], b"", b"", b"", b""))
+                out.append((row["batch"], row["own"], b"", b"", b"", b"", b""))
                 continue
-            counts, added = np.zeros(len(mine), np.int64), np.zeros(len(mine))
+            counts, added, same = np.zeros(len(mine), np.int64), np.zeros(len(mine)), np.zeros(len(mine), bool)
             if len(runs):
                 place = np.searchsorted(runs, mine).clip(0, len(runs) - 1)
                 same = runs[place] == mine
                 counts, added = np.where(same, n[place], 0), np.where(same, value[place], 0.0)
-            entries = _wide(row["entries"], len(mine))
-            local = _wide(row["docs"], int(entries.sum()))
-            size = len(row["keys"]) // 8
-            sums = [
-                np.bincount(local[np.repeat(counts > 0, entries)], minlength=size).astype(np.int64),
-                np.bincount(local, np.repeat(np.log10(counts + 1), entries), size),
-                np.bincount(local, np.repeat(added, entries), size),
-            ]
-            out.append((row["batch"], b"", row["keys"], *(s.tobytes() for s in sums)))
-        kinds = [pa.int64(), *[pa.binary()] * 5]
-        columns = zip(*out, strict=True) if out else [[]] * 6
+            entries = unpacked(row["entries"]).astype(np.int64)
+            doc = unpacked(row["docs"]).astype(np.int64)
+            size = int(doc.max()) + 1
+            known = np.bincount(doc[np.repeat(counts > 0, entries)], minlength=size)
+            who = np.flatnonzero(known)
+            whose = np.flatnonzero(np.bincount(doc[np.repeat(same, entries)], minlength=size))
+            base = np.bincount(doc, np.repeat(np.log10(counts + 1), entries), size)[who]
+            score = np.bincount(doc, np.repeat(added, entries), size)[whose]
+            out.append((row["batch"], b"", packed_rising(who), packed(known[who]), base.tobytes(), packed_rising(whose), score.tobytes()))
+        kinds = [pa.int64(), *[pa.binary()] * 6]
+        columns = zip(*out, strict=True) if out else [[]] * 7
         return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], answer_columns)
 
     def add(parts: pa.Table) -> pa.Table:
-        """The rows of a batch with the sums from all shards, in which equal rows are added up."""
-        packed = (b"".join(parts.column(c).to_pylist()) for c in answer_columns[1:])
-        own, keys, known, base, score = (np.frombuffer(x, t) for x, t in zip(packed, (ROW, np.uint64, np.int64, np.float64, np.float64), strict=True))
-        distinct, at, copies = np.unique(own["key"], return_inverse=True, return_counts=True)
-        to = np.searchsorted(distinct, keys)
+        """The rows of a batch with the sums from all shards. Batches of the same rows share a number: their sums are added up here."""
+        rows = [x for x in parts.column("own").to_pylist() if x]
+        own = np.frombuffer(b"".join(rows), ROW)
+        size = len(own) // len(rows)
+        known, base, score = np.zeros(size, np.int64), np.zeros(size), np.zeros(size)
+        for i in range(parts.num_rows):
+            row = {c: parts.column(c)[i].as_py() for c in answer_columns[2:]}
+            if row["whose"]:
+                score[unpacked_rising(row["whose"]).astype(np.int64)] += np.frombuffer(row["score"])
+            if row["who"]:
+                who = unpacked_rising(row["who"]).astype(np.int64)
+                known[who] += unpacked(row["known"]).astype(np.int64)
+                base[who] += np.frombuffer(row["base"])
 
         def both(values: np.ndarray, more: np.ndarray) -> pa.Array:
-            return pa.array(values + (np.bincount(to, more, len(distinct)) / copies).astype(values.dtype)[at])
+            return pa.array(values + np.tile((more / len(rows)).astype(values.dtype), len(rows)))
 
         columns = [
             pa.array(own["doc_id"], mask=own["no_id"]),
@@ -440,7 +552,9 @@ def scored(docs: DataFrame, depth: int = DEPTH, least_context: int = LEAST_CONTE
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held"), F.col("text").cast("string").alias("text"))
     words = materialise(word_counts(rows))
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    table = materialise(weights(rows, words, total, distinct, depth, least_context, least_pair))
+    table = weights(rows, words, total, distinct, depth, least_context, least_pair)
+    remove_table(words)
+    release_shuffles(docs.sparkSession)
     start = table.where(F.col("run") == int(START)).agg(F.sum("weight")).first()[0] or 0.0
     often, rest = (table.where(f) for f in (F.col("seen") >= HEAD * total, F.col("seen") < HEAD * total))
     n_tail = rest.count()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -51,6 +52,20 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_table(df: DataFrame) -> None:
+    """Remove a table of :func:`materialise` that nothing reads any more."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of queries that are done: Spark removes them when the driver's heap is collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Mark ``df`` for broadcast when it has at most ``max_rows`` rows, else leave it to Catalyst.
 

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -356,6 +357,77 @@ def test_the_tree_grows_with_the_corpus(spark, documents):
     assert runs(800) > 1.9 * runs(400) > 1500
 
 
+def test_what_the_model_moves_is_packed():
+    """Sorted hashes cost their steps, numbers the bytes that the largest of them needs."""
+    random.seed(3)
+    hashes = np.array(sorted({0, 2**64 - 1, *(random.getrandbits(64) for _ in range(100_000))}), np.uint64)
+    for some in (hashes, hashes[:1], hashes[-1:], hashes[:0], hashes[:2]):
+        assert lm_scoring.unpacked_rising(lm_scoring.packed_rising(some)).tolist() == some.tolist()
+    assert len(lm_scoring.packed_rising(hashes)) < 6.5 * len(hashes)
+    for some in ([], [0], [1] * 9000, [255, 256, 2**33], [2**64 - 1]):
+        assert lm_scoring.unpacked(lm_scoring.packed(np.array(some, np.uint64))).tolist() == some
+    assert len(lm_scoring.packed(np.array([1] * 90_000))) < 1000
+
+
+def test_longer_runs_are_asked_for_behind_their_suffixes():
+    part = pa.record_batch([pa.array(["a b c d", "b c", ""])], ["text"])
+    stream, cuts = lm_scoring._stream(part)
+
+    def asked(*runs):
+        table = np.zeros(1 << 17, np.uint8)
+        for run in runs:
+            hashes = lm_scoring._stream(pa.record_batch([pa.array([run])], ["text"]))[0][1:-1]
+            while len(hashes) > 1:
+                hashes = lm_scoring.joined(hashes[:-1], hashes[1:])
+            at = int(hashes[0]) % (8 << 17)
+            table[at >> 3] |= 1 << (at & 7)
+        return [(n, text.tolist()) for n, _, text in lm_scoring._runs(stream, cuts, 4, table)]
+
+    assert asked("b c", "a b c") == [(n, []) for n in range(1, 6)]  # "c" is not there
+    assert asked("c", "b c", "a b c") == [(1, [0, 1]), (2, [0, 1]), (3, [0]), (4, []), (5, [])]
+
+
+@pytest.mark.parametrize("length", [2, 3])
+def test_places_of_the_filter_are_counted_in_blocks(spark, documents, monkeypatch, length):
+    monkeypatch.setattr(lm_scoring, "BATCH_BYTES", 3000)  # many batches, which only count together
+    random.seed(4)
+    rows = [(i, " ".join(random.choice("aaaabbbcdefgh") for _ in range(random.randint(0, 60)))) for i in range(80)]
+    docs = documents(rows).selectExpr("doc_id", "false as held", "text")
+    words = lm_scoring.word_counts(docs)
+    known = lm_scoring.Known(words, 1, 1)
+    if length == 3:
+        known = lm_scoring.Known(lm_scoring.run_counts(docs, known, 2, 2, 1), 1, 1)
+    bits, least = 1 << 20, 12
+    seen = Counter()
+    for _, text in rows:
+        stream = lm_scoring._stream(pa.record_batch([pa.array([text])], ["text"]))[0]
+        for _ in range(length - 1):
+            stream = lm_scoring.joined(stream[:-1], stream[1:])
+        seen.update(int(x) % bits for x in stream)
+    got = lm_scoring.repeated_filter(docs, known, length, bits, least)
+    want = {at for at, n in seen.items() if n >= least}
+    assert want and want < set(seen)
+    assert set(np.flatnonzero(np.unpackbits(got, bitorder="little")).tolist()) == want
+
+
+def test_equal_batches_keep_their_sums(spark, documents):
+    """Two partitions of the same rows make batches of one number."""
+    random.seed(5)
+    rows = [(i, " ".join(f"w{min(random.randint(0, 40), random.randint(0, 40))}" for _ in range(30))) for i in range(50)]
+    once = documents(rows).coalesce(1)
+    got = lm_scoring.scored(once.union(once).union(once), 4, 12, 3).collect()
+    assert len(got) == 3 * len(rows)
+    held = {d for d, _ in rows if zlib.crc32(str(d).encode()) % 7 == 2}
+    counts = Counter(x for d, t in rows if d not in held for x in [*t.split(), None] for _ in range(3))
+    total, texts = sum(counts.values()), dict(rows)
+    for r in got:
+        tokens = [*texts[r["doc_id"]].split(), None]
+        base = sum(np.log10((counts.get(x, 0) + 1) / (total + len(counts) + 1)) for x in tokens)
+        assert (r["n_tokens"], r["n_known"]) == (len(tokens), sum(x in counts for x in tokens))
+        assert r["base_score"] == pytest.approx(base)
+    assert len({(r["doc_id"], round(r["score"], 9)) for r in got}) == len(rows)
+
+
 def test_nothing_to_score(spark, documents):
     assert lm_scoring.scored(documents([])).count() == 0
 
