@@ -24,8 +24,8 @@ from packshot.sources import attributes as attribute_source
 from packshot.sources import bundles, images, layouts, snapshots
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bundles.parse_bundle_lines(views.bundle_text(spark, sf_dir))
+def _lines(spark: SparkSession, sf_dir: str, split: bool = True) -> DataFrame:
+    return bundles.parse_bundle_lines(views.bundle_text(spark, sf_dir, split))
 
 
 def _attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -329,9 +329,9 @@ def layer_images(spark, sf_dir):
     return blocks.pixels(shrunk, [*jobs.LAYER_KEYS, "size"])
 
 
-def _sets_and_layers(spark, sf_dir):
+def _sets_and_layers(spark, sf_dir, split=True):
     # both start from the stored bundle lines, parsed once
-    lines = materialise(products.parsed_lines(_lines(spark, sf_dir)))
+    lines = materialise(products.parsed_lines(_lines(spark, sf_dir, split)))
     layer_blocks = materialise(_layer_blocks(spark, sf_dir, products.layer_skus(lines)))
     return product_sets(lines, LAYOUT_TYPES, with_types=True), layer_blocks
 
@@ -344,8 +344,8 @@ def composite(spark, sf_dir):
     return blocks.pixels(compose.by_name(drawn, names), ["img_id"], alpha=False)
 
 
-def _bundles(spark, sf_dir):
-    return jobs.bundle_job(*_sets_and_layers(spark, sf_dir))
+def _bundles(spark, sf_dir, split=True):
+    return jobs.bundle_job(*_sets_and_layers(spark, sf_dir, split))
 
 
 def bundle_pixels(spark, sf_dir):
@@ -353,7 +353,8 @@ def bundle_pixels(spark, sf_dir):
 
 
 def bundle_images(spark, sf_dir):
-    drawn, names = _bundles(spark, sf_dir)
+    # whole orders, however many line numbers they have
+    drawn, names = _bundles(spark, sf_dir, split=False)
     shrunk = blocks.shrink(drawn, ["set_key"], SETTINGS.canvas, list(SETTINGS.sizes), together=True)
     return blocks.pixels(compose.by_name(shrunk, names), ["img_id", "size"], alpha=False)
 

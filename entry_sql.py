@@ -211,6 +211,12 @@ BUNDLE_PIXELS = {
         group by all""",
 }
 
+# whole orders as bundles, however many line numbers they have; lines without a number are in no bundle
+WHOLE_BUNDLE_PIXELS = {
+    **BUNDLE_PIXELS,
+    "b": CTES["b"].replace("l_linenumber // 32", "case when l_linenumber is not null then 0 end"),
+}
+
 
 def _resized(source: str, keys: str, side: int, sizes: tuple[int, ...], channels: str) -> str:
     """Block means over the whole square; missing pixels are white, without alpha."""
@@ -362,7 +368,7 @@ def oracle_sql() -> dict[str, str]:
         "layer_images": _query(LAYERS, _resized("layer_raster", "oms_id, product_type", CANVAS, SETTINGS.image_sizes, "rgba")),
         "composite": _query(COMPOSITE, "select img_id, x, y, o.r::int as r, o.g::int as g, o.b::int as b from folded"),
         "bundle_pixels": _query(BUNDLE_PIXELS, "select * from bundle_pixels"),
-        "bundle_images": _query(BUNDLE_PIXELS, _resized("bundle_pixels", "img_id", CANVAS, SETTINGS.image_sizes, "rgb")),
+        "bundle_images": _query(WHOLE_BUNDLE_PIXELS, _resized("bundle_pixels", "img_id", CANVAS, SETTINGS.image_sizes, "rgb")),
         "image_structs": _query({**RASTER, "small": _resized("raster", "image_id", 8, (3, 4, 8), "rgb")}, """
             select image_id, size as height, size as width, 3::int as "nChannels", 16::int as mode,
                    string_agg(printf('%02X%02X%02X', b, g, r), '' order by y, x) as bytes

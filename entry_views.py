@@ -1,6 +1,7 @@
 """The driver tables seen as bundle data: bundle lines, attributes, layouts and images.
 
-Views of ``FIXTURES.md``. Every order line is a product; an order with more than 32 line numbers is several bundles.
+Views of ``FIXTURES.md``. Every order line is a product and an order a bundle. ``split`` makes several bundles of an order with
+more than 32 line numbers, as the SQL of all queries but ``bundle_images`` does.
 """
 
 from __future__ import annotations
@@ -31,13 +32,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bundle_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One bundle line per order in column ``value``; ids and lists as in a definition file."""
+def bundle_text(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
+    """One bundle line per order in column ``value``; ids and lists as in a definition file.
+
+    With ``split`` one per 32 line numbers of an order, so products further apart share no set.
+    """
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
     lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", *order).withColumn("p_partkey", F.col("l_partkey"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
     sold = skew_join(lineitem, part, ["p_partkey"])
-    key = F.concat("l_orderkey", F.lit("-"), F.expr("l_linenumber div 32")).alias("line_key")
+    # the first part is the whole order; lines without a number are in no bundle
+    part_of_order = F.expr("l_linenumber div 32" if split else "if(l_linenumber is null, null, 0)")
+    key = F.concat("l_orderkey", F.lit("-"), part_of_order).alias("line_key")
     items = F.array_sort(F.collect_list(F.struct(*order, "p_type", "p_brand"))).alias("items")
     item = (
         """concat('{"id": "', p.l_partkey, '", "score": ', 10000 - i, """
