@@ -26,40 +26,41 @@ def product_sets(
     Each list is parsed once and stored with its groups. Whether a bundle is cut depends on its number
     of sets alone: one with more than ``block`` sets is cut into blocks that are spread over the
     cluster, all others are expanded where they are stored. ``with_types`` adds ``type_list``, parallel to ``sku_list``.
+    The SKUs of a set are picked before the sets become rows: no row of a set carries the whole list, however long it is.
     """
     if not layout_types:
         raise ValueError("a layout without product types")
     if strict:
         lines = lines.withColumn("product_list_json", _all_placed(layout_types))
     sized = materialise(_sized(lines, layout_types))
-    few = sized.where(F.col("n_sets") <= block).select(
-        "line_key", "groups", F.explode(F.expr("sequence(0L, n_sets - 1)")).alias("i")
-    )
+    few = sized.where(F.col("n_sets") <= block).select("line_key", "type_list", F.explode(_sets("0L", "n_sets - 1")).alias("s"))
     many = (
         sized.where(F.col("n_sets") > block)
-        .select("line_key", "groups", "n_sets", F.explode(F.expr(f"sequence(0L, n_sets - 1, {block}L)")).alias("start"))
+        .select("line_key", "type_list", "groups", "n_sets", F.explode(F.expr(f"sequence(0L, n_sets - 1, {block}L)")).alias("start"))
         .repartition("line_key", "start")
-        .select(
-            "line_key",
-            "groups",
-            F.explode(F.expr(f"sequence(start, least(start + {block - 1}L, n_sets - 1))")).alias("i"),
-        )
+        .select("line_key", "type_list", F.explode(_sets("start", f"least(start + {block - 1}L, n_sets - 1)")).alias("s"))
     )
-    picked = F.expr("transform(groups, g -> get(g.ids, cast((i div g.stride) % size(g.ids) as int)))")
     columns = [
         F.col("line_key"),
-        F.concat_ws("_", "line_key", F.col("i").cast("string")).alias("img_id"),
-        picked.alias("sku_list"),
+        F.concat_ws("_", "line_key", F.col("s.i").cast("string")).alias("img_id"),
+        F.col("s.sku_list").alias("sku_list"),
     ]
     if with_types:
-        columns.append(F.col("groups.product_type").alias("type_list"))
+        columns.append(F.col("type_list"))
     return few.unionAll(many).select(*columns)
 
 
+def _sets(first: str, last: str) -> Column:
+    """The sets from number ``first`` to ``last`` as structs ``(i, sku_list)``."""
+    picked = "transform(groups, g -> get(g.ids, cast((i div g.stride) % size(g.ids) as int)))"
+    return F.expr(f"transform(sequence({first}, {last}), i -> struct(i, {picked} as sku_list))")
+
+
 def _sized(lines: DataFrame, layout_types: list[str]) -> DataFrame:
-    """``(line_key, groups, n_sets)`` of every list, NULL for unreadable ones."""
+    """``(line_key, groups, n_sets, type_list)`` of every list, NULL for unreadable ones; the types of the groups apart from their SKUs."""
     grouped = parsed_lines(lines).select("line_key", grouped_by_type("products", layout_types).alias("groups"))
-    return grouped.select("line_key", _with_strides().alias("groups"), _set_count().alias("n_sets"))
+    types = F.col("groups.product_type").alias("type_list")
+    return grouped.select("line_key", _with_strides().alias("groups"), _set_count().alias("n_sets"), types)
 
 
 def _set_count() -> Column:

@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as entry
 import entry_views as views
 from check import same
+from packshot.operators.product_sets import product_sets
 
 TYPES = ["ECONOMY", "ECONOMY", "LARGE", "LARGE", "STANDARD"]
 
@@ -57,3 +58,14 @@ def test_bundles_of_an_order(spark, sf_dir, tmp_path, rows):
 
     assert products(split=False) == [("7-0", 5)]
     assert products(split=True) == [("7-0", 3), ("7-1", 1), ("7-2", 1)]
+
+
+def test_a_long_order_of_one_type(spark):
+    # rows that carried the list with each set would take 38 GB
+    n = 40_000
+    item = """concat('{"id": "', 100000 + i, '", "productType": "A"}')"""
+    text = f"concat('[', array_join(transform(sequence(1, {n}), i -> {item}), ', '), ']')"
+    found = product_sets(spark.range(1).selectExpr("'k' line_key", f"{text} product_list_json"), ["B", "A"], with_types=True)
+    numbers = found.selectExpr("cast(split(img_id, '_')[1] as int) i", "cast(sku_list[0] as int) - 100001 sku", "size(sku_list) n", "type_list[0] t")
+    assert numbers.where("i = sku and n = 1 and t = 'A'").selectExpr("count(*)", "count(distinct i)", "max(i)").first() == (n, n, n - 1)
+    assert found.count() == n
