@@ -11,6 +11,8 @@ from packshot.runtime import materialise
 
 #: sets of one bundle that a single task writes; a bundle with more is cut into blocks
 BLOCK = 1 << 16
+#: sets of one bundle up to which each may carry the whole list, which is no longer than sets and layout types together
+CARRIED = 1 << 10
 
 
 def product_sets(
@@ -23,44 +25,42 @@ def product_sets(
     numbers run from 0 without gaps. A bundle without placed products has one empty set. Types
     outside the layout are ignored (``unplaced_products`` lists them) or raise when ``strict``.
 
-    Each list is parsed once and stored with its groups. Whether a bundle is cut depends on its number
-    of sets alone: one with more than ``block`` sets is cut into blocks that are spread over the
-    cluster, all others are expanded where they are stored. ``with_types`` adds ``type_list``, parallel to ``sku_list``.
-    The SKUs of a set are picked before the sets become rows: no row of a set carries the whole list, however long it is.
+    Each list is parsed once and stored with its groups. How a bundle is expanded depends on its number
+    of sets alone: one with at most ``CARRIED`` sets where it is stored, all others in blocks of up to ``block`` sets that are
+    spread over the cluster. There the SKUs of a set are picked before the sets become rows, so that none carries a long list.
+    ``with_types`` adds ``type_list``, parallel to ``sku_list``.
     """
     if not layout_types:
         raise ValueError("a layout without product types")
     if strict:
         lines = lines.withColumn("product_list_json", _all_placed(layout_types))
     sized = materialise(_sized(lines, layout_types))
-    few = sized.where(F.col("n_sets") <= block).select("line_key", "type_list", F.explode(_sets("0L", "n_sets - 1")).alias("s"))
+    carried = min(block, CARRIED)
+    types = F.col("groups.product_type").alias("type_list")
+    picked = "transform(groups, g -> get(g.ids, cast((i div g.stride) % size(g.ids) as int)))"
+    few = (
+        sized.where(F.col("n_sets") <= carried)
+        .select("line_key", "groups", F.explode(F.expr("sequence(0L, n_sets - 1)")).alias("i"))
+        .select("line_key", "i", F.expr(picked).alias("sku_list"), types)
+    )
+    numbers = f"sequence(start, least(start + {block - 1}L, n_sets - 1))"
     many = (
-        sized.where(F.col("n_sets") > block)
-        .select("line_key", "type_list", "groups", "n_sets", F.explode(F.expr(f"sequence(0L, n_sets - 1, {block}L)")).alias("start"))
+        sized.where(F.col("n_sets") > carried)
+        .select("line_key", "groups", "n_sets", types, F.explode(F.expr(f"sequence(0L, n_sets - 1, {block}L)")).alias("start"))
         .repartition("line_key", "start")
-        .select("line_key", "type_list", F.explode(_sets("start", f"least(start + {block - 1}L, n_sets - 1)")).alias("s"))
+        .select("line_key", "type_list", F.explode(F.expr(f"transform({numbers}, i -> struct(i, {picked} as sku_list))")).alias("s"))
+        .select("line_key", "s.i", "s.sku_list", "type_list")
     )
-    columns = [
-        F.col("line_key"),
-        F.concat_ws("_", "line_key", F.col("s.i").cast("string")).alias("img_id"),
-        F.col("s.sku_list").alias("sku_list"),
-    ]
+    columns = ["line_key", F.concat_ws("_", "line_key", F.col("i").cast("string")).alias("img_id"), "sku_list"]
     if with_types:
-        columns.append(F.col("type_list"))
+        columns.append("type_list")
     return few.unionAll(many).select(*columns)
 
 
-def _sets(first: str, last: str) -> Column:
-    """The sets from number ``first`` to ``last`` as structs ``(i, sku_list)``."""
-    picked = "transform(groups, g -> get(g.ids, cast((i div g.stride) % size(g.ids) as int)))"
-    return F.expr(f"transform(sequence({first}, {last}), i -> struct(i, {picked} as sku_list))")
-
-
 def _sized(lines: DataFrame, layout_types: list[str]) -> DataFrame:
-    """``(line_key, groups, n_sets, type_list)`` of every list, NULL for unreadable ones; the types of the groups apart from their SKUs."""
+    """``(line_key, groups, n_sets)`` of every list, NULL for unreadable ones."""
     grouped = parsed_lines(lines).select("line_key", grouped_by_type("products", layout_types).alias("groups"))
-    types = F.col("groups.product_type").alias("type_list")
-    return grouped.select("line_key", _with_strides().alias("groups"), _set_count().alias("n_sets"), types)
+    return grouped.select("line_key", _with_strides().alias("groups"), _set_count().alias("n_sets"))
 
 
 def _set_count() -> Column:
